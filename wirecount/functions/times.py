@@ -47,9 +47,9 @@ def published_millis(published: Column) -> Column:
 
 def iso_utc(ts: Column) -> Column:
     """``2023-11-13T23:43:15Z``, with the fraction only where there is one."""
-    whole = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    fraction = F.date_format(ts, ".SSSSSS")
-    return F.concat(whole, F.when(fraction == ".000000", "").otherwise(fraction), F.lit("Z"))
+    return F.when(
+        F.unix_micros(ts) % 1_000_000 == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"),
+    ).otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
 
 
 def published_iso(published: Column, wall_clock: bool = False) -> Column:

@@ -7,6 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from wirecount.functions import ids, times
+from wirecount.functions.pin import pinned
 from wirecount.schemas import MESSAGE
 
 CORRUPT = "_corrupt"
@@ -21,10 +22,9 @@ def parse_messages(topic: DataFrame, schema: T.StructType = MESSAGE,
     """
     layout = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     value = F.col("value").cast("string")
-    parsed = topic.select(*keep, value.alias("_value")).withColumn(
-        "_data",
-        F.from_json("_value", layout,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = pinned(topic.select(*keep, value.alias("_value")),
+                    _data=F.from_json("_value", layout, options))
     reason = (
         F.when(F.col("_value").isNull(), "no value")
         .when(F.trim("_value") == "", "no value")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wirecount.functions import ids, times
+from wirecount.functions.pin import pinned
 from wirecount.operators.lookup import lookup_join
 
 
@@ -52,21 +53,18 @@ def registry_faults(registry: DataFrame) -> DataFrame:
     return rows.unionByName(repeated[0]).unionByName(repeated[1])
 
 
-def entry_fault(published: Column, title: Column) -> Column:
+def entry_fault(published_at: Column, title: Column) -> Column:
     """Why an entry with a date cannot be used, or null."""
-    return (
-        F.when(times.parse_published(published).isNull(), "unreadable date")
-        .when(title.isNull(), "no title")
-    )
+    return F.when(published_at.isNull(), "unreadable date").when(title.isNull(), "no title")
 
 
 def read_entries(entries: DataFrame) -> DataFrame:
     """Dated entries with ``published_at``, ``published_ms`` and ``reject_reason``."""
+    dated = entries.where(F.col("published").isNotNull())
     return (
-        entries.where(F.col("published").isNotNull())
-        .withColumn("reject_reason", entry_fault(F.col("published"), F.col("title")))
-        .withColumn("published_at", times.parse_published(F.col("published")))
+        pinned(dated, published_at=times.parse_published(F.col("published")))
         .withColumn("published_ms", F.unix_millis("published_at"))
+        .withColumn("reject_reason", entry_fault(F.col("published_at"), F.col("title")))
     )
 
 

@@ -21,37 +21,69 @@ KEYWORD_TABLES = {"keywords_hour": "hour", "keywords_day": "day", "keywords_mont
 BATCH_COUNTS = "keyword_batches"
 METRICS = "metric_samples"
 
+MAX_LABEL_WRITERS = 64
+
 
 def create_tables(spark: SparkSession) -> None:
     for table, unit in KEYWORD_TABLES.items():
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (keyword STRING, count BIGINT, "
                   f"{unit} STRING) USING parquet PARTITIONED BY ({unit})")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {BATCH_COUNTS} (keyword STRING, count BIGINT, "
-              "hour STRING, batch_id BIGINT) USING parquet PARTITIONED BY (hour, batch_id)")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {BATCH_COUNTS} (hour STRING, keyword STRING, "
+              "count BIGINT, day DATE, batch_id BIGINT) USING parquet "
+              "PARTITIONED BY (day, batch_id)")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {METRICS} (ts TIMESTAMP, name STRING, kind STRING, "
               "value STRING, day DATE) USING parquet PARTITIONED BY (day)")
 
 
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-
+def overwrite_labels(rows: DataFrame, table: str, files: int = 1) -> None:
+    """Replace exactly the labels that occur in ``rows``.
 
-def overwrite_labels(rows: DataFrame, table: str) -> None:
-    """Replace exactly the partitions that occur in ``rows``.
-
-    Rows are rebalanced on the partition columns: small labels share tasks and a label
-    with most of the rows is written by several. Files hold the highest counts first.
+    A label's top is a few rows, so tasks are shared out by label and not by size, and
+    every label gets one file, highest counts first. Give more ``files`` per label for
+    rows that hold all keywords.
     """
     spark = rows.sparkSession
-    labels = partition_columns(spark, table)
+    label = KEYWORD_TABLES[table]
+    tasks = min(spark.sparkContext.defaultParallelism, MAX_LABEL_WRITERS) * files
     (
         rows.select(*spark.table(table).columns)
-        .hint("rebalance", *labels)
-        .sortWithinPartitions(*labels, F.desc("count"), F.asc("keyword"))
+        .repartition(tasks, label, F.pmod(F.xxhash64("keyword"), F.lit(files)))
+        .sortWithinPartitions(label, F.desc("count"), F.asc("keyword"))
         .write.mode("overwrite").insertInto(table)
     )
 
 
+def write_batch_counts(counts: DataFrame, batch_id: int) -> None:
+    """Keep the complete hourly counts of a batch; a replay replaces them.
+
+    Written as the aggregation left them, without another shuffle. Files are sorted by
+    hour, so reading an hour skips the row groups of the others.
+    """
+    (
+        counts.withColumn("day", F.to_date(F.substr("hour", F.lit(1), F.lit(10))))
+        .withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .select("hour", "keyword", "count", "day", "batch_id")
+        .sortWithinPartitions("day", "batch_id", "hour")
+        .write.mode("overwrite").insertInto(BATCH_COUNTS)
+    )
+
+
+def batch_hours(spark: SparkSession, batch_id: int) -> list[str]:
+    """The hours a batch has counts for; one column of the batch's own files."""
+    rows = spark.table(BATCH_COUNTS).where(F.col("batch_id") == batch_id)
+    return sorted(r["hour"] for r in rows.select("hour").distinct().collect())
+
+
+def hour_counts(spark: SparkSession, hours: Sequence[str]) -> DataFrame:
+    """Complete counts of the given hours, over all batches."""
+    days = sorted({datetime.strptime(h[:10], "%Y-%m-%d").date() for h in hours})
+    return (
+        spark.table(BATCH_COUNTS)
+        .where(F.col("day").isin(days) & F.col("hour").isin(list(hours)))
+        .groupBy("hour", "keyword").agg(F.sum("count").alias("count"))
+    )
+
+
 def read_labels(spark: SparkSession, table: str, low: str | None = None,
                 high: str | None = None) -> DataFrame:
     """Rows of the half-open label range, reading only those partitions."""

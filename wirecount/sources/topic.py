@@ -14,13 +14,18 @@ DEFAULT_TOPIC = "feeds"
 
 
 def kafka_options(servers: str, topic: str = DEFAULT_TOPIC, starting: str = "latest",
-                  fail_on_data_loss: bool = False) -> dict[str, str]:
-    return {
+                  fail_on_data_loss: bool = False,
+                  min_partitions: int | None = None) -> dict[str, str]:
+    """Source options; ``min_partitions`` reads a topic of few partitions in more tasks."""
+    options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
+    return options
 
 
 def topic_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wirecount.functions import times
@@ -21,15 +21,16 @@ def _now() -> datetime:
 
 
 def hourly_writer(label_from: str = "processing", label_at: str = "start", k: int = TOP,
-                  rejects_path: str | None = None, clock: Callable[[], datetime] = _now,
+                  rejects_path: str | None = None, tasks: int | None = None,
+                  clock: Callable[[], datetime] = _now,
                   **text) -> Callable[[DataFrame, int], None]:
     """The batch function: complete counts per batch, then the top of the hours touched.
 
     ``label_from`` is the clock of the batch (``processing``), the time a message reached
     the topic (``arrival``) or its own time (``published``). Counts go to a partition of
     this hour and batch, so a replay replaces them and a second batch in the same hour
-    adds to them; the hour's top is then taken over all its batches. ``text`` is passed
-    to ``keyword_counts``.
+    adds to them; the hour's top is then taken over all its batches. ``tasks`` spreads a
+    batch whose source has few partitions. ``text`` is passed to ``keyword_counts``.
     """
     if label_from not in LABEL_SOURCES:
         raise ValueError(f"label_from must be one of {LABEL_SOURCES}")
@@ -38,17 +39,17 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        of_batch = F.col("batch_id") == batch_id
-        written = spark.table(tables.BATCH_COUNTS).where(of_batch).select("hour").distinct()
         if label_from == "processing":
             # A replayed batch keeps the hour its first attempt was stamped with.
-            earlier = written.first()
-            stamp = F.lit(earlier["hour"]) if earlier else times.label(
+            earlier = tables.batch_hours(spark, batch_id)
+            stamp = F.lit(earlier[0]) if earlier else times.label(
                 F.lit(clock()).cast("timestamp"), "hour", label_at)
         elif label_from == "arrival":
             stamp = times.label(F.col("timestamp"), "hour", label_at)
         else:
             stamp = times.label(F.coalesce("published", "timestamp"), "hour", label_at)
+        if tasks:
+            batch = batch.repartition(tasks)
         parsed = msg.parse_messages(batch, keep=("timestamp",))
         if rejects_path:
             parsed = parsed.persist()
@@ -57,27 +58,19 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
                 .parquet(f"{rejects_path}/batch_id={batch_id}")
             )
         titles = msg.accepted(parsed).select(stamp.alias("hour"), "title")
-        counts = keyword_counts(titles, by=["hour"], **text)
-        tables.overwrite_labels(
-            counts.withColumn("batch_id", F.lit(batch_id).cast("long")), tables.BATCH_COUNTS)
+        tables.write_batch_counts(keyword_counts(titles, by=["hour"], **text), batch_id)
         if rejects_path:
             parsed.unpersist()
-        # Labels are partitions: one row per hour, from partition values.
-        hours = [r["hour"] for r in written.collect()]
-        publish_hours(spark, hours, k)
+        publish_hours(spark, tables.batch_hours(spark, batch_id), k)
 
     return write
 
 
-def publish_hours(spark, hours: list[str], k: int = TOP) -> None:
+def publish_hours(spark: SparkSession, hours: list[str], k: int = TOP) -> None:
     """The top of the given hours, over all their batches."""
-    if not hours:
-        return
-    summed = (
-        spark.table(tables.BATCH_COUNTS).where(F.col("hour").isin(hours))
-        .groupBy("hour", "keyword").agg(F.sum("count").alias("count"))
-    )
-    tables.overwrite_labels(top_k(summed, k, by=["hour"]), "keywords_hour")
+    if hours:
+        tables.overwrite_labels(
+            top_k(tables.hour_counts(spark, hours), k, by=["hour"]), "keywords_hour")
 
 
 def start_hourly(stream: DataFrame, checkpoint: str, every: str | None = "1 hour",

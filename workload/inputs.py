@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirecount.functions import ids, times
+from wirecount.functions.pin import pinned
 from wirecount.session import configure, spread
 
 STOP_WORDS = (
@@ -93,7 +94,7 @@ def reader_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaped_entries(table(spark, sf_dir, "events"))
+    return shaped_entries(spread(table(spark, sf_dir, "events"), "event_id"))
 
 
 def shaped_entries(rows: DataFrame) -> DataFrame:
@@ -110,10 +111,10 @@ def shaped_entries(rows: DataFrame) -> DataFrame:
         .otherwise(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
     )
     title = F.concat_ws(" ", "event_type", "props")
-    return rows.select(
-        F.col("user_id").alias("channel_id"),
-        F.when(F.col("event_id") % 13 != 0, title).alias("title"),
-        published.alias("published"))
+    return pinned(
+        rows, channel_id=F.col("user_id"), published=published,
+        entry_title=F.when(F.col("event_id") % 13 != 0, title),
+    ).select("channel_id", F.col("entry_title").alias("title"), "published")
 
 
 def topic(spark: SparkSession, sf_dir: str) -> DataFrame:

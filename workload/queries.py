@@ -202,8 +202,8 @@ def published_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     each = F.explode(F.array(*(F.struct(F.lit(n).alias("form"), c.alias("published"))
                                for n, c in forms.items())))
-    rows = inputs.events(spark, sf_dir).select("event_id", each.alias("e")).select(
-        "event_id", "e.*")
+    given = spread(inputs.events(spark, sf_dir).select("event_id", "ts"), "event_id")
+    rows = given.select("event_id", each.alias("e")).select("event_id", "e.*")
     published = F.col("published")
     return rows.select(
         "event_id", "form", times.published_millis(published).alias("epoch_ms"),
@@ -457,7 +457,8 @@ def stream_hourly_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     try:
         tables.create_tables(spark)
         start_hourly(topic, f"{scratch}/checkpoint", every=None,
-                     label_from="published").awaitTermination()
+                     label_from="published",
+                     tasks=spark.sparkContext.defaultParallelism).awaitTermination()
         return spark.table(f"{database}.keywords_hour")
     finally:
         spark.catalog.setCurrentDatabase(previous)
