@@ -1,0 +1,145 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
+from wirecount.functions import ids
+from wirecount.operators import lookup, registry as reg
+from wirecount.schemas import ENTRY, REGISTRY
+from wirecount.sources.channels import POSITION, read_channels
+
+MARK = 1700000000000
+
+
+def channels(spark, data):
+    return spark.createDataFrame(data, REGISTRY)
+
+
+@pytest.fixture
+def registry(spark):
+    return channels(spark, [(1, "One", "u1", 0), (2, "Two", "u2", None), (3, "Three", "u3", MARK),
+                            (4, "Quiet", "u4", 5)])
+
+
+def entries(spark, data):
+    return reg.read_entries(spark.createDataFrame(data, ENTRY))
+
+
+CSV = '''title,url,last_updated
+"News, World",ua,0
+Plain,ub,
+
+Again,ub,7
+Known,u1,9
+"Says ""hi""",uc,12
+Wrong,ud,soon
+'''
+
+
+def test_channel_file(spark, tmp_path):
+    (tmp_path / "feeds.csv").write_text(CSV, encoding="utf-8")
+    got = read_channels(spark, str(tmp_path / "feeds.csv")).select(
+        "title", "url", "last_updated", "reject_reason")
+    assert rows(got.where("reject_reason IS NULL").drop("reject_reason")) == [
+        ("Again", "ub", 7), ("Known", "u1", 9), ("News, World", "ua", 0), ("Plain", "ub", 0),
+        ('Says "hi"', "uc", 12)]
+    assert rows(got.where("reject_reason IS NOT NULL")) == [
+        ("Wrong", "ud", None, "mark is no number")]
+
+
+def test_first_of_a_url_wins_and_known_ones_stay(spark, tmp_path, registry):
+    (tmp_path / "feeds.csv").write_text(CSV, encoding="utf-8")
+    good = read_channels(spark, str(tmp_path / "feeds.csv")).where("reject_reason IS NULL")
+    added = reg.new_channels(good, registry, POSITION)
+    assert rows(added) == [(5, "News, World", "ua", 0), (6, "Plain", "ub", 0),
+                           (7, 'Says "hi"', "uc", 12)]
+    assert reg.insert_channels(good, registry, POSITION).count() == 7
+
+
+def test_into_an_empty_registry(spark):
+    good = spark.createDataFrame([("a", "ua", 1, 0)], "title string, url string, "
+                                                      "last_updated long, position long")
+    assert rows(reg.new_channels(good, channels(spark, []), ["position"])) == [(1, "a", "ua", 1)]
+
+
+def test_files_are_ordered_by_path(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("title,url,last_updated\nfrom b,u,\n")
+    (tmp_path / "a.csv").write_text("title,url,last_updated\nfrom a,u,\n")
+    first = reg.first_per_url(read_channels(spark, str(tmp_path)), POSITION)
+    assert [r["title"] for r in first.collect()] == ["from a"]
+
+
+def test_numbers_are_dense_and_in_order(spark):
+    df = spark.range(0, 5000, 1, 7).withColumn("key", F.hash("id"))
+    numbered = ids.number_rows(df, ["key", "id"], "n", start=10)
+    got = [r["n"] for r in numbered.orderBy("key", "id").collect()]
+    assert got == list(range(11, 5011))
+
+
+def test_strict_rules(spark):
+    bad = channels(spark, [(1, "a", "u", 0), (1, None, "u", None), (2, "b", None, 0)])
+    assert sorted(r["fault"] for r in reg.registry_faults(bad).collect()) == [
+        "id repeated", "last_updated missing", "title missing", "url missing", "url repeated"]
+
+
+def test_only_later_entries(spark, registry):
+    read = entries(spark, [
+        (1, "new", "2023-11-14T22:13:20Z"), (2, "no mark", "2023-11-14T22:13:20Z"),
+        (3, "at the mark", "2023-11-14T22:13:20Z"), (3, "after", "2023-11-14T22:13:21Z"),
+        (9, "unknown channel", "2023-11-14T22:13:20Z"), (1, "undated", None)])
+    assert {r["title"] for r in reg.new_entries(read, registry).collect()} == {
+        "new", "no mark", "after"}
+    assert "at the mark" in {r["title"] for r in
+                             reg.new_entries(read, registry, at_mark=True).collect()}
+
+
+def test_bad_entries_are_set_aside(spark, registry):
+    read = entries(spark, [(1, "zone", "Mon, 13 Nov 2023 23:43:15 EST"),
+                           (1, None, "2023-11-14T22:13:20Z"), (1, "good", "2023-11-14T22:13:20Z")])
+    assert rows(read.where("reject_reason IS NOT NULL").select("reject_reason")) == [
+        ("no title",), ("unreadable date",)]
+    assert [r["title"] for r in reg.new_entries(read, registry).collect()] == ["good"]
+
+
+def test_marks_advance_and_never_go_back(spark, registry):
+    fresh = reg.new_entries(entries(spark, [
+        (1, "a", "2023-11-14T22:13:20Z"), (1, "b", "2023-11-13T22:13:20Z"),
+        (2, "c", "2023-11-14T22:13:20Z"), (3, "old", "2020-01-01T00:00:00Z")]), registry)
+    marks = dict(rows(reg.advance_marks(registry, fresh).select("id", "last_updated")))
+    assert marks == {1: MARK, 2: MARK, 3: MARK, 4: 5}
+
+
+def test_same_title_on_two_channels_is_two_messages(spark, registry):
+    read = entries(spark, [(1, "x", "2023-11-14T22:13:20Z"), (2, "x", "2023-11-14T22:13:20Z")])
+    sent = reg.entry_messages(reg.new_entries(read, registry))
+    assert sent.select("id").distinct().count() == 2
+    assert sent.first()["published"] == datetime(2023, 11, 14, 22, 13, 20)
+
+
+def test_dates_are_parsed_once(spark, registry, tmp_path):
+    spark.createDataFrame([(1, "x", "2023-11-14T22:13:20Z")], ENTRY).write.parquet(
+        str(tmp_path / "e"))
+    read = reg.read_entries(spark.read.parquet(str(tmp_path / "e")))
+    assert plan(reg.new_entries(read, registry)).count("try_to_timestamp") == 1
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_any_size_gives_the_same_join(spark, how):
+    facts = spark.range(2000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50)
+                                     .alias("k"), "id")
+    dim = spark.range(0, 40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    if how in ("left_semi", "left_anti"):
+        dim = dim.select("k")
+    small = lookup.lookup_join(facts, dim, ["k"], how)
+    assert "Broadcast" in plan(small)
+    salted = lookup.lookup_join(facts, dim, ["k"], how, spread_by=["id"], max_bytes=0)
+    shuffled = lookup.lookup_join(facts, dim, ["k"], how, max_bytes=0)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(small) == key(salted) == key(shuffled)
+
+
+def test_measured_bytes(spark):
+    df = spark.createDataFrame([("abc", 1), (None, 2)], "s string, n long")
+    assert lookup.measured_bytes(df) >= 3
+    assert lookup.measured_bytes(df.limit(0)) == 0

@@ -1,0 +1,169 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan, rows
+from wirecount.functions import text
+from wirecount.operators import keywords as kw
+
+
+def tokens(spark, value, mode="letters"):
+    df = spark.createDataFrame([(value,)], "t string")
+    return df.select(text.tokens(F.col("t"), mode)).first()[0]
+
+
+def counted(spark, titles, **options):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(titles)], "id long, title string")
+    return dict(rows(kw.keyword_counts(df, **options)))
+
+
+@pytest.mark.parametrize("value, letters, clean", [
+    ("Markets OPEN: a half-day", ["markets", "open", "a", "half", "day"],
+     ["markets", "open", "a", "halfday"]),
+    ("don't", ["don", "t"], ["dont"]),
+    ("The lender’s upgrade", ["the", "lender", "s", "upgrade"],
+     ["the", "lenders", "upgrade"]),
+    ("Élan Straße Привет 東京 2024", ["élan", "straße", "привет", "東京"],
+     ["élan", "straße", "привет", "東京"]),
+    ("C++ 3.14", ["c"], ["c++"]),
+    ("", [], []),
+    (" !? ", [], []),
+    (None, None, None),
+])
+def test_tokens(spark, value, letters, clean):
+    assert tokens(spark, value) == letters
+    assert tokens(spark, value, "clean") == clean
+
+
+def test_unknown_mode(spark):
+    with pytest.raises(ValueError):
+        text.tokens(F.col("t"), "words")
+
+
+@pytest.mark.parametrize("n, expected", [
+    (1, ["a", "b", "c"]), (2, ["a b", "b c"]), (3, ["a b c"]), (4, []),
+])
+def test_ngrams(spark, n, expected):
+    df = spark.createDataFrame([(["a", "b", "c"],)], "t array<string>")
+    assert df.select(text.ngrams(F.col("t"), n)).first()[0] == expected
+
+
+def test_no_words_no_ngrams(spark):
+    df = spark.createDataFrame([([],)], "t array<string>")
+    assert df.select(text.ngrams(F.col("t"), 2)).first()[0] == []
+
+
+def test_stop_words_ignore_case_and_let_bigrams_span(spark):
+    assert counted(spark, ["Bank OF England"], stop_words=["Of"]) == {
+        "bank": 1, "england": 1, "bank england": 1}
+
+
+def test_only_stop_words(spark):
+    assert counted(spark, ["of the", "The"], stop_words=["of", "the"]) == {}
+
+
+def test_one_word_left_makes_no_bigram(spark):
+    assert counted(spark, ["the bank"], stop_words=["the"]) == {"bank": 1}
+
+
+def test_bigrams_stay_inside_a_title(spark):
+    assert counted(spark, ["rates rise", "banks fall"], sizes=(2,)) == {
+        "rates rise": 1, "banks fall": 1}
+
+
+def test_null_and_empty_titles(spark):
+    assert counted(spark, [None, "", "rates"]) == {"rates": 1}
+
+
+def test_same_title_twice_counts_twice(spark):
+    assert counted(spark, ["rates", "rates"]) == {"rates": 2}
+
+
+def test_arrays_of_titles(spark):
+    df = spark.createDataFrame([(["rates rise", None, "banks"],)], "title array<string>")
+    assert dict(rows(kw.keyword_counts(df))) == {
+        "rates": 1, "rise": 1, "rates rise": 1, "banks": 1}
+
+
+def test_long_title(spark):
+    found = counted(spark, [" ".join(["word"] * 50_000)])
+    assert found == {"word": 50_000, "word word": 49_999}
+
+
+@pytest.fixture
+def lemmas(spark):
+    return spark.createDataFrame(
+        [("Rates", "rate"), ("rises", "rise"), ("banks", "bank")], "token string, lemma string")
+
+
+EXPECTED = {"rate": 2, "rise": 2, "rate rise": 2, "bank": 1, "quietly": 1, "bank quietly": 1}
+TITLES = ["Rates rises", "the rate of rise", "banks quietly"]
+
+
+def test_lemmas_broadcast(spark, lemmas):
+    assert counted(spark, TITLES, stop_words=["the", "of"], lemmas=lemmas) == EXPECTED
+
+
+def test_lemmas_too_big_to_broadcast(spark, lemmas, monkeypatch):
+    monkeypatch.setattr(kw, "fits_broadcast", lambda df: False)
+    assert counted(spark, TITLES, stop_words=["the", "of"], lemmas=lemmas) == EXPECTED
+
+
+def test_lemma_counts(spark, lemmas):
+    df = spark.createDataFrame([("rates", 3), ("rate", 2), ("new", 1)], "token string, count long")
+    assert rows(kw.lemma_counts(df, lemmas)) == [("new", 1), ("rate", 5)]
+
+
+def test_repeated_dictionary_entries_add_no_counts(spark):
+    twice = spark.createDataFrame([("rates", "rate"), ("rates", "ratio")], "t string, l string")
+    assert counted(spark, ["rates"], lemmas=twice) == {"rate": 1}
+
+
+def test_stop_word_table_too_long_for_a_literal(spark, monkeypatch):
+    stop = spark.createDataFrame([("The",), ("of",)], "word string")
+    titles = ["The bank of England", "the of", "of rates and rates"]
+    listed = counted(spark, titles, stop_words=stop)
+    monkeypatch.setattr(kw, "MAX_LISTED_WORDS", 1)
+    assert counted(spark, titles, stop_words=stop, row_id=["id"]) == listed
+    with pytest.raises(ValueError):
+        counted(spark, titles, stop_words=stop)
+
+
+def test_default_english_list(spark):
+    words = kw.english_stop_words(spark)
+    assert {"the", "and"} <= set(words)
+    assert counted(spark, ["the bank"], stop_words=words) == {"bank": 1}
+
+
+def test_ties_go_by_keyword(spark):
+    names = [f"k{i:02d}" for i in range(25)]
+    df = spark.createDataFrame([(n, 1) for n in names], "keyword string, count long")
+    assert [r["keyword"] for r in kw.top_k(df).collect()] == names[:20]
+
+
+def test_titles_in_chunks_keep_all_titles(spark):
+    titles = [("c", f"t{i}") for i in range(40)] + [("c", "copy")] * 1000 + [("d", "x"), ("d", None)]
+    df = spark.createDataFrame(titles, "channel string, title string")
+    out = kw.titles_in_chunks(df, ["channel"], chunk_size=10).collect()
+    assert len([r for r in out if r["channel"] == "c"]) > 1
+    found = {t["title"]: t["n"] for r in out if r["channel"] == "c" for t in r["titles"]}
+    assert found == {**{f"t{i}": 1 for i in range(40)}, "copy": 1000}
+    assert [(r["chunk"], len(r["titles"])) for r in out if r["channel"] == "d"] == [(0, 1)]
+
+
+def test_tokenizer_runs_once_per_title(spark):
+    df = spark.createDataFrame([("a b",)], "title string")
+    for frame in (kw.keyword_counts(df), kw.token_rows(df),
+                  kw.keyword_counts(df, sizes=(1, 2, 3), stop_words=["a"])):
+        assert plan(frame).count("regexp_extract_all") == 1
+
+
+def test_ml_pipeline_gives_the_same_tokens(spark):
+    from wirecount.functions.ml import text_pipeline
+
+    df = spark.createDataFrame([("The Bank of England's rates",), ("",)], "title string")
+    words = ["the", "of"]
+    fitted = text_pipeline("title", words).fit(df.limit(0))
+    got = fitted.transform(df).select("cleaned", "ngrams").collect()
+    clean = text.without(text.tokens(F.col("title")), words)
+    want = df.select(clean.alias("c"), text.ngrams(clean, 2)).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
