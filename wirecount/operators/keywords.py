@@ -118,54 +118,62 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     """
     needed = list(dict.fromkeys([*by, *row_id, title]))
     words = tokenized(titles.select(*needed), title, mode, stop_words, row_id).select(*by, "tokens")
+    places = [f"_w{k}" for k in range(1, max(sizes) + 1)]
+    rows = _with_following(words, by, places)
+    weight = F.lit(1).cast("long")
     if lemmas is not None:
-        return _lemma_keyword_counts(words, by, sizes, lemmas)
-    t = F.col("tokens")
-    grams = [text.padded_ngrams(t, n) for n in sizes]
-    # explode_outer: a plain explode makes the optimizer repeat the tokenizer in a filter.
+        rows, weight = _lemmatized(rows, by, places, lemmas)
     return (
-        words.select(*by, F.explode_outer(F.concat(*grams)).alias("keyword"))
-        .where(F.col("keyword").isNotNull())
+        _each_gram(rows, by, [_joined(places[:n]) for n in sizes], weight)
         .groupBy(*by, "keyword")
-        .agg(F.count("*").alias("count"))
+        .agg(F.sum("_n").alias("count"))
     )
 
 
-def _lemma_keyword_counts(words: DataFrame, by: Sequence[str], sizes: Sequence[int],
-                          lemmas: DataFrame) -> DataFrame:
-    """Counts over lemmas, without taking titles apart and putting them together again.
-
-    A lemma depends on its token alone, so each row holds one token and the tokens that
-    follow it, and every one of them is looked up where it stands. A dictionary too big
-    to broadcast meets the already grouped rows instead of every occurrence.
-    """
-    span = max(sizes)
-    places = [f"_w{k}" for k in range(1, span + 1)]
+def _with_following(words: DataFrame, by: Sequence[str], places: Sequence[str]) -> DataFrame:
+    """One row per token, with the tokens that follow it in its title beside it."""
     t = F.col("tokens")
     shifted = words.select(
-        *by, t.alias("_w1"),
-        *(text.following(t, k).alias(f"_w{k}") for k in range(2, span + 1)))
-    rows = (
+        *by, *(text.following(t, k).alias(c) if k > 1 else t.alias(c)
+               for k, c in enumerate(places, 1)))
+    # An outer generator: a plain one makes the optimizer repeat the tokenizer in a filter.
+    return (
         shifted.select(*by, F.inline_outer(F.arrays_zip(*places)))
-        .where(F.col("_w1").isNotNull())
+        .where(F.col(places[0]).isNotNull())
+    )
+
+
+def _each_gram(rows: DataFrame, by: Sequence[str], grams: Sequence[Column],
+               weight: Column) -> DataFrame:
+    """A row per n-gram; one that would reach past the title's end is null and dropped."""
+    each = grams[0] if len(grams) == 1 else F.explode_outer(F.array(*grams))
+    return (
+        rows.select(*by, weight.alias("_n"), each.alias("keyword"))
+        .where(F.col("keyword").isNotNull())
     )
+
+
+def _lemmatized(rows: DataFrame, by: Sequence[str], places: Sequence[str],
+                lemmas: DataFrame) -> tuple[DataFrame, Column]:
+    """The same rows over lemmas, and what each row counts for.
+
+    A lemma depends on its token alone, so every token is looked up where it stands and
+    titles are not taken apart and put together again. A dictionary too big to broadcast
+    meets the already grouped rows instead of every occurrence.
+    """
     known = lemma_table(lemmas)
     small = fits_broadcast(known)
-    rows = rows.withColumn("_n", F.lit(1).cast("long")) if small else (
-        rows.groupBy(*by, *places).agg(F.count("*").alias("_n")))
+    weight = F.lit(1).cast("long")
+    if not small:
+        rows = rows.groupBy(*by, *places).agg(F.count("*").alias("_times"))
+        weight = F.col("_times")
     for place in places:
         entry = known.select(F.col("token").alias(place), F.col("lemma").alias("_lemma"))
         rows = (
             lookup_join(rows, entry, [place], "left", spread_by=[*by, *places], small=small)
             .withColumn(place, F.coalesce("_lemma", place)).drop("_lemma")
         )
-    grams = [_joined(places[:n]) for n in sizes]
-    return (
-        rows.select(*by, "_n", F.explode_outer(F.array(*grams)).alias("keyword"))
-        .where(F.col("keyword").isNotNull())
-        .groupBy(*by, "keyword")
-        .agg(F.sum("_n").alias("count"))
-    )
+    return rows, weight
 
 
 def _joined(columns: Sequence[str]) -> Column:

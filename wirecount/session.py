@@ -61,16 +61,15 @@ def shared_dir(spark: SparkSession) -> str:
 def spread(df, *keys: str):
     """Give a small input one task per core before expensive per-row work.
 
-    An input below one split per core leaves cores idle (a single row group is read
-    by a single task), and its shuffle is bounded by that same size. Anything larger
-    already has enough splits and is returned as it is, as is a stream.
+    Below ``openCostInBytes`` per core a scan makes fewer splits than there are cores,
+    and a single row group is read by a single task. Moving so little is cheap, and it
+    is the only case in which rows are moved: anything larger, or a stream, is returned
+    as it is.
     """
     if df.isStreaming:
         return df
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    least = int(spark.conf.get("spark.sql.files.openCostInBytes").rstrip("b"))
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= cores * split:
-        return df
-    return df.repartition(cores, *keys)
+    return df.repartition(cores, *keys) if size < cores * least else df
