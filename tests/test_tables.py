@@ -102,6 +102,15 @@ def test_exact_rollup_and_backfill(spark, made):
     assert read(spark, "keywords_month") == [("2024-01", "a", 12), ("2024-01", "b", 1)]
 
 
+def test_expiry_job(spark, made):
+    data = [("2024-01-01 05", "a", 1), ("2024-03-30 05", "a", 2), ("2024-03-31 05", "a", 3)]
+    tables.overwrite_labels(hourly(spark, data), "keywords_hour")
+    tables.write_batch_counts(hourly(spark, data), 3)
+    rollups.expire(spark, datetime(2024, 4, 1, 6))
+    assert read(spark, "keywords_hour") == [("2024-03-31 05", "a", 3)]
+    assert sorted(r["count"] for r in spark.table(tables.BATCH_COUNTS).collect()) == [2, 3]
+
+
 def test_channel_job(spark, made, tmp_path):
     root, csv = str(tmp_path / "state"), tmp_path / "feeds.csv"
     csv.write_text("title,url,last_updated\nA,ua,\nB,ub,5\nbad,uc,x\n")

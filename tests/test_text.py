@@ -78,6 +78,11 @@ def test_same_title_twice_counts_twice(spark):
     assert counted(spark, ["rates", "rates"]) == {"rates": 2}
 
 
+def test_same_title_once_when_asked(spark):
+    assert counted(spark, ["rates", "rates", "rise"], dedupe_titles=True) == {
+        "rates": 1, "rise": 1}
+
+
 def test_arrays_of_titles(spark):
     df = spark.createDataFrame([(["rates rise", None, "banks"],)], "title array<string>")
     assert dict(rows(kw.keyword_counts(df))) == {

@@ -109,13 +109,16 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
                    sizes: Sequence[int] = (1, 2), mode: str = "letters",
                    stop_words: Sequence[str] | DataFrame | None = None,
                    lemmas: DataFrame | None = None,
-                   row_id: Sequence[str] = ()) -> DataFrame:
+                   row_id: Sequence[str] = (), dedupe_titles: bool = False) -> DataFrame:
     """Count the n-grams of every title: ``by`` columns, ``keyword``, ``count``.
 
     Unigrams and bigrams (``sizes``) come from one pass over the titles and one
     aggregation, combined on the map side, so a word found everywhere costs one row
-    per task. An n-gram never crosses from one title into the next.
+    per task. An n-gram never crosses from one title into the next. A title that comes
+    up again, say on another channel, counts again unless ``dedupe_titles``.
     """
+    if dedupe_titles:
+        titles = titles.dropDuplicates([*by, title])
     needed = list(dict.fromkeys([*by, *row_id, title]))
     words = tokenized(titles.select(*needed), title, mode, stop_words, row_id).select(*by, "tokens")
     places = [f"_w{k}" for k in range(1, max(sizes) + 1)]

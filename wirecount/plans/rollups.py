@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import SparkSession
 
@@ -45,3 +45,9 @@ def backfill(spark: SparkSession, unit: str, k: int = TOP, label_at: str = "star
         rows = roll_up(spark.table("keywords_hour" if unit == "day" else "keywords_day"),
                        unit, k, label_at)
     tables.overwrite_labels(rows, f"keywords_{unit}")
+
+
+def expire(spark: SparkSession, as_of: datetime, keep_batches: timedelta = timedelta(days=62)) -> None:
+    """Drop hourly tops past their time, and batch counts no exact rollup needs any more."""
+    tables.expire(spark, "keywords_hour", as_of, tables.HOUR_TTL)
+    tables.expire_batches(spark, as_of, keep_batches)

@@ -40,6 +40,17 @@ def create(app: str, master: str | None = None, **extra: str) -> SparkSession:
     return configure(builder.getOrCreate())
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, per_task: int = 128 << 20) -> int:
+    """Start shuffles with enough partitions for ``input_bytes``.
+
+    Partitions that turn out small are merged at run time; too few to begin with cannot
+    be split again by an aggregation and spill instead.
+    """
+    partitions = max(spark.sparkContext.defaultParallelism, -(-input_bytes // per_task))
+    spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    return partitions
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, from ``spark.checkpoint.dir``.
 

@@ -21,6 +21,10 @@ KEYWORD_TABLES = {"keywords_hour": "hour", "keywords_day": "day", "keywords_mont
 BATCH_COUNTS = "keyword_batches"
 METRICS = "metric_samples"
 
+# How long hourly rows and topic messages are kept.
+HOUR_TTL = timedelta(seconds=172800)
+TOPIC_RETENTION = timedelta(hours=24)
+
 MAX_LABEL_WRITERS = 64
 
 
@@ -112,6 +116,18 @@ def expire(spark: SparkSession, table: str, as_of: datetime, keep_for: timedelta
     return old
 
 
+def expire_batches(spark: SparkSession, as_of: datetime, keep_for: timedelta) -> list[str]:
+    """Drop the days of batch counts that ended before ``keep_for`` ago."""
+    bound = (as_of - keep_for).strftime("%Y-%m-%d")
+    held = [dict(part.split("=", 1) for part in r[0].split("/")) for r in
+            spark.sql(f"SHOW PARTITIONS {BATCH_COUNTS}").collect()]
+    old = [p for p in held if p["day"] < bound]
+    for p in old:
+        spark.sql(f"ALTER TABLE {BATCH_COUNTS} DROP IF EXISTS PARTITION "
+                  f"(day = '{p['day']}', batch_id = {p['batch_id']})")
+    return sorted({p["day"] for p in old})
+
+
 def merged(existing: DataFrame, incoming: DataFrame, key: Sequence[str],
            order: Sequence[str] = ()) -> DataFrame:
     """Upsert: one row per ``key``, an incoming row before an existing one.

@@ -139,6 +139,10 @@ SQL: dict[str, str] = {
         SELECT keyword, count(*)::BIGINT AS count FROM grams GROUP BY 1""",
     "keyword_counts_cleaned": f"""WITH {CLEANED}
         SELECT keyword, count(*)::BIGINT AS count FROM cleaned GROUP BY 1""",
+    "keyword_counts_distinct_titles": f"""WITH {TOKENS.replace('FROM headlines)',
+        'FROM (SELECT title, min(doc_id) AS doc_id, min(published) AS published '
+        'FROM headlines GROUP BY title))')}, grams AS ({UNIGRAMS} UNION ALL {BIGRAMS})
+        SELECT keyword, count(*)::BIGINT AS count FROM grams GROUP BY 1""",
     "keyword_top20": f"""WITH {GRAMS}
         SELECT keyword, count(*)::BIGINT AS count FROM grams GROUP BY 1
         ORDER BY count DESC, keyword LIMIT 20""",

@@ -90,6 +90,11 @@ def keyword_counts_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
         lemmas=inputs.lemmas(spark, sf_dir))
 
 
+@query
+def keyword_counts_distinct_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kw.keyword_counts(inputs.headlines(spark, sf_dir), dedupe_titles=True)
+
+
 @query
 def keyword_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kw.top_k(kw.keyword_counts(inputs.headlines(spark, sf_dir)))
