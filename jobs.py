@@ -51,6 +51,7 @@ def parser() -> argparse.ArgumentParser:
                    default="processing")
     p.add_argument("--label-at", choices=("start", "end"), default="start")
     p.add_argument("--tasks", type=int)
+    p.add_argument("--dedup-within", help="such as '24 hours': drop messages sent again")
     p.add_argument("--lemmas", help="parquet dictionary with token and lemma")
     p.add_argument("--once", action="store_true", help="take what is there and stop")
 
@@ -101,6 +102,7 @@ def main(argv: list[str] | None = None):
         return start_hourly(
             stream, args.checkpoint, every=None if args.once else "1 hour",
             label_from=args.label_from, label_at=args.label_at, tasks=args.tasks,
+            dedup_within=args.dedup_within,
             stop_words=english_stop_words(spark), lemmas=lemmas).awaitTermination()
     if args.job == "topic-size":
         held = topic.topic_table(spark, "parquet", args.path) if args.path else (

@@ -55,6 +55,18 @@ def test_batches_of_one_hour_add_up(spark, made):
     assert got.count() == 3 and spark.table(tables.BATCH_COUNTS).count() == 4
 
 
+def test_a_message_sent_again_counts_once(spark, made):
+    folder, checkpoint, tmp = made
+    land(spark, folder, "a", [message(1, "rates"), message(1, "rates"), b"{broken"])
+    land(spark, folder, "b", [message(1, "rates"), message(2, "rise"), b"{broken"])
+    run(spark, folder, checkpoint, label_from="published", dedup_within="24 hours",
+        rejects_path=str(tmp / "bad"))
+    assert rows(spark.table("keywords_hour").select("keyword", "count")) == [
+        ("rates", 1), ("rise", 1)]
+    # The unreadable value stands for its partition and offset, which both files share.
+    assert spark.read.parquet(str(tmp / "bad")).count() == 1
+
+
 def test_a_replayed_batch_keeps_its_hour_and_changes_nothing(spark, made):
     folder, _, _ = made
     land(spark, folder, "a", [message(1, "rates rise")])

@@ -23,3 +23,16 @@ def dedup_stream(messages: DataFrame, ts: str = "published", within: str = "24 h
         .dropDuplicatesWithinWatermark([key])
         .drop("_salt")
     )
+
+
+def dedup_topic(topic: DataFrame, within: str = "24 hours") -> DataFrame:
+    """``dedup_stream`` for raw topic rows, by the id inside the JSON value.
+
+    A value without an id, readable or not, is kept: it stands for its own offset.
+    """
+    place = F.concat_ws("-", "topic", "partition", "offset")
+    inside = F.get_json_object(F.col("value").cast("string"), "$.id")
+    return dedup_stream(
+        topic.withColumn("_id", F.coalesce(inside, place)), "timestamp", within, "_id",
+        spread_by=F.xxhash64("partition", "offset"),
+    ).drop("_id")

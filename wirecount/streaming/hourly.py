@@ -12,6 +12,7 @@ from wirecount.functions import times
 from wirecount.operators import messages as msg
 from wirecount.operators.keywords import TOP, keyword_counts, top_k
 from wirecount.sources import tables
+from wirecount.streaming.dedup import dedup_topic
 
 LABEL_SOURCES = ("processing", "arrival", "published")
 
@@ -74,8 +75,13 @@ def publish_hours(spark: SparkSession, hours: list[str], k: int = TOP) -> None:
 
 
 def start_hourly(stream: DataFrame, checkpoint: str, every: str | None = "1 hour",
-                 **options) -> StreamingQuery:
-    """Run ``hourly_writer`` on the topic; ``every=None`` takes what is there and stops."""
+                 dedup_within: str | None = None, **options) -> StreamingQuery:
+    """Run ``hourly_writer`` on the topic; ``every=None`` takes what is there and stops.
+
+    ``dedup_within`` counts a message once that was sent again within that time.
+    """
+    if dedup_within:
+        stream = dedup_topic(stream, dedup_within)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (
         stream.writeStream.outputMode("append")
