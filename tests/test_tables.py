@@ -89,6 +89,28 @@ def test_rollup_job_replaces_its_label(spark, made):
     assert ("2024-02-01 00:00:00", "a", 31) in read(spark, "keywords_day")
 
 
+def test_rerun_without_rows_clears_the_label(spark, made):
+    as_of = datetime(2024, 2, 1, 1, 30)
+    tables.overwrite_labels(hourly(spark, [("2024-01-31 05", "a", 1)]), "keywords_hour")
+    for options in ({}, {"scheduled": True}):
+        rollups.run_rollups(spark, as_of, **options)
+    assert tables.labels(spark, "keywords_day") == ["2024-01-31 00:00:00", "2024-02-01 00:00:00"]
+    tables.delete_label(spark, "keywords_hour", "2024-01-31 05")
+    for options in ({}, {"scheduled": True}):
+        rollups.run_rollups(spark, as_of, **options)
+    assert read(spark, "keywords_day") == [] and read(spark, "keywords_month") == []
+
+
+def test_exact_end_labels_take_the_next_midnight(spark, made):
+    data = [("2024-01-31 00", "a", 1), ("2024-01-31 01", "a", 2), ("2024-02-01 00", "a", 4)]
+    tables.write_batch_counts(hourly(spark, data), 0)
+    rollups.run_rollups(spark, datetime(2024, 2, 1, 1, 30), exact=True, label_at="end")
+    assert read(spark, "keywords_day") == [("2024-02-01 00:00:00", "a", 6)]
+    days = tables.batch_counts(spark, datetime(2024, 1, 31), datetime(2024, 1, 31, 5))
+    assert "day" in plan(days).split("PartitionFilters: [")[1].split("]")[0]
+    assert days.count() == 2
+
+
 def test_exact_rollup_and_backfill(spark, made):
     data = [("2024-01-30 05", "a", 5), ("2024-01-31 05", "a", 7), ("2024-01-31 06", "b", 1)]
     tables.write_batch_counts(hourly(spark, data), 0)

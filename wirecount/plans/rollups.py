@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
+from wirecount.functions import times
 from wirecount.operators.keywords import TOP
 from wirecount.operators.rollup import roll_up, roll_up_scheduled
 from wirecount.sources import tables
@@ -20,22 +21,33 @@ def run_rollups(spark: SparkSession, as_of: datetime, k: int = TOP, label_at: st
     reproduces the label arithmetic of text-compared schedules. Each label written is
     replaced, so a rerun corrects it. Returns the tables written.
     """
-    hourly = spark.table(tables.BATCH_COUNTS if exact else "keywords_hour")
     units = ["day", "month"] if as_of.day == 1 else ["day"]
     for unit in units:
-        table = f"keywords_{unit}"
-        if scheduled:
-            source = hourly if unit == "day" else spark.table("keywords_day")
-            rows = roll_up_scheduled(source, unit, k, as_of=as_of)
-        elif exact:
-            rows = roll_up(hourly, unit, k, label_at, as_of, source="hour")
+        start, end = times.period_before(as_of, unit)
+        if exact:
+            counts = tables.batch_counts(spark, start, end + timedelta(hours=1))
+            rows = roll_up(counts, unit, k, label_at, as_of, source="hour")
         else:
-            source = hourly if unit == "day" else spark.table("keywords_day")
-            rows = roll_up(source, unit, k, label_at, as_of)
-        tables.overwrite_labels(rows, table)
+            counts = spark.table("keywords_hour" if unit == "day" else "keywords_day")
+            rows = (roll_up_scheduled(counts, unit, k, as_of=as_of) if scheduled
+                    else roll_up(counts, unit, k, label_at, as_of))
+        named_by = end if label_at == "end" or (scheduled and unit == "day") else start
+        _replace(rows, f"keywords_{unit}", named_by.strftime(times.PYTHON_FORMATS[unit]))
     return [f"keywords_{u}" for u in units]
 
 
+def _replace(rows: DataFrame, table: str, label: str) -> None:
+    """Write a label's top; a label that has lost all its rows goes."""
+    rows = rows.persist()
+    try:
+        if rows.isEmpty():
+            tables.delete_label(rows.sparkSession, table, label)
+        else:
+            tables.overwrite_labels(rows, table)
+    finally:
+        rows.unpersist()
+
+
 def backfill(spark: SparkSession, unit: str, k: int = TOP, label_at: str = "start",
              exact: bool = False) -> None:
     """Every day or month there is data for, in one plan."""

@@ -88,6 +88,12 @@ def hour_counts(spark: SparkSession, hours: Sequence[str]) -> DataFrame:
     )
 
 
+def batch_counts(spark: SparkSession, start: datetime, end: datetime) -> DataFrame:
+    """Complete counts of the days a time range touches; other days are not read."""
+    return spark.table(BATCH_COUNTS).where(
+        F.col("day").between(F.lit(start.date()), F.lit(end.date())))
+
+
 def read_labels(spark: SparkSession, table: str, low: str | None = None,
                 high: str | None = None) -> DataFrame:
     """Rows of the half-open label range, reading only those partitions."""
