@@ -103,7 +103,7 @@ def main(argv: list[str] | None = None):
             stream, args.checkpoint, every=None if args.once else "1 hour",
             label_from=args.label_from, label_at=args.label_at, tasks=args.tasks,
             dedup_within=args.dedup_within,
-            stop_words=english_stop_words(spark), lemmas=lemmas).awaitTermination()
+            stop_words=english_stop_words(), lemmas=lemmas).awaitTermination()
     if args.job == "topic-size":
         held = topic.topic_table(spark, "parquet", args.path) if args.path else (
             topic.topic_table(spark, **topic.kafka_options(args.servers)))

@@ -85,7 +85,8 @@ def test_cascade_loses_what_exact_keeps(spark):
 def test_straight_from_headlines(spark):
     df = spark.createDataFrame([
         ("rates rise", datetime(2024, 1, 15, 13, 5)), ("rates", datetime(2024, 1, 15, 13, 55)),
-        ("rates", datetime(2024, 1, 15, 14, 0)), ("lost", None)], "title string, published timestamp")
+        ("rates", datetime(2024, 1, 15, 14, 0)), ("lost", None)],
+        "title string, published timestamp")
     assert rows(rollup.keywords_per(df, "hour", k=1)) == [
         ("2024-01-15 13", "rates", 2), ("2024-01-15 14", "rates", 1)]
     assert rows(rollup.keywords_per(df, "hour", k=1, label_at="end"))[0][0] == "2024-01-15 14"

@@ -40,7 +40,8 @@ def test_latest(points):
 
 
 def test_latest_breaks_ties(spark):
-    df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 1, 7, "y")], "id string, t int, n int, v string")
+    df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 1, 7, "y")],
+                               "id string, t int, n int, v string")
     assert rows(series.latest_per_series(df, "id", "t", ["n"])) == [("a", 1, 7, "y")]
 
 
@@ -118,7 +119,8 @@ def test_metric_kinds(samples):
     every = {r["name"]: r for r in metrics.metric_rollup(samples).collect()}
     assert every["channels_total"]["last_value"] == "3"
     assert every["errors"]["total"] == -2.0
-    assert (every["run"]["shortest"], every["run"]["mean"], every["run"]["longest"]) == (1.5, 2, 2.5)
+    run = every["run"]
+    assert (run["shortest"], run["mean"], run["longest"]) == (1.5, 2, 2.5)
     assert every["visitors"]["members"] == 2
 
 

@@ -45,7 +45,8 @@ def test_only_small_inputs_are_spread(spark, tmp_path, monkeypatch):
 
 def test_pinned_values_are_computed_once(spark, tmp_path):
     spark.range(10).selectExpr("cast(id as string) s").write.parquet(str(tmp_path / "s"))
-    df = pinned(spark.read.parquet(str(tmp_path / "s")), n=F.length(F.md5(F.col("s").cast("binary"))))
+    given = spark.read.parquet(str(tmp_path / "s"))
+    df = pinned(given, n=F.length(F.md5(F.col("s").cast("binary"))))
     shown = plan(df.where("n > 3").where("n < 40").select("s", (F.col("n") + 1).alias("m")))
     assert shown.count("md5") == 1
     assert df.where("n = 32").count() == 10

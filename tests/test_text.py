@@ -108,9 +108,8 @@ def test_lemmas_broadcast(spark, lemmas):
     assert counted(spark, TITLES, stop_words=["the", "of"], lemmas=lemmas) == EXPECTED
 
 
-def test_lemmas_too_big_to_broadcast(spark, lemmas, monkeypatch):
-    monkeypatch.setattr(kw, "fits_broadcast", lambda df: False)
-    assert counted(spark, TITLES, stop_words=["the", "of"], lemmas=lemmas) == EXPECTED
+def test_lemmas_too_big_to_broadcast(spark, lemmas):
+    assert counted(spark, TITLES, stop_words=["the", "of"], lemmas=lemmas, max_bytes=0) == EXPECTED
 
 
 def test_lemma_counts(spark, lemmas):
@@ -123,18 +122,17 @@ def test_repeated_dictionary_entries_add_no_counts(spark):
     assert counted(spark, ["rates"], lemmas=twice) == {"rate": 1}
 
 
-def test_stop_word_table_too_long_for_a_literal(spark, monkeypatch):
+def test_stop_word_table_too_long_for_a_literal(spark):
     stop = spark.createDataFrame([("The",), ("of",)], "word string")
     titles = ["The bank of England", "the of", "of rates and rates"]
     listed = counted(spark, titles, stop_words=stop)
-    monkeypatch.setattr(kw, "MAX_LISTED_WORDS", 1)
-    assert counted(spark, titles, stop_words=stop, row_id=["id"]) == listed
+    assert counted(spark, titles, stop_words=stop, row_id=["id"], max_listed=1) == listed
     with pytest.raises(ValueError):
-        counted(spark, titles, stop_words=stop)
+        counted(spark, titles, stop_words=stop, max_listed=1)
 
 
 def test_default_english_list(spark):
-    words = kw.english_stop_words(spark)
+    words = kw.english_stop_words()
     assert {"the", "and"} <= set(words)
     assert counted(spark, ["the bank"], stop_words=words) == {"bank": 1}
 
@@ -146,7 +144,8 @@ def test_ties_go_by_keyword(spark):
 
 
 def test_titles_in_chunks_keep_all_titles(spark):
-    titles = [("c", f"t{i}") for i in range(40)] + [("c", "copy")] * 1000 + [("d", "x"), ("d", None)]
+    titles = [("c", f"t{i}") for i in range(40)] + [("c", "copy")] * 1000
+    titles += [("d", "x"), ("d", None)]
     df = spark.createDataFrame(titles, "channel string, title string")
     out = kw.titles_in_chunks(df, ["channel"], chunk_size=10).collect()
     assert len([r for r in out if r["channel"] == "c"]) > 1

@@ -28,15 +28,17 @@ LABEL_ENDS = ("start", "end")
 
 def _spelled_out(published: Column) -> Column:
     """Zone names become offsets: ``Z`` and ``GMT`` both mean UTC."""
-    return F.replace(F.replace(published, F.lit("Z"), F.lit("+00:00")), F.lit("GMT"), F.lit("+0000"))
+    offsets = F.replace(published, F.lit("Z"), F.lit("+00:00"))
+    return F.replace(offsets, F.lit("GMT"), F.lit("+0000"))
 
 
 def parse_published(published: Column) -> Column:
     """The instant a feed's date text names, or null. Text without a zone is UTC."""
     text = _spelled_out(published)
+    after_weekday = F.substr(text, F.lit(6))
     return (
         F.when(text.rlike(ISO_SHAPE), F.try_to_timestamp(text))
-        .when(text.rlike(MAIL_SHAPE), F.try_to_timestamp(F.substr(text, F.lit(6)), F.lit(MAIL_FORMAT)))
+        .when(text.rlike(MAIL_SHAPE), F.try_to_timestamp(after_weekday, F.lit(MAIL_FORMAT)))
     )
 
 

@@ -8,14 +8,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType
 
 from wirecount.functions import text
-from wirecount.operators.lookup import fits_broadcast, lookup_join
+from wirecount.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
 
 MAX_LISTED_WORDS = 10_000
 TOP = 20
 
 
-def english_stop_words(spark) -> list[str]:
-    """Spark's own English list, the default where the user supplies none."""
+def english_stop_words() -> list[str]:
+    """Spark's own English list, for users without one; needs a running session."""
     from pyspark.ml.feature import StopWordsRemover
 
     return StopWordsRemover.loadDefaultStopWords("english")
@@ -28,27 +28,31 @@ def one_title_per_row(df: DataFrame, title: str = "title") -> DataFrame:
     return df.where(F.col(title).isNotNull())
 
 
-def _listed(stop_words: DataFrame) -> list[str] | None:
+def _listed(stop_words: DataFrame, max_listed: int) -> list[str] | None:
     """The words themselves when the list is short enough to be a literal."""
     words = stop_words.select(F.lower(F.col(stop_words.columns[0])).alias("word")).distinct()
-    rows = words.limit(MAX_LISTED_WORDS + 1).collect()
-    return [r["word"] for r in rows if r["word"]] if len(rows) <= MAX_LISTED_WORDS else None
+    rows = words.limit(max_listed + 1).collect()
+    return [r["word"] for r in rows if r["word"]] if len(rows) <= max_listed else None
 
 
 def tokenized(df: DataFrame, title: str = "title", mode: str = "letters",
               stop_words: Sequence[str] | DataFrame | None = None,
-              row_id: Sequence[str] = ()) -> DataFrame:
+              row_id: Sequence[str] = (), max_listed: int = MAX_LISTED_WORDS) -> DataFrame:
     """``df`` with ``title`` replaced by ``tokens array<string>``, stop words removed.
 
     A word list becomes a hashed literal set inside the scan stage. A stop-word table too
     long for that is anti-joined token by token and each title is put together again;
-    ``row_id`` then names the columns that identify a title.
+    ``row_id`` then names the columns that identify a title; rows sent twice have to be
+    dropped before.
     """
     words = one_title_per_row(df, title).withColumn("tokens", text.tokens(F.col(title), mode))
     words = words.drop(title)
     if stop_words is None:
         return words
-    listed = _listed(stop_words) if isinstance(stop_words, DataFrame) else list(stop_words)
+    if isinstance(stop_words, DataFrame):
+        listed = _listed(stop_words, max_listed)
+    else:
+        listed = list(stop_words)
     if listed is not None:
         return words.withColumn("tokens", text.without(F.col("tokens"), listed))
     if not row_id:
@@ -68,7 +72,7 @@ def tokenized(df: DataFrame, title: str = "title", mode: str = "letters",
 def stop_rows(token_rows: DataFrame, stop_words: DataFrame, token: str = "token") -> DataFrame:
     """Rows whose token is not listed, case-insensitively (anti join)."""
     stop = stop_words.select(F.lower(F.col(stop_words.columns[0])).alias(token)).distinct()
-    return lookup_join(token_rows, stop, [token], "left_anti")
+    return lookup_join(token_rows, stop, [token], "left_anti", spread_by=token_rows.columns)
 
 
 def token_rows(df: DataFrame, keep: Sequence[str] = (), title: str = "title",
@@ -109,23 +113,27 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
                    sizes: Sequence[int] = (1, 2), mode: str = "letters",
                    stop_words: Sequence[str] | DataFrame | None = None,
                    lemmas: DataFrame | None = None,
-                   row_id: Sequence[str] = (), dedupe_titles: bool = False) -> DataFrame:
+                   row_id: Sequence[str] = (), dedupe_titles: bool = False,
+                   max_listed: int = MAX_LISTED_WORDS,
+                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Count the n-grams of every title: ``by`` columns, ``keyword``, ``count``.
 
     Unigrams and bigrams (``sizes``) come from one pass over the titles and one
     aggregation, combined on the map side, so a word found everywhere costs one row
     per task. An n-gram never crosses from one title into the next. A title that comes
-    up again, say on another channel, counts again unless ``dedupe_titles``.
+    up again, say on another channel, counts again unless ``dedupe_titles``. Beyond
+    ``max_listed`` stop words or ``max_bytes`` of lemmas the tables are joined by shuffle.
     """
     if dedupe_titles:
         titles = titles.dropDuplicates([*by, title])
     needed = list(dict.fromkeys([*by, *row_id, title]))
-    words = tokenized(titles.select(*needed), title, mode, stop_words, row_id).select(*by, "tokens")
+    words = tokenized(titles.select(*needed), title, mode, stop_words, row_id, max_listed)
+    words = words.select(*by, "tokens")
     places = [f"_w{k}" for k in range(1, max(sizes) + 1)]
     rows = _with_following(words, by, places)
     weight = F.lit(1).cast("long")
     if lemmas is not None:
-        rows, weight = _lemmatized(rows, by, places, lemmas)
+        rows, weight = _lemmatized(rows, by, places, lemmas, max_bytes)
     return (
         _each_gram(rows, by, [_joined(places[:n]) for n in sizes], weight)
         .groupBy(*by, "keyword")
@@ -157,7 +165,7 @@ def _each_gram(rows: DataFrame, by: Sequence[str], grams: Sequence[Column],
 
 
 def _lemmatized(rows: DataFrame, by: Sequence[str], places: Sequence[str],
-                lemmas: DataFrame) -> tuple[DataFrame, Column]:
+                lemmas: DataFrame, max_bytes: int) -> tuple[DataFrame, Column]:
     """The same rows over lemmas, and what each row counts for.
 
     A lemma depends on its token alone, so every token is looked up where it stands and
@@ -165,7 +173,7 @@ def _lemmatized(rows: DataFrame, by: Sequence[str], places: Sequence[str],
     meets the already grouped rows instead of every occurrence.
     """
     known = lemma_table(lemmas)
-    small = fits_broadcast(known)
+    small = fits_broadcast(known, max_bytes)
     weight = F.lit(1).cast("long")
     if not small:
         rows = rows.groupBy(*by, *places).agg(F.count("*").alias("_times"))

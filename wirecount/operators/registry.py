@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wirecount.functions import ids, times
 from wirecount.functions.pin import pinned
-from wirecount.operators.lookup import lookup_join
+from wirecount.operators.lookup import MAX_BROADCAST_BYTES, lookup_join
 
 
 def first_per_url(candidates: DataFrame, position: list[str]) -> DataFrame:
@@ -68,12 +68,13 @@ def read_entries(entries: DataFrame) -> DataFrame:
     )
 
 
-def new_entries(entries: DataFrame, registry: DataFrame, at_mark: bool = False) -> DataFrame:
+def new_entries(entries: DataFrame, registry: DataFrame, at_mark: bool = False,
+                max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """Good entries later than their channel's mark, with the channel's title.
 
     ``at_mark`` also takes entries equal to the mark, for use with id dedup. Entries of
     unregistered channels are not taken. A channel holding much of the input is spread
-    when the registry is too large to broadcast.
+    when the registry is larger than ``max_bytes`` and so not broadcast.
     """
     channels = registry.select(
         F.col("id").alias("channel_id"), F.col("title").alias("ChannelTitle"),
@@ -83,7 +84,7 @@ def new_entries(entries: DataFrame, registry: DataFrame, at_mark: bool = False)
     return (
         lookup_join(entries.where(F.col("reject_reason").isNull()).drop("reject_reason"),
                     channels, ["channel_id"], "inner",
-                    spread_by=["title", "published_ms"])
+                    spread_by=["title", "published_ms"], max_bytes=max_bytes)
         .where(later).drop("_mark")
     )
 

@@ -59,7 +59,8 @@ def backfill(spark: SparkSession, unit: str, k: int = TOP, label_at: str = "star
     tables.overwrite_labels(rows, f"keywords_{unit}")
 
 
-def expire(spark: SparkSession, as_of: datetime, keep_batches: timedelta = timedelta(days=62)) -> None:
+def expire(spark: SparkSession, as_of: datetime,
+           keep_batches: timedelta = timedelta(days=62)) -> None:
     """Drop hourly tops past their time, and batch counts no exact rollup needs any more."""
     tables.expire(spark, "keywords_hour", as_of, tables.HOUR_TTL)
     tables.expire_batches(spark, as_of, keep_batches)

@@ -139,6 +139,8 @@ SQL: dict[str, str] = {
         SELECT keyword, count(*)::BIGINT AS count FROM grams GROUP BY 1""",
     "keyword_counts_cleaned": f"""WITH {CLEANED}
         SELECT keyword, count(*)::BIGINT AS count FROM cleaned GROUP BY 1""",
+    "keyword_counts_cleaned_by_shuffle": f"""WITH {CLEANED}
+        SELECT keyword, count(*)::BIGINT AS count FROM cleaned GROUP BY 1""",
     "keyword_counts_distinct_titles": f"""WITH {TOKENS.replace('FROM headlines)',
         'FROM (SELECT title, min(doc_id) AS doc_id, min(published) AS published '
         'FROM headlines GROUP BY title))')}, grams AS ({UNIGRAMS} UNION ALL {BIGRAMS})
@@ -240,6 +242,12 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT (SELECT max(id) FROM registry) + row_number() OVER (ORDER BY position),
                title, url, 0 FROM absent""",
+    "channel_file": """
+        SELECT 'say, "' || c_name || '"' AS title, 'u' || (c_custkey % 1000) AS url,
+               CASE c_custkey % 5 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE c_custkey END
+               AS last_updated,
+               CASE c_custkey % 5 WHEN 1 THEN 'mark is no number' END AS reject_reason
+        FROM customer""",
     "registry_faults": """
         WITH rows AS (SELECT c_custkey AS id, 'u' || (c_custkey % 1000) AS url FROM customer)
         SELECT id, url, 'last_updated missing' AS fault FROM rows
@@ -248,6 +256,9 @@ SQL: dict[str, str] = {
     "incremental_new": f"""WITH {ENTRIES}
         SELECT sha256("ChannelTitle" || chr(31) || title || chr(31) || {ISO.format('ts')}) AS id,
                title, published, "ChannelTitle" FROM fresh""",
+    "incremental_new_by_shuffle": f"""WITH {ENTRIES}
+        SELECT sha256("ChannelTitle" || chr(31) || title || chr(31) || {ISO.format('ts')}) AS id,
+               title, published, "ChannelTitle" FROM fresh""",
     "new_message_count": f"""WITH {ENTRIES}
         SELECT count(*)::BIGINT AS new_messages FROM fresh""",
     "registry_advance": f"""WITH {ENTRIES}
@@ -282,6 +293,10 @@ SQL: dict[str, str] = {
     "upsert_by_count": f"""WITH {TOKENS}
         SELECT strftime(published, '%Y-%m-%d %H') AS hour, keyword, count(*)::BIGINT AS count
         FROM ({UNIGRAMS}) GROUP BY 1, 2""",
+    "stored_rollup": f"""WITH {GRAMS}, daily AS (
+          SELECT label AS day, keyword, count FROM ({counts('%Y-%m-%d 00:00:00')})
+          QUALIFY {TOP.format('label')})
+        {rolled('daily', 'month', 'day[1:7]')}""",
     "series_range": f"""
         SELECT event_type, value, epoch_us(ts) AS ts, user_id FROM events
         WHERE event_type IN ('click', 'error') AND {RANGE}""",

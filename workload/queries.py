@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -10,8 +11,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wirecount.functions import text, times
 from wirecount.operators import keywords as kw, messages as msg, metrics, registry as reg, series
 from wirecount.operators.rollup import keywords_per, label_range, roll_up, roll_up_scheduled
+from wirecount.plans import rollups
 from wirecount.session import shared_dir, spread
 from wirecount.sources import tables
+from wirecount.sources.channels import read_channels
 from workload import inputs
 
 QUERIES = {}
@@ -27,6 +30,24 @@ def query(fn):
     return fn
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def _database(spark: SparkSession, folder: str):
+    """Fresh keyword tables in the shared folder, as the current database."""
+    name = f"wirecount_{uuid.uuid4().hex}"
+    previous = spark.catalog.currentDatabase()
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/tables'")
+    spark.catalog.setCurrentDatabase(name)
+    try:
+        tables.create_tables(spark)
+        yield name
+    finally:
+        spark.catalog.setCurrentDatabase(previous)
+
+
 def micros(column: str):
     return F.unix_micros(column).alias(column)
 
@@ -90,6 +111,13 @@ def keyword_counts_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
         lemmas=inputs.lemmas(spark, sf_dir))
 
 
+@query
+def keyword_counts_cleaned_by_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kw.keyword_counts(
+        inputs.headlines(spark, sf_dir), stop_words=inputs.stop_words(spark),
+        lemmas=inputs.lemmas(spark, sf_dir), row_id=["doc_id"], max_listed=0, max_bytes=0)
+
+
 @query
 def keyword_counts_distinct_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kw.keyword_counts(inputs.headlines(spark, sf_dir), dedupe_titles=True)
@@ -286,6 +314,17 @@ def channel_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
                                inputs.channel_registry(spark, sf_dir), ["position"])
 
 
+@query
+def channel_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{_scratch(spark)}/channels"
+    listed = inputs.channel_candidates(spark, sf_dir)
+    mark = (F.when(F.col("position") % 5 == 0, "").when(F.col("position") % 5 == 1, "soon")
+            .otherwise(F.col("position").cast("string")))
+    listed.select(F.concat(F.lit('say, "'), "title", F.lit('"')).alias("title"), "url",
+                  mark.alias("last_updated")).write.option("escape", '"').csv(path, header=True)
+    return read_channels(spark, path).select("title", "url", "last_updated", "reject_reason")
+
+
 @query
 def registry_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     candidates = inputs.channel_candidates(spark, sf_dir)
@@ -303,6 +342,13 @@ def incremental_new(spark: SparkSession, sf_dir: str) -> DataFrame:
         "published", F.unix_millis("published"))
 
 
+@query
+def incremental_new_by_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fresh = reg.new_entries(reg.read_entries(inputs.entries(spark, sf_dir)),
+                            inputs.reader_registry(spark, sf_dir), max_bytes=0)
+    return reg.entry_messages(fresh).withColumn("published", F.unix_millis("published"))
+
+
 @query
 def new_message_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _fresh(spark, sf_dir).agg(F.count("*").alias("new_messages"))
@@ -345,6 +391,16 @@ def upsert_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.merged(hourly, hourly, ["hour", "count", "keyword"])
 
 
+@query
+def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
+    with _database(spark, _scratch(spark)) as database:
+        tables.write_batch_counts(hourly, 0)
+        rollups.backfill(spark, "day", exact=True)
+        rollups.backfill(spark, "month")
+        return spark.table(f"{database}.keywords_month")
+
+
 @query
 def series_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = series.series_range(inputs.events(spark, sf_dir), "event_type", "ts", "value", *RANGE,
@@ -421,10 +477,11 @@ def epoch_to_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.events(spark, sf_dir).select(
         "event_id", F.unix_millis("ts").alias("ms"), F.unix_seconds("ts").alias("s"))
     inside = series.time_range(rows, "ms", *RANGE, epoch="ms")
+    from_ms = times.from_epoch(F.col("ms"), "ms")
+    from_s = times.from_epoch(F.col("s"), "s")
     return inside.select(
-        "event_id",
-        F.date_format(times.from_epoch(F.col("ms"), "ms"), "yyyy-MM-dd HH:mm:ss.SSS").alias("from_ms"),
-        F.date_format(times.from_epoch(F.col("s"), "s"), "yyyy-MM-dd HH:mm:ss").alias("from_s"))
+        "event_id", F.date_format(from_ms, "yyyy-MM-dd HH:mm:ss.SSS").alias("from_ms"),
+        F.date_format(from_s, "yyyy-MM-dd HH:mm:ss").alias("from_s"))
 
 
 @query
@@ -434,10 +491,6 @@ def variable_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # Streams, run to the end of what is there
 
-def _scratch(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-
-
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     given = inputs.table(spark, sf_dir, name)
     return (
@@ -455,18 +508,11 @@ def stream_hourly_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = msg.to_messages(heads.withColumn("timestamp", F.col("published")))
     topic = sent.select("key", F.col("value").cast("binary").alias("value"),
                         F.lit(None).cast("timestamp").alias("timestamp"))
-    database = f"wirecount_{uuid.uuid4().hex}"
-    previous = spark.catalog.currentDatabase()
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch}/tables'")
-    spark.catalog.setCurrentDatabase(database)
-    try:
-        tables.create_tables(spark)
+    with _database(spark, scratch) as database:
         start_hourly(topic, f"{scratch}/checkpoint", every=None,
                      label_from="published",
                      tasks=spark.sparkContext.defaultParallelism).awaitTermination()
         return spark.table(f"{database}.keywords_hour")
-    finally:
-        spark.catalog.setCurrentDatabase(previous)
 
 
 @query
