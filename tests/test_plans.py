@@ -27,12 +27,20 @@ def test_only_needed_columns_are_read(spark, name):
     ("newest_point", "TakeOrderedAndProject"), ("hourly_top20", "WindowGroupLimit"),
     ("daily_rollup", "WindowGroupLimit"), ("monthly_exact", "WindowGroupLimit"),
     ("keyword_counts_cleaned", "BroadcastHashJoin"), ("unigram_counts", "partial_count"),
+    ("keyword_counts_cleaned", "partial_count"), ("daily_rollup", "partial_sum"),
     ("latest_per_series", "partial_max_by"), ("message_dedup", "partial_first"),
-    ("channel_insert", "partial_min_by"), ("metric_rollup", "partial_count(distinct"),
+    ("registry_advance", "partial_max"), ("topic_size", "partial_max"),
 ])
 def test_operator(spark, name, operator):
-    assert operator in plan(queries()[name](spark, SMALL)) or name in (
-        "channel_insert", "metric_rollup")
+    assert operator in plan(queries()[name](spark, SMALL))
+
+
+def test_first_url_is_combined_on_the_map_side(spark):
+    from wirecount.operators.registry import first_per_url
+    from workload.inputs import channel_candidates
+
+    assert "partial_min_by" in plan(
+        first_per_url(channel_candidates(spark, SMALL), ["position"]))
 
 
 @pytest.mark.parametrize("name, pushed", [

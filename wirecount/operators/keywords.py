@@ -131,13 +131,13 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     words = words.select(*by, "tokens")
     places = [f"_w{k}" for k in range(1, max(sizes) + 1)]
     rows = _with_following(words, by, places)
-    weight = F.lit(1).cast("long")
     if lemmas is not None:
-        rows, weight = _lemmatized(rows, by, places, lemmas, max_bytes)
+        rows = _lemmatized(rows, by, places, lemmas, max_bytes)
+    grouped = "_times" in rows.columns
     return (
-        _each_gram(rows, by, [_joined(places[:n]) for n in sizes], weight)
+        _each_gram(rows, [*by, "_times"] if grouped else by, [_joined(places[:n]) for n in sizes])
         .groupBy(*by, "keyword")
-        .agg(F.sum("_n").alias("count"))
+        .agg((F.sum("_times") if grouped else F.count("*")).alias("count"))
     )
 
 
@@ -154,19 +154,15 @@ def _with_following(words: DataFrame, by: Sequence[str], places: Sequence[str])
     )
 
 
-def _each_gram(rows: DataFrame, by: Sequence[str], grams: Sequence[Column],
-               weight: Column) -> DataFrame:
+def _each_gram(rows: DataFrame, keep: Sequence[str], grams: Sequence[Column]) -> DataFrame:
     """A row per n-gram; one that would reach past the title's end is null and dropped."""
     each = grams[0] if len(grams) == 1 else F.explode_outer(F.array(*grams))
-    return (
-        rows.select(*by, weight.alias("_n"), each.alias("keyword"))
-        .where(F.col("keyword").isNotNull())
-    )
+    return rows.select(*keep, each.alias("keyword")).where(F.col("keyword").isNotNull())
 
 
 def _lemmatized(rows: DataFrame, by: Sequence[str], places: Sequence[str],
-                lemmas: DataFrame, max_bytes: int) -> tuple[DataFrame, Column]:
-    """The same rows over lemmas, and what each row counts for.
+                lemmas: DataFrame, max_bytes: int) -> DataFrame:
+    """The same rows over lemmas, grouped with their number ``_times`` where that pays.
 
     A lemma depends on its token alone, so every token is looked up where it stands and
     titles are not taken apart and put together again. A dictionary too big to broadcast
@@ -174,17 +170,15 @@ def _lemmatized(rows: DataFrame, by: Sequence[str], places: Sequence[str],
     """
     known = lemma_table(lemmas)
     small = fits_broadcast(known, max_bytes)
-    weight = F.lit(1).cast("long")
     if not small:
         rows = rows.groupBy(*by, *places).agg(F.count("*").alias("_times"))
-        weight = F.col("_times")
     for place in places:
         entry = known.select(F.col("token").alias(place), F.col("lemma").alias("_lemma"))
         rows = (
             lookup_join(rows, entry, [place], "left", spread_by=[*by, *places], small=small)
             .withColumn(place, F.coalesce("_lemma", place)).drop("_lemma")
         )
-    return rows, weight
+    return rows
 
 
 def _joined(columns: Sequence[str]) -> Column:
