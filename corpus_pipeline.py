@@ -1,7 +1,75 @@
-"""Documents through language ID, near-duplicate join, decontamination, secrets and BPE."""
-STAGES = []
+"""Documents made ready for training: five stages, each on all that the one before kept.
+
+Language ID drops what it rejects; of every group of near duplicates the document with the
+smallest identifier stays; documents that hold a benchmark item go; secrets are masked; the rest
+is encoded. Every stage but the last returns the columns of ``documents``.
+
+Defined results: rows without identifier take no part in the two dropping joins and stay; of rows
+with one identifier one stays; null texts are rejected by the first stage; an empty table gives
+an empty result. ``lang`` and ``source`` are never looked at to drop a document.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from wirecount.llm import bpe, contamination, jaccard, langid, secret_scan
+from wirecount.llm.common import free_name, stored
+from wirecount.llm.queries import BYTE_BPE, language_model
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return langid.accepted(docs, language_model(docs))
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose identifier is not among ``ids (gone)``; those without one stay."""
+    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+
+
+def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    grouped = jaccard.near_duplicates(docs.select("doc_id", "text"))
+    gone = grouped.where("doc_id != group_id").select(F.col("doc_id").alias("gone")).distinct()
+    kept = _without(docs, gone)
+    # Rows that repeat an identifier are copies too; those without one are told apart.
+    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
+    row = free_name(kept, "row")
+    return kept.withColumn(row, alone).dropDuplicates(["doc_id", row]).drop(row)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = contamination.contaminated(docs.select("doc_id", "text"), benchmark)
+    gone = found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("gone")).distinct()
+    return _without(docs, gone)
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scanner = secret_scan.train(secret_scan.dictionary(docs))
+    masked = secret_scan.redact(docs, scanner, path="source")
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(docs, BYTE_BPE)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), "ids")
+
+
+STAGES = [
+    ("language ID", identify_language),
+    ("n-gram Jaccard join", join_near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("secret scans", mask_secrets),
+    ("BPE encoding and decoding", encode),
+]
+#: The first and the fourth stage have trained models, which SQL cannot express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)
