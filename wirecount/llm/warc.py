@@ -8,22 +8,26 @@ digest differs from the one in its header.
 Of records with equal payloads of ``least`` bytes or more the one with the largest identifier
 is a response and the others are revisits that refer to it.
 
-Every task writes its own file under a name of its own and reports it; only reported files are
-archives, so what a lost or repeated task left behind is never read. Files go through Arrow's
-file systems by their URI (local, HDFS, S3, GCS).
+Archives are compressed record by record, a gzip member each. Every task writes its own file
+under a name of its own and reports it; only reported files are archives, so what a lost or
+repeated task left behind is never read. Files go through Arrow's file systems by their URI
+(local, HDFS, S3, GCS).
 
 Defined results: a null payload is an empty one; a null url is an empty target; rows with a
 null identifier are records without one, each on its own: they neither refer to others nor are
-referred to; repeated identifiers are separate records, and of equal payloads exactly one is the
-response; other columns are ignored, whatever their names; an empty table gives no archives.
+referred to; repeated rows are separate records, and each row with the largest identifier of its
+payload is a response; other columns are ignored, whatever their names; an empty table gives no
+archives.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -31,10 +35,9 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wirecount.llm.common import map_batches, text_of
+from wirecount.operators.lookup import lookup_join
 
-CHUNK = 1 << 18
-#: Partitions over which the records of one payload are spread.
-SALTS = 16
+CHUNK, LEVEL = 1 << 18, 4
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DATE = "2024-01-01T00:00:00Z"
 CHUNKS = ("record_id string, page_id long, url string, record_type string, digest string, "
@@ -56,9 +59,10 @@ def with_references(pages: DataFrame, key: str = "page_id", url: str = "url",
                     payload: str = "html", least: int = 0) -> DataFrame:
     """Records to write: ``page_id, url, body, digest, bytes, refers_to``.
 
-    Payloads are told apart by digest and length. Leaders are found by an aggregate with a
-    map-side step and joined back over salts, so copies of one payload that make up a third of
-    the table are spread over tasks.
+    Payloads are told apart by digest and length. Leaders of copies are found by an aggregate
+    with a map-side step. Where they fit a measured broadcast no payload is shuffled; beyond that
+    they are joined back over salts, so copies of one payload that make up a third of the table
+    are spread over tasks.
     """
     body = F.encode(text_of(payload), "UTF-8")
     rows = pages.select(
@@ -66,17 +70,13 @@ def with_references(pages: DataFrame, key: str = "page_id", url: str = "url",
         body.alias("body"), F.octet_length(body).cast("long").alias("bytes"),
         F.sha1(body).alias("sha"))
     known = (F.col("bytes") >= least) & F.col("page_id").isNotNull()
-    rows = rows.withColumn("row", F.xxhash64("page_id", "url"))
+    # Records that cannot be copies have a null here, which meets nothing.
+    rows = rows.withColumn("same", F.when(known, F.struct("sha", "bytes")))
     leaders = (
-        rows.where(known).groupBy("sha", "bytes")
-        .agg(F.max("page_id").alias("leader"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select(F.col("sha").alias("sha_"), F.col("bytes").alias("bytes_"), "leader",
-                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt_")))
-    salted = rows.withColumn("salt", F.pmod("row", F.lit(SALTS)).cast("int"))
-    joined = salted.join(
-        leaders, known & (salted["sha"] == leaders["sha_"])
-        & (salted["bytes"] == leaders["bytes_"]) & (salted["salt"] == leaders["salt_"]), "left")
+        rows.where(known).groupBy("same").agg(
+            F.max("page_id").alias("leader"), F.count("*").alias("n"))
+        .where("n > 1").select("same", "leader"))
+    joined = lookup_join(rows, leaders, ["same"], "left", spread_by=["page_id", "url"])
     refers = F.when(F.col("leader") != F.col("page_id"), F.col("leader"))
     return joined.select("page_id", "url", "body", base32(F.col("sha")).alias("digest"),
                          "bytes", refers.alias("refers_to"))
@@ -130,8 +130,8 @@ def write(records: DataFrame, folder: str, size: int = CHUNK) -> DataFrame:
     archives that the stored manifest names.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        path = out = None
-        count = digest = 0
+        path = out = member = digest = None
+        count = 0
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns[:-1]]
             data = batch.column(batch.num_columns - 1)
@@ -140,18 +140,21 @@ def write(records: DataFrame, folder: str, size: int = CHUNK) -> DataFrame:
                 if out is None:
                     system, root = fs.FileSystem.from_uri(folder)
                     system.create_dir(root, recursive=True)
-                    name = f"{uuid.uuid4().hex}.warc"
-                    path, out = f"{folder}/{name}", system.open_output_stream(f"{root}/{name}")
+                    name = f"{uuid.uuid4().hex}.warc.gz"
+                    path = f"{folder}/{name}"
+                    out = system.open_output_stream(f"{root}/{name}", compression=None)
                 if chunk == 0:
-                    out.write(_head(record_id, page_id, url, wanted, payload, refers_to, stored))
+                    member = zlib.compressobj(LEVEL, wbits=31)
+                    out.write(member.compress(
+                        _head(record_id, page_id, url, wanted, payload, refers_to, stored)))
                     digest = hashlib.sha1()
                 part = data[i].as_buffer()
-                out.write(part)
+                out.write(member.compress(part))
                 digest.update(part)
                 if last:
                     if refers_to is None and _b32(digest) != wanted:
                         raise ValueError(f"payload of record {record_id} changed on its way")
-                    out.write(b"\r\n\r\n")
+                    out.write(member.compress(b"\r\n\r\n") + member.flush())
                     count += 1
         if out is not None:
             total = out.tell()
@@ -180,7 +183,8 @@ def read(spark: SparkSession, manifest: DataFrame, size: int = CHUNK,
 
     def chunks(path: str):
         system, inner = fs.FileSystem.from_uri(path)
-        with io.BufferedReader(system.open_input_stream(inner), 1 << 20) as f:
+        packed = io.BufferedReader(system.open_input_stream(inner, compression=None), 1 << 20)
+        with packed, gzip.open(packed) as f:
             while (line := _read_line(f)) is not None:
                 if not line:
                     continue
