@@ -1,0 +1,100 @@
+"""Chat windows: budgets, repeats, masks and reversible escapes."""
+
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from wirecount.llm import chat
+
+SCHEMA = "conv_id long, turn long, role string, text string, start string"
+SMALL = chat.Budget(window=120, history=30, least=20)
+
+
+def turns(spark, rows):
+    return spark.createDataFrame([(*r, "clash") for r in rows], SCHEMA)
+
+
+def read(spark, rows, budget=SMALL):
+    formatted = chat.read_back(chat.windows(turns(spark, rows), budget))
+    out = {}
+    for r in sorted(formatted.collect(), key=lambda r: r["start"]):
+        out.setdefault(r["conv_id"], []).append(r)
+    return out
+
+
+def long_conversation(n=300):
+    rows = [(1, 0, "system", "be brief")]
+    for i in range(1, n):
+        rows.append((1, i, "user" if i % 2 else "assistant", "w " * (i % 17) + f"end{i}"))
+    return rows
+
+
+def test_every_turn_once_and_in_order(spark):
+    rows = long_conversation()
+    windows = read(spark, rows)[1]
+    assert len(windows) > 10
+    told = [(t["role"], t["text"]) for w in windows for t in w["turns"]]
+    assert told == [(r, t) for _, _, r, t in rows]
+    learned = [t for w in windows for t in w["learned"]]
+    assert learned == [t for _, _, r, t in rows if r == "assistant"]
+
+
+def test_budget_system_and_history(spark):
+    for i, w in enumerate(read(spark, long_conversation())[1]):
+        assert w["tokens"] <= SMALL.window
+        pieces = w["text"].split(chat.END)[:-1]
+        assert len(pieces) == w["repeats"] + len(w["turns"])
+        assert pieces[0] == "<|im_start|>system<|im_sep|>be brief"
+        if i:
+            # The history ends right before the first new turn.
+            assert 1 <= w["repeats"] <= 1 + SMALL.history
+
+
+def test_history_is_the_turns_just_before(spark):
+    rows = long_conversation()
+    texts = [t for _, _, _, t in rows]
+    for w in read(spark, rows)[1][1:]:
+        said = [p.split(chat.SEP)[1] for p in w["text"].split(chat.END)[:-1]]
+        first = texts.index(w["turns"][0]["text"])
+        history = said[1:w["repeats"]]
+        assert history == texts[first - len(history):first]
+
+
+def test_a_turn_over_the_budget_stands_alone(spark):
+    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "word " * 500), (1, 2, "user", "b")]
+    windows = read(spark, rows)[1]
+    assert [len(w["turns"]) for w in windows if w["tokens"] > SMALL.window] == [1]
+    assert [t["text"] for w in windows for t in w["turns"]] == ["a", "word " * 500, "b"]
+
+
+def test_nulls_ties_repeats_and_clashing_names(spark):
+    rows = [(None, None, None, None), (None, 0, "assistant", "x"), (2, 1, "user", "b"),
+            (2, 1, "user", "a"), (2, 1, "user", "a"), (3, 0, "system", "s"),
+            (3, 0, "system", "s"), (3, 1, "assistant", None)]
+    got = {k: [(t["role"], t["text"]) for w in v for t in w["turns"]]
+           for k, v in read(spark, rows).items()}
+    assert got == {None: [("", ""), ("assistant", "x")],
+                   2: [("user", "a"), ("user", "a"), ("user", "b")],
+                   3: [("system", "s"), ("system", "s"), ("assistant", "")]}
+
+
+def test_empty(spark):
+    assert chat.windows(turns(spark, []).where("false")).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    text = chat.windows(turns(spark, [(1, 0, "user", "a")]))._jdf.queryExecution(
+    ).executedPlan().toString()
+    assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
+
+
+CONTROL = st.sampled_from([*chat.CONTROL, "\\", "<", "[", "<\\/s>", "[\\\\INST]", "|", "\n", "a"])
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.lists(CONTROL, max_size=8).map("".join), min_size=1, max_size=20))
+def test_escapes_are_reversible(spark, texts):
+    df = spark.createDataFrame([(t,) for t in texts], "t string").withColumn(
+        "e", chat.escape(F.col("t"))).withColumn("u", chat.unescape(F.col("e")))
+    for r in df.collect():
+        assert r["u"] == r["t"]
+        assert not any(c in r["e"] for c in chat.CONTROL)

@@ -1,0 +1,68 @@
+"""Language identification: held-out accuracy and defined cases."""
+
+from pyspark.sql import functions as F
+
+from wirecount.llm import langid
+from wirecount.llm.queries import language_model, op6_language_id
+
+LARGER = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "lang")
+    found = op6_language_id(spark, LARGER).join(docs, "doc_id").where("held_out").collect()
+    assert len(found) > 200
+    right = sum(r["lang"] == r["lang_pred"] for r in found)
+    assert right / len(found) >= 0.97
+    assert all(0 <= r["score"] <= 1 for r in found)
+    assert sum(r["rejected"] for r in found) / len(found) <= 0.01
+
+
+def model():
+    texts = ["the cat and the dog"] * 30 + ["der hund und die katze"] * 30
+    return langid.train(texts, ["en"] * 30 + ["de"] * 30)
+
+
+def test_rows(spark):
+    rows = [(1, None, "en", 0.5), (2, "", None, None), (3, "123 !?", "en", 1.0),
+            (4, "the dog", "x", 1.0), (4, "the dog", "x", 1.0), (None, "die katze", "y", None),
+            (5, "und der " * 200_000, "z", 1.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang_pred string, score double")
+    got = sorted((r["doc_id"] or 0, r["lang_pred"], r["score"] > 0.5)
+                 for r in langid.identify(df, model()).collect())
+    assert got == [(0, "de", True), (1, "und", False), (2, "und", False), (3, "und", False),
+                   (4, "en", True), (4, "en", True), (5, "de", True)]
+    assert langid.identify(df.where("false"), model()).count() == 0
+    kept = langid.accepted(df, model())
+    assert kept.columns == df.columns
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 4, 4, 5]
+
+
+def test_no_labels(spark):
+    df = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
+    learned = langid.train(*langid.sample(df, F.lit(True)))
+    assert [tuple(r)[1:] for r in langid.identify(df, learned).collect()] == [("und", 0.0, True)]
+
+
+def test_sample_leaves_out_what_is_held_out_and_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 3)
+    df = spark.createDataFrame([(i, f"t{i}", "en" if i % 2 else "de") for i in range(40)],
+                               "doc_id long, text string, lang string")
+    texts, labels = langid.sample(df, F.col("doc_id") < 30)
+    assert sorted(labels) == ["de"] * 3 + ["en"] * 3
+    assert all(int(t[1:]) < 30 for t in texts)
+    assert (texts, labels) == langid.sample(df.repartition(7), F.col("doc_id") < 30)
+
+
+def test_lang_is_no_input_of_a_prediction(spark):
+    df = spark.createDataFrame([(1, "the dog", "de")], "doc_id long, text string, lang string")
+    a, b = (langid.identify(x, model()).first() for x in (df, df.withColumn("lang", F.lit("q"))))
+    assert a == b
+
+
+def test_long_text_is_hashed_in_pieces(monkeypatch):
+    text, learned = "the dog and the cat " * 500, model()
+    whole = learned.logits(text)
+    monkeypatch.setattr(langid, "AT_ONCE", 100)
+    assert abs(learned.logits(text) - whole).max() < 1e-6
+    assert language_model is not None

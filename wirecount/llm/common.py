@@ -25,11 +25,23 @@ def text_of(column: str | Column) -> Column:
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` over batches bounded in rows and bytes."""
-    for name, value in BATCH.items():
-        df.sparkSession.conf.set(name, value)
+    bound_batches(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, longer by underscores if ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def scratch(spark: SparkSession) -> str:
     """A new folder under the one all executors share."""
     return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"

@@ -70,3 +70,36 @@ SELECT page_id, n::BIGINT AS payload_bytes,
        CASE WHEN leader != page_id THEN leader END AS refers_to
 FROM r
 """
+
+SQL["op2_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w
+  FROM documents WHERE doc_id IS NOT NULL
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN ['no words: ' || t]
+    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3),
+           lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
+  FROM words
+), classes AS (
+  SELECT min(doc_id) AS rep, count(*) AS size, len(s) AS n, s FROM sets GROUP BY s
+), one AS (
+  SELECT rep, size, n, unnest(s) AS g FROM classes
+), pairs AS (
+  SELECT x.rep AS a, y.rep AS b, y.size AS size
+  FROM one x JOIN one y ON x.g = y.g AND x.rep != y.rep
+  GROUP BY x.rep, y.rep, x.n, y.n, y.size
+  HAVING count(*) >= 0.8 * (x.n + y.n - count(*)) - 1e-9
+), reached AS (
+  SELECT rep AS node, rep AS other FROM classes
+  UNION
+  SELECT r.node, p.b FROM reached r JOIN pairs p ON r.other = p.a
+), grouped AS (
+  SELECT node, min(other) AS group_id FROM reached GROUP BY node
+), linked AS (
+  SELECT a, sum(size) AS n FROM pairs GROUP BY a
+)
+SELECT doc_id, rep AS class_id, (size - 1 + coalesce(l.n, 0))::BIGINT AS n_links, group_id
+FROM sets JOIN classes USING (s) JOIN grouped ON node = rep LEFT JOIN linked l ON l.a = rep
+"""

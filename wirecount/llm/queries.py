@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wirecount.llm import bpe, chat, warc
-from wirecount.llm.common import scratch, stored, table
+from wirecount.llm import (
+    bpe, chat, contamination, jaccard, langid, licenses, prints, secret_scan,
+    warc, wordpiece,
+)
+from wirecount.llm.common import scratch, stored, table, text_of
 
 QUERIES = {}
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -61,3 +64,76 @@ def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.where("last").select(
         "page_id", F.col("payload_bytes"), F.col("digest").alias("payload_digest"),
         "record_type", "refers_to")
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """Learned from the labelled documents that are not held out."""
+    learned = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 != 2
+    return langid.train(*langid.sample(docs, learned))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.identify(docs, language_model(docs))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = wordpiece.byte_pieces(BYTE_BPE)
+    return wordpiece.token_counts(table(spark, sf_dir, "documents"), pieces, pieces,
+                                  bytewise=True)
+
+
+@query
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scanner = secret_scan.train(secret_scan.dictionary(docs))
+    found = secret_scan.scan(docs, scanner, path="source")
+    return found.select("doc_id", "start", "length", "kind", F.round("score", 6).alias("score"),
+                        F.sha2("secret", 256).alias("secret_sha256"))
+
+
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licenses.scan(docs, licenses.train(licenses.sample(docs)))
+    return found.where(F.col("family") != licenses.UNKNOWN).select(
+        "doc_id", "line", "family", F.round("probability", 6).alias("probability"),
+        F.round("similarity", 6).alias("similarity"), "confirmed")
+
+
+@query
+def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", text_of("text").alias("text"), F.length(text_of("text")).alias("n"))
+    printed = prints.bins(docs, "text", "own", ["doc_id", "text", "n"])
+    paired = prints.with_next(printed, "doc_id", "text", ["text", "own"])
+    half = F.floor(F.col("n") / 2).cast("int")
+    edited = F.concat(F.substr("text", F.lit(1), F.col("n") - half),
+                      F.substr("next.text", F.lit(1), half))
+    whole = prints.held(paired.select(
+        "doc_id", "text", "n", "own", "next"), edited=edited).select(
+        "doc_id", "n", "own", F.col("next.own").alias("following"), "edited",
+        F.sha2("edited", 256).alias("edited_sha256"))
+    both = prints.bins(whole, "edited", "changed",
+                       ["doc_id", "n", "own", "following", "edited_sha256"])
+    return both.select(
+        "doc_id", F.col("n").cast("long").alias("n_chars"), "edited_sha256",
+        prints.packed("own").alias("fingerprint"),
+        prints.packed("changed").alias("edited_fingerprint"),
+        prints.likeness("own", "changed").alias("near_edited"),
+        prints.likeness("own", "following").alias("near_next"))
