@@ -58,7 +58,7 @@ def test_bins_by_hand(spark):
             if tried:
                 want[j] = tried[0]
                 continue
-            order = hashes([(j, b) for b in least], "j int, b long")
+            order = hashes([(j, b) for b in least], "j int", "b long")
             best = min(zip(order, least), key=lambda o: (o[0] & ~255 | least[o[1]] & 255))
             want[j] = least[best[1]] & 255
         assert got[i] == want

@@ -5,10 +5,10 @@ import re
 import numpy as np
 import pytest
 
-from tests.conftest import SMALL
 from wirecount.llm import secret_scan as ss
 from wirecount.llm.queries import op1_secret_scan
 
+LARGER = "/root/testdata/sf0.01"
 COMMON = {w: 100 for w in ("the and with this from time other water people house under light "
                            "thing river stone paper green small great never").split()}
 
@@ -74,8 +74,8 @@ def test_a_path_is_looked_at(scanner):
 def test_planted_secrets_of_the_given_table(spark):
     """The table holds keys of forty hexadecimal digits behind a name; nothing else is one."""
     docs = {r["doc_id"]: r["text"] for r in
-            spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+            spark.read.parquet(f"{LARGER}/documents.parquet").collect()}
     want = {(i, m.start(1)) for i, t in docs.items()
             for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', t)}
-    got = {(r["doc_id"], r["start"]) for r in op1_secret_scan(spark, SMALL).collect()}
+    got = {(r["doc_id"], r["start"]) for r in op1_secret_scan(spark, LARGER).collect()}
     assert want and got == want

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -25,13 +28,24 @@ def text_of(column: str | Column) -> Column:
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` over batches bounded in rows and bytes."""
-    bound_batches(df.sparkSession)
+    prepare_workers(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 
-def bound_batches(spark: SparkSession) -> None:
+def prepare_workers(spark: SparkSession) -> None:
+    """Bound the batches that Python workers get, and send them this package, once a context."""
     for name, value in BATCH.items():
         spark.conf.set(name, value)
+    context = spark.sparkContext
+    if getattr(context, "_wirecount_sent", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="wirecount-")) / "wirecount.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._wirecount_sent = True
 
 
 def free_name(df: DataFrame, name: str) -> str:

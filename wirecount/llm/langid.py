@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wirecount.llm.common import bound_batches, map_batches, text_of
+from wirecount.llm.common import map_batches, prepare_workers, text_of
 
 UNKNOWN = "und"
 BUCKETS, DIMENSION, SIZES = 1 << 16, 16, (2, 3, 4)
@@ -207,7 +207,7 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id",
 
 def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are not rejected, with all their columns."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")

@@ -27,7 +27,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wirecount.llm.common import bound_batches, map_batches, text_of
+from wirecount.llm.common import map_batches, prepare_workers, text_of
 
 SHARE, SHORTEST, LONGEST = 1e-5, 3, 12
 #: Labelled findings made for training, trees, depth, and the share of votes of a secret.
@@ -184,7 +184,7 @@ def grow(rows: np.ndarray, secret: np.ndarray, rng: np.random.Generator,
             impurity = k * a * (1 - a) + (n - k) * b * (1 - b)
             i = int(impurity.argmin())
             if best is None or impurity[i] < best[0]:
-                best = (float(impurity[i]), f, float((v[cut[i]] + v[cut[i] + 1]) / 2))
+                best = (float(impurity[i]), f, float(v[cut[i]]))
         return best
 
     def build(picked: np.ndarray, left: int) -> int:
@@ -363,7 +363,7 @@ def redacted(text: str, spans: list[tuple[int, int, float]]) -> str:
 def redact(docs: DataFrame, scanner: Scanner, text: str = "text",
            path: str | None = None) -> DataFrame:
     """``docs`` with every finding masked, all columns kept; a null text stays null."""
-    bound_batches(docs.sparkSession)
+    prepare_workers(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(scanner)
 
     @F.pandas_udf("string")
