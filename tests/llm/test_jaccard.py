@@ -109,6 +109,7 @@ def test_posterior():
 
 
 def test_components(spark):
+    # A chain, a hub and a loop.
     chain = [(i, i + 1) for i in range(0, 40)] + [(100, i) for i in range(101, 200)] + [(7, 7)]
     got = dict(components(spark.createDataFrame(chain, "a long, b long")).collect())
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 200), 100)}

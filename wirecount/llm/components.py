@@ -12,16 +12,28 @@ from pyspark.sql import DataFrame, functions as F
 from wirecount.llm.common import stored
 
 
+#: Partitions over which the edges of a hub are spread where they meet its minimum.
+SALTS = 16
+
+
+def _meet(edges: DataFrame, least: DataFrame, hub: str, other: str) -> DataFrame:
+    """``edges`` with the minimum of their ``hub`` end, the hub's edges spread over salts."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64(other), F.lit(SALTS)))
+    each = least.withColumn("salt", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(each, [hub, "salt"]).drop("salt")
+
+
 def _round(edges: DataFrame) -> DataFrame:
     """Edges ``(a, b)``, ``a < b``; one large-star and one small-star step."""
     both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
         edges.select(F.col("b"), F.col("a")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = (both.where("v > u").join(least, "u")
+    large = (_meet(both.where("v > u"), least, "u", "v")
              .select(F.col("m").alias("a"), F.col("v").alias("b")).where("a != b").distinct())
     # Now every edge points from its larger end b to a.
     least = large.groupBy("b").agg(F.min("a").alias("m"))
-    small = large.join(least, "b")
+    small = _meet(large, least, "b", "a")
     return (small.select(F.col("m").alias("a"), F.col("a").alias("b")).where("a != b")
             .union(small.select(F.col("m").alias("a"), F.col("b"))).distinct())
 
