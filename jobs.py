@@ -53,6 +53,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--tasks", type=int)
     p.add_argument("--dedup-within", help="such as '24 hours': drop messages sent again")
     p.add_argument("--lemmas", help="parquet dictionary with token and lemma")
+    p.add_argument("--stop-words", help="parquet table of words; Spark's English list without")
+    p.add_argument("--rejects", help="folder for messages that cannot be read")
     p.add_argument("--once", action="store_true", help="take what is there and stop")
 
     p = job("topic-size", "record how many messages the topic holds")
@@ -61,7 +63,9 @@ def parser() -> argparse.ArgumentParser:
 
     p = job("rollup", "write yesterday, and last month on the 1st")
     p.add_argument("--label-at", choices=("start", "end"), default="start")
-    p.add_argument("--exact", action="store_true")
+    p.add_argument("--exact", action="store_true", default=True, help="the default")
+    p.add_argument("--cascade", dest="exact", action="store_false",
+                   help="sum the hourly and daily tops instead of all counts")
     p.add_argument("--scheduled", action="store_true")
 
     job("expire", "drop hourly rows past their time")
@@ -93,17 +97,22 @@ def main(argv: list[str] | None = None):
             stream = entries.stream_entries_xml(spark, args.landing, args.dialect)
             return start_ingest(stream, args.state, send, args.checkpoint,
                                 rejects_path=args.rejects).awaitTermination()
+        session.size_shuffles(spark, session.input_bytes(spark, args.landing))
         landed = entries.read_entries_xml(spark, args.landing, args.dialect)
         return ingest.ingest(landed, args.state, send, rejects_path=args.rejects, as_of=as_of)
     if args.job == "hourly":
         stream = topic.topic_stream(spark, "parquet", args.path) if args.path else (
             topic.topic_stream(spark, **topic.kafka_options(args.servers)))
         lemmas = spark.read.parquet(args.lemmas) if args.lemmas else None
+        stop_words = spark.read.parquet(args.stop_words) if args.stop_words else (
+            english_stop_words())
+        if args.path:
+            session.size_shuffles(spark, session.input_bytes(spark, args.path))
         return start_hourly(
             stream, args.checkpoint, every=None if args.once else "1 hour",
             label_from=args.label_from, label_at=args.label_at, tasks=args.tasks,
-            dedup_within=args.dedup_within,
-            stop_words=english_stop_words(), lemmas=lemmas).awaitTermination()
+            dedup_within=args.dedup_within, rejects_path=args.rejects,
+            stop_words=stop_words, lemmas=lemmas).awaitTermination()
     if args.job == "topic-size":
         held = topic.topic_table(spark, "parquet", args.path) if args.path else (
             topic.topic_table(spark, **topic.kafka_options(args.servers)))

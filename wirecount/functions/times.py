@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, functions as F
 
@@ -66,6 +66,18 @@ def published_iso(published: Column, wall_clock: bool = False) -> Column:
     return F.when(parse_published(published).isNotNull(), iso_utc(parse_published(bare)))
 
 
+def utc(moment: datetime) -> datetime:
+    """``moment`` in UTC; one without a zone is UTC, whatever the machine's zone."""
+    return (moment.astimezone(timezone.utc) if moment.tzinfo
+            else moment.replace(tzinfo=timezone.utc))
+
+
+def instant(moment: datetime) -> Column:
+    """A literal of ``moment``, built from its microseconds so that no zone is involved."""
+    since = utc(moment) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+    return F.timestamp_micros(F.lit(since // timedelta(microseconds=1)))
+
+
 def from_epoch(value: Column, unit: str = "ms") -> Column:
     """Epoch milliseconds (``ms``) or seconds (``s``) as a timestamp."""
     return {"ms": F.timestamp_millis, "s": F.timestamp_seconds}[unit](value)
@@ -125,7 +137,7 @@ def calendar(as_of: Column) -> dict[str, Column]:
 
 def period_before(as_of: datetime, unit: str) -> tuple[datetime, datetime]:
     """The last whole day or month before ``as_of``, half open."""
-    midnight = as_of.replace(hour=0, minute=0, second=0, microsecond=0)
+    midnight = utc(as_of).replace(hour=0, minute=0, second=0, microsecond=0)
     if unit == "day":
         return midnight - timedelta(days=1), midnight
     if unit == "month":
@@ -134,6 +146,15 @@ def period_before(as_of: datetime, unit: str) -> tuple[datetime, datetime]:
     raise ValueError("unit must be day or month")
 
 
+def whole_periods(start: datetime, end: datetime, unit: str) -> tuple[datetime, datetime]:
+    """The bounds of the whole days or months between two moments, half open."""
+    first = period_before(start, unit)[1]
+    if first < utc(start):
+        step = first + timedelta(days=1 if unit == "day" else 32)
+        first = period_before(step, unit)[1]
+    return first, period_before(end, unit)[1]
+
+
 def blank_to(text: Column, default: int) -> Column:
     """Text as a long; blank and null become ``default``, anything else unreadable null."""
     trimmed = F.trim(text)

@@ -28,43 +28,53 @@ def one_title_per_row(df: DataFrame, title: str = "title") -> DataFrame:
     return df.where(F.col(title).isNotNull())
 
 
-def _listed(stop_words: DataFrame, max_listed: int) -> list[str] | None:
-    """The words themselves when the list is short enough to be a literal."""
+def _listed(stop_words: DataFrame, max_listed: int | None) -> list[str] | None:
+    """The words themselves when there are no more than ``max_listed``, if that is given."""
     words = stop_words.select(F.lower(F.col(stop_words.columns[0])).alias("word")).distinct()
-    rows = words.limit(max_listed + 1).collect()
-    return [r["word"] for r in rows if r["word"]] if len(rows) <= max_listed else None
+    rows = (words if max_listed is None else words.limit(max_listed + 1)).collect()
+    if max_listed is not None and len(rows) > max_listed:
+        return None
+    return [r["word"] for r in rows if r["word"]]
 
 
 def tokenized(df: DataFrame, title: str = "title", mode: str = "letters",
               stop_words: Sequence[str] | DataFrame | None = None,
-              row_id: Sequence[str] = (), max_listed: int = MAX_LISTED_WORDS) -> DataFrame:
+              row_id: Sequence[str] = (), max_listed: int = MAX_LISTED_WORDS,
+              max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``df`` with ``title`` replaced by ``tokens array<string>``, stop words removed.
 
-    A word list becomes a hashed literal set inside the scan stage. A stop-word table too
-    long for that is anti-joined token by token and each title is put together again;
-    ``row_id`` then names the columns that identify a title; rows sent twice have to be
-    dropped before.
+    A title of stop words only keeps an empty array. A word list, and in a stream a table too,
+    becomes a hashed literal set inside the scan stage. A table longer than ``max_listed``
+    meets the tokens in a join instead, and each title is put together again, with the same
+    rows as a result; ``row_id`` names columns that identify a title, and without it every row
+    is given a number of its own.
     """
     words = one_title_per_row(df, title).withColumn("tokens", text.tokens(F.col(title), mode))
     words = words.drop(title)
     if stop_words is None:
         return words
     if isinstance(stop_words, DataFrame):
-        listed = _listed(stop_words, max_listed)
+        listed = _listed(stop_words, None if df.isStreaming else max_listed)
     else:
         listed = list(stop_words)
     if listed is not None:
         return words.withColumn("tokens", text.without(F.col("tokens"), listed))
-    if not row_id:
-        raise ValueError("a stop-word table this long needs row_id")
     rest = [c for c in words.columns if c != "tokens"]
-    each = words.select(*rest, F.posexplode("tokens").alias("_pos", "token"))
-    kept = stop_rows(each, stop_words)
+    if not row_id:
+        words = words.withColumn("_row", F.monotonically_increasing_id())
+        row_id = ["_row"]
     payload = [c for c in rest if c not in row_id]
+    each = words.select(*row_id, *payload, F.posexplode_outer("tokens").alias("_pos", "token"))
+    stop = stop_words.select(F.lower(F.col(stop_words.columns[0])).alias("token")).where(
+        "token IS NOT NULL").distinct().withColumn("_stop", F.lit(True))
+    marked = lookup_join(each, stop, ["token"], "left", spread_by=[*row_id, "_pos"],
+                         max_bytes=max_bytes)
+    kept = F.when(F.col("_stop").isNull() & F.col("token").isNotNull(),
+                  F.struct("_pos", "token"))
     return (
-        kept.groupBy(*row_id)
+        marked.groupBy(*row_id)
         .agg(*(F.first(c).alias(c) for c in payload),
-             F.array_sort(F.collect_list(F.struct("_pos", "token"))).alias("_kept"))
+             F.array_sort(F.collect_list(kept)).alias("_kept"))
         .select(*rest, F.col("_kept.token").alias("tokens"))
     )
 
@@ -127,7 +137,8 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     if dedupe_titles:
         titles = titles.dropDuplicates([*by, title])
     needed = list(dict.fromkeys([*by, *row_id, title]))
-    words = tokenized(titles.select(*needed), title, mode, stop_words, row_id, max_listed)
+    words = tokenized(titles.select(*needed), title, mode, stop_words, row_id, max_listed,
+                      max_bytes)
     words = words.select(*by, "tokens")
     places = [f"_w{k}" for k in range(1, max(sizes) + 1)]
     rows = _with_following(words, by, places)
@@ -170,7 +181,8 @@ def _lemmatized(rows: DataFrame, by: Sequence[str], places: Sequence[str],
     """
     known = lemma_table(lemmas)
     small = fits_broadcast(known, max_bytes)
-    if not small:
+    # A stream can be aggregated once only, so there every occurrence meets the dictionary.
+    if not small and not rows.isStreaming:
         rows = rows.groupBy(*by, *places).agg(F.count("*").alias("_times"))
     for place in places:
         entry = known.select(F.col("token").alias(place), F.col("lemma").alias("_lemma"))

@@ -35,9 +35,11 @@ def lookup_join(facts: DataFrame, dim: DataFrame, on: list[str], how: str = "inn
     """
     if fits_broadcast(dim, max_bytes) if small is None else small:
         return facts.join(F.broadcast(dim), on, how)
+    # The check has spoken: the engine's own estimate of the size does not overrule it.
+    dim = dim.hint("merge")
     if not spread_by:
         return facts.join(dim, on, how)
     salted = facts.withColumn(
         "_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return salted.join(repeated.hint("merge"), [*on, "_salt"], how).drop("_salt")

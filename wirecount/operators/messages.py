@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from wirecount.functions import ids, times
+from wirecount.functions import times
 from wirecount.functions.pin import pinned
 from wirecount.schemas import MESSAGE
 
@@ -52,11 +52,6 @@ def to_messages(rows: DataFrame, topic: str = "feeds") -> DataFrame:
         F.lit(topic).alias("topic"))
 
 
-def with_message_id(rows: DataFrame, *parts: str) -> DataFrame:
-    """Add ``id`` made from ``parts``, so that sending twice gives the same id."""
-    return rows.withColumn("id", ids.message_id(*(F.col(p).cast("string") for p in parts)))
-
-
 def dedup(messages: DataFrame, key: tuple[str, ...] = ("id",)) -> DataFrame:
     """One row per id. Copies are dropped on the map side before the shuffle."""
     return messages.dropDuplicates(list(key))
@@ -80,9 +75,10 @@ def messages_per_hour(messages: DataFrame, ts: str = "published") -> DataFrame:
 
 def newer_than(rows: DataFrame, ts: Column, as_of: datetime, keep_for: timedelta) -> DataFrame:
     """Retention as a filter with a literal bound, which reaches the scan."""
-    return rows.where(ts > F.lit(as_of - keep_for))
+    return rows.where(ts > times.instant(as_of - keep_for))
 
 
 def newest(rows: DataFrame, ts: str) -> datetime:
-    """Newest time in ``rows``, as the ``as_of`` of a retention filter."""
-    return rows.agg(F.max(ts)).first()[0]
+    """Newest time in ``rows`` in UTC, as the ``as_of`` of a retention filter."""
+    micros = rows.agg(F.unix_micros(F.max(ts).cast("timestamp")).alias("t")).first()["t"]
+    return datetime.fromtimestamp(0, timezone.utc) + timedelta(microseconds=micros or 0)

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from wirecount.functions.times import utc
 from wirecount.schemas import METRIC
 
 KINDS = ("gauge", "counter", "timing", "set")
@@ -15,7 +16,7 @@ def samples(spark: SparkSession, ts: datetime, kind: str, **values) -> DataFrame
     """Samples taken now, ready to append to the metrics table."""
     if kind not in KINDS:
         raise ValueError(f"kind must be one of {KINDS}")
-    rows = [(ts, name, kind, str(value)) for name, value in values.items()]
+    rows = [(utc(ts), name, kind, str(value)) for name, value in values.items()]
     return spark.createDataFrame(rows, METRIC)
 
 
@@ -32,17 +33,21 @@ def gauges(rows: DataFrame, tie: list[str] = []) -> DataFrame:
 
 
 def counters(rows: DataFrame) -> DataFrame:
-    """Sum per name; a sample without a value counts one."""
+    """Sum per name; a sample without a value counts one, an unreadable one is ``unread``."""
+    number = F.col("value").try_cast("double")
+    unread = F.col("value").isNotNull() & number.isNull()
     return rows.groupBy("name").agg(
-        F.sum(F.coalesce(F.col("value").cast("double"), F.lit(1.0))).alias("total"))
+        F.sum(F.when(~unread, F.coalesce(number, F.lit(1.0)))).alias("total"),
+        F.count_if(unread).alias("unread"))
 
 
 def timings(rows: DataFrame) -> DataFrame:
-    value = F.col("value").cast("double")
+    value = F.col("value").try_cast("double")
     return rows.groupBy("name").agg(
         F.min(value).alias("shortest"), F.avg(value).alias("mean"),
         F.max(value).alias("longest"),
-        F.percentile_approx(value, 0.95).alias("p95"))
+        F.percentile_approx(value, 0.95).alias("p95"),
+        F.count_if(F.col("value").isNotNull() & value.isNull()).alias("unread"))
 
 
 def sets(rows: DataFrame, approximate: bool = False) -> DataFrame:

@@ -93,7 +93,7 @@ def entry_messages(fresh: DataFrame) -> DataFrame:
     """New entries in message layout, with ids that survive a replay."""
     published = times.iso_utc(F.col("published_at"))
     return fresh.select(
-        ids.message_id(F.col("ChannelTitle"), F.col("title"), published).alias("id"),
+        ids.message_id(F.col("channel_id"), F.col("title"), published).alias("id"),
         "title", F.col("published_at").alias("published"), "ChannelTitle")
 
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from datetime import date, datetime, timedelta, timezone
+from collections.abc import Callable
+from datetime import datetime
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wirecount.functions.times import instant, utc
 from wirecount.operators.lookup import lookup_join
 
 # Placeholders a dashboard puts into its queries.
@@ -17,20 +19,17 @@ MACROS = {
     "$__unixEpochFrom": ":unixEpochFrom",
     "$__unixEpochTo": ":unixEpochTo",
 }
-MAX_SERIES_COLUMNS = 1_000
+# Units of date buckets.
+BUCKET_UNITS = ("day", "week", "month", "quarter", "year")
 
 
 def _literal(bound: datetime, epoch: str | None):
     if epoch is None:
-        return F.lit(bound)
-    millis = round(_utc(bound).timestamp() * 1000)
+        return instant(bound)
+    millis = round(utc(bound).timestamp() * 1000)
     return F.lit(millis if epoch == "ms" else millis / 1000)
 
 
-def _utc(bound: datetime) -> datetime:
-    return bound if bound.tzinfo else bound.replace(tzinfo=timezone.utc)
-
-
 def time_range(df: DataFrame, time_col: str, start: datetime, end: datetime,
                epoch: str | None = None) -> DataFrame:
     """Rows strictly inside ``(start, end)``; ``epoch`` is ``ms`` or ``s`` for long times.
@@ -53,20 +52,19 @@ def series_range(df: DataFrame, id_col: str, time_col: str, value_col: str, star
         return rows
     if isinstance(ids, DataFrame):
         wanted = ids.select(F.col(ids.columns[0]).alias(id_col)).distinct()
-        return lookup_join(rows, wanted, [id_col], "left_semi")
+        return lookup_join(rows, wanted, [id_col], "left_semi", spread_by=[time_col])
     return rows.where(F.col(id_col).isin(list(ids)))
 
 
 def bucket_range(df: DataFrame, bucket_col: str, time_col: str, start: datetime,
-                 end: datetime) -> DataFrame:
-    """``time_range`` on data kept in date buckets: only the days touched are read."""
-    return time_range(df, time_col, start, end).where(
-        F.col(bucket_col).between(F.lit(start.date()), F.lit(end.date())))
-
-
-def days_between(start: datetime, end: datetime) -> list[date]:
-    """The buckets a range touches, for an ``IN`` list."""
-    return [start.date() + timedelta(days=d) for d in range((end.date() - start.date()).days + 1)]
+                 end: datetime, unit: str = "day") -> DataFrame:
+    """``time_range`` on data kept in buckets named by the date a ``unit`` begins with, in UTC:
+    only the buckets touched are read."""
+    if unit not in BUCKET_UNITS:
+        raise ValueError(f"unit must be one of {BUCKET_UNITS}")
+    first, last = (F.trunc(F.lit(utc(bound).date()), unit) if unit != "day"
+                   else F.lit(utc(bound).date()) for bound in (start, end))
+    return time_range(df, time_col, start, end).where(F.col(bucket_col).between(first, last))
 
 
 def latest_by(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -90,18 +88,20 @@ def latest_per_series(df: DataFrame, id_col: str, time_col: str,
     return latest_by(df, [id_col], [time_col, *tie])
 
 
-def newest_points(df: DataFrame, time_col: str, n: int = 1) -> DataFrame:
-    """The ``n`` most recent points overall."""
-    return df.orderBy(F.desc(time_col)).limit(n)
+def newest_points(df: DataFrame, time_col: str, n: int = 1,
+                  tie: Sequence[str] = ()) -> DataFrame:
+    """The ``n`` most recent points overall; equal times go by the greater ``tie``."""
+    return df.orderBy(F.desc(time_col), *(F.desc(c) for c in tie)).limit(n)
 
 
-def wide(df: DataFrame, id_col: str, time_col: str, value_col: str, ids: Sequence) -> DataFrame:
-    """One column per series, one row per time. The series are listed, never discovered."""
-    if len(ids) > MAX_SERIES_COLUMNS:
-        raise ValueError(f"more than {MAX_SERIES_COLUMNS} series do not fit a wide frame; "
-                         "use with_labels")
+def wide(df: DataFrame, id_col: str, time_col: str, value_col: str, ids: Sequence,
+         of_several: Callable[[str], Column] = F.max) -> DataFrame:
+    """One column per series, one row per time. The series are listed, never discovered.
+
+    ``of_several`` says what stands for several points of a series at one time.
+    """
     chosen = df.where(F.col(id_col).isin(list(ids)))
-    return chosen.groupBy(time_col).pivot(id_col, list(ids)).agg(F.first(value_col, True))
+    return chosen.groupBy(time_col).pivot(id_col, list(ids)).agg(of_several(value_col))
 
 
 def with_labels(df: DataFrame, time_col: str, value_col: str,
@@ -128,9 +128,9 @@ def with_alias(df: DataFrame, template: str, name: str = "alias") -> DataFrame:
 def panel_args(start: datetime, end: datetime) -> dict:
     """Arguments of a parameterised query for a panel's time range."""
     return {
-        "timeFrom": start, "timeTo": end,
-        "unixEpochFrom": int(_utc(start).timestamp()),
-        "unixEpochTo": int(_utc(end).timestamp()),
+        "timeFrom": utc(start), "timeTo": utc(end),
+        "unixEpochFrom": int(utc(start).timestamp()),
+        "unixEpochTo": int(utc(end).timestamp()),
     }
 
 
@@ -147,12 +147,3 @@ def panel_sql(spark: SparkSession, query: str, start: datetime, end: datetime,
 def variable_values(df: DataFrame, column: str) -> DataFrame:
     """The pick list of a dashboard variable."""
     return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
-
-
-def joined_values(values: Sequence) -> str:
-    """Chosen pick-list values the way they are spliced into a query text."""
-    def quoted(v):
-        if isinstance(v, Row):
-            v = v[0]
-        return str(v) if isinstance(v, (int, float)) else "'" + str(v).replace("'", "''") + "'"
-    return ", ".join(quoted(v) for v in values)

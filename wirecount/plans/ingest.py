@@ -27,34 +27,38 @@ def to_topic(**options) -> Callable[[DataFrame, int], None]:
 
 
 def ingest(entries: DataFrame, root: str, send: Callable[[DataFrame, int], None],
-           run: int | None = None, rejects_path: str | None = None,
+           run: str | None = None, rejects_path: str | None = None,
            as_of: datetime | None = None) -> int:
     """Send the new entries, then publish the moved marks; returns how many were sent.
 
-    Run ``n`` reads the marks announced by runs before it and announces its own as
-    ``n + 1`` once the messages are durable. A failure in between repeats the run with
+    The marks are versions of a log. A run reads the newest version and announces the next
+    one once its messages are durable. ``run`` names the run, say by stream and batch: one
+    that has announced a version before is repeated from the version it began from, so with
     the same marks, entries and ids. Unreadable rows are set aside, the others proceed.
     """
     spark = entries.sparkSession
     marks = f"{root}/{snapshots.MARKS}"
-    if run is None:
-        run = max(snapshots.versions(spark, marks), default=0)
-    registry = snapshots.load_registry(spark, root, marks_at_most=run)
-    read = reg.read_entries(entries).persist()
+    version = snapshots.version_of(spark, marks, run) if run else None
+    if version is None:
+        version = (snapshots.latest(spark, marks) or 0) + 1
+    registry = snapshots.load_registry(spark, root, marks_at_most=version - 1)
+    read = reg.read_entries(entries)
+    fresh = reg.new_entries(read, registry)
+    # What the moved marks need is kept, which is two numbers per entry, not its text.
+    seen_marks = fresh.select("channel_id", "published_ms").persist()
     try:
-        fresh = reg.new_entries(read, registry)
         counted, seen = observed(reg.entry_messages(fresh), sent=F.count(F.lit(1)))
-        send(msg.to_messages(counted), run)
+        send(msg.to_messages(counted), version)
         if rejects_path:
             (
                 read.where(F.col("reject_reason").isNotNull())
                 .select(*entries.columns, "reject_reason")
-                .write.mode("overwrite").parquet(f"{rejects_path}/run={run}")
+                .write.mode("overwrite").parquet(f"{rejects_path}/run={version}")
             )
-        moved = reg.advance_marks(registry, fresh).select("id", "last_updated")
-        snapshots.publish(moved, marks, run + 1)
+        moved = reg.advance_marks(registry, seen_marks).select("id", "last_updated")
+        snapshots.publish(moved, marks, version, run)
     finally:
-        read.unpersist()
+        seen_marks.unpersist()
     sent = seen.get["sent"]
     if as_of is not None:
         tables.append_metrics(samples(spark, as_of, "gauge", kafka_messages_new=sent))

@@ -8,19 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wirecount.functions import times
 from wirecount.operators.keywords import TOP
-from wirecount.operators.rollup import roll_up, roll_up_scheduled
+from wirecount.operators.rollup import label_range, roll_up, roll_up_scheduled
 from wirecount.sources import tables
 
 
 def run_rollups(spark: SparkSession, as_of: datetime, k: int = TOP, label_at: str = "start",
-                exact: bool = False, scheduled: bool = False) -> list[str]:
+                exact: bool = True, scheduled: bool = False) -> list[str]:
     """Write the day before ``as_of``, and the month before it on the 1st.
 
-    ``exact`` sums the complete counts of every batch instead of the hourly and daily
-    tops, so a keyword that is never quite in a top still counts. ``scheduled``
-    reproduces the label arithmetic of text-compared schedules. Each label written is
-    replaced, so a rerun corrects it. Returns the tables written.
+    The complete counts of every batch are summed. ``exact=False`` sums the hourly and
+    daily tops instead, as a job does that keeps nothing else, so a keyword that is never
+    quite in a top is lost. ``scheduled``, which is of that kind too, reproduces the label
+    arithmetic of text-compared schedules. Each label written is replaced, so a rerun
+    corrects it. Returns the tables written.
     """
+    exact = exact and not scheduled
+    as_of = times.utc(as_of)
     units = ["day", "month"] if as_of.day == 1 else ["day"]
     for unit in units:
         start, end = times.period_before(as_of, unit)
@@ -48,15 +51,23 @@ def _replace(rows: DataFrame, table: str, label: str) -> None:
         rows.unpersist()
 
 
-def backfill(spark: SparkSession, unit: str, k: int = TOP, label_at: str = "start",
-             exact: bool = False) -> None:
-    """Every day or month there is data for, in one plan."""
-    if exact:
-        rows = roll_up(spark.table(tables.BATCH_COUNTS), unit, k, label_at, source="hour")
-    else:
-        rows = roll_up(spark.table("keywords_hour" if unit == "day" else "keywords_day"),
-                       unit, k, label_at)
-    tables.overwrite_labels(rows, f"keywords_{unit}")
+def backfill(spark: SparkSession, unit: str, start: datetime, end: datetime, k: int = TOP,
+             label_at: str = "start", exact: bool = True) -> None:
+    """Every whole day or month inside ``[start, end)``, in one plan.
+
+    Only what lies wholly in the range is written, so name the time from which the counts are
+    complete, after any expiry, and that up to which they are final.
+    """
+    first, last = times.whole_periods(start, end, unit)
+    if first >= last:
+        return
+    source = tables.batch_counts(spark, first, last) if exact else spark.table(
+        "keywords_hour" if unit == "day" else "keywords_day")
+    found = "hour" if exact or unit == "day" else "day"
+    low, high = (t.strftime(times.PYTHON_FORMATS[found]) for t in (first, last))
+    rows = label_range(source, found, low, high)
+    tables.overwrite_labels(
+        roll_up(rows, unit, k, label_at, source=found), f"keywords_{unit}")
 
 
 def expire(spark: SparkSession, as_of: datetime,

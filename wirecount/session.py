@@ -69,18 +69,12 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-def spread(df, *keys: str):
-    """Give a small input one task per core before expensive per-row work.
-
-    Below ``openCostInBytes`` per core a scan makes fewer splits than there are cores,
-    and a single row group is read by a single task. Moving so little is cheap, and it
-    is the only case in which rows are moved: anything larger, or a stream, is returned
-    as it is.
-    """
-    if df.isStreaming:
-        return df
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    least = int(spark.conf.get("spark.sql.files.openCostInBytes").rstrip("b"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores, *keys) if size < cores * least else df
+def input_bytes(spark: SparkSession, *paths: str) -> int:
+    """Bytes of files below ``paths``, as their file systems state them."""
+    total = 0
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in system.globStatus(place) or []:
+            total += system.getContentSummary(found.getPath()).getLength()
+    return total

@@ -16,31 +16,51 @@ from wirecount.schemas import REGISTRY
 CHANNELS, MARKS = "channels", "marks"
 
 
-def versions(spark: SparkSession, path: str) -> list[int]:
-    """Announced versions, oldest first."""
+ANNOUNCED = "version LONG, run STRING"
+
+
+def _announced(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        announced = spark.read.schema("version LONG").parquet(f"{path}/announced")
+        return spark.read.schema(ANNOUNCED).parquet(f"{path}/announced")
     except AnalysisException as missing:
         if "PATH_NOT_FOUND" in str(missing):
-            return []
+            return None
         raise
-    return sorted({r["version"] for r in announced.collect()})
 
 
-def publish(df: DataFrame, path: str, version: int) -> None:
+def latest(spark: SparkSession, path: str, at_most: int | None = None) -> int | None:
+    """The newest announced version, or the newest not above ``at_most``."""
+    announced = _announced(spark, path)
+    if announced is None:
+        return None
+    if at_most is not None:
+        announced = announced.where(F.col("version") <= at_most)
+    return announced.agg(F.max("version").alias("v")).first()["v"]
+
+
+def version_of(spark: SparkSession, path: str, run: str) -> int | None:
+    """The version that a run has announced, if it has."""
+    announced = _announced(spark, path)
+    if announced is None:
+        return None
+    return announced.where(F.col("run") == run).agg(F.max("version").alias("v")).first()["v"]
+
+
+def publish(df: DataFrame, path: str, version: int, run: str | None = None) -> None:
     """Write and announce a version. Doing it again replaces it with the same rows."""
     spark = df.sparkSession
     df.write.mode("overwrite").parquet(f"{path}/data/{version}")
     (
-        spark.range(version, version + 1, 1, 1).withColumnRenamed("id", "version")
+        spark.range(version, version + 1, 1, 1)
+        .select(F.col("id").alias("version"), F.lit(run).cast("string").alias("run"))
         .write.mode("append").parquet(f"{path}/announced")
     )
 
 
 def read(spark: SparkSession, path: str, at_most: int | None = None) -> DataFrame | None:
     """The newest announced version, or the newest not above ``at_most``."""
-    known = [v for v in versions(spark, path) if at_most is None or v <= at_most]
-    return spark.read.parquet(f"{path}/data/{known[-1]}") if known else None
+    version = latest(spark, path, at_most)
+    return None if version is None else spark.read.parquet(f"{path}/data/{version}")
 
 
 def load_registry(spark: SparkSession, root: str, marks_at_most: int | None = None) -> DataFrame:
@@ -63,7 +83,8 @@ def publish_channels(registry: DataFrame, root: str, strict: bool = True) -> int
     """Announce a new channel list; ``strict`` refuses missing or repeated values."""
     spark = registry.sparkSession
     path = f"{root}/{CHANNELS}"
-    version = max(versions(spark, path), default=-1) + 1
+    newest = latest(spark, path)
+    version = 0 if newest is None else newest + 1
     if strict:
         fault = registry_faults(registry).first()
         if fault is not None:

@@ -12,7 +12,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wirecount.functions.times import PYTHON_FORMATS
+from wirecount.functions.times import PYTHON_FORMATS, utc
 from wirecount.operators.rollup import label_range
 from wirecount.operators.series import latest_by
 
@@ -25,7 +25,8 @@ METRICS = "metric_samples"
 HOUR_TTL = timedelta(seconds=172800)
 TOPIC_RETENTION = timedelta(hours=24)
 
-MAX_LABEL_WRITERS = 64
+#: Partitions named in one catalog command.
+DROPPED_AT_ONCE = 200
 
 
 def create_tables(spark: SparkSession) -> None:
@@ -33,51 +34,71 @@ def create_tables(spark: SparkSession) -> None:
         spark.sql(f"CREATE TABLE IF NOT EXISTS {table} (keyword STRING, count BIGINT, "
                   f"{unit} STRING) USING parquet PARTITIONED BY ({unit})")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {BATCH_COUNTS} (hour STRING, keyword STRING, "
-              "count BIGINT, day DATE, batch_id BIGINT) USING parquet "
-              "PARTITIONED BY (day, batch_id)")
+              "count BIGINT, day DATE, run STRING, batch_id BIGINT) USING parquet "
+              "PARTITIONED BY (day, run, batch_id)")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {METRICS} (ts TIMESTAMP, name STRING, kind STRING, "
               "value STRING, day DATE) USING parquet PARTITIONED BY (day)")
 
 
-def overwrite_labels(rows: DataFrame, table: str, files: int = 1) -> None:
+def _replace_partitions(rows: DataFrame, table: str) -> None:
+    """Replace the partitions that ``rows`` has, in a session set up for that alone."""
+    mode = rows.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode")
+    if mode.lower() != "dynamic":
+        raise RuntimeError("spark.sql.sources.partitionOverwriteMode must be dynamic: "
+                           f"a {mode} overwrite would empty {table}")
+    rows.write.mode("overwrite").insertInto(table)
+
+
+def overwrite_labels(rows: DataFrame, table: str) -> None:
     """Replace exactly the labels that occur in ``rows``.
 
-    A label's top is a few rows, so tasks are shared out by label and not by size, and
-    every label gets one file, highest counts first. Give more ``files`` per label for
-    rows that hold all keywords.
+    The rows are rebalanced by label at run time: small labels share a task, a label with
+    more rows than fit one is split over several. Files have the highest counts first.
     """
-    spark = rows.sparkSession
     label = KEYWORD_TABLES[table]
-    tasks = min(spark.sparkContext.defaultParallelism, MAX_LABEL_WRITERS) * files
-    (
-        rows.select(*spark.table(table).columns)
-        .repartition(tasks, label, F.pmod(F.xxhash64("keyword"), F.lit(files)))
-        .sortWithinPartitions(label, F.desc("count"), F.asc("keyword"))
-        .write.mode("overwrite").insertInto(table)
-    )
+    _replace_partitions(
+        rows.select(*rows.sparkSession.table(table).columns)
+        .hint("rebalance", label)
+        .sortWithinPartitions(label, F.desc("count"), F.asc("keyword")), table)
 
 
-def write_batch_counts(counts: DataFrame, batch_id: int) -> None:
+def write_batch_counts(counts: DataFrame, batch_id: int, run: str = "") -> None:
     """Keep the complete hourly counts of a batch; a replay replaces them.
 
-    Written as the aggregation left them, without another shuffle. Files are sorted by
-    hour, so reading an hour skips the row groups of the others.
+    ``run`` names the stream that the batch number belongs to, so batches of another stream,
+    or of a new checkpoint, are others. Rows are rebalanced by day, so a batch over many days
+    leaves a file per day and not one per day and task.
     """
-    (
+    _replace_partitions(
         counts.withColumn("day", F.to_date(F.substr("hour", F.lit(1), F.lit(10))))
+        .withColumn("run", F.lit(run or "none"))
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
-        .select("hour", "keyword", "count", "day", "batch_id")
-        .sortWithinPartitions("day", "batch_id", "hour")
-        .write.mode("overwrite").insertInto(BATCH_COUNTS)
-    )
+        .select("hour", "keyword", "count", "day", "run", "batch_id")
+        .hint("rebalance", "day")
+        .sortWithinPartitions("day", "hour"), BATCH_COUNTS)
 
 
-def batch_hours(spark: SparkSession, batch_id: int) -> list[str]:
+def batch_hours(spark: SparkSession, batch_id: int, run: str = "") -> list[str]:
     """The hours a batch has counts for; one column of the batch's own files."""
-    rows = spark.table(BATCH_COUNTS).where(F.col("batch_id") == batch_id)
+    rows = spark.table(BATCH_COUNTS).where(
+        (F.col("batch_id") == batch_id) & (F.col("run") == (run or "none")))
     return sorted(r["hour"] for r in rows.select("hour").distinct().collect())
 
 
+def _batch_partitions(spark: SparkSession) -> list[dict[str, str]]:
+    """Partitions of the batch counts, from the catalog alone."""
+    return [{k: unquote(v) for k, v in (part.split("=", 1) for part in r[0].split("/"))}
+            for r in spark.sql(f"SHOW PARTITIONS {BATCH_COUNTS}").collect()]
+
+
+def _drop_batches(spark: SparkSession, parts: Sequence[dict[str, str]]) -> None:
+    specs = [f"PARTITION (day = '{p['day']}', run = '{p['run']}', batch_id = {p['batch_id']})"
+             for p in parts]
+    for at in range(0, len(specs), DROPPED_AT_ONCE):
+        spark.sql(f"ALTER TABLE {BATCH_COUNTS} DROP IF EXISTS "
+                  + ", ".join(specs[at:at + DROPPED_AT_ONCE]))
+
+
 def hour_counts(spark: SparkSession, hours: Sequence[str]) -> DataFrame:
     """Complete counts of the given hours, over all batches."""
     days = sorted({datetime.strptime(h[:10], "%Y-%m-%d").date() for h in hours})
@@ -91,7 +112,7 @@ def hour_counts(spark: SparkSession, hours: Sequence[str]) -> DataFrame:
 def batch_counts(spark: SparkSession, start: datetime, end: datetime) -> DataFrame:
     """Complete counts of the days a time range touches; other days are not read."""
     return spark.table(BATCH_COUNTS).where(
-        F.col("day").between(F.lit(start.date()), F.lit(end.date())))
+        F.col("day").between(F.lit(utc(start).date()), F.lit(utc(end).date())))
 
 
 def read_labels(spark: SparkSession, table: str, low: str | None = None,
@@ -100,10 +121,13 @@ def read_labels(spark: SparkSession, table: str, low: str | None = None,
     return label_range(spark.table(table), KEYWORD_TABLES[table], low, high)
 
 
-def delete_label(spark: SparkSession, table: str, label: str) -> None:
+def delete_label(spark: SparkSession, table: str, *labels: str) -> None:
     column = KEYWORD_TABLES[table]
-    quoted = label.replace("'", "''")
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{quoted}')")
+    quoted = [label.replace("'", "''") for label in labels]
+    specs = [f"PARTITION ({column} = '{label}')" for label in quoted]
+    for at in range(0, len(specs), DROPPED_AT_ONCE):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS "
+                  + ", ".join(specs[at:at + DROPPED_AT_ONCE]))
 
 
 def labels(spark: SparkSession, table: str) -> list[str]:
@@ -115,22 +139,17 @@ def labels(spark: SparkSession, table: str) -> list[str]:
 
 def expire(spark: SparkSession, table: str, as_of: datetime, keep_for: timedelta) -> list[str]:
     """Drop labels that are older than ``keep_for``; whole partitions, no rewrite."""
-    bound = (as_of - keep_for).strftime(PYTHON_FORMATS[KEYWORD_TABLES[table]])
+    bound = (utc(as_of) - keep_for).strftime(PYTHON_FORMATS[KEYWORD_TABLES[table]])
     old = [label for label in labels(spark, table) if label < bound]
-    for label in old:
-        delete_label(spark, table, label)
+    delete_label(spark, table, *old)
     return old
 
 
 def expire_batches(spark: SparkSession, as_of: datetime, keep_for: timedelta) -> list[str]:
     """Drop the days of batch counts that ended before ``keep_for`` ago."""
-    bound = (as_of - keep_for).strftime("%Y-%m-%d")
-    held = [dict(part.split("=", 1) for part in r[0].split("/")) for r in
-            spark.sql(f"SHOW PARTITIONS {BATCH_COUNTS}").collect()]
-    old = [p for p in held if p["day"] < bound]
-    for p in old:
-        spark.sql(f"ALTER TABLE {BATCH_COUNTS} DROP IF EXISTS PARTITION "
-                  f"(day = '{p['day']}', batch_id = {p['batch_id']})")
+    bound = (utc(as_of) - keep_for).strftime("%Y-%m-%d")
+    old = [p for p in _batch_partitions(spark) if p["day"] < bound]
+    _drop_batches(spark, old)
     return sorted({p["day"] for p in old})
 
 

@@ -23,15 +23,17 @@ def _now() -> datetime:
 
 def hourly_writer(label_from: str = "processing", label_at: str = "start", k: int = TOP,
                   rejects_path: str | None = None, tasks: int | None = None,
-                  clock: Callable[[], datetime] = _now,
+                  clock: Callable[[], datetime] = _now, run: str | None = None,
                   **text) -> Callable[[DataFrame, int], None]:
     """The batch function: complete counts per batch, then the top of the hours touched.
 
     ``label_from`` is the clock of the batch (``processing``), the time a message reached
     the topic (``arrival``) or its own time (``published``). Counts go to a partition of
     this hour and batch, so a replay replaces them and a second batch in the same hour
-    adds to them; the hour's top is then taken over all its batches. ``tasks`` spreads a
-    batch whose source has few partitions. ``text`` is passed to ``keyword_counts``.
+    adds to them; the hour's top is then taken over all its batches. A batch goes by its
+    stream and its number: the stream's identifier, which lives in its checkpoint, unless
+    ``run`` names it. ``tasks`` spreads a batch whose source has few partitions. ``text``
+    is passed to ``keyword_counts``.
     """
     if label_from not in LABEL_SOURCES:
         raise ValueError(f"label_from must be one of {LABEL_SOURCES}")
@@ -40,11 +42,12 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
         if batch.isEmpty():
             return
         spark = batch.sparkSession
+        name = run or stream_name(spark)
         if label_from == "processing":
             # A replayed batch keeps the hour its first attempt was stamped with.
-            earlier = tables.batch_hours(spark, batch_id)
+            earlier = tables.batch_hours(spark, batch_id, name)
             stamp = F.lit(earlier[0]) if earlier else times.label(
-                F.lit(clock()).cast("timestamp"), "hour", label_at)
+                times.instant(clock()), "hour", label_at)
         elif label_from == "arrival":
             stamp = times.label(F.col("timestamp"), "hour", label_at)
         else:
@@ -53,20 +56,22 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
             batch = batch.repartition(tasks)
         parsed = msg.parse_messages(batch, keep=("timestamp",))
         if rejects_path:
-            parsed = parsed.persist()
             (
                 msg.rejected(parsed).write.mode("overwrite")
-                .parquet(f"{rejects_path}/batch_id={batch_id}")
+                .parquet(f"{rejects_path}/run={name}/batch_id={batch_id}")
             )
         titles = msg.accepted(parsed).select(stamp.alias("hour"), "title")
-        tables.write_batch_counts(keyword_counts(titles, by=["hour"], **text), batch_id)
-        if rejects_path:
-            parsed.unpersist()
-        publish_hours(spark, tables.batch_hours(spark, batch_id), k)
+        tables.write_batch_counts(keyword_counts(titles, by=["hour"], **text), batch_id, name)
+        publish_hours(spark, tables.batch_hours(spark, batch_id, name), k)
 
     return write
 
 
+def stream_name(spark: SparkSession) -> str:
+    """The identifier of the stream whose batch this thread works on, or nothing."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
+
 def publish_hours(spark: SparkSession, hours: list[str], k: int = TOP) -> None:
     """The top of the given hours, over all their batches."""
     if hours:

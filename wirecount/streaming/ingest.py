@@ -13,15 +13,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from wirecount.plans.ingest import ingest
+from wirecount.streaming.hourly import stream_name
 
 
 def start_ingest(entries: DataFrame, root: str, send: Callable[[DataFrame, int], None],
                  checkpoint: str, every: str | None = "1 hour",
                  rejects_path: str | None = None) -> StreamingQuery:
-    """Batch ``n`` is ingest run ``n``: replayed, it reads the same marks again."""
+    """A batch is a run named by its stream and number: replayed, it reads the same marks
+    again, and a batch of another checkpoint goes on from the marks that are there."""
     def run(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            ingest(batch, root, send, run=batch_id, rejects_path=rejects_path)
+            name = f"{stream_name(batch.sparkSession)}-{batch_id}"
+            ingest(batch, root, send, run=name, rejects_path=rejects_path)
 
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirecount.functions import ids, times
 from wirecount.functions.pin import pinned
-from wirecount.session import configure, spread
+from wirecount.session import configure
 
 STOP_WORDS = (
     "a", "an", "and", "are", "as", "at", "be", "by", "for", "he", "in", "is", "it", "of",
@@ -39,8 +39,7 @@ def shaped_headlines(docs: DataFrame) -> DataFrame:
 
 
 def headlines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaped_headlines(spread(documents(spark, sf_dir).select("doc_id", "text", "source"),
-                                   "doc_id"))
+    return shaped_headlines(documents(spark, sf_dir).select("doc_id", "text", "source"))
 
 
 def messages(heads: DataFrame) -> DataFrame:
@@ -94,7 +93,7 @@ def reader_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shaped_entries(spread(table(spark, sf_dir, "events"), "event_id"))
+    return shaped_entries(table(spark, sf_dir, "events"))
 
 
 def shaped_entries(rows: DataFrame) -> DataFrame:

@@ -11,8 +11,14 @@ HEADLINES = """headlines AS (
 
 ISO = "strftime({}, '%Y-%m-%dT%H:%M:%SZ')"
 
+
+def message_id(*parts: str) -> str:
+    """Each part with its length before it, a null one as a dash."""
+    return "sha256(" + " || ".join(
+        f"coalesce(length({p}::VARCHAR) || ':' || ({p}), '-')" for p in parts) + ")"
+
 MESSAGES = HEADLINES + f""", messages AS (
-  SELECT sha256("ChannelTitle" || chr(31) || title || chr(31) || {ISO.format('published')}) AS id,
+  SELECT {message_id('"ChannelTitle"', 'title', ISO.format('published'))} AS id,
          title, epoch_ms(published) AS published, "ChannelTitle"
   FROM headlines)"""
 
@@ -76,10 +82,10 @@ kept AS (
   SELECT doc_id, pos, coalesce(lemma, token) AS w FROM placed LEFT JOIN lemmas USING (token)
   WHERE token NOT IN (SELECT word FROM stops)),
 cleaned AS (
-  SELECT w AS keyword FROM kept
+  SELECT doc_id, w AS keyword FROM kept
   UNION ALL
-  SELECT keyword FROM (
-    SELECT w || ' ' || lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS keyword FROM kept)
+  SELECT doc_id, keyword FROM (
+    SELECT doc_id, w || ' ' || lead(w) OVER (PARTITION BY doc_id ORDER BY pos) AS keyword FROM kept)
   WHERE keyword IS NOT NULL)"""
 
 REGISTRY = """registry AS (
@@ -243,7 +249,7 @@ SQL: dict[str, str] = {
         SELECT (SELECT max(id) FROM registry) + row_number() OVER (ORDER BY position),
                title, url, 0 FROM absent""",
     "channel_file": """
-        SELECT 'say, "' || c_name || '"' AS title, 'u' || (c_custkey % 1000) AS url,
+        SELECT 'say, "' || c_name || '"' || chr(10) || 'again' AS title, 'u' || (c_custkey % 1000) AS url,
                CASE c_custkey % 5 WHEN 0 THEN 0 WHEN 1 THEN NULL ELSE c_custkey END
                AS last_updated,
                CASE c_custkey % 5 WHEN 1 THEN 'mark is no number' END AS reject_reason
@@ -254,10 +260,10 @@ SQL: dict[str, str] = {
         UNION ALL
         SELECT NULL, url, 'url repeated' FROM rows GROUP BY url HAVING count(*) > 1""",
     "incremental_new": f"""WITH {ENTRIES}
-        SELECT sha256("ChannelTitle" || chr(31) || title || chr(31) || {ISO.format('ts')}) AS id,
+        SELECT {message_id('channel_id::VARCHAR', 'title', ISO.format('ts'))} AS id,
                title, published, "ChannelTitle" FROM fresh""",
     "incremental_new_by_shuffle": f"""WITH {ENTRIES}
-        SELECT sha256("ChannelTitle" || chr(31) || title || chr(31) || {ISO.format('ts')}) AS id,
+        SELECT {message_id('channel_id::VARCHAR', 'title', ISO.format('ts'))} AS id,
                title, published, "ChannelTitle" FROM fresh""",
     "new_message_count": f"""WITH {ENTRIES}
         SELECT count(*)::BIGINT AS new_messages FROM fresh""",
@@ -290,9 +296,30 @@ SQL: dict[str, str] = {
         SELECT user_id, event_type, event_id, value FROM both_sides
         QUALIFY row_number() OVER (PARTITION BY user_id, event_type
                                    ORDER BY incoming DESC, event_id DESC) = 1""",
-    "upsert_by_count": f"""WITH {TOKENS}
+    "two_batches_of_one_hour": f"""WITH {TOKENS}
         SELECT strftime(published, '%Y-%m-%d %H') AS hour, keyword, count(*)::BIGINT AS count
         FROM ({UNIGRAMS}) GROUP BY 1, 2""",
+    "daily_exact": f"""WITH {GRAMS}
+        SELECT label AS day, keyword, count FROM ({counts('%Y-%m-%d 00:00:00')})
+        QUALIFY {TOP.format('label')}""",
+    "metric_counters": """
+        SELECT event_type AS name,
+               round(sum(CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 1 ELSE value END), 4)
+                 AS total,
+               count(*) FILTER (event_id % 7 = 0) AS unread
+        FROM events GROUP BY 1""",
+    "metric_timings": """
+        SELECT event_type AS name, min(value) FILTER (event_id % 7 > 1) AS shortest,
+               round(avg(value) FILTER (event_id % 7 > 1), 6) AS mean,
+               max(value) FILTER (event_id % 7 > 1) AS longest,
+               count(*) FILTER (event_id % 7 = 0) AS unread
+        FROM events GROUP BY 1""",
+    "bucketed_by_month": """
+        SELECT user_id, epoch_us(ts) AS ts, value FROM events
+        WHERE ts > TIMESTAMP '2024-01-09 22:00:00' AND ts < TIMESTAMP '2024-01-11 03:00:00'""",
+    "stream_windowed_keywords": f"""WITH {CLEANED}
+        SELECT strftime(published, '%Y-%m-%d %H') AS hour, keyword, count(*)::BIGINT AS count
+        FROM cleaned JOIN headlines USING (doc_id) GROUP BY 1, 2""",
     "stored_rollup": f"""WITH {GRAMS}, daily AS (
           SELECT label AS day, keyword, count FROM ({counts('%Y-%m-%d 00:00:00')})
           QUALIFY {TOP.format('label')})
@@ -315,12 +342,13 @@ SQL: dict[str, str] = {
         SELECT event_id, epoch_us(ts) AS ts, value FROM events
         WHERE ts = (SELECT max(ts) FROM events)""",
     "series_wide": """
-        SELECT epoch_us(ts) AS ts, max(value) FILTER (event_type = 'click') AS click,
+        SELECT epoch_us(date_trunc('hour', ts)) AS ts,
+               max(value) FILTER (event_type = 'click') AS click,
                max(value) FILTER (event_type = 'error') AS error,
                max(value) FILTER (event_type = 'purchase') AS purchase,
                max(value) FILTER (event_type = 'signup') AS signup,
                max(value) FILTER (event_type = 'view') AS "view"
-        FROM events GROUP BY ts""",
+        FROM events GROUP BY 1""",
     "series_labels": """
         SELECT epoch_us(ts) AS ts, value,
                'event_type=' || event_type || ',user_id=' || user_id AS labels FROM events""",

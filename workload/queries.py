@@ -12,7 +12,7 @@ from wirecount.functions import text, times
 from wirecount.operators import keywords as kw, messages as msg, metrics, registry as reg, series
 from wirecount.operators.rollup import keywords_per, label_range, roll_up, roll_up_scheduled
 from wirecount.plans import rollups
-from wirecount.session import shared_dir, spread
+from wirecount.session import shared_dir
 from wirecount.sources import tables
 from wirecount.sources.channels import read_channels
 from workload import inputs
@@ -22,6 +22,7 @@ QUERIES = {}
 RANGE = (datetime(2024, 1, 5, 6, 0), datetime(2024, 1, 20, 18, 0))
 NIGHT = (datetime(2024, 1, 9, 22, 0), datetime(2024, 1, 11, 3, 0))
 LABELS = ("2024-01-28 01:30:00", "2024-01-31 00:00:00")
+ALL_TIME = (datetime(2020, 1, 1), datetime(2030, 1, 1))
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -34,6 +35,13 @@ def _scratch(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """Rows of a table that is about to go, in a folder of their own."""
+    folder = _scratch(rows.sparkSession)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 @contextmanager
 def _database(spark: SparkSession, folder: str):
     """Fresh keyword tables in the shared folder, as the current database."""
@@ -46,6 +54,7 @@ def _database(spark: SparkSession, folder: str):
         yield name
     finally:
         spark.catalog.setCurrentDatabase(previous)
+        spark.sql(f"DROP DATABASE {name} CASCADE")
 
 
 def micros(column: str):
@@ -56,7 +65,7 @@ def micros(column: str):
 
 @query
 def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(inputs.documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = docs.withColumn("t", text.tokens(F.col("text")))
     return words.select("doc_id", F.size("t").cast("long").alias("n_tokens"),
                         F.array_join("t", " ").alias("tokens"))
@@ -64,7 +73,7 @@ def tokenize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def tokenize_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(inputs.documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
     words = docs.withColumn("t", text.tokens(F.col("text"), "clean"))
     return words.select("doc_id", F.size("t").cast("long").alias("n_tokens"),
                         F.array_join("t", " ").alias("tokens"))
@@ -77,14 +86,14 @@ def trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stopword_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(inputs.documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
     kept = kw.stop_rows(kw.token_rows(docs, title="text"), inputs.stop_words(spark))
     return kept.groupBy("token").agg(F.count("*").alias("count"))
 
 
 @query
 def lemma_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(inputs.documents(spark, sf_dir).select("doc_id", "text"), "doc_id")
+    docs = inputs.documents(spark, sf_dir).select("doc_id", "text")
     counted = kw.token_rows(docs, title="text").groupBy("token").agg(F.count("*").alias("count"))
     return kw.lemma_counts(counted, inputs.lemmas(spark, sf_dir))
 
@@ -115,7 +124,7 @@ def keyword_counts_cleaned(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keyword_counts_cleaned_by_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kw.keyword_counts(
         inputs.headlines(spark, sf_dir), stop_words=inputs.stop_words(spark),
-        lemmas=inputs.lemmas(spark, sf_dir), row_id=["doc_id"], max_listed=0, max_bytes=0)
+        lemmas=inputs.lemmas(spark, sf_dir), max_listed=0, max_bytes=0)
 
 
 @query
@@ -235,7 +244,7 @@ def published_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     }
     each = F.explode(F.array(*(F.struct(F.lit(n).alias("form"), c.alias("published"))
                                for n, c in forms.items())))
-    given = spread(inputs.events(spark, sf_dir).select("event_id", "ts"), "event_id")
+    given = inputs.events(spark, sf_dir).select("event_id", "ts")
     rows = given.select("event_id", each.alias("e")).select("event_id", "e.*")
     published = F.col("published")
     return rows.select(
@@ -320,8 +329,10 @@ def channel_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = inputs.channel_candidates(spark, sf_dir)
     mark = (F.when(F.col("position") % 5 == 0, "").when(F.col("position") % 5 == 1, "soon")
             .otherwise(F.col("position").cast("string")))
-    listed.select(F.concat(F.lit('say, "'), "title", F.lit('"')).alias("title"), "url",
-                  mark.alias("last_updated")).write.option("escape", '"').csv(path, header=True)
+    # Other columns in another order, and a line break inside a quoted title.
+    listed.select("url", F.lit("x").alias("note"), mark.alias("last_updated"),
+                  F.concat(F.lit('say, "'), "title", F.lit('"\nagain')).alias("title")
+                  ).write.option("escape", '"').csv(path, header=True)
     return read_channels(spark, path).select("title", "url", "last_updated", "reject_reason")
 
 
@@ -385,20 +396,56 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def upsert_by_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+def two_batches_of_one_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in two batches of two streams that number them alike: an hour's counts are the
+    sums of all its batches, equal ones included, and a replay adds nothing."""
     heads = inputs.headlines(spark, sf_dir)
-    hourly = keywords_per(heads, "hour", k=None, sizes=(1,))
-    return tables.merged(hourly, hourly, ["hour", "count", "keyword"])
+    with _database(spark, _scratch(spark)):
+        for run, odd in (("a", 0), ("b", 1), ("a", 0)):
+            part = heads.where(F.col("doc_id") % 2 == odd)
+            tables.write_batch_counts(keywords_per(part, "hour", k=None, sizes=(1,)), 0, run)
+        hours = sorted({*tables.batch_hours(spark, 0, "a"), *tables.batch_hours(spark, 0, "b")})
+        return _kept(tables.hour_counts(spark, hours))
 
 
 @query
 def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
-    with _database(spark, _scratch(spark)) as database:
+    with _database(spark, _scratch(spark)):
+        tables.write_batch_counts(hourly, 0)
+        rollups.backfill(spark, "day", *ALL_TIME)
+        rollups.backfill(spark, "month", *ALL_TIME, exact=False)
+        return _kept(spark.table("keywords_month"))
+
+
+@query
+def daily_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
+    with _database(spark, _scratch(spark)):
         tables.write_batch_counts(hourly, 0)
-        rollups.backfill(spark, "day", exact=True)
-        rollups.backfill(spark, "month")
-        return spark.table(f"{database}.keywords_month")
+        rollups.backfill(spark, "day", *ALL_TIME)
+        return _kept(spark.table("keywords_day"))
+
+
+@query
+def metric_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples of which some hold no number, and some nothing."""
+    rows = _with_unread(spark, sf_dir)
+    return metrics.counters(rows).withColumn("total", F.round("total", 4))
+
+
+@query
+def metric_timings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _with_unread(spark, sf_dir)
+    return metrics.timings(rows).select("name", "shortest", F.round("mean", 6).alias("mean"),
+                                        "longest", "unread")
+
+
+def _with_unread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    value = (F.when(F.col("event_id") % 7 == 0, "n/a").when(F.col("event_id") % 7 == 1, None)
+             .otherwise(F.col("value").cast("string")))
+    return inputs.events(spark, sf_dir).select(F.col("event_type").alias("name"),
+                                               value.alias("value"))
 
 
 @query
@@ -444,7 +491,8 @@ def newest_point(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def series_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.events(spark, sf_dir)
+    """Points by the hour, so that a series has several at one time."""
+    rows = inputs.events(spark, sf_dir).withColumn("ts", F.date_trunc("hour", "ts"))
     return series.wide(rows, "event_type", "ts", "value", EVENT_TYPES).withColumn(
         "ts", F.unix_micros("ts"))
 
@@ -465,10 +513,25 @@ def series_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("event_id", "alias")
 
 
+def _bucketed(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
+    """Events in a table that is partitioned by the date a unit begins with."""
+    folder = _scratch(spark)
+    rows = inputs.events(spark, sf_dir).withColumn("date", F.trunc("ts", unit) if unit != "day"
+                                                   else F.to_date("ts"))
+    rows.hint("rebalance", "date").write.partitionBy("date").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 @query
 def bucketed_range(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.events(spark, sf_dir).withColumn("date", F.to_date("ts"))
-    return series.bucket_range(rows, "date", "ts", *NIGHT).select(
+    return series.bucket_range(_bucketed(spark, sf_dir, "day"), "date", "ts", *NIGHT).select(
+        "user_id", micros("ts"), "value")
+
+
+@query
+def bucketed_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _bucketed(spark, sf_dir, "month")
+    return series.bucket_range(rows, "date", "ts", *NIGHT, unit="month").select(
         "user_id", micros("ts"), "value")
 
 
@@ -512,7 +575,7 @@ def stream_hourly_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
         start_hourly(topic, f"{scratch}/checkpoint", every=None,
                      label_from="published",
                      tasks=spark.sparkContext.defaultParallelism).awaitTermination()
-        return spark.table(f"{database}.keywords_hour")
+        return _kept(spark.table(f"{database}.keywords_hour"))
 
 
 @query
@@ -527,6 +590,21 @@ def stream_messages_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_updates(spark, f"{scratch}/rows", ["hour"])
 
 
+@query
+def stream_windowed_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stop words and a dictionary as tables, the dictionary too big for a broadcast."""
+    from wirecount.streaming.updates import read_updates, start_updates
+    from wirecount.streaming.windows import windowed_keywords
+
+    scratch = _scratch(spark)
+    heads = inputs.shaped_headlines(_stream(spark, sf_dir, "documents"))
+    counted = windowed_keywords(heads, stop_words=inputs.stop_words(spark),
+                                lemmas=inputs.lemmas(spark, sf_dir), max_listed=0, max_bytes=0)
+    start_updates(counted, f"{scratch}/rows", f"{scratch}/checkpoint",
+                  every=None).awaitTermination()
+    return read_updates(spark, f"{scratch}/rows", ["hour", "keyword"])
+
+
 @query
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wirecount.streaming.dedup import dedup_stream
