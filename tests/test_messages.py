@@ -4,7 +4,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from wirecount.operators import messages as msg
+from wirecount.functions import ids
+from wirecount.operators import messages as msg, registry as reg
 
 SAMPLE = json.dumps({
     "id": "0d5f2c1e-7a44-4f0b-9c1d-2b6f7e8a9b10",
@@ -45,9 +46,20 @@ def test_there_and_back(spark):
 
 
 def test_same_parts_same_id(spark):
-    df = spark.createDataFrame([("a", "b"), ("a", "b"), ("ab", "")], "x string, y string")
-    ids = [r["id"] for r in msg.with_message_id(df, "x", "y").collect()]
-    assert ids[0] == ids[1] != ids[2]
+    given = [("a", "b", None), ("a", "b", None), ("ab", "", None), ("a", None, "b"), ("a", "", "b"),
+             ("a", "-", "b"), ("1:a", "b", None)]
+    df = spark.createDataFrame(given, "x string, y string, z string").coalesce(1)
+    made = [r[0] for r in df.select(ids.message_id(F.col("x"), F.col("y"), F.col("z"))).collect()]
+    assert made[0] == made[1] and len(set(made)) == 6
+
+
+def test_channels_of_one_title_keep_their_messages(spark):
+    registry = spark.createDataFrame([(1, "News", "ua", 0), (2, "News", "ub", 0)],
+                                     "id long, title string, url string, last_updated long")
+    entries = spark.createDataFrame([(i, "One", "2024-01-01T00:00:00Z") for i in (1, 2)],
+                                    "channel_id long, title string, published string")
+    sent = reg.entry_messages(reg.new_entries(reg.read_entries(entries), registry))
+    assert msg.dedup(sent.unionByName(sent)).count() == 2
 
 
 def test_dedup(spark):

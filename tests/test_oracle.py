@@ -3,8 +3,10 @@
 import pytest
 
 import check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.conftest import SMALL
+from workload.oracle import SQL
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,13 +14,13 @@ def con():
     return check.oracle(SMALL)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_equal(spark, con, name):
     assert check.compare(spark, con, SMALL, name) is None
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

@@ -1,4 +1,4 @@
-from datetime import date, datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,8 +49,12 @@ def test_wide(points):
     got = series.wide(points, "sensor_id", "registered_at", "temperature", ["k", "b", "none"])
     assert got.columns == ["registered_at", "k", "b", "none"]
     assert sorted(tuple(r) for r in got.where("b is not null").collect()) == [(T[1], 19, 15, None)]
-    with pytest.raises(ValueError):
-        series.wide(points, "sensor_id", "registered_at", "temperature", list(range(2000)))
+    twice = points.union(points.withColumn("temperature", F.col("temperature") - 1))
+    args = (twice, "sensor_id", "registered_at", "temperature", ["k", "b"])
+    low, high = (series.wide(*args, of_several=f).where("b is not null").first()["b"]
+                 for f in (F.min, F.max))
+    assert (low, high) == (14, 15)
+    assert series.wide(*args).where("b is not null").first()["b"] == 15
 
 
 def test_labels_and_alias(points):
@@ -80,7 +84,21 @@ def test_buckets_touched_are_the_buckets_read(spark, tmp_path):
     assert sorted(r["id"] for r in got.collect()) == [47, 48, 49, 50]
     pruned = plan(got).split("PartitionFilters: [")[1].split("]")[0]
     assert "date" in pruned and "2024-01-02" in pruned and "2024-01-03" in pruned
-    assert series.days_between(start, end) == [date(2024, 1, 2), date(2024, 1, 3)]
+
+
+def test_buckets_go_by_utc_and_by_unit(spark, tmp_path):
+    """Bounds of another zone, and buckets longer than a day, lose no rows."""
+    df = spark.createDataFrame([(1, datetime(2024, 1, 31, 22, 45, tzinfo=timezone.utc)),
+                                (2, datetime(2024, 2, 1, 0, 30, tzinfo=timezone.utc))],
+                               "id int, t timestamp")
+    east = timezone(timedelta(hours=2))
+    start, end = datetime(2024, 2, 1, 0, 30, tzinfo=east), datetime(2024, 2, 1, 3, tzinfo=east)
+    for unit in ("day", "week", "month", "year"):
+        bucket = F.to_date("t") if unit == "day" else F.trunc("t", unit)
+        rows_of = series.bucket_range(df.withColumn("d", bucket), "d", "t", start, end, unit)
+        assert sorted(r["id"] for r in rows_of.collect()) == [1, 2]
+    with pytest.raises(ValueError):
+        series.bucket_range(df, "d", "t", start, end, "hour")
 
 
 def test_panel_query(spark, points):
@@ -94,8 +112,6 @@ def test_panel_query(spark, points):
 def test_variables(points):
     values = series.variable_values(points, "sensor_id").collect()
     assert [r[0] for r in values] == ["b", "k"]
-    assert series.joined_values(values) == "'b', 'k'"
-    assert series.joined_values([1, "o'clock"]) == "1, 'o''clock'"
 
 
 @pytest.fixture
@@ -112,8 +128,11 @@ def samples(spark):
 def test_metric_kinds(samples):
     of = lambda kind: samples.where(samples.kind == kind)
     assert rows(metrics.gauges(of("gauge"))) == [("channels_total", "3")]
-    assert rows(metrics.counters(of("counter"))) == [("errors", -2.0)]
-    assert rows(metrics.timings(of("timing"))) == [("run", 1.5, 2.0, 2.5, 2.5)]
+    assert rows(metrics.counters(of("counter"))) == [("errors", -2.0, 0)]
+    assert rows(metrics.timings(of("timing"))) == [("run", 1.5, 2.0, 2.5, 2.5, 0)]
+    unread = of("counter").withColumn("value", F.lit("n/a"))
+    assert rows(metrics.counters(unread)) == [("errors", None, 2)]
+    assert rows(metrics.timings(unread)) == [("errors", None, None, None, None, 2)]
     assert rows(metrics.sets(of("set"))) == [("visitors", 2)]
     assert rows(metrics.sets(of("set"), approximate=True)) == [("visitors", 2)]
     every = {r["name"]: r for r in metrics.metric_rollup(samples).collect()}

@@ -29,18 +29,12 @@ def test_settings(spark):
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
-def test_only_small_inputs_are_spread(spark, tmp_path, monkeypatch):
-    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "small"))
-    df = spark.read.parquet(str(tmp_path / "small"))
-    assert "REPARTITION_BY_NUM" in plan(session.spread(df, "id"))
-    before = spark.conf.get("spark.sql.files.openCostInBytes")
-    spark.conf.set("spark.sql.files.openCostInBytes", "1")
-    try:
-        assert session.spread(df, "id") is df
-    finally:
-        spark.conf.set("spark.sql.files.openCostInBytes", before)
-    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "small"))
-    assert session.spread(stream, "id") is stream
+def test_bytes_of_the_input(spark, tmp_path):
+    for name, size in (("a", 10), ("b", 32)):
+        (tmp_path / name).write_bytes(b"x" * size)
+    assert session.input_bytes(spark, str(tmp_path)) == 42
+    assert session.input_bytes(spark, f"{tmp_path}/a", f"{tmp_path}/b*") == 42
+    assert session.input_bytes(spark, f"{tmp_path}/none") == 0
 
 
 def test_pinned_values_are_computed_once(spark, tmp_path):

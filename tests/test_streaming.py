@@ -78,6 +78,18 @@ def test_a_replayed_batch_keeps_its_hour_and_changes_nothing(spark, made):
     assert tables.batch_hours(spark, 7) == ["2024-01-01 14"]
 
 
+def test_a_new_checkpoint_adds_to_what_is_there(spark, made):
+    """Batch 0 of another stream is another batch: it neither takes its hour nor its counts."""
+    folder, checkpoint, tmp = made
+    land(spark, folder, "a", [message(1, "alpha")])
+    run(spark, folder, checkpoint, clock=lambda: datetime(2024, 1, 1, 10))
+    land(spark, folder, "b", [message(2, "beta")])
+    run(spark, folder, str(tmp / "other"), clock=lambda: datetime(2024, 1, 1, 15))
+    assert rows(spark.table("keywords_hour").select("hour", "keyword", "count")) == [
+        ("2024-01-01 10", "alpha", 1), ("2024-01-01 15", "alpha", 1),
+        ("2024-01-01 15", "beta", 1)]
+
+
 @pytest.mark.parametrize("label_from, label_at, expected", [
     ("processing", "start", {"2024-01-01 15"}), ("processing", "end", {"2024-01-01 16"}),
     ("arrival", "start", {"2024-01-01 14"}),
@@ -177,3 +189,23 @@ def test_marks_carry_from_batch_to_batch(spark, tmp_path):
     put("b", [(1, "late", "2024-01-01T09:30:00Z"), (1, "third", "2024-01-01T11:00:00Z")])
     assert go() == ["first", "second", "third"]
     assert go() == ["first", "second", "third"]
+
+
+def test_batch_runs_and_a_stream_share_the_marks(spark, tmp_path):
+    """A stream with a new checkpoint goes on from the marks that batch runs have left."""
+    from wirecount.plans.ingest import ingest as ingest_once
+
+    landing, root, out = (str(tmp_path / n) for n in ("landing", "state", "out"))
+    snapshots.publish_channels(spark.createDataFrame([(1, "A", "ua", 0)], REGISTRY), root)
+    for day in (1, 2, 3):
+        ingest_once(spark.createDataFrame([(1, f"t{day}", f"2024-01-0{day}T00:00:00Z")], ENTRY),
+                    root, to_folder(out))
+    spark.createDataFrame([(1, "t1", "2024-01-01T00:00:00Z"), (1, "t9", "2024-01-09T00:00:00Z")],
+                          ENTRY).write.parquet(f"{landing}/a")
+    stream = spark.readStream.schema(ENTRY).parquet(f"{landing}/*")
+    ingest.start_ingest(stream, root, to_folder(out), str(tmp_path / "checkpoint"),
+                        every=None).awaitTermination()
+    sent = [json.loads(r["value"])["title"] for r in spark.read.parquet(out).collect()]
+    assert sorted(sent) == ["t1", "t2", "t3", "t9"]
+    marks = snapshots.load_registry(spark, root).first()["last_updated"]
+    assert marks == 1704758400000

@@ -76,11 +76,12 @@ def test_rollup_job_replaces_its_label(spark, made):
     data = [(f"2024-01-31 {h:02d}", k, 1) for h in range(24) for k in "ab"]
     tables.overwrite_labels(hourly(spark, data), "keywords_hour")
     as_of = datetime(2024, 2, 1, 1, 30)
-    assert rollups.run_rollups(spark, as_of) == ["keywords_day", "keywords_month"]
+    cascade = {"exact": False}
+    assert rollups.run_rollups(spark, as_of, **cascade) == ["keywords_day", "keywords_month"]
     assert read(spark, "keywords_day") == [("2024-01-31 00:00:00", "a", 24),
                                            ("2024-01-31 00:00:00", "b", 24)]
     tables.overwrite_labels(hourly(spark, [("2024-01-31 05", "a", 10)]), "keywords_hour")
-    rollups.run_rollups(spark, as_of)
+    rollups.run_rollups(spark, as_of, **cascade)
     assert read(spark, "keywords_day") == [("2024-01-31 00:00:00", "a", 33),
                                            ("2024-01-31 00:00:00", "b", 23)]
     assert read(spark, "keywords_month") == [("2024-01", "a", 33), ("2024-01", "b", 23)]
@@ -92,11 +93,11 @@ def test_rollup_job_replaces_its_label(spark, made):
 def test_rerun_without_rows_clears_the_label(spark, made):
     as_of = datetime(2024, 2, 1, 1, 30)
     tables.overwrite_labels(hourly(spark, [("2024-01-31 05", "a", 1)]), "keywords_hour")
-    for options in ({}, {"scheduled": True}):
+    for options in ({"exact": False}, {"scheduled": True}):
         rollups.run_rollups(spark, as_of, **options)
     assert tables.labels(spark, "keywords_day") == ["2024-01-31 00:00:00", "2024-02-01 00:00:00"]
     tables.delete_label(spark, "keywords_hour", "2024-01-31 05")
-    for options in ({}, {"scheduled": True}):
+    for options in ({"exact": False}, {"scheduled": True}):
         rollups.run_rollups(spark, as_of, **options)
     assert read(spark, "keywords_day") == [] and read(spark, "keywords_month") == []
 
@@ -114,16 +115,48 @@ def test_exact_end_labels_take_the_next_midnight(spark, made):
 def test_exact_rollup_and_backfill(spark, made):
     data = [("2024-01-30 05", "a", 5), ("2024-01-31 05", "a", 7), ("2024-01-31 06", "b", 1)]
     tables.write_batch_counts(hourly(spark, data), 0)
-    rollups.run_rollups(spark, datetime(2024, 2, 1, 1, 30), exact=True)
+    rollups.run_rollups(spark, datetime(2024, 2, 1, 1, 30))
     assert read(spark, "keywords_month") == [("2024-01", "a", 12), ("2024-01", "b", 1)]
-    rollups.backfill(spark, "day", exact=True)
+    rollups.backfill(spark, "day", datetime(2024, 1, 30), datetime(2024, 2, 1))
     assert read(spark, "keywords_day") == [
         ("2024-01-30 00:00:00", "a", 5), ("2024-01-31 00:00:00", "a", 7),
         ("2024-01-31 00:00:00", "b", 1)]
-    rollups.backfill(spark, "month")
+    rollups.backfill(spark, "month", datetime(2024, 1, 1), datetime(2024, 2, 1), exact=False)
     assert read(spark, "keywords_month") == [("2024-01", "a", 12), ("2024-01", "b", 1)]
 
 
+def test_backfill_leaves_periods_alone_that_are_not_whole(spark, made):
+    data = [(f"2024-01-30 {h:02d}", "a", 5) for h in range(24)]
+    tables.write_batch_counts(hourly(spark, data), 0)
+    rollups.backfill(spark, "day", datetime(2024, 1, 30), datetime(2024, 1, 31))
+    whole = [("2024-01-30 00:00:00", "a", 120)]
+    assert read(spark, "keywords_day") == whole
+    spark.sql(f"TRUNCATE TABLE {tables.BATCH_COUNTS}")
+    tables.write_batch_counts(hourly(spark, data[6:]), 0)
+    # Complete from 06:00 on only, and the clock stands at noon of the next day.
+    rollups.backfill(spark, "day", datetime(2024, 1, 30, 6), datetime(2024, 1, 31, 12))
+    assert read(spark, "keywords_day") == whole
+
+
+def test_a_static_overwrite_is_refused(spark, made):
+    tables.overwrite_labels(hourly(spark, [("2024-01-01 05", "a", 1)]), "keywords_hour")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        with pytest.raises(RuntimeError, match="dynamic"):
+            tables.overwrite_labels(hourly(spark, [("2024-01-01 06", "a", 1)]), "keywords_hour")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    assert read(spark, "keywords_hour") == [("2024-01-01 05", "a", 1)]
+
+
+def test_batches_of_two_runs_are_kept_apart(spark, made):
+    for run in ("a", "b", "a"):
+        tables.write_batch_counts(hourly(spark, [("2024-01-01 05", "x", 3)]), 0, run)
+    assert rows(tables.hour_counts(spark, ["2024-01-01 05"])) == [("2024-01-01 05", "x", 6)]
+    assert tables.batch_hours(spark, 0, "a") == ["2024-01-01 05"]
+    assert tables.batch_hours(spark, 0, "c") == []
+
+
 def test_expiry_job(spark, made):
     data = [("2024-01-01 05", "a", 1), ("2024-03-30 05", "a", 2), ("2024-03-31 05", "a", 3)]
     tables.overwrite_labels(hourly(spark, data), "keywords_hour")
@@ -163,7 +196,7 @@ def test_ingest_runs(spark, made, tmp_path):
     send = ingest_plan.to_folder(str(tmp_path / "out"))
     first = spark.createDataFrame([(1, "x", "2024-01-01T00:00:00Z"), (2, "y", "someday"),
                                    (1, "z", "2024-01-01T01:00:00Z")], ENTRY)
-    sent = ingest_plan.ingest(first, root, send, rejects_path=str(tmp_path / "bad"),
+    sent = ingest_plan.ingest(first, root, send, run="one", rejects_path=str(tmp_path / "bad"),
                               as_of=datetime(2024, 1, 1))
     assert sent == 2
     assert spark.read.parquet(str(tmp_path / "bad")).count() == 1
@@ -172,7 +205,7 @@ def test_ingest_runs(spark, made, tmp_path):
     assert ingest_plan.ingest(second, root, send) == 1
     before = rows(spark.read.parquet(str(tmp_path / "out")))
     # The first run again, as after a failure: same marks, same messages.
-    assert ingest_plan.ingest(first, root, send, run=0) == 2
+    assert ingest_plan.ingest(first, root, send, run="one") == 2
     assert rows(spark.read.parquet(str(tmp_path / "out"))) == before
     marks = dict(rows(snapshots.load_registry(spark, root).select("id", "last_updated")))
     assert marks == {1: 1704070800000, 2: 1672531200000}

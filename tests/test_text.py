@@ -127,8 +127,16 @@ def test_stop_word_table_too_long_for_a_literal(spark):
     titles = ["The bank of England", "the of", "of rates and rates"]
     listed = counted(spark, titles, stop_words=stop)
     assert counted(spark, titles, stop_words=stop, row_id=["id"], max_listed=1) == listed
-    with pytest.raises(ValueError):
-        counted(spark, titles, stop_words=stop, max_listed=1)
+    assert counted(spark, titles, stop_words=stop, max_listed=1, max_bytes=0) == listed
+
+
+def test_titles_of_stop_words_only_stay_in_both_forms(spark):
+    stop = spark.createDataFrame([("The",), ("of",), (None,)], "word string")
+    df = spark.createDataFrame([(1, "the of"), (2, "the bank"), (3, ""), (3, "")],
+                               "id int, title string")
+    short, long = (sorted((r["id"], r["tokens"]) for r in kw.tokenized(
+        df, stop_words=stop, max_listed=n).collect()) for n in (10, 0))
+    assert short == long == [(1, []), (2, ["bank"]), (3, []), (3, [])]
 
 
 def test_default_english_list(spark):

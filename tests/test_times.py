@@ -1,4 +1,4 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -67,8 +67,15 @@ def test_calendar(spark):
 
 def test_period_before():
     as_of = datetime(2024, 3, 1, 1, 30)
-    assert times.period_before(as_of, "day") == (datetime(2024, 2, 29), datetime(2024, 3, 1))
-    assert times.period_before(as_of, "month") == (datetime(2024, 2, 1), datetime(2024, 3, 1))
+    day = lambda *d: datetime(*d, tzinfo=timezone.utc)
+    assert times.period_before(as_of, "day") == (day(2024, 2, 29), day(2024, 3, 1))
+    assert times.period_before(as_of, "month") == (day(2024, 2, 1), day(2024, 3, 1))
+    east = datetime(2024, 3, 1, 1, 30, tzinfo=timezone(timedelta(hours=2)))
+    assert times.period_before(east, "day") == (day(2024, 2, 28), day(2024, 2, 29))
+    whole = times.whole_periods
+    assert whole(datetime(2024, 1, 1), as_of, "month") == (day(2024, 1, 1), day(2024, 3, 1))
+    assert whole(datetime(2024, 1, 1, 1), as_of, "month") == (day(2024, 2, 1), day(2024, 3, 1))
+    assert whole(datetime(2024, 1, 1, 1), as_of, "day") == (day(2024, 1, 2), day(2024, 3, 1))
 
 
 @pytest.mark.parametrize("text, expected", [
