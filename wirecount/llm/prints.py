@@ -126,16 +126,18 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.col("key_").alias(key), "bins", packed("bins").alias("fingerprint"))
 
 
-def with_next(df: DataFrame, key: str, tie: str, columns: list[str]) -> DataFrame:
+def with_next(df: DataFrame, key: str, tie: str, columns: list[str],
+              keys: DataFrame | None = None) -> DataFrame:
     """``df`` with ``next``, the ``columns`` of the row after it by ``key`` and ``tie``; the
     first row comes after the last.
 
     Rows are dealt to ranges of the key between quantiles, one per shuffle partition. The first
     row of a range also goes to the range before it, and the first of all behind the last.
+    ``keys`` holds the same keys as ``df`` where that is cheaper to read.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = df.agg(
+    seen = (df if keys is None else keys).agg(
         F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10_000)
         .alias("cuts"), F.min(key).alias("least"),
         F.count(F.when(F.col(key).isNull(), 1)).alias("nulls")).first()
