@@ -34,7 +34,7 @@ BUCKETS, DIMENSION, SIZES = 1 << 16, 16, (2, 3, 4)
 #: Bounds of the training sample: texts of a language, languages, and code points of a text
 #: (longer texts are not drawn; every text is predicted whole).
 SAMPLE, LANGUAGES, DRAWN = 400, 200, 8_000
-PASSES, RATE, HELD, REJECTED, MOST = 8, 0.5, 0.2, 0.001, 0.5
+PASSES, RATE, HELD, REJECTED, MOST = 8, 0.5, 0.2, 0.001, 0.35
 #: Code points hashed at a time.
 AT_ONCE = 1 << 20
 
