@@ -25,7 +25,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from wirecount.llm.common import text_of
+from wirecount.llm.common import stored, text_of
 from wirecount.operators.lookup import lookup_join
 
 UNKNOWN = "unknown"
@@ -315,7 +315,8 @@ def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text")
     worded = lines.withColumn("words", F.explode(F.array(words_column(F.col("paragraph")))))
     anchored = worded.where(F.arrays_overlap(
         "words", F.array(*(F.lit(a) for a in model.anchors))))
-    anchored = anchored.withColumn("print", F.sha2("paragraph", 256))
+    # Few lines hold an anchor; kept in a table, the texts are read and split once.
+    anchored = stored(anchored.withColumn("print", F.sha2("paragraph", 256)))
     verdicts = classify(anchored.select("print", "words").distinct(), model)
     found = lookup_join(anchored.drop("words"), verdicts, ["print"], spread_by=["key", "line"])
     return found.select(F.col("key").alias(key), "line", "paragraph", "family", "probability",
