@@ -171,13 +171,21 @@ def sample(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "t
     """
     fit = (allowed & F.col(label).isNotNull() & F.col(key).isNotNull()
            & F.length(text).between(1, DRAWN))
-    order = F.xxhash64(key, F.lit(11))
-    ranked = (
-        docs.where(fit).select(F.col(key).alias("k"), F.col(label).alias("l"), order.alias("o"))
+    scale = 1 << 40
+    order = F.pmod(F.xxhash64(key, F.lit(11)), F.lit(scale))
+    given = docs.where(fit).select(F.col(key).alias("k"), F.col(label).alias("l"),
+                                   order.alias("o"))
+    # The most frequent languages, and the share of each one's hashes that holds about twice the
+    # sample: what is ranked does not grow with the input.
+    shares = (given.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l")
+              .limit(LANGUAGES)
+              .select(F.col("l").alias("l_"), (2 * SAMPLE * scale / F.col("n")).alias("top")))
+    drawn = given.join(F.broadcast(shares),
+                       (F.col("l") == F.col("l_")) & (F.col("o") <= F.col("top")))
+    keys = (
+        drawn.select("k", "l", "o")
         .withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("o", "k")))
-        .where(F.col("r") <= SAMPLE))
-    # A language's rows stand together, so a bound on languages is a bound on rows.
-    keys = ranked.orderBy("r", "l").limit(SAMPLE * LANGUAGES).select("k", "l", "o")
+        .where(F.col("r") <= SAMPLE).drop("r"))
     chosen = docs.where(fit).join(
         F.broadcast(keys), (F.col(key) == F.col("k")) & (F.col(label) == F.col("l")))
     rows = chosen.select("l", "o", F.col(text).alias("t")).collect()
