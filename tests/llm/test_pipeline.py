@@ -6,7 +6,7 @@ import corpus_pipeline as cp
 from tests.conftest import SMALL
 from tests.llm.test_jaccard import by_hand
 from wirecount.llm import contamination
-from wirecount.llm.common import scratch
+from wirecount.session import scratch_dir
 
 
 def stages(spark, docs, sf_dir, last=len(cp.STAGES)):
@@ -44,7 +44,7 @@ def test_nulls_repeats_and_clashing_names(spark):
     words = "and the water of the house with the people in the old town at the river of light"
     rows = [(1, words, "en"), (1, words, "en"), (2, words, "en"), (None, words + " x", "en"),
             (None, words + " x", "en"), (3, None, "en"), (4, "", None), (5, "a", "en")]
-    folder = scratch(spark)
+    folder = scratch_dir(spark)
     df = spark.createDataFrame(
         [(i, t, lang, None, len(t or ""), "e", 1, "g") for i, t, lang in rows],
         "doc_id long, text string, lang string, source string, n_chars long, row string, "

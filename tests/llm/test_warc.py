@@ -8,7 +8,8 @@ import os
 import pytest
 
 from wirecount.llm import warc
-from wirecount.llm.common import scratch, stored
+from wirecount.llm.common import stored
+from wirecount.session import scratch_dir
 
 
 def pages(spark, rows):
@@ -17,7 +18,7 @@ def pages(spark, rows):
 
 def round_trip(spark, rows, least=0, size=7):
     records = warc.with_references(pages(spark, rows), least=least)
-    folder = scratch(spark)
+    folder = scratch_dir(spark)
     manifest = stored(warc.write(records, f"{folder}/archives", size=size))
     return manifest, warc.read(spark, manifest, size=size)
 

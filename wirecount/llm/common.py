@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -11,7 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from wirecount.session import shared_dir
+from wirecount.session import scratch_dir
 
 #: Rows and bytes in one Arrow batch, so that a worker's memory does not depend on the input.
 BATCH = {
@@ -56,23 +55,12 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder under the one all executors share."""
-    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder and read back: lineage ends there."""
-    folder = scratch(df.sparkSession)
+    folder = f"{scratch_dir(df.sparkSession)}/rows"
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def remove(spark: SparkSession, folder: str) -> None:
-    """Delete a folder made by ``scratch``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

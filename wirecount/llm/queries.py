@@ -8,7 +8,8 @@ from wirecount.llm import (
     bpe, chat, contamination, jaccard, langid, licenses, prints, secret_scan,
     warc, wordpiece,
 )
-from wirecount.llm.common import scratch, stored, table, text_of
+from wirecount.llm.common import stored, table, text_of
+from wirecount.session import scratch_dir
 
 QUERIES = {}
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -59,7 +60,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     records = warc.with_references(pages, least=0)
-    manifest = stored(warc.write(records, f"{scratch(spark)}/archives"))
+    manifest = stored(warc.write(records, f"{scratch_dir(spark)}/archives"))
     chunks = warc.read(spark, manifest)
     return chunks.where("last").select(
         "page_id", F.col("payload_bytes"), F.col("digest").alias("payload_digest"),
