@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -69,6 +70,16 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def scratch_dir(spark: SparkSession) -> str:
+    """A new folder under the shared one, deleted when the application ends."""
+    folder = f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(place)
+    system.deleteOnExit(place)
+    return folder
+
+
 def input_bytes(spark: SparkSession, *paths: str) -> int:
     """Bytes of files below ``paths``, as their file systems state them."""
     total = 0

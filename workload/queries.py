@@ -12,7 +12,7 @@ from wirecount.functions import text, times
 from wirecount.operators import keywords as kw, messages as msg, metrics, registry as reg, series
 from wirecount.operators.rollup import keywords_per, label_range, roll_up, roll_up_scheduled
 from wirecount.plans import rollups
-from wirecount.session import shared_dir
+from wirecount.session import scratch_dir
 from wirecount.sources import tables
 from wirecount.sources.channels import read_channels
 from workload import inputs
@@ -31,13 +31,9 @@ def query(fn):
     return fn
 
 
-def _scratch(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/run-{uuid.uuid4().hex}"
-
-
 def _kept(rows: DataFrame) -> DataFrame:
     """Rows of a table that is about to go, in a folder of their own."""
-    folder = _scratch(rows.sparkSession)
+    folder = f"{scratch_dir(rows.sparkSession)}/rows"
     rows.write.parquet(folder)
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
@@ -325,7 +321,7 @@ def channel_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def channel_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{_scratch(spark)}/channels"
+    path = f"{scratch_dir(spark)}/channels"
     listed = inputs.channel_candidates(spark, sf_dir)
     mark = (F.when(F.col("position") % 5 == 0, "").when(F.col("position") % 5 == 1, "soon")
             .otherwise(F.col("position").cast("string")))
@@ -400,7 +396,7 @@ def two_batches_of_one_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in two batches of two streams that number them alike: an hour's counts are the
     sums of all its batches, equal ones included, and a replay adds nothing."""
     heads = inputs.headlines(spark, sf_dir)
-    with _database(spark, _scratch(spark)):
+    with _database(spark, scratch_dir(spark)):
         for run, odd in (("a", 0), ("b", 1), ("a", 0)):
             part = heads.where(F.col("doc_id") % 2 == odd)
             tables.write_batch_counts(keywords_per(part, "hour", k=None, sizes=(1,)), 0, run)
@@ -411,7 +407,7 @@ def two_batches_of_one_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
-    with _database(spark, _scratch(spark)):
+    with _database(spark, scratch_dir(spark)):
         tables.write_batch_counts(hourly, 0)
         rollups.backfill(spark, "day", *ALL_TIME)
         rollups.backfill(spark, "month", *ALL_TIME, exact=False)
@@ -421,7 +417,7 @@ def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
-    with _database(spark, _scratch(spark)):
+    with _database(spark, scratch_dir(spark)):
         tables.write_batch_counts(hourly, 0)
         rollups.backfill(spark, "day", *ALL_TIME)
         return _kept(spark.table("keywords_day"))
@@ -515,7 +511,7 @@ def series_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _bucketed(spark: SparkSession, sf_dir: str, unit: str) -> DataFrame:
     """Events in a table that is partitioned by the date a unit begins with."""
-    folder = _scratch(spark)
+    folder = f"{scratch_dir(spark)}/rows"
     rows = inputs.events(spark, sf_dir).withColumn("date", F.trunc("ts", unit) if unit != "day"
                                                    else F.to_date("ts"))
     rows.hint("rebalance", "date").write.partitionBy("date").parquet(folder)
@@ -566,7 +562,7 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stream_hourly_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wirecount.streaming.hourly import start_hourly
 
-    scratch = _scratch(spark)
+    scratch = scratch_dir(spark)
     heads = inputs.messages(inputs.shaped_headlines(_stream(spark, sf_dir, "documents")))
     sent = msg.to_messages(heads.withColumn("timestamp", F.col("published")))
     topic = sent.select("key", F.col("value").cast("binary").alias("value"),
@@ -583,7 +579,7 @@ def stream_messages_per_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wirecount.streaming.updates import read_updates, start_updates
     from wirecount.streaming.windows import windowed_messages
 
-    scratch = _scratch(spark)
+    scratch = scratch_dir(spark)
     counted = windowed_messages(_stream(spark, sf_dir, "events"), ts="ts")
     start_updates(counted, f"{scratch}/rows", f"{scratch}/checkpoint",
                   every=None).awaitTermination()
@@ -596,7 +592,7 @@ def stream_windowed_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wirecount.streaming.updates import read_updates, start_updates
     from wirecount.streaming.windows import windowed_keywords
 
-    scratch = _scratch(spark)
+    scratch = scratch_dir(spark)
     heads = inputs.shaped_headlines(_stream(spark, sf_dir, "documents"))
     counted = windowed_keywords(heads, stop_words=inputs.stop_words(spark),
                                 lemmas=inputs.lemmas(spark, sf_dir), max_listed=0, max_bytes=0)
@@ -609,7 +605,7 @@ def stream_windowed_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wirecount.streaming.dedup import dedup_stream
 
-    scratch = _scratch(spark)
+    scratch = scratch_dir(spark)
     rows = _stream(spark, sf_dir, "events").withColumn("ts", times.as_instant(F.col("ts")))
     first = rows.withColumn("offset", F.col("event_id") * 2)
     again = rows.withColumn("offset", F.col("event_id") * 2 + 1)
@@ -630,7 +626,7 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from wirecount.sources import snapshots
     from wirecount.streaming.ingest import start_ingest
 
-    scratch = _scratch(spark)
+    scratch = scratch_dir(spark)
     snapshots.publish_channels(inputs.reader_registry(spark, sf_dir), scratch, strict=False)
     rows = _stream(spark, sf_dir, "events")
     start_ingest(inputs.shaped_entries(rows), scratch, to_folder(f"{scratch}/messages"),
