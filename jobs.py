@@ -41,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--out", help="folder for messages, instead of Kafka")
     p.add_argument("--servers", help="Kafka bootstrap servers")
     p.add_argument("--rejects")
+    p.add_argument("--landed-after", type=datetime.fromisoformat,
+                   help="leave out documents that landed before, UTC")
     p.add_argument("--checkpoint", help="run as a stream that continues from here")
 
     p = job("hourly", "count keywords of the topic, hour by hour")
@@ -98,7 +100,7 @@ def main(argv: list[str] | None = None):
             return start_ingest(stream, args.state, send, args.checkpoint,
                                 rejects_path=args.rejects).awaitTermination()
         session.size_shuffles(spark, session.input_bytes(spark, args.landing))
-        landed = entries.read_entries_xml(spark, args.landing, args.dialect)
+        landed = entries.read_entries_xml(spark, args.landing, args.dialect, args.landed_after)
         return ingest.ingest(landed, args.state, send, rejects_path=args.rejects, as_of=as_of)
     if args.job == "hourly":
         stream = topic.topic_stream(spark, "parquet", args.path) if args.path else (

@@ -1,4 +1,6 @@
-from datetime import datetime, timedelta
+import os
+import time
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -241,6 +243,20 @@ def test_landed_feeds(spark, tmp_path):
         (8, "Atomic", "2023-11-13T23:43:15Z")]
 
 
+def test_documents_that_landed_before_are_left_out(spark, tmp_path):
+    folder = tmp_path / "rss" / "channel_id=7"
+    folder.mkdir(parents=True)
+    for name, age in (("old", 7200), ("new", 0)):
+        (folder / f"{name}.xml").write_text(RSS.replace("One", name))
+        then = time.time() - age
+        os.utime(folder / f"{name}.xml", (then, then))
+    hour_ago = datetime.now(timezone.utc) - timedelta(hours=1)
+    got = entries.read_entries_xml(spark, str(tmp_path / "rss"), landed_after=hour_ago)
+    titles = {r["title"] for r in got.collect()}
+    assert "new &amp; only".replace("&amp;", "&") in titles and len(titles) == 3
+    assert got.count() == 3
+
+
 def test_file_backed_topic(spark, tmp_path):
     sent = spark.range(50).select(F.concat(F.lit("m"), "id").cast("binary").alias("key"),
                                   F.lit("{}").cast("binary").alias("value"),

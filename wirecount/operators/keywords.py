@@ -221,21 +221,22 @@ def top_of_latest(counts: DataFrame, label: str = "hour", k: int = TOP) -> DataF
 
 
 def titles_in_chunks(headlines: DataFrame, by: Sequence[str], title: str = "title",
-                     chunk_size: int = 10_000) -> DataFrame:
+                     chunk_size: int = 10_000, chunk_bytes: int = 32 << 20) -> DataFrame:
     """All titles per group as arrays of about ``chunk_size`` distinct titles each.
 
-    Equal titles are one element with a count ``n``. A group above ``chunk_size`` is
-    spread over several ``chunk`` rows by the hash of its titles, so no single row or
-    task has to hold a hot group.
+    Equal titles are one element with a count ``n``. A group above ``chunk_size`` titles or
+    ``chunk_bytes`` of text is spread over several ``chunk`` rows by the hash of its titles,
+    so no single row or task has to hold a hot group.
     """
     distinct = (
         one_title_per_row(headlines, title)
         .groupBy(*by, F.col(title).alias("title")).agg(F.count("*").alias("n"))
     )
     large = (
-        distinct.groupBy(*by).agg(F.count("*").alias("_titles"))
-        .where(F.col("_titles") > chunk_size)
-        .select(*by, F.ceil(F.col("_titles") / chunk_size).alias("_chunks"))
+        distinct.groupBy(*by).agg(F.greatest(
+            F.ceil(F.count("*") / chunk_size),
+            F.ceil(F.sum(F.octet_length("title")) / chunk_bytes)).alias("_chunks"))
+        .where("_chunks > 1")
     )
     number = F.conv(F.substr(F.md5(F.col("title").cast("binary")), F.lit(1), F.lit(8)), 16, 10)
     chunk = F.when(F.col("_chunks").isNull(), F.lit(0)).otherwise(
