@@ -21,7 +21,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wirecount.llm.common import text_of
+from wirecount.llm.common import stored, text_of
 
 # The control strings of common chat templates.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>",
@@ -116,7 +116,8 @@ def windows(turns: DataFrame, budget: Budget = Budget()) -> DataFrame:
     ``text``; ``tokens``; ``targets``: place and length in ``text``, in code points and from 0,
     of the escaped text of each new assistant turn.
     """
-    placed = placed_turns(turns, budget)
+    # Turns take part as new ones, as history and as system turns: they are placed once.
+    placed = stored(placed_turns(turns, budget))
     found = placed.groupBy("conv", "cell", "alone").agg(
         F.min("a").alias("start"), F.min("stride").alias("stride"))
     named = found.select(*(F.col(c).alias(f"{c}_") for c in found.columns))
