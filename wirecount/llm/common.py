@@ -12,11 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from wirecount.session import scratch_dir
 
-#: Rows and bytes in one Arrow batch, so that a worker's memory does not depend on the input.
-BATCH = {
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
-}
+#: Rows in one Arrow batch, so that a worker holds a bounded number of texts at a time.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
 
 
 def text_of(column: str | Column) -> Column:
