@@ -79,3 +79,28 @@ def test_planted_secrets_of_the_given_table(spark):
             for m in re.finditer(r'(?i)token = "([0-9a-f]{40})"', t)}
     got = {(r["doc_id"], r["start"]) for r in op1_secret_scan(spark, LARGER).collect()}
     assert want and got == want
+
+
+@pytest.mark.parametrize("text, secret", [
+    ("POSTGRES_PASSWORD=hunter2hunter", "hunter2hunter"),
+    ("SPRING_DATASOURCE_PASSWORD=p@ss!w0rd#24", "p@ss!w0rd#24"),
+    ('github_access_token = "abc123def456"', "abc123def456"),
+    ("the STRIPE_WEBHOOK_SECRET_V2: 'x7Kq!9dLm2' house", "x7Kq!9dLm2"),
+])
+def test_values_behind_long_names(scanner, text, secret):
+    assert [text[a:b] for a, b, _ in scanner.findings(text)] == [secret]
+    assert ss.redacted(text, scanner.findings(text)) == text.replace(secret, ss.MASK)
+
+
+def test_candidates_merge_and_names_are_none():
+    run = "aB3dE5fG7hJ9kL1mN3pQ5"
+    assert list(ss.candidates(f"password={run}!{run} {run}")) == [(9, 52), (53, 74)]
+    assert list(ss.candidates("SPRING_DATASOURCE_PASSWORD=short")) == [(0, 27)]
+    assert list(ss.candidates("my_long_access_token=abcdefgh")) == [(21, 29)]
+    assert list(ss.candidates("token=" * 200_000)) == [(6, 1_200_000)]
+
+
+def test_findings_to_learn_from_have_long_names():
+    found = ss.labelled_findings(COMMON, 1500, seed=99)
+    assert any(re.search(r"(?i)[a-z_]{16,}\W{1,5}$", t[:a]) and b - a < 16 and secret
+               for t, a, b, _, secret in found)

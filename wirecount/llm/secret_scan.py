@@ -45,10 +45,13 @@ PREFIXES = (("aws", "AKIA"), ("aws", "ASIA"), ("github", "ghp_"), ("github", "gh
             ("google", "AIza"), ("gitlab", "glpat-"))
 TEST_PATHS = ("test", "example", "sample", "mock", "fixture", "doc", "vendor", "lock")
 
-CANDIDATE = re.compile(
-    r"(?P<run>(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{16,}={0,2})"
-    r"|(?i:pass(?:word|wd)|pwd|secret|token|api_?key)[\"']?\s{0,3}[:=]\s{0,3}"
+RUN = re.compile(r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{16,}={0,2}")
+NAMED = re.compile(
+    r"(?i:pass(?:word|wd)|pwd|secret|token|api_?key)[A-Za-z0-9_.\-]{0,40}[\"']?\s{0,3}"
+    r"(?:[:=]=?|=>)\s{0,3}"
     r"(?P<value>\"[^\"\s]{8,}\"|'[^'\s]{8,}'|[^\s\"']{8,})")
+#: A run before a value is its name, and no candidate, with so many digits at most.
+NAME_DIGITS = 4
 NEAR = re.compile(r"[^\W_]+")
 LETTERS = re.compile(r"[a-z]+")
 FEATURES = 20
@@ -103,12 +106,36 @@ class Words:
 
 
 def candidates(text: str) -> Iterator[tuple[int, int]]:
-    """Start and end of each candidate, in order and without overlaps."""
-    for found in CANDIDATE.finditer(text):
-        start, end = found.span(found.lastgroup)
-        if found.lastgroup == "value" and text[start] in "\"'" and text[end - 1] == text[start]:
+    """Start and end of each candidate, in order and without overlaps.
+
+    Named values are looked for apart from runs, as a long name is a run itself.
+    """
+    spans, names = [], []
+    for found in NAMED.finditer(text):
+        start, end = found.span("value")
+        names.append((found.start(), start))
+        if text[start] in "\"'" and text[end - 1] == text[start]:
             start, end = start + 1, end - 1
-        yield start, end
+        spans.append((start, end))
+    at = 0
+    for found in RUN.finditer(text):
+        start, end = found.span()
+        while at < len(names) and names[at][1] < end:
+            at += 1
+        if at < len(names) and names[at][0] < end and sum(
+                c.isdigit() for c in found.group()) <= NAME_DIGITS:
+            continue
+        spans.append((start, end))
+    last = None
+    for start, end in sorted(spans):
+        if last and start < last[1]:
+            last = (last[0], max(last[1], end))
+            continue
+        if last:
+            yield last
+        last = (start, end)
+    if last:
+        yield last
 
 
 def kind_of(value: str) -> str:
@@ -247,7 +274,7 @@ def labelled_findings(words: dict[str, int], n: int = FINDINGS, seed: int = 5
         return " ".join(pick(known) + pick(["", "", "", ".", ","]) for _ in range(size))
 
     def secret():
-        form = int(rng.integers(7))
+        form = int(rng.integers(9))
         if form <= 1:
             return draw("0123456789abcdef", pick([32, 40, 40, 48, 64]))
         if form == 2:
@@ -260,16 +287,26 @@ def labelled_findings(words: dict[str, int], n: int = FINDINGS, seed: int = 5
             return draw(every, pick([20, 24, 32]))
         if form == 5:
             return draw(every + "_-", pick([22, 36, 43]))
-        return draw(every + "!$%&*", pick([10, 14, 18]))
+        if form == 6:
+            return draw(every + "!$%&*", pick([10, 14, 18]))
+        if form == 7:
+            return draw(low + digits, int(rng.integers(8, 16)))
+        # Passwords that people make: words with digits and signs in or behind them.
+        value = "".join(pick([pick(known), draw(low, int(rng.integers(3, 7)))])
+                        + draw(digits, int(rng.integers(1, 4))) + pick(["", "", "!", "#", "@"])
+                        for _ in range(2))
+        return (value + draw(digits, 8))[:max(8, min(len(value), 15))]
 
     def named(value):
         name = pick(["token", "api_key", "secret", "password", "access_token", "auth_token",
-                     "API_KEY", "secret_key", "client_secret"])
+                     "API_KEY", "secret_key", "client_secret",
+                     "POSTGRES_PASSWORD", "SPRING_DATASOURCE_PASSWORD", "github_access_token",
+                     "AWS_SECRET_ACCESS_KEY", "registry_auth_token", "stripe_webhook_secret"])
         quote = pick(['"', "'", ""])
         return f"{name}{pick([' = ', '=', ': ', ' : '])}{quote}", value, quote
 
     def innocent():
-        form = int(rng.integers(10))
+        form = int(rng.integers(11))
         if form <= 3:
             value = ""
             while len(value) < int(rng.integers(16, 60)):
@@ -292,6 +329,9 @@ def labelled_findings(words: dict[str, int], n: int = FINDINGS, seed: int = 5
                                "placeholder-token-here", "************", "insert-token-here"]))
         if form == 8:
             return pick(["", "| "]), pick("-=_*#ax") * int(rng.integers(16, 80)), ""
+        if form == 9:
+            return named(pick(["", "get_", "the-"]) + pick(known) + pick(["_", "-", ""])
+                         + pick(known) + pick(["", "", "()", ","]))
         return pick(["", "no ", "card "]), draw(digits, pick([16, 18, 20])), ""
 
     out = []
