@@ -4,9 +4,13 @@ Language ID drops what it rejects; of every group of near duplicates the documen
 smallest identifier stays; documents that hold a benchmark item go; secrets are masked; the rest
 is encoded. Every stage but the last returns the columns of ``documents``.
 
-Defined results: rows without identifier take no part in the two dropping joins and stay; of rows
-with one identifier one stays; null texts are rejected by the first stage; an empty table gives
-an empty result. ``lang`` and ``source`` are never looked at to drop a document.
+Both dropping joins go by a stored number of each row, not by ``doc_id``, so a row never takes
+another one of its identifier with it.
+
+Defined results: rows without identifier take no part in the near-duplicate join and stay there,
+but go if they hold a benchmark item; of rows with one identifier the near copies go and those
+that differ stay; null texts are rejected by the first stage; an empty table gives an empty
+result. ``lang`` and ``source`` are never looked at to drop a document.
 """
 
 from __future__ import annotations
@@ -22,26 +26,37 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return langid.accepted(docs, language_model(docs))
 
 
-def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose identifier is not among ``ids (gone)``; those without one stay."""
-    return docs.join(ids, docs["doc_id"] == ids["gone"], "left_anti")
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` written with a number for each row, and the name of that column."""
+    row = free_name(docs, "row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id())), row
+
+
+def _without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """The rows whose number is not among ``gone (row)``, without the number."""
+    return docs.join(gone.select(F.col(row)), row, "left_anti").drop(row)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    grouped = jaccard.near_duplicates(docs.select("doc_id", "text"))
-    gone = grouped.where("doc_id != group_id").select(F.col("doc_id").alias("gone")).distinct()
-    kept = _without(docs, gone)
-    # Rows that repeat an identifier are copies too; those without one are told apart.
-    alone = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
-    row = free_name(kept, "row")
-    return kept.withColumn(row, alone).dropDuplicates(["doc_id", row]).drop(row)
+    numbered, row = _numbered(docs)
+    named = numbered.where(F.col("doc_id").isNotNull())
+    grouped = jaccard.near_duplicates(named.select(row, "text"), key=row).select(row, "group_id")
+    # The smallest identifier of a group stays; among its rows the content decides, whatever
+    # number a row got.
+    content = F.xxhash64(*(F.col(c) for c in docs.columns))
+    placed = stored(grouped.join(named.select(
+        F.col(row), F.struct("doc_id", content.alias("content"), F.col(row).alias("at"))
+        .alias("place")), row))
+    first = placed.groupBy("group_id").agg(F.min("place").alias("first"))
+    stay = first.select(F.col("first.at").alias(row))
+    return _without(numbered, row, placed.join(stay, row, "left_anti"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = contamination.contaminated(docs.select("doc_id", "text"), benchmark)
-    gone = found.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("gone")).distinct()
-    return _without(docs, gone)
+    numbered, row = _numbered(docs)
+    found = contamination.contaminated(numbered.select(row, "text"), benchmark, key=row)
+    return _without(numbered, row, found.select(row).distinct())
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

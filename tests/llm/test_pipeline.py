@@ -56,3 +56,26 @@ def test_nulls_repeats_and_clashing_names(spark):
     assert sorted(r["doc_id"] or 0 for r in found[-2].collect()) == [0, 0, 1, 5]
     empty = stages(spark, df.where("false"), folder)
     assert empty[-1].count() == 0
+
+
+def test_rows_of_one_identifier_are_dropped_one_by_one(spark):
+    copied = "and the water of the house with the people in the old town at the river of light"
+    alone = "a green stone under small paper never great for every other thing that time saw"
+    other = "we went up the hill once more before dawn because nobody had told us not to go"
+    item = "which of these seven planets has the longest day and the shortest year of all"
+    rows = [(1, copied), (2, copied + " x"), (2, alone), (3, other), (3, "so " + item),
+            (None, item + " x"), (4, item), (5, alone[::-1]), (5, other[::-1])]
+    df = spark.createDataFrame([(i, t, "en", None, len(t)) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, "
+                               "n_chars long")
+    folder = scratch_dir(spark)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(
+        f"{folder}/benchmark.parquet")
+
+    def left(stage, docs):
+        return {(r["doc_id"], r["text"]) for r in stage(spark, docs, folder).collect()}
+
+    single = left(cp.join_near_duplicates, df)
+    assert single == set(rows) - {(2, copied + " x"), (4, item)}
+    assert left(cp.join_near_duplicates, df.orderBy("text").repartition(3)) == single
+    assert left(cp.decontaminate, df) == {r for r in rows if item not in r[1]}
