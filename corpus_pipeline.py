@@ -2,7 +2,7 @@
 
 Language ID drops what it rejects; of every group of near duplicates the document with the
 smallest identifier stays; documents that hold a benchmark item go; secrets are masked; the rest
-is encoded. Every stage but the last returns the columns of ``documents``.
+is encoded and decoded again. Every stage but the last returns the columns of ``documents``.
 
 Both dropping joins go by a stored number of each row, not by ``doc_id``, so a row never takes
 another one of its identifier with it.
@@ -66,9 +66,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = bpe.encode(docs, BYTE_BPE)
+    coded = bpe.encode_decode(docs, BYTE_BPE)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                        F.sha2("ids", 256).alias("ids_sha256"), "ids")
+                        F.sha2("ids", 256).alias("ids_sha256"), "ids",
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 STAGES = [

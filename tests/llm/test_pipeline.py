@@ -1,5 +1,7 @@
 """The pipeline: stages, columns, planted cases and defined ones."""
 
+import hashlib
+
 import numpy as np
 
 import corpus_pipeline as cp
@@ -79,3 +81,10 @@ def test_rows_of_one_identifier_are_dropped_one_by_one(spark):
     assert single == set(rows) - {(2, copied + " x"), (4, item)}
     assert left(cp.join_near_duplicates, df.orderBy("text").repartition(3)) == single
     assert left(cp.decontaminate, df) == {r for r in rows if item not in r[1]}
+
+
+def test_the_last_stage_decodes(spark):
+    text = "the water \u00e9 of the house"
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = cp.encode(spark, df, "").first()
+    assert got["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
