@@ -87,3 +87,25 @@ def test_no_python_in_the_plan(spark, model):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = licenses.scan(df, model)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+NOTICES = [licenses.TEMPLATES["MIT"][2], licenses.TEMPLATES["BSD"][0],
+           licenses.TEMPLATES["Unlicense"][1]]
+
+
+@pytest.mark.parametrize("notice", NOTICES)
+def test_a_frequent_notice_is_still_found(spark, notice):
+    cut = notice.split()
+    parts = [" ".join(cut[i:i + 10]) for i in range(0, len(cut), 10)]
+    for lines in ([notice] * 60, ["# " + p for p in parts] * 30):
+        frequent = licenses.train(PROSE + lines)
+        got = scanned(spark, frequent, [(1, notice)])
+        assert got[1, 0]["confirmed"] and got[1, 0]["probability"] > 0.9
+
+
+def test_every_template_has_an_anchor():
+    words = sorted({w for ts in licenses.TEMPLATES.values() for t in ts
+                    for w in licenses.words_of(t)})
+    anchors = set(licenses.train([f"{w} x {v}" for w in words for v in ("a", "b")] * 5).anchors)
+    assert all(anchors & set(licenses.words_of(t))
+               for ts in licenses.TEMPLATES.values() for t in ts)

@@ -3,7 +3,8 @@
 Paragraphs are lines. Their word n-grams of one to three words go through a sparse multinomial
 logistic regression whose classes are licence families and ``unknown``. Its features are
 n-grams of the templates that hold an anchor, a template word that ordinary text hardly uses;
-a paragraph without an anchor has no feature and is unknown without being scored. A family
+lines that resemble a template are not ordinary, and no template is without an anchor. A paragraph
+without an anchor has no feature and is unknown without being scored. A family
 is given where its calibrated probability reaches the threshold, and confirmed where the
 paragraph holds enough of one of the family's templates.
 
@@ -35,6 +36,9 @@ SAMPLE, DRAWN = 2000, 4000
 #: Forms made of each template, and the share of ordinary lines that may hold an anchor.
 FORMS, COMMON = 24, 0.001
 STEPS, RATE, SPARSE, HELD, CONFIRMED = 300, 2.0, 2e-4, 0.25, 0.6
+#: A line is no ordinary text if so many of its trigrams, that share of them, or that share of a
+#: template's trigrams are shared with a template.
+LIKE, LIKE_SHARE = 3, 0.3
 
 # Notices of licence families.
 TEMPLATES = {
@@ -170,19 +174,49 @@ def _forms(text: str, prose: list[list[str]], rng) -> list[list[str]]:
     return out
 
 
+def _trigrams(words: list[str]) -> set[tuple[str, ...]]:
+    return set(zip(words, words[1:], words[2:]))
+
+
+def _resembling():
+    """Whether a line's words are those of a template or of a part of one."""
+    each = [t for t in (_trigrams(words_of(x)) for texts in TEMPLATES.values() for x in texts) if t]
+    every = set().union(*each)
+
+    def resembles(words: list[str]) -> bool:
+        own = _trigrams(words)
+        shared = own & every
+        return bool(shared) and (
+            len(shared) >= LIKE or len(shared) >= LIKE_SHARE * len(own)
+            or any(len(shared & t) >= LIKE_SHARE * len(t) for t in each))
+
+    return resembles
+
+
+def _anchors(held_by: dict[str, int], most: float) -> list[str]:
+    """Template words that ordinary lines hardly hold; a template without one has its rarest."""
+    found = set()
+    for text in (t for texts in TEMPLATES.values() for t in texts):
+        words = {w for w in words_of(text) if len(w) > 1}
+        limit = max(most, min(held_by.get(w, 0) for w in words))
+        found |= {w for w in words if held_by.get(w, 0) <= limit}
+    return sorted(found)
+
+
 def train(lines: list[str], seed: int = 13) -> Model:
     """Fit on the templates and a sample of ordinary lines."""
     rng = np.random.default_rng(seed)
     families = sorted(TEMPLATES)
     mentioned = re.compile(r"licen|copyright|spdx|warrant|public domain", re.I)
-    prose = [w for w in (words_of(x) for x in lines if not mentioned.search(x)) if w]
+    resembles = _resembling()
+    prose = [w for w in (words_of(x) for x in lines if not mentioned.search(x))
+             if w and not resembles(w)]
     held_by: dict[str, int] = {}
     for words in prose:
         for w in set(words):
             held_by[w] = held_by.get(w, 0) + 1
     most = COMMON * max(1, len(prose))
-    anchors = sorted({w for texts in TEMPLATES.values() for t in texts for w in words_of(t)
-                      if len(w) > 1 and held_by.get(w, 0) <= most})
+    anchors = _anchors(held_by, most)
     known = set(anchors)
     vocabulary = sorted({g for texts in TEMPLATES.values() for t in texts
                          for g in grams_of(words_of(t)) if known & set(g.split())})
