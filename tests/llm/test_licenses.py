@@ -1,6 +1,7 @@
 """Licence scan: families, unknown texts and defined cases."""
 
 import re
+import textwrap
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,15 @@ def test_every_template_has_an_anchor():
     anchors = set(licenses.train([f"{w} x {v}" for w in words for v in ("a", "b")] * 5).anchors)
     assert all(anchors & set(licenses.words_of(t))
                for ts in licenses.TEMPLATES.values() for t in ts)
+
+
+@pytest.mark.parametrize("width, sign", [(30, "# "), (72, " * "), (76, "")])
+def test_wrapped_templates(spark, model, width, sign):
+    templates = [(f, t) for f, texts in licenses.TEMPLATES.items() for t in texts]
+    rows = [(i, "\n".join(["people of the town", ""]
+                          + [sign + x for x in textwrap.wrap(t, width)] + ["", "a river"]))
+            for i, (_, t) in enumerate(templates)]
+    found = [r for r in scanned(spark, model, rows).values() if r["confirmed"]]
+    assert {(r["doc_id"], r["family"]) for r in found} == {
+        (i, f) for i, (f, _) in enumerate(templates)}
+    assert all(r["line"] == 2 for r in found if "\n" in r["paragraph"])

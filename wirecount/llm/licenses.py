@@ -1,6 +1,7 @@
 """Licence scan: a trained classifier of paragraphs, confirmed by template comparison.
 
-Paragraphs are lines. Their word n-grams of one to three words go through a sparse multinomial
+Paragraphs are lines, and notices wrapped over several lines: lines are joined where the words on
+either side of a line end follow each other in a template. Their word n-grams of one to three words go through a sparse multinomial
 logistic regression whose classes are licence families and ``unknown``. Its features are
 n-grams of the templates that hold an anchor, a template word that ordinary text hardly uses;
 lines that resemble a template are not ordinary, and no template is without an anchor. A paragraph
@@ -12,6 +13,9 @@ Training is numpy on the templates and a bounded sample of lines. Scanning is Da
 operations only: equal paragraphs are scored once and the verdicts joined back, spread over
 salts where they are too many to broadcast.
 
+A joined paragraph is reported at its first line, if it is confirmed and none of its lines is for
+its family; its unconfirmed lines of that family are then left out.
+
 Defined results: null and empty texts have no paragraphs; rows without identifier are reported
 with a null one, repeated rows each; ties between families go to the first in alphabetic order;
 other columns are ignored, whatever their names; an empty table gives an empty result.
@@ -340,18 +344,57 @@ def classify(paragraphs: DataFrame, model: Model) -> DataFrame:
         (similarity >= CONFIRMED).alias("confirmed"))
 
 
+def _following() -> list[str]:
+    """Word pairs that follow each other in a template, or with one word left out."""
+    return sorted({f"{a} {b}" for texts in TEMPLATES.values() for t in texts
+                   for words in [words_of(t)]
+                   for a, b in [*zip(words, words[1:]), *zip(words, words[2:])]})
+
+
 def scan(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, line, paragraph, family, probability, similarity, confirmed`` of every paragraph
-    that holds an anchor; ``line`` counts from 0."""
-    lines = docs.select(F.col(key).alias("key"),
-                        F.posexplode(F.split(text_of(text), "\n")).alias("line", "paragraph"))
+    """``key, line, paragraph, family, probability, similarity, confirmed`` of every line that
+    holds an anchor, and of joined lines; ``line`` counts from 0."""
+    pairs = _following()
+    texts = docs.select(F.col(key).alias("key"), F.split(text_of(text), "\n").alias("lines"))
     # The generator keeps the words one value, instead of a split repeated wherever they are used.
-    worded = lines.withColumn("words", F.explode(F.array(words_column(F.col("paragraph")))))
-    anchored = worded.where(F.arrays_overlap(
-        "words", F.array(*(F.lit(a) for a in model.anchors))))
-    # Few lines hold an anchor; kept in a table, the texts are read and split once.
-    anchored = stored(anchored.withColumn("print", F.sha2("paragraph", 256)))
-    verdicts = classify(anchored.select("print", "words").distinct(), model)
-    found = lookup_join(anchored.drop("words"), verdicts, ["print"], spread_by=["key", "line"])
-    return found.select(F.col("key").alias(key), "line", "paragraph", "family", "probability",
-                        "similarity", "confirmed")
+    worded = texts.withColumn("words", F.explode(F.array(F.transform("lines", words_column))))
+
+    def starts(words, i):
+        before = F.element_at("words", F.greatest(i, F.lit(1)))
+        joins = F.concat_ws(" ", F.try_element_at(before, F.lit(-1)),
+                            F.try_element_at(words, F.lit(1))).isin(pairs)
+        return F.when((i == 0) | ~joins, i)
+
+    first = F.filter(F.transform("words", starts), lambda i: i.isNotNull())
+    cut = worded.withColumn("first", F.explode(F.array(first)))
+    runs = cut.select("key", F.explode(F.transform("first", lambda a, j: F.struct(
+        a.alias("start"),
+        *(F.slice(c, a + 1, F.coalesce(F.try_element_at("first", j + 2), F.size("words")) - a)
+          .alias(c) for c in ("lines", "words"))))).alias("run")).select("key", "run.*")
+    known = F.array(*(F.lit(a) for a in model.anchors))
+    # Few runs hold an anchor; kept in a table, the texts are read and split once.
+    anchored = stored(runs.where(F.arrays_overlap(F.flatten("words"), known))
+                      .withColumn("run", F.monotonically_increasing_id()))
+    parts = anchored.select("key", "run", F.lit(False).alias("whole"), "start", F.posexplode(
+        F.arrays_zip("lines", "words")).alias("at", "part")).select(
+        "key", "run", "whole", (F.col("start") + F.col("at")).alias("line"),
+        F.col("part.lines").alias("paragraph"), F.col("part.words").alias("words")).where(
+        F.arrays_overlap("words", known))
+    wholes = anchored.where(F.size("lines") > 1).select(
+        "key", "run", F.lit(True).alias("whole"), F.col("start").alias("line"),
+        F.array_join("lines", "\n").alias("paragraph"), F.flatten("words").alias("words"))
+    units = stored(parts.unionByName(wholes).withColumn("print", F.sha2("paragraph", 256)))
+    verdicts = classify(units.select("print", "words").distinct(), model)
+    found = stored(lookup_join(units.drop("words"), verdicts, ["print"],
+                               spread_by=["key", "line"]))
+    # A run is a part of one text; only its verdicts meet.
+    joined = found.where("whole AND confirmed").select("run", F.col("family").alias("of"))
+    alone = found.where("NOT whole AND confirmed").select("run", F.col("family").alias("of"))
+    reported = stored(joined.join(alone.distinct(), ["run", "of"], "left_anti"))
+    lines = found.where("NOT whole").join(
+        reported, (found["run"] == reported["run"]) & (found["family"] == reported["of"])
+        & ~found["confirmed"], "left_anti")
+    wanted = found.where("whole").join(reported.select("run"), "run", "left_semi")
+    return lines.unionByName(wanted).select(
+        F.col("key").alias(key), "line", "paragraph", "family", "probability", "similarity",
+        "confirmed")
