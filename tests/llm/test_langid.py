@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy and defined cases."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from wirecount.llm import langid
@@ -66,3 +67,23 @@ def test_long_text_is_hashed_in_pieces(monkeypatch):
     monkeypatch.setattr(langid, "AT_ONCE", 100)
     assert abs(learned.logits(text) - whole).max() < 1e-6
     assert language_model is not None
+
+
+def tongue(letters, seed):
+    """Texts of a made-up language, whose words are made of these letters."""
+    rng = np.random.default_rng(seed)
+    words = ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(300)]
+    return [" ".join(rng.choice(words, 80)) for _ in range(150)], words
+
+
+def test_unlearned_languages_and_junk_are_rejected():
+    (a, words), (b, _), (c, _) = tongue("abcdefgh", 1), tongue("efghijkl", 2), tongue("cdefghij", 3)
+    junk = ["".join(np.random.default_rng(i).choice(list("abcdefghijkl   "), 500))
+            for i in range(30)]
+    for texts, labels in ((a[:100], ["a"] * 100), (a[:100] + b[:100], ["a"] * 100 + ["b"] * 100)):
+        learned = langid.train(texts, labels)
+        assert not any(learned.predict(t)[2] for t in a[100:] + words)
+        assert all(learned.predict(t)[2] for t in c)
+        assert all(learned.predict(t)[2] for t in junk)
+        # One word says too little to be rejected.
+        assert learned.predict("dog")[2] is False

@@ -6,9 +6,12 @@ a linear softmax. Both are trained here by stochastic gradient descent in numpy,
 sample of labelled texts. As average and softmax layer are linear, a trained model scores a text
 by adding one row of class scores per subword.
 
-Rejection is calibrated on texts of the sample that training did not see: the temperature is the
-one of least log loss, the threshold the score that all but ``REJECTED`` of the correct
-predictions reach, and never over ``MOST``.
+Rejection is calibrated on texts of the sample that training did not see, and on pieces of them
+from one word up: the temperature is the one of least log loss. Two things are looked at, the
+score and the share of the subwords that the predicted language's texts held. The bounds belong
+to a length: all but ``REJECTED`` of the correct predictions reach them, and they lie halfway to
+what should go, which is pieces with shuffled letters and pieces whose own language is left out,
+where the two can be told apart. Short texts say little, so their bounds are lowered.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and rejected; every
 other text gets a learned language, ties going to the first in alphabetic order; a sample of one
@@ -34,7 +37,9 @@ BUCKETS, DIMENSION, SIZES = 1 << 16, 16, (2, 3, 4)
 #: Bounds of the training sample: texts of a language, languages, and code points of a text
 #: (longer texts are not drawn; every text is predicted whole).
 SAMPLE, LANGUAGES, DRAWN = 400, 200, 8_000
-PASSES, RATE, HELD, REJECTED, MOST = 8, 0.5, 0.2, 0.001, 0.35
+PASSES, RATE, HELD, REJECTED = 8, 0.5, 0.2, 0.001
+#: Pieces of a length that a bound needs, and subwords that count as one word.
+LEAST_PIECES, A_WORD = 10, 9
 #: Code points hashed at a time.
 AT_ONCE = 1 << 20
 
@@ -77,25 +82,39 @@ class Model:
     scores: np.ndarray  # a row of class scores per embedding row
     bias: np.ndarray
     temperature: float = 1.0
-    threshold: float = 0.0
+    known: np.ndarray | None = None  # whether a language's texts held an embedding row
+    bounds: np.ndarray | None = None  # least score and least share by length
 
     def logits(self, text: str) -> np.ndarray | None:
         """Class scores of a whole text, hashed piece by piece; None without a letter."""
-        total, n = np.zeros(len(self.bias)), 0
+        return self._measured(text)[0]
+
+    def _measured(self, text: str) -> tuple[np.ndarray | None, np.ndarray | None, int]:
+        """Class scores, the share of the subwords each language knows, and their number."""
+        total, held, n = np.zeros(len(self.bias)), np.zeros(len(self.bias)), 0
         for piece in _pieces(text):
             rows = subwords(piece)
             total += self.scores[rows].sum(axis=0, dtype=np.float64)
+            if self.bounds is not None:
+                held += self.known[rows].sum(axis=0)
             n += len(rows)
-        return total / n + self.bias if n else None
+        return (total / n + self.bias, held / n, n) if n else (None, None, 0)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        logits = self.logits(text) if text and self.languages else None
+        logits, held, n = self._measured(text) if text and self.languages else (None, None, 0)
         if logits is None:
             return UNKNOWN, 0.0, True
         shares = _softmax(logits[None, :] / self.temperature)[0]
         best = int(shares.argmax())
         score = float(shares[best])
-        return self.languages[best], score, score < self.threshold
+        if self.bounds is None:
+            return self.languages[best], score, False
+        least = self.bounds[min(_length(n), len(self.bounds) - 1)]
+        return self.languages[best], score, bool(score < least[0] or held[best] < least[1])
+
+
+def _length(n: int) -> int:
+    return n.bit_length() - 1
 
 
 def _pieces(text: str) -> Iterator[str]:
@@ -147,20 +166,71 @@ def train(texts: list[str], labels: list[str], seed: int = 7) -> Model:
     model = Model(languages, (embeddings @ weights).astype(np.float32), bias)
     if len(held):
         logits = np.array([model.scores[found[i]].mean(axis=0) + bias for i in held])
-        model.temperature, model.threshold = _calibrated(logits, goal[held])
+        model.temperature = _temperature(logits, goal[held])
+        model.known = np.zeros((BUCKETS, len(languages)), bool)
+        for i in learned:
+            model.known[found[i], goal[i]] = True
+        model.bounds = _bounds(model, [texts[kept[i]] for i in held], goal[held], rng)
     return model
 
 
-def _calibrated(logits: np.ndarray, goal: np.ndarray) -> tuple[float, float]:
+def _temperature(logits: np.ndarray, goal: np.ndarray) -> float:
     at = np.arange(len(goal))
     grid = np.geomspace(0.1, 10, 41)
     loss = [-np.log(_softmax(logits / t)[at, goal] + 1e-12).mean() for t in grid]
-    temperature = float(grid[int(np.argmin(loss))])
-    shares = _softmax(logits / temperature)
-    right = shares[at, goal][shares.argmax(axis=1) == goal]
-    threshold = float(np.quantile(right, REJECTED)) if len(right) else 0.0
-    # Just below the lowest kept score, so that a text scoring the same stays.
-    return temperature, min(MOST, threshold * 0.9)
+    return float(grid[int(np.argmin(loss))])
+
+
+def _cuts(text: str, rng) -> Iterator[str]:
+    """A text, and pieces of it of 1, 2, 4 and more words."""
+    words, size = text.split(), 1
+    while size < len(words):
+        at = int(rng.integers(len(words) - size + 1))
+        yield " ".join(words[at:at + size])
+        size *= 2
+    yield text
+
+
+def _bounds(model: Model, texts: list[str], goal: np.ndarray, rng) -> np.ndarray:
+    """Least score and least share of known subwords, for each power of two of subwords."""
+    stay: dict[int, list] = {}
+    go: dict[int, list] = {}
+
+    def measured(into, piece: str, left_out: int | None, wanted: int | None) -> None:
+        rows = subwords(piece)
+        if not len(rows):
+            return
+        logits = (model.scores[rows].mean(axis=0) + model.bias) / model.temperature
+        if left_out is not None:
+            logits[left_out] = -np.inf
+        shares = _softmax(logits[None, :])[0]
+        best = int(shares.argmax())
+        if wanted is None or best == wanted:
+            into.setdefault(_length(len(rows)), []).append(
+                (shares[best], model.known[rows, best].mean()))
+
+    for text, own in zip(texts, goal.tolist()):
+        for piece in _cuts(text, rng):
+            measured(stay, piece, None, own)
+            letters = np.array(list(piece))
+            at = np.flatnonzero([c.isalpha() for c in piece])
+            letters[at] = letters[rng.permutation(at)]
+            measured(go, "".join(letters), None, None)
+            if len(model.languages) > 1:
+                measured(go, piece, own, None)
+    out = [(0.0, 0.0)]
+    for length in range(max(stay, default=0) + 1):
+        if len(stay.get(length, ())) < LEAST_PIECES:
+            out.append(out[-1])
+            continue
+        low = np.quantile(np.array(stay[length]), REJECTED, axis=0)
+        high = (np.quantile(np.array(go[length]), 1 - REJECTED, axis=0)
+                if length in go else np.ones(2))
+        bound = np.where(high < low, (low + high) / 2, 0.9 * low)
+        # The fewer words, the more their share may lie off that of other texts.
+        bound -= 1 / np.sqrt(max(1.0, (1 << length) / A_WORD))
+        out.append(tuple(np.maximum(bound, 0.0)))
+    return np.array(out[1:])
 
 
 def sample(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text",
