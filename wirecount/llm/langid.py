@@ -7,10 +7,10 @@ sample of labelled texts. As average and softmax layer are linear, a trained mod
 by adding one row of class scores per subword.
 
 Rejection is calibrated on texts of the sample that training did not see, and on pieces of them
-from one word up: the temperature is the one of least log loss. Two things are looked at, the
-score and the share of the subwords that the predicted language's texts held. The bounds belong
-to a length: all but ``REJECTED`` of the correct predictions reach them, and they lie halfway to
-what should go, which is pieces with shuffled letters and pieces whose own language is left out,
+from one word up: the temperature is the one of least log loss. What decides is the share of the
+subwords that the texts of the language knowing most of them held; a text between two learned
+languages is known and stays, whatever its score. The bounds belong to a length: all but
+``REJECTED`` of the pieces reach them, and they lie halfway to what should go, which is pieces with shuffled letters and pieces whose own language is left out,
 where the two can be told apart. Short texts say little, so their bounds are lowered.
 
 Defined results: a null text or one without a letter is ``und`` with score 0 and rejected; every
@@ -83,7 +83,7 @@ class Model:
     bias: np.ndarray
     temperature: float = 1.0
     known: np.ndarray | None = None  # whether a language's texts held an embedding row
-    bounds: np.ndarray | None = None  # least score and least share by length
+    bounds: np.ndarray | None = None  # least share of known subwords by length
 
     def logits(self, text: str) -> np.ndarray | None:
         """Class scores of a whole text, hashed piece by piece; None without a letter."""
@@ -110,7 +110,7 @@ class Model:
         if self.bounds is None:
             return self.languages[best], score, False
         least = self.bounds[min(_length(n), len(self.bounds) - 1)]
-        return self.languages[best], score, bool(score < least[0] or held[best] < least[1])
+        return self.languages[best], score, bool(held.max() < least)
 
 
 def _length(n: int) -> int:
@@ -192,44 +192,38 @@ def _cuts(text: str, rng) -> Iterator[str]:
 
 
 def _bounds(model: Model, texts: list[str], goal: np.ndarray, rng) -> np.ndarray:
-    """Least score and least share of known subwords, for each power of two of subwords."""
+    """Least share of known subwords, for each power of two of subwords."""
     stay: dict[int, list] = {}
     go: dict[int, list] = {}
 
-    def measured(into, piece: str, left_out: int | None, wanted: int | None) -> None:
+    def measured(into, piece: str, left_out: int | None = None) -> None:
         rows = subwords(piece)
-        if not len(rows):
-            return
-        logits = (model.scores[rows].mean(axis=0) + model.bias) / model.temperature
-        if left_out is not None:
-            logits[left_out] = -np.inf
-        shares = _softmax(logits[None, :])[0]
-        best = int(shares.argmax())
-        if wanted is None or best == wanted:
-            into.setdefault(_length(len(rows)), []).append(
-                (shares[best], model.known[rows, best].mean()))
+        if len(rows):
+            held = model.known[rows].mean(axis=0)
+            if left_out is not None:
+                held[left_out] = 0
+            into.setdefault(_length(len(rows)), []).append(held.max())
 
     for text, own in zip(texts, goal.tolist()):
         for piece in _cuts(text, rng):
-            measured(stay, piece, None, own)
+            measured(stay, piece)
             letters = np.array(list(piece))
             at = np.flatnonzero([c.isalpha() for c in piece])
             letters[at] = letters[rng.permutation(at)]
-            measured(go, "".join(letters), None, None)
+            measured(go, "".join(letters))
             if len(model.languages) > 1:
-                measured(go, piece, own, None)
-    out = [(0.0, 0.0)]
+                measured(go, piece, own)
+    out = [0.0]
     for length in range(max(stay, default=0) + 1):
         if len(stay.get(length, ())) < LEAST_PIECES:
             out.append(out[-1])
             continue
-        low = np.quantile(np.array(stay[length]), REJECTED, axis=0)
-        high = (np.quantile(np.array(go[length]), 1 - REJECTED, axis=0)
-                if length in go else np.ones(2))
-        bound = np.where(high < low, (low + high) / 2, 0.9 * low)
+        low = np.quantile(stay[length], REJECTED)
+        high = np.quantile(go[length], 1 - REJECTED) if length in go else 1.0
+        bound = (low + high) / 2 if high < low else 0.9 * low
         # The fewer words, the more their share may lie off that of other texts.
         bound -= 1 / np.sqrt(max(1.0, (1 << length) / A_WORD))
-        out.append(tuple(np.maximum(bound, 0.0)))
+        out.append(max(float(bound), 0.0))
     return np.array(out[1:])
 
 
