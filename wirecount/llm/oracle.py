@@ -103,3 +103,45 @@ WITH RECURSIVE words AS (
 SELECT doc_id, rep AS class_id, (size - 1 + coalesce(l.n, 0))::BIGINT AS n_links, group_id
 FROM sets JOIN classes USING (s) JOIN grouped ON node = rep LEFT JOIN linked l ON l.a = rep
 """
+
+
+def _clusters() -> str:
+    """Assignments and means of every round, each a step of its own."""
+    steps = [r"""
+WITH vectors AS (
+  SELECT row_number() OVER () AS id, vec_id, x FROM (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE len(embedding) = 64
+      AND len(list_filter(embedding, lambda c: c IS NOT NULL AND isfinite(c))) = 64)
+), centers0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id) NULLS LAST, x) - 1 AS c, x AS m
+  FROM vectors QUALIFY c < 16
+)"""]
+    for r in range(4):
+        steps.append(f""", apart{r} AS (
+  SELECT id, c, list_sum(list_transform(range(1, 65),
+           lambda i: ((x[i] - m[i]) * (x[i] - m[i]))::HUGEINT)) AS d
+  FROM vectors, centers{r}
+), placed{r} AS (
+  SELECT id, arg_min(c, (d, c)) AS c, min(d) AS d FROM apart{r} GROUP BY id
+)""")
+        if r < 3:
+            steps.append(f""", entries{r} AS (
+  SELECT c, i, sum(x[i])::HUGEINT AS s, count(*) AS n
+  FROM placed{r} JOIN vectors USING (id), (SELECT unnest(range(1, 65)) AS i) GROUP BY c, i
+), means{r} AS (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS m FROM entries{r} GROUP BY c
+), centers{r + 1} AS (
+  SELECT c, coalesce(n.m, o.m) AS m FROM centers{r} o LEFT JOIN means{r} n USING (c)
+)""")
+    return "".join(steps) + """
+SELECT vec_id, c::INTEGER AS cluster, d::BIGINT AS distance,
+       (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM placed3 JOIN vectors USING (id) JOIN centers3 USING (c)
+"""
+
+
+SQL["op12_centroid_clustering"] = _clusters()

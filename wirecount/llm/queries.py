@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirecount.llm import (
-    bpe, chat, contamination, jaccard, langid, licenses, prints, secret_scan,
-    warc, wordpiece,
+    bpe, centroids, chat, contamination, jaccard, langid, licenses, prints, quality, secret_scan,
+    warc, whitening, wordpiece,
 )
 from wirecount.llm.common import stored, table, text_of
 from wirecount.session import scratch_dir
@@ -139,3 +139,18 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         prints.packed("changed").alias("edited_fingerprint"),
         prints.likeness("own", "changed").alias("near_edited"),
         prints.likeness("own", "following").alias("near_next"))
+
+
+@query
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
