@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
 from wirecount.functions import text
+from wirecount.functions.listed import Listed
 from wirecount.operators import keywords as kw
 
 
@@ -179,3 +180,42 @@ def test_ml_pipeline_gives_the_same_tokens(spark):
     clean = text.without(text.tokens(F.col("title")), words)
     want = df.select(clean.alias("c"), text.ngrams(clean, 2)).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_a_million_stop_words_change_nothing_but_the_way(spark):
+    few = ["The", "of", "rates", None, ""]
+    letters = F.translate(F.col("id").cast("string"), "0123456789", "abcdefghij")
+    many = spark.range(1_000_000).select(F.concat(F.lit("unseen"), letters).alias("word")).union(
+        spark.createDataFrame([(w,) for w in few], "word string"))
+    titles = ["The bank of England", "the of", "of rates and rates", "unseenh bank", ""]
+    df = spark.createDataFrame(list(enumerate(titles)), "id int, title string")
+    short = kw.tokenized(df, stop_words=[w for w in few if w], mode="clean")
+    long = kw.tokenized(df, stop_words=many, mode="clean")
+    want = {r["id"]: r["tokens"] for r in short.collect()} | {3: ["bank"]}
+    assert {r["id"]: r["tokens"] for r in long.collect()} == want
+    shown = long._jdf.queryExecution().executedPlan().toString()
+    # One narrow stage: titles are neither taken apart nor put together, and the list is a constant.
+    assert "Exchange" not in shown and "Generate" not in shown and "split(" not in shown
+    assert "unseeni" not in shown and len(shown) < 3000
+
+
+def test_stop_words_that_occur_go_into_lists_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(kw, "LITERAL_WORDS", 2)
+    stop = spark.createDataFrame([(w,) for w in "a b c d e f g".split()], "word string")
+    df = spark.createDataFrame([("a x b y c",), ("d e",), ("z",)], "title string")
+    got = kw.tokenized(df, stop_words=stop, max_listed=3)
+    assert sorted(r["tokens"] for r in got.collect()) == [[], ["x", "y"], ["z"]]
+
+
+def test_listed_words_and_values(spark):
+    words = {"a": "1", "b+": "two words", "café": "", "\u0001": "never", "abc": "a"}
+    listed = Listed(words)
+    df = spark.createDataFrame([(t,) for t in ["a", "b+", "café", "ab", "b", "", "abc"]],
+                               "t string")
+    got = {r[0]: (r[1], r[2]) for r in df.select(
+        "t", listed.has(F.col("t")), listed.value(F.col("t"))).collect()}
+    assert got == {"a": (True, "1"), "b+": (True, "two words"), "café": (True, ""),
+                   "ab": (False, "ab"), "b": (False, "b"), "": (False, ""), "abc": (True, "a")}
+    assert df.where(Listed([]).has(F.col("t"))).count() == 0
+    with pytest.raises(ValueError):
+        Listed({"a": "x\u0002y"})

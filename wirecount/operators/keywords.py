@@ -8,9 +8,14 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType
 
 from wirecount.functions import text
+from wirecount.functions.listed import Listed
 from wirecount.operators.lookup import MAX_BROADCAST_BYTES, fits_broadcast, lookup_join
+from wirecount.session import shared_dir
 
+#: Stop words of a table that are listed as they are; of more, only those that titles hold.
 MAX_LISTED_WORDS = 10_000
+#: Words in one literal, and of a table in a stream, which cannot be looked through beforehand.
+LITERAL_WORDS = 1_000_000
 TOP = 20
 
 
@@ -28,13 +33,25 @@ def one_title_per_row(df: DataFrame, title: str = "title") -> DataFrame:
     return df.where(F.col(title).isNotNull())
 
 
-def _listed(stop_words: DataFrame, max_listed: int | None) -> list[str] | None:
-    """The words themselves when there are no more than ``max_listed``, if that is given."""
-    words = stop_words.select(F.lower(F.col(stop_words.columns[0])).alias("word")).distinct()
-    rows = (words if max_listed is None else words.limit(max_listed + 1)).collect()
-    if max_listed is not None and len(rows) > max_listed:
-        return None
-    return [r["word"] for r in rows if r["word"]]
+def _word(stop_words: DataFrame) -> DataFrame:
+    word = F.lower(F.col(stop_words.columns[0]))
+    return stop_words.select(word.alias("word")).where("word != ''").distinct()
+
+
+def _at_most(words: DataFrame, most: int) -> list[str] | None:
+    """The words, or None where they are more."""
+    rows = words.limit(most + 1).collect()
+    return None if len(rows) > most else [r["word"] for r in rows]
+
+
+def _occurring(tokens: DataFrame, words: DataFrame, max_bytes: int) -> list[list[str]]:
+    """Those of ``words`` that are among the distinct tokens, in lists of bounded size."""
+    shared_dir(tokens.sparkSession)
+    vocabulary = tokens.select(F.explode("tokens").alias("word")).distinct()
+    held = lookup_join(vocabulary, words, ["word"], "left_semi", max_bytes=max_bytes).checkpoint()
+    parts = -(-held.count() // LITERAL_WORDS)
+    number = F.pmod(F.crc32("word"), F.lit(parts))
+    return [[r["word"] for r in held.where(number == i).collect()] for i in range(parts)]
 
 
 def tokenized(df: DataFrame, title: str = "title", mode: str = "letters",
@@ -43,40 +60,36 @@ def tokenized(df: DataFrame, title: str = "title", mode: str = "letters",
               max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """``df`` with ``title`` replaced by ``tokens array<string>``, stop words removed.
 
-    A title of stop words only keeps an empty array. A word list, and in a stream a table too,
-    becomes a hashed literal set inside the scan stage. A table longer than ``max_listed``
-    meets the tokens in a join instead, and each title is put together again, with the same
-    rows as a result; ``row_id`` names columns that identify a title, and without it every row
-    is given a number of its own.
+    A title of stop words only keeps an empty array. Stop words are a literal inside the scan
+    stage, so tokens are dropped where they stand and no title is taken apart. Of a table longer
+    than ``max_listed`` only the words that occur in the titles go into it: the distinct tokens
+    meet the table first. In a stream that cannot be known, so there the table is listed whole,
+    and one of more than ``LITERAL_WORDS`` is refused; the hourly stream, whose batches are
+    tables, takes any. ``row_id`` has no effect any more.
     """
     words = one_title_per_row(df, title).withColumn("tokens", text.tokens(F.col(title), mode))
     words = words.drop(title)
     if stop_words is None:
         return words
-    if isinstance(stop_words, DataFrame):
-        listed = _listed(stop_words, None if df.isStreaming else max_listed)
-    else:
-        listed = list(stop_words)
+    if not isinstance(stop_words, DataFrame):
+        return words.withColumn("tokens", text.without(F.col("tokens"), list(stop_words)))
+    listed = _at_most(_word(stop_words), max_listed)
     if listed is not None:
         return words.withColumn("tokens", text.without(F.col("tokens"), listed))
-    rest = [c for c in words.columns if c != "tokens"]
-    if not row_id:
-        words = words.withColumn("_row", F.monotonically_increasing_id())
-        row_id = ["_row"]
-    payload = [c for c in rest if c not in row_id]
-    each = words.select(*row_id, *payload, F.posexplode_outer("tokens").alias("_pos", "token"))
-    stop = stop_words.select(F.lower(F.col(stop_words.columns[0])).alias("token")).where(
-        "token IS NOT NULL").distinct().withColumn("_stop", F.lit(True))
-    marked = lookup_join(each, stop, ["token"], "left", spread_by=[*row_id, "_pos"],
-                         max_bytes=max_bytes)
-    kept = F.when(F.col("_stop").isNull() & F.col("token").isNotNull(),
-                  F.struct("_pos", "token"))
-    return (
-        marked.groupBy(*row_id)
-        .agg(*(F.first(c).alias(c) for c in payload),
-             F.array_sort(F.collect_list(kept)).alias("_kept"))
-        .select(*rest, F.col("_kept.token").alias("tokens"))
-    )
+    if df.isStreaming:
+        lists = [_at_most(_word(stop_words), LITERAL_WORDS)]
+        if lists[0] is None:
+            raise ValueError(f"a stream takes at most {LITERAL_WORDS} stop words; use the hourly "
+                             "stream, whose batches take any number")
+    else:
+        lists = _occurring(words.select("tokens"), _word(stop_words), max_bytes)
+    for part in lists:
+        words = words.withColumn("tokens", _without(F.col("tokens"), Listed(part)))
+    return words
+
+
+def _without(tokens: Column, listed: Listed) -> Column:
+    return F.filter(tokens, lambda t: ~listed.has(t))
 
 
 def stop_rows(token_rows: DataFrame, stop_words: DataFrame, token: str = "token") -> DataFrame:
@@ -132,7 +145,9 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     aggregation, combined on the map side, so a word found everywhere costs one row
     per task. An n-gram never crosses from one title into the next. A title that comes
     up again, say on another channel, counts again unless ``dedupe_titles``. Beyond
-    ``max_listed`` stop words or ``max_bytes`` of lemmas the tables are joined by shuffle.
+    ``max_listed`` stop words the distinct tokens meet the table first, beyond ``max_bytes`` of
+    lemmas the dictionary is joined by shuffle. In a stream a dictionary of up to
+    ``LITERAL_WORDS`` entries is looked up in place.
     """
     if dedupe_titles:
         titles = titles.dropDuplicates([*by, title])
@@ -140,6 +155,11 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     words = tokenized(titles.select(*needed), title, mode, stop_words, row_id, max_listed,
                       max_bytes)
     words = words.select(*by, "tokens")
+    if lemmas is not None and words.isStreaming:
+        known = _dictionary(lemmas)
+        if known is not None:
+            words = words.withColumn("tokens", F.transform("tokens", known.value))
+            lemmas = None
     places = [f"_w{k}" for k in range(1, max(sizes) + 1)]
     rows = _with_following(words, by, places)
     if lemmas is not None:
@@ -152,6 +172,18 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     )
 
 
+def _dictionary(lemmas: DataFrame) -> Listed | None:
+    """The lemmas as a literal, or None where there are too many or one cannot stand in it."""
+    known = lemma_table(lemmas).where("lemma IS NOT NULL")
+    rows = known.limit(LITERAL_WORDS + 1).collect()
+    if len(rows) > LITERAL_WORDS:
+        return None
+    try:
+        return Listed({r["token"]: r["lemma"] for r in rows})
+    except ValueError:
+        return None
+
+
 def _with_following(words: DataFrame, by: Sequence[str], places: Sequence[str]) -> DataFrame:
     """One row per token, with the tokens that follow it in its title beside it."""
     t = F.col("tokens")
