@@ -8,26 +8,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirecount.functions.times import PYTHON_FORMATS, utc
 from wirecount.operators.rollup import label_range
 from wirecount.operators.series import latest_by
+from wirecount.sources import compaction, coverage, partitions
 
 # Table names and their label columns.
 KEYWORD_TABLES = {"keywords_hour": "hour", "keywords_day": "day", "keywords_month": "month"}
-BATCH_COUNTS = "keyword_batches"
+BATCH_COUNTS = compaction.BATCHES
 METRICS = "metric_samples"
 
 # How long hourly rows and topic messages are kept.
 HOUR_TTL = timedelta(seconds=172800)
 TOPIC_RETENTION = timedelta(hours=24)
 
-#: Partitions named in one catalog command.
-DROPPED_AT_ONCE = 200
-
 
 def create_tables(spark: SparkSession) -> None:
     for table, unit in KEYWORD_TABLES.items():
@@ -38,15 +35,8 @@ def create_tables(spark: SparkSession) -> None:
               "PARTITIONED BY (day, run, batch_id)")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {METRICS} (ts TIMESTAMP, name STRING, kind STRING, "
               "value STRING, day DATE) USING parquet PARTITIONED BY (day)")
-
-
-def _replace_partitions(rows: DataFrame, table: str) -> None:
-    """Replace the partitions that ``rows`` has, in a session set up for that alone."""
-    mode = rows.sparkSession.conf.get("spark.sql.sources.partitionOverwriteMode")
-    if mode.lower() != "dynamic":
-        raise RuntimeError("spark.sql.sources.partitionOverwriteMode must be dynamic: "
-                           f"a {mode} overwrite would empty {table}")
-    rows.write.mode("overwrite").insertInto(table)
+    compaction.create(spark)
+    coverage.create(spark)
 
 
 def overwrite_labels(rows: DataFrame, table: str) -> None:
@@ -56,7 +46,7 @@ def overwrite_labels(rows: DataFrame, table: str) -> None:
     more rows than fit one is split over several. Files have the highest counts first.
     """
     label = KEYWORD_TABLES[table]
-    _replace_partitions(
+    partitions.replace(
         rows.select(*rows.sparkSession.table(table).columns)
         .hint("rebalance", label)
         .sortWithinPartitions(label, F.desc("count"), F.asc("keyword")), table)
@@ -69,7 +59,7 @@ def write_batch_counts(counts: DataFrame, batch_id: int, run: str = "") -> None:
     or of a new checkpoint, are others. Rows are rebalanced by day, so a batch over many days
     leaves a file per day and not one per day and task.
     """
-    _replace_partitions(
+    partitions.replace(
         counts.withColumn("day", F.to_date(F.substr("hour", F.lit(1), F.lit(10))))
         .withColumn("run", F.lit(run or "none"))
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
@@ -79,31 +69,18 @@ def write_batch_counts(counts: DataFrame, batch_id: int, run: str = "") -> None:
 
 
 def batch_hours(spark: SparkSession, batch_id: int, run: str = "") -> list[str]:
-    """The hours a batch has counts for; one column of the batch's own files."""
-    rows = spark.table(BATCH_COUNTS).where(
-        (F.col("batch_id") == batch_id) & (F.col("run") == (run or "none")))
-    return sorted(r["hour"] for r in rows.select("hour").distinct().collect())
-
-
-def _batch_partitions(spark: SparkSession) -> list[dict[str, str]]:
-    """Partitions of the batch counts, from the catalog alone."""
-    return [{k: unquote(v) for k, v in (part.split("=", 1) for part in r[0].split("/"))}
-            for r in spark.sql(f"SHOW PARTITIONS {BATCH_COUNTS}").collect()]
-
-
-def _drop_batches(spark: SparkSession, parts: Sequence[dict[str, str]]) -> None:
-    specs = [f"PARTITION (day = '{p['day']}', run = '{p['run']}', batch_id = {p['batch_id']})"
-             for p in parts]
-    for at in range(0, len(specs), DROPPED_AT_ONCE):
-        spark.sql(f"ALTER TABLE {BATCH_COUNTS} DROP IF EXISTS "
-                  + ", ".join(specs[at:at + DROPPED_AT_ONCE]))
+    """The hours a batch has counts for, merged or not; one column of the batch's own files."""
+    run = run or "none"
+    rows = spark.table(BATCH_COUNTS).where((F.col("batch_id") == batch_id) & (F.col("run") == run))
+    hours = rows.select("hour").unionByName(compaction.merged_hours(spark, batch_id, run))
+    return sorted(r["hour"] for r in hours.distinct().collect())
 
 
 def hour_counts(spark: SparkSession, hours: Sequence[str]) -> DataFrame:
     """Complete counts of the given hours, over all batches."""
     days = sorted({datetime.strptime(h[:10], "%Y-%m-%d").date() for h in hours})
     return (
-        spark.table(BATCH_COUNTS)
+        compaction.complete(spark, days[0], days[-1])
         .where(F.col("day").isin(days) & F.col("hour").isin(list(hours)))
         .groupBy("hour", "keyword").agg(F.sum("count").alias("count"))
     )
@@ -111,8 +88,7 @@ def hour_counts(spark: SparkSession, hours: Sequence[str]) -> DataFrame:
 
 def batch_counts(spark: SparkSession, start: datetime, end: datetime) -> DataFrame:
     """Complete counts of the days a time range touches; other days are not read."""
-    return spark.table(BATCH_COUNTS).where(
-        F.col("day").between(F.lit(utc(start).date()), F.lit(utc(end).date())))
+    return compaction.complete(spark, utc(start).date(), utc(end).date())
 
 
 def read_labels(spark: SparkSession, table: str, low: str | None = None,
@@ -123,34 +99,45 @@ def read_labels(spark: SparkSession, table: str, low: str | None = None,
 
 def delete_label(spark: SparkSession, table: str, *labels: str) -> None:
     column = KEYWORD_TABLES[table]
-    quoted = [label.replace("'", "''") for label in labels]
-    specs = [f"PARTITION ({column} = '{label}')" for label in quoted]
-    for at in range(0, len(specs), DROPPED_AT_ONCE):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS "
-                  + ", ".join(specs[at:at + DROPPED_AT_ONCE]))
+    partitions.drop(spark, table, [{column: label} for label in labels])
 
 
 def labels(spark: SparkSession, table: str) -> list[str]:
     """Labels present, from the catalog alone."""
-    column = KEYWORD_TABLES[table]
-    rows = spark.sql(f"SHOW PARTITIONS {table}").collect()
-    return sorted(unquote(r[0].split("=", 1)[1]) for r in rows if r[0].startswith(column))
+    return sorted(p[KEYWORD_TABLES[table]] for p in partitions.listed(spark, table))
 
 
 def expire(spark: SparkSession, table: str, as_of: datetime, keep_for: timedelta) -> list[str]:
-    """Drop labels that are older than ``keep_for``; whole partitions, no rewrite."""
-    bound = (utc(as_of) - keep_for).strftime(PYTHON_FORMATS[KEYWORD_TABLES[table]])
+    """Drop labels that are older than ``keep_for``; whole partitions, no rewrite.
+
+    That they have gone is noted before they go.
+    """
+    unit = KEYWORD_TABLES[table]
+    moment = utc(as_of) - keep_for
+    bound = moment.strftime(PYTHON_FORMATS[unit])
     old = [label for label in labels(spark, table) if label < bound]
-    delete_label(spark, table, *old)
+    if old:
+        coverage.move(spark, table, expired=moment)
+        delete_label(spark, table, *old)
     return old
 
 
 def expire_batches(spark: SparkSession, as_of: datetime, keep_for: timedelta) -> list[str]:
-    """Drop the days of batch counts that ended before ``keep_for`` ago."""
-    bound = (utc(as_of) - keep_for).strftime("%Y-%m-%d")
-    old = [p for p in _batch_partitions(spark) if p["day"] < bound]
-    _drop_batches(spark, old)
-    return sorted({p["day"] for p in old})
+    """Drop the days of batch counts, merged ones too, that ended before ``keep_for`` ago."""
+    moment = utc(as_of) - keep_for
+    bound = moment.strftime("%Y-%m-%d")
+    gone: set[str] = set()
+    noted = False
+    # The sums go before the list of what is in them, so no batch comes to light again.
+    for table in (BATCH_COUNTS, compaction.DAYS, compaction.MERGED):
+        old = [p for p in partitions.listed(spark, table) if p["day"] < bound]
+        if old and not noted:
+            coverage.move(spark, BATCH_COUNTS, expired=moment.replace(
+                hour=0, minute=0, second=0, microsecond=0))
+            noted = True
+        partitions.drop(spark, table, old)
+        gone |= {p["day"] for p in old}
+    return sorted(gone)
 
 
 def merged(existing: DataFrame, incoming: DataFrame, key: Sequence[str],

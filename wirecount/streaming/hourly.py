@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wirecount.functions import times
 from wirecount.operators import messages as msg
 from wirecount.operators.keywords import TOP, keyword_counts, top_k
-from wirecount.sources import tables
+from wirecount.sources import coverage, tables
 from wirecount.streaming.dedup import dedup_topic
 
 LABEL_SOURCES = ("processing", "arrival", "published")
@@ -24,7 +24,7 @@ def _now() -> datetime:
 def hourly_writer(label_from: str = "processing", label_at: str = "start", k: int = TOP,
                   rejects_path: str | None = None, tasks: int | None = None,
                   clock: Callable[[], datetime] = _now, run: str | None = None,
-                  **text) -> Callable[[DataFrame, int], None]:
+                  keep_for: timedelta | None = tables.HOUR_TTL, **text) -> Callable[[DataFrame, int], None]:
     """The batch function: complete counts per batch, then the top of the hours touched.
 
     ``label_from`` is the clock of the batch (``processing``), the time a message reached
@@ -32,8 +32,10 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
     this hour and batch, so a replay replaces them and a second batch in the same hour
     adds to them; the hour's top is then taken over all its batches. A batch goes by its
     stream and its number: the stream's identifier, which lives in its checkpoint, unless
-    ``run`` names it. ``tasks`` spreads a batch whose source has few partitions. ``text``
-    is passed to ``keyword_counts``.
+    ``run`` names it. ``tasks`` spreads a batch whose source has few partitions. Under the clock
+    of the batch, tops older than ``keep_for`` go with each batch, hours before the current one
+    are noted as final, and the first hour as the one counts are kept from. ``text`` is passed
+    to ``keyword_counts``.
     """
     if label_from not in LABEL_SOURCES:
         raise ValueError(f"label_from must be one of {LABEL_SOURCES}")
@@ -62,7 +64,16 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
             )
         titles = msg.accepted(parsed).select(stamp.alias("hour"), "title")
         tables.write_batch_counts(keyword_counts(titles, by=["hour"], **text), batch_id, name)
-        publish_hours(spark, tables.batch_hours(spark, batch_id, name), k)
+        hours = tables.batch_hours(spark, batch_id, name)
+        publish_hours(spark, hours, k)
+        if label_from == "processing" and hours:
+            now = clock()
+            this_hour = times.utc(now).replace(minute=0, second=0, microsecond=0)
+            # An hour that has begun already is not whole, so counts are kept from the next one.
+            coverage.move(spark, tables.BATCH_COUNTS, final=this_hour,
+                          begun=this_hour + timedelta(hours=1) if not earlier else None)
+            if keep_for is not None:
+                tables.expire(spark, "keywords_hour", now, keep_for)
 
     return write
 
