@@ -3,12 +3,14 @@
 import re
 from itertools import combinations
 
+import duckdb
 import numpy as np
 import pytest
 
 from tests.conftest import SMALL
 from wirecount.llm import jaccard
 from wirecount.llm.components import components
+from wirecount.llm.oracle import SQL
 
 SCHEMA = "doc_id long, text string, size long, sig string, id string"
 
@@ -88,6 +90,20 @@ def test_short_empty_null_and_repeated(spark):
     assert again == {(4, 4, 1, 4)}
 
 
+def test_rows_that_share_an_identifier(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " y"), (3, b + " y"), (4, "alone here"),
+            (4, "alone there"), (4, "alone there")]
+    df = spark.createDataFrame([(i, t, 1, "x", "y") for i, t in rows], SCHEMA)
+    got = sorted(tuple(r) for r in jaccard.near_duplicates(df).collect())
+    # 1 stands for two classes, so it names neither group; 4 has no other name.
+    assert got == [(1, 1, 1, 2), (1, 1, 2, 3), (2, 2, 1, 2), (3, 3, 2, 3), (3, 3, 2, 3),
+                   (4, 4, 0, 4), (4, 4, 1, 4), (4, 4, 1, 4)]
+    con = duckdb.connect()
+    documents = df.select("doc_id", "text").toPandas()
+    assert sorted(con.execute(SQL["op2_ngram_jaccard_join"]).fetchall()) == got, documents
+
+
 def test_a_very_long_text(spark):
     words = " ".join(f"w{i}" for i in range(60_000))
     docs = [(1, words), (2, words + " tail of it"), (3, "other")]

@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a pair occurrence index.
 
-The distinct pre-tokens of a partition are laid out as one row of symbols. An index maps every
-adjacent pair that has a rank to all its positions. Ranks present in the index wait in a heap;
+Of a partition, the distinct pre-tokens that each Arrow batch of texts adds to those already known
+are laid out as one row of symbols. An index maps every adjacent pair that has a rank to all its positions. Ranks present in the index wait in a heap;
 the lowest one is applied at all its positions from left to right, and each merge updates the
 neighbours' entries. Applying ranks in ascending order over all pre-tokens at once gives what
 encoding each of them alone gives, as a merge never reaches over a pre-token's end.
@@ -26,10 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from wirecount.llm.common import map_batches, text_of
+from wirecount.llm.common import Memory, map_batches, text_of
 
-#: Distinct pre-tokens whose ids a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Bytes of pre-tokens and their ids that a worker remembers before it starts anew.
+REMEMBERED = 24 << 20
 #: Symbols indexed at a time; a single longer pre-token is indexed alone.
 INDEXED = 2_000_000
 #: From so many positions on a rank is applied to all of them in one array operation.
@@ -112,7 +112,7 @@ class Bpe:
         self.rank = dict(zip(keys.tolist(), range(len(merges))))
         self.keys = np.array(sorted(self.rank), np.int64)
         self.key_rank = np.array([self.rank[k] for k in self.keys.tolist()], np.int32)
-        self.known: dict[str, bytes] = {}
+        self.known = Memory()
         self.odd: set[str] = set()
 
     def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -226,6 +226,7 @@ class Bpe:
         for (word, _), stop in zip(batch, stops):
             self.known[word] = packed[at:stop]
             at = stop
+        self.known.spend(len(batch), len(packed) + sum(len(w) for w, _ in batch))
 
     def pieces(self, text: str, pattern: re.Pattern) -> list[str]:
         """Pre-tokens of a text; special tokens stand as they are."""
@@ -238,10 +239,10 @@ class Bpe:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of each text."""
-        if len(self.known) > REMEMBERED:
+        if self.known.spent > REMEMBERED:
             self.known.clear()
         if not self.known:
-            self.known = {s: int(i).to_bytes(4, "little") for s, i in self.special.items()}
+            self.known.update((s, int(i).to_bytes(4, "little")) for s, i in self.special.items())
             self.odd = set()
         odd, usual, exact = split_patterns()
         parts = [self.pieces(t, usual) for t in texts]

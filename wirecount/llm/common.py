@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import weakref
 import zipfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -12,8 +13,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from wirecount.session import scratch_dir
 
-#: Rows in one Arrow batch, so that a worker holds a bounded number of texts at a time.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256"}
+#: Rows and bytes of one Arrow batch, so that a worker holds a bounded amount of text at a time.
+#: Both are read when a plan runs, so they stay set in the session.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "256",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
 
 
 def text_of(column: str | Column) -> Column:
@@ -21,11 +24,47 @@ def text_of(column: str | Column) -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+class Memory(dict):
+    """What a worker remembers while it works on a task: bounded in bytes, then forgotten.
+
+    Workers outlive their tasks and serve other stages, so nothing is kept for later.
+    """
+
+    all: list[weakref.ref] = []
+
+    def __init__(self):
+        super().__init__()
+        self.spent = 0
+        Memory.all.append(weakref.ref(self))
+
+    def spend(self, entries: int, payload: int) -> None:
+        """Count new entries and the bytes they hold, with what a dictionary adds to each."""
+        self.spent += payload + 200 * entries
+
+    def clear(self) -> None:
+        super().clear()
+        self.spent = 0
+
+    @staticmethod
+    def forget() -> None:
+        for known in Memory.all:
+            if (memory := known()) is not None:
+                memory.clear()
+        pa.default_memory_pool().release_unused()
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
                 schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` over batches bounded in rows and bytes."""
+    """``mapInArrow`` over batches bounded in rows and bytes; memories end with the task."""
     prepare_workers(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from fn(batches)
+        finally:
+            Memory.forget()
+
+    return df.mapInArrow(run, schema)
 
 
 def prepare_workers(spark: SparkSession) -> None:

@@ -18,7 +18,8 @@ its n * n / 2 pairs are all compared.
 Defined results: words are runs of letters, digits and underscores in lower case; a text of
 fewer than five words is one shingle; texts without a word are copies of one another only if
 equal, and null is an empty text; rows without an identifier are left out; every other row gives
-one row, a repeated one too, which counts as one more copy; other columns are ignored, whatever
+one row, a repeated one too, which counts as one more copy; rows that share an identifier but not
+their text are apart in everything but their name; other columns are ignored, whatever
 their names; an empty table gives an empty result.
 """
 
@@ -34,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wirecount.llm.common import map_batches, stored, text_of
+from wirecount.llm.common import Memory, map_batches, stored, text_of
 from wirecount.llm.components import components
 from wirecount.operators.lookup import lookup_join
 
@@ -43,8 +44,11 @@ HASHES, BANDS, STEP = 128, 32, 16
 ROWS = HASHES // BANDS
 #: Members and shingles of one block; a group of two blocks is what a task holds at a time.
 BLOCK, BLOCK_SHINGLES = 1024, 500_000
-#: Word hashes that a worker remembers before it starts anew.
-REMEMBERED = 1_000_000
+#: Members of a block compared at a time with the rest, shingles at a time, and candidate pairs
+#: held before they are joined to a forest.
+STRIP, COLUMNS, HELD = 256, 1024, 300_000
+#: Bytes of word hashes that a worker remembers before it starts anew.
+REMEMBERED = 24 << 20
 WORD = re.compile(r"\w+")
 _seeds = np.random.default_rng(20240101)
 FACTORS = (_seeds.integers(0, 1 << 32, HASHES, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -52,10 +56,11 @@ OFFSETS = _seeds.integers(0, 1 << 32, HASHES, dtype=np.uint32)[:, None]
 POWERS = _seeds.integers(0, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-class _Words(dict):
+class _Words(Memory):
     def __missing__(self, word: str) -> int:
-        if len(self) > REMEMBERED:
+        if self.spent > REMEMBERED:
             self.clear()
+        self.spend(1, len(word))
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
 
@@ -115,23 +120,26 @@ def least_matches(threshold: float = THRESHOLD, tolerance: float = TOLERANCE) ->
 
 
 def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, set_key, sig, n``: class key, signature (null without words), size of the set."""
+    """``id, digest, set_key, sig, n``: digest of the text, class key, signature (null without
+    words), size of the set."""
     rows = docs.where(F.col(key).isNotNull()).select(
         F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, sigs, sizes = [], [], []
+            digests, keys, sigs, sizes = [], [], [], []
             for t in batch.column(1).to_pylist():
                 found = shingles(t)
+                digests.append(hashlib.md5(t.encode(), usedforsecurity=False).digest())
                 keys.append(set_key(t, found))
                 sigs.append(signature(found) if len(found) else None)
                 sizes.append(len(found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()),
-                 pa.array(sizes, pa.int64())], names=["id", "set_key", "sig", "n"])
+                [batch.column(0), *(pa.array(c, pa.binary()) for c in (digests, keys, sigs)),
+                 pa.array(sizes, pa.int64())], names=["id", "digest", "set_key", "sig", "n"])
 
-    return map_batches(rows, run, "id long, set_key binary, sig binary, n long")
+    return map_batches(rows, run,
+                       "id long, digest binary, set_key binary, sig binary, n long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray]]:
@@ -229,6 +237,9 @@ def _prune(needed: list[int]):
                     i, j, same = i[keep], j[keep], same[keep]
                 left.append(i)
                 right.append(j)
+                if sum(map(len, left)) > HELD:
+                    i, j = _forest(np.concatenate(left), np.concatenate(right), n)
+                    left, right = [i], [j]
             if left:
                 a, b = _forest(np.concatenate(left), np.concatenate(right), n)
                 yield pa.RecordBatch.from_arrays(
@@ -272,22 +283,65 @@ def candidate_forest(classes: DataFrame, threshold: float = THRESHOLD,
     return map_batches(dealt, _prune(least_matches(threshold, tolerance)), "a long, b long")
 
 
-def _common(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections, from a matrix of members and the shingles of several."""
-    every, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    order = np.argsort(every, kind="stable")
-    every, owner = every[order], owner[order]
-    column = np.cumsum(np.concatenate([[0], every[1:] != every[:-1]]))
-    several = np.bincount(column) > 1
-    keep = several[column]
-    column, owner = (np.cumsum(several) - 1)[column[keep]], owner[keep]
-    total = np.zeros((len(sets), len(sets)), np.float64)
-    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
-        a, b = np.searchsorted(column, [at, at + 2048])
-        part = np.zeros((len(sets), 2048), np.float32)
-        part[owner[a:b], column[a:b] - at] = 1
-        total += part @ part.T
-    return total
+class _Shared:
+    """Sizes of intersections of some members with others, a strip at a time."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        every = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+        order = np.argsort(every, kind="stable")
+        every, owner = every[order], owner[order]
+        column = np.cumsum(np.concatenate([[0], every[1:] != every[:-1]]))
+        # Shingles of one member alone are in no intersection.
+        several = np.bincount(column) > 1
+        keep = several[column]
+        self.column, self.owner = (np.cumsum(several) - 1)[column[keep]], owner[keep]
+        self.n = len(sets)
+
+    def common(self, rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+        total = np.zeros((len(rows), len(others)), np.float32)
+        end = int(self.column[-1]) + 1 if len(self.column) else 0
+        for at in range(0, end, COLUMNS):
+            a, b = np.searchsorted(self.column, [at, at + COLUMNS])
+            part = np.zeros((self.n, COLUMNS), np.float32)
+            part[self.owner[a:b], self.column[a:b] - at] = 1
+            total += part[rows] @ part[others].T
+        return total
+
+
+def _strips(cross: bool, side: np.ndarray):
+    """Members and others of every strip, and whether only others after a member count."""
+    if cross:
+        first, rest = np.flatnonzero(side == side[0]), np.flatnonzero(side != side[0])
+        for at in range(0, len(first), STRIP):
+            yield first[at:at + STRIP], rest, False
+    else:
+        every = np.arange(len(side))
+        for at in range(0, len(side), STRIP):
+            yield every[at:at + STRIP], every[at:], True
+
+
+def _linked(sets: list[np.ndarray], cross: bool, side: np.ndarray, weights: np.ndarray,
+            threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of links of every member, and a forest of the linked pairs."""
+    shared, size = _Shared(sets), np.array([len(s) for s in sets], np.float64)
+    links = np.zeros(len(sets), np.int64)
+    left, right = [], []
+    for rows, others, after in _strips(cross, side):
+        if not len(others):
+            continue
+        common = shared.common(rows, others)
+        linked = common >= threshold * (size[rows, None] + size[others] - common) - 1e-9
+        if after:
+            linked &= others > rows[:, None]
+        links[rows] += linked @ weights[others]
+        links[others] += weights[rows] @ linked
+        i, j = np.nonzero(linked)
+        i, j = _forest(rows[i], others[j], len(sets))
+        left.append(i)
+        right.append(j)
+    i, j = (np.concatenate(c) if c else np.empty(0, np.int64) for c in (left, right))
+    return links, *_forest(i, j, len(sets))
 
 
 def _verify(threshold: float):
@@ -297,26 +351,13 @@ def _verify(threshold: float):
             stops = np.append(starts[1:], len(columns[0]))
             out: list[tuple] = []
             for a, z in zip(starts.tolist(), stops.tolist()):
-                _, cross, side, ids, weights, keys, texts = (c.slice(a, z - a) for c in columns)
-                sets = [shingles(t) for t in texts.to_pylist()]
-                # Of several texts under one identifier the one that made the class counts.
-                right = [i for i, (s, k) in enumerate(zip(sets, keys.to_pylist()))
-                         if len(s) and set_key("", s) == k]
-                if len(right) < 2:
-                    continue
-                sets = [sets[i] for i in right]
-                cross, side, ids, weights = (
-                    c.to_numpy(zero_copy_only=False)[right] for c in (cross, side, ids, weights))
-                size = np.array([len(s) for s in sets], np.float64)
-                common = _common(sets)
-                linked = common >= threshold * (size[:, None] + size - common) - 1e-9
-                np.fill_diagonal(linked, False)
-                linked &= ~cross[:, None] | (side[:, None] != side)
-                links = linked @ weights
-                i, j = np.nonzero(np.triu(linked, 1))
+                _, cross, side, ids, weights, texts = (c.slice(a, z - a) for c in columns)
+                sets = [shingles(t.as_py()) for t in texts]
+                side, ids, weights = (c.to_numpy(zero_copy_only=False)
+                                      for c in (side, ids, weights))
+                links, i, j = _linked(sets, cross[0].as_py(), side, weights, threshold)
                 out += [(int(ids[k]), None, int(links[k])) for k in np.flatnonzero(links)]
-                out += [(int(ids[x]), int(ids[y]), None) for x, y in zip(
-                    *(v.tolist() for v in _forest(i, j, len(ids))))]
+                out += [(int(ids[x]), int(ids[y]), None) for x, y in zip(i.tolist(), j.tolist())]
                 if len(out) > 20_000:
                     yield _rows(out)
                     out = []
@@ -331,44 +372,79 @@ def _rows(out: list[tuple]) -> pa.RecordBatch:
                                       names=["a", "b", "links"])
 
 
-def verified(docs: DataFrame, classes: DataFrame, groups: DataFrame,
+def verified(docs: DataFrame, sketched: DataFrame, classes: DataFrame, groups: DataFrame,
              threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``a, links`` per class and block, and ``a, b`` edges of the linked pairs."""
-    members = groups.join(classes.select(F.col("rep").alias("node"), "set_key", "size", "n"),
-                          "node")
+    members = groups.join(classes.select(F.col("rep").alias("node"), "first", "size", "n"), "node")
     sizes = members.groupBy("component").agg(
         F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
         .cast("long").alias("blocks"))
-    wanted = stored(members.join(sizes, "component").select(
-        F.col("node").alias("id"), "component", "blocks", "set_key", "size"))
-    texts = lookup_join(
-        docs.where(F.col(key).isNotNull()).select(
-            F.col(key).cast("long").alias("id"), text_of(text).alias("text")), wanted, ["id"])
-    dealt = _in_blocks(texts, "component", "blocks", "id", "id", "size", "set_key", "text")
+    # A class's text is that of its first row. Where rows are equal in both, one of them is taken.
+    rows = (sketched.groupBy("id", "digest").count().where("count > 1")
+            .select("id", "digest", F.lit(True).alias("again")))
+    wanted = stored(lookup_join(
+        members.join(sizes, "component").select(
+            F.col("first.id").alias("id"), F.col("first.digest").alias("digest"),
+            F.col("node").alias("rep"), "component", "blocks", "size"),
+        rows, ["id", "digest"], "left"))
+    named = docs.where(F.col(key).isNotNull()).select(
+        F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
+    named = named.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary"))))
+    repeated = wanted.where("again")
+    texts = lookup_join(named, wanted.where("again IS NULL"), ["id", "digest"])
+    if not repeated.isEmpty():
+        texts = texts.unionByName(
+            lookup_join(named, repeated, ["id", "digest"]).dropDuplicates(["rep"]))
+    dealt = _in_blocks(texts, "component", "blocks", "rep", "rep", "size", "text")
     return map_batches(dealt, _verify(threshold), "a long, b long, links long")
 
 
+def _names(sketched: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rep, least, own``: the smallest identifier of every class, and the smallest one that no
+    other class has."""
+    placed = sketched.select("id", "set_key").join(classes.select("set_key", "rep"), "set_key")
+    shared = stored(placed.groupBy("id").agg(F.min("rep").alias("a"), F.max("rep").alias("b"))
+                    .where("a < b").select("id", F.lit(True).alias("shared")))
+    if shared.isEmpty():
+        return classes.select("rep", F.col("first.id").alias("least"),
+                              F.col("first.id").alias("own"))
+    return lookup_join(placed, shared, ["id"], "left").groupBy("rep").agg(
+        F.min("id").alias("least"), F.min(F.when(F.col("shared").isNull(), F.col("id")))
+        .alias("own"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE,
                     key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document of all its links to documents at the threshold or above.
 
     ``key``; ``class_id``: the smallest identifier with the same shingles; ``n_links``: linked
     documents, those of the own class included; ``group_id``: the smallest identifier that can
-    be reached over links.
+    be reached over links. An identifier that several classes share names a class or group only
+    if that has no other.
     """
     sketched = stored(sketches(docs, key, text))
-    classes = stored(sketched.groupBy("set_key", "sig", "n").agg(
-        F.min("id").alias("rep"), F.count("*").alias("size")))
+    # From here on classes go by a number of their own, whatever identifiers they share.
+    classes = stored(
+        sketched.groupBy("set_key", "sig", "n")
+        .agg(F.min(F.struct("id", "digest")).alias("first"), F.count("*").alias("size"))
+        .withColumn("rep", F.monotonically_increasing_id()))
     groups = components(candidate_forest(classes, threshold, tolerance))
-    found = stored(verified(docs, classes, groups, threshold, key, text))
+    found = stored(verified(docs, sketched, classes, groups, threshold, key, text))
     links = found.where("links IS NOT NULL").groupBy("a").agg(F.sum("links").alias("links"))
     reached = components(found.where("b IS NOT NULL").select("a", "b"))
+    names = stored(_names(sketched, classes))
+    several = reached.withColumnRenamed("node", "rep").join(names, "rep")
+    groups = lookup_join(
+        several.select("rep", "component"),
+        several.groupBy("component").agg(
+            F.coalesce(F.min("own"), F.min("least")).alias("group_id")),
+        ["component"], spread_by=["rep"])
     named = (
-        classes.select("set_key", "rep", "size")
+        classes.select("set_key", "rep", "size").join(names, "rep")
         .join(links.withColumnRenamed("a", "rep"), "rep", "left")
-        .join(reached.withColumnRenamed("node", "rep"), "rep", "left")
-        .select("set_key", F.col("rep").alias("class_id"),
+        .join(groups, "rep", "left")
+        .select("set_key", F.coalesce("own", "least").alias("class_id"),
                 (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-                F.coalesce("component", "rep").alias("group_id")))
+                F.coalesce("group_id", "own", "least").alias("group_id")))
     return sketched.select("id", "set_key").join(named, "set_key").select(
         F.col("id").alias(key), "class_id", "n_links", "group_id")

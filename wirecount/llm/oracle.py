@@ -82,8 +82,13 @@ WITH RECURSIVE words AS (
     ELSE list_sort(list_distinct(list_transform(range(1, len(w) - 3),
            lambda i: array_to_string(w[i:i + 4], ' ')))) END AS s
   FROM words
-), classes AS (
-  SELECT min(doc_id) AS rep, count(*) AS size, len(s) AS n, s FROM sets GROUP BY s
+), classes AS MATERIALIZED (
+  SELECT row_number() OVER () AS rep, count(*) AS size, len(s) AS n, s FROM sets GROUP BY s
+), owned AS (
+  SELECT doc_id FROM sets GROUP BY doc_id HAVING count(DISTINCT s) = 1
+), names AS (
+  SELECT rep, min(sets.doc_id) AS least, min(owned.doc_id) AS own
+  FROM sets JOIN classes USING (s) LEFT JOIN owned ON owned.doc_id = sets.doc_id GROUP BY rep
 ), one AS (
   SELECT rep, size, n, unnest(s) AS g FROM classes
 ), pairs AS (
@@ -96,12 +101,15 @@ WITH RECURSIVE words AS (
   UNION
   SELECT r.node, p.b FROM reached r JOIN pairs p ON r.other = p.a
 ), grouped AS (
-  SELECT node, min(other) AS group_id FROM reached GROUP BY node
+  SELECT node, coalesce(min(own), min(least)) AS group_id
+  FROM reached JOIN names ON other = rep GROUP BY node
 ), linked AS (
   SELECT a, sum(size) AS n FROM pairs GROUP BY a
 )
-SELECT doc_id, rep AS class_id, (size - 1 + coalesce(l.n, 0))::BIGINT AS n_links, group_id
-FROM sets JOIN classes USING (s) JOIN grouped ON node = rep LEFT JOIN linked l ON l.a = rep
+SELECT doc_id, coalesce(own, least) AS class_id,
+       (size - 1 + coalesce(l.n, 0))::BIGINT AS n_links, group_id
+FROM sets JOIN classes USING (s) JOIN names USING (rep) JOIN grouped ON node = rep
+LEFT JOIN linked l ON l.a = rep
 """
 
 
