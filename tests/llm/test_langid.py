@@ -87,3 +87,26 @@ def test_unlearned_languages_and_junk_are_rejected():
         assert all(learned.predict(t)[2] for t in junk)
         # One word says too little to be rejected.
         assert learned.predict("dog")[2] is False
+
+
+def test_sample_of_repeated_identifiers_and_rows_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE", 40)
+    rows = [(1, f"text {i} of one", "en") for i in range(300)] + [(2, "same row", "en")] * 500
+    rows += [(i, f"und {i}", "de") for i in range(60)] + [(None, "no name", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, labels = langid.sample(df, F.lit(True))
+    assert labels.count("en") == labels.count("de") == 40
+    assert len(set(texts)) == 80 and "no name" not in texts
+
+
+def test_languages_of_long_texts_and_many_languages_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "DRAWN", 50)
+    monkeypatch.setattr(langid, "SAMPLE", 6)
+    rows = [(i, "ab " * 30, "long") for i in range(10)] + [(99, "cd " * 300, "huge")]
+    rows += [(100 + i, "ef gh", "short") for i in range(10)] + [(200, "ij " * 30, "short")]
+    rows += [(1000 + i, f"word{i}", f"l{i:03}") for i in range(260)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts, labels = langid.sample(df, F.lit(True))
+    assert labels.count("long") == 3  # 3 * 90 code points are no more than 6 * 50
+    assert labels.count("huge") == 1 and labels.count("short") == 6
+    assert len(set(labels)) == 263 and not any(t.startswith("ij") for t in texts)

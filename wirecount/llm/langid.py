@@ -34,14 +34,14 @@ from wirecount.llm.common import map_batches, prepare_workers, text_of
 
 UNKNOWN = "und"
 BUCKETS, DIMENSION, SIZES = 1 << 16, 16, (2, 3, 4)
-#: Bounds of the training sample: texts of a language, languages, and code points of a text
-#: (longer texts are not drawn; every text is predicted whole).
-SAMPLE, LANGUAGES, DRAWN = 400, 200, 8_000
+#: Bounds of the training sample: texts of a language, code points of all of them together, and
+#: languages. Texts over ``DRAWN`` code points are drawn after the shorter ones, and whole.
+SAMPLE, LANGUAGES, DRAWN = 400, 1000, 8_000
 PASSES, RATE, HELD, REJECTED = 8, 0.5, 0.2, 0.001
 #: Pieces of a length that a bound needs, and subwords that count as one word.
 LEAST_PIECES, A_WORD = 10, 9
 #: Code points hashed at a time.
-AT_ONCE = 1 << 20
+AT_ONCE = 1 << 17
 
 
 @lru_cache(maxsize=1)
@@ -229,31 +229,44 @@ def _bounds(model: Model, texts: list[str], goal: np.ndarray, rng) -> np.ndarray
 
 def sample(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text",
            label: str = "lang") -> tuple[list[str], list[str]]:
-    """Texts and labels to learn from: for each language a fixed number by the hash of the key.
+    """Texts and labels to learn from: for each language a fixed number by the hash of the row.
 
-    The ranking moves keys and labels only; the texts of the ranked keys are read after that.
+    Equal rows are drawn once. Long texts are drawn where a language has too few short ones, as
+    long as all its texts have no more than ``SAMPLE * DRAWN`` code points, or one of them alone.
+    The ranking moves hashes, lengths and labels only; the texts are read after that.
     """
-    fit = (allowed & F.col(label).isNotNull() & F.col(key).isNotNull()
-           & F.length(text).between(1, DRAWN))
+    fit = (allowed & F.col(label).isNotNull() & F.col(key).isNotNull() & (F.length(text) > 0))
+    row = F.xxhash64(key, text, F.lit(11))
     scale = 1 << 40
-    order = F.pmod(F.xxhash64(key, F.lit(11)), F.lit(scale))
-    given = docs.where(fit).select(F.col(key).alias("k"), F.col(label).alias("l"),
-                                   order.alias("o"))
+    given = docs.where(fit).select(
+        F.col(label).alias("l"), row.alias("h"), F.length(text).alias("n")).withColumn(
+        "long", F.col("n") > DRAWN)
+    place = F.pmod("h", F.lit(scale))
     # The most frequent languages, and the share of each one's hashes that holds about twice the
     # sample: what is ranked does not grow with the input.
-    shares = (given.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l")
-              .limit(LANGUAGES)
-              .select(F.col("l").alias("l_"), (2 * SAMPLE * scale / F.col("n")).alias("top")))
-    drawn = given.join(F.broadcast(shares),
-                       (F.col("l") == F.col("l_")) & (F.col("o") <= F.col("top")))
+    shares = given.groupBy("l").agg(
+        F.count("*").alias("rows"),
+        F.approx_count_distinct(F.when(~F.col("long"), F.col("h"))).alias("short_"),
+        F.approx_count_distinct(F.when(F.col("long"), F.col("h"))).alias("long_"))
+    top = (2 * SAMPLE + 50) * scale
+    shares = shares.orderBy(F.desc("rows"), "l").limit(LANGUAGES).select(
+        F.col("l").alias("l_"), (top / F.greatest("short_", F.lit(1))).alias("top_short"),
+        F.when(F.col("short_") < SAMPLE, top / F.greatest("long_", F.lit(1)))
+        .otherwise(-1).alias("top_long"))
+    drawn = given.join(F.broadcast(shares), (F.col("l") == F.col("l_")) & (
+        place <= F.when(F.col("long"), F.col("top_long")).otherwise(F.col("top_short"))))
+    order = Window.partitionBy("l").orderBy("long", "h")
     keys = (
-        drawn.select("k", "l", "o")
-        .withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("o", "k")))
-        .where(F.col("r") <= SAMPLE).drop("r"))
+        drawn.select("l", "h", "n", "long").distinct()
+        .withColumn("r", F.row_number().over(order))
+        .withColumn("sum", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .where((F.col("r") == 1) | ((F.col("r") <= SAMPLE) & (F.col("sum") <= SAMPLE * DRAWN)))
+        .select(F.col("l").alias("l_"), F.col("h").alias("h_"), "r"))
     chosen = docs.where(fit).join(
-        F.broadcast(keys), (F.col(key) == F.col("k")) & (F.col(label) == F.col("l")))
-    rows = chosen.select("l", "o", F.col(text).alias("t")).collect()
-    rows = sorted(rows, key=lambda r: (r["o"], r["l"], r["t"]))
+        F.broadcast(keys), (row == F.col("h_")) & (F.col(label) == F.col("l_")))
+    # As many rows as keys again, however often a row is repeated.
+    rows = chosen.groupBy(F.col("l_").alias("l"), "r").agg(F.min(text).alias("t")).collect()
+    rows = sorted(rows, key=lambda r: (r["r"], r["l"]))
     return [r["t"] for r in rows], [r["l"] for r in rows]
 
 
