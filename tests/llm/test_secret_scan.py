@@ -104,3 +104,42 @@ def test_findings_to_learn_from_have_long_names():
     found = ss.labelled_findings(COMMON, 1500, seed=99)
     assert any(re.search(r"(?i)[a-z_]{16,}\W{1,5}$", t[:a]) and b - a < 16 and secret
                for t, a, b, _, secret in found)
+
+
+FORMS = {
+    "auth": 'auth = "{}"', "bearer": "Authorization: Bearer {}", "credential": "credential: {}",
+    "address": "postgres://admin:{}@db:5432/x", "password": "password = '{}'", "pwd": "db_pwd={}",
+    "passphrase": "passphrase: {}", "key": 'PRIVATE_KEY="{}"', "secret": "client_secret: {}",
+    "token": "access_token => {}", "credentials": "CREDENTIALS={}", "apikey": "apikey: {}",
+}
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_recall_by_form(scanner, form):
+    rng, every = np.random.default_rng(7), "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+    found = 0
+    for i in range(60):
+        value = "".join(rng.choice(list(every), int(rng.integers(9, 24)))) + str(i)
+        text = f"the water of the house {FORMS[form].format(value)} and with people"
+        found += value in [text[a:b] for a, b, _ in scanner.findings(text)]
+    assert found >= 54
+
+
+@pytest.mark.parametrize("text, secret", [
+    ('auth = "Zx81kq92mmA"', "Zx81kq92mmA"),
+    ("Authorization: Bearer abcdef123456", "abcdef123456"),
+    ("credential: q9w8e7r6t5", "q9w8e7r6t5"),
+    ("postgres://admin:Tr0ub4dor@db:5432/x", "Tr0ub4dor"),
+    ('password = "my dog is blue 99"', "my dog is blue 99"),
+])
+def test_names_addresses_and_spaces(scanner, text, secret):
+    assert [text[a:b] for a, b, _ in scanner.findings(text)] == [secret]
+
+
+@pytest.mark.parametrize("text", [
+    "author: somebody", "the key = thing", 'password = "the water and the house"',
+    "see https://www.example.org:8080/path", "keyboard: paper", "authority: government",
+    "http://user:password@host/x",
+])
+def test_prose_behind_names_is_left_alone(scanner, text):
+    assert list(scanner.findings(text)) == []

@@ -1,7 +1,7 @@
 """Secret scan: patterns propose candidates, a random forest removes the false positives.
 
-Candidates are long runs of key characters and values given to names such as ``password``. The
-forest looks at their length and make-up, the changes between kinds of characters, how likely
+Candidates are long runs of key characters, values given to names such as ``password``, quoted
+ones with their spaces, and passwords in addresses. The forest looks at their length and make-up, the changes between kinds of characters, how likely
 their letter pairs are in ordinary words, how much of them the dictionary covers, the path and
 the neighbouring words. It is grown here, in numpy, from labelled findings.
 
@@ -35,8 +35,8 @@ FINDINGS, TREES, DEPTH, VOTES = 4000, 30, 9, 0.5
 MASK = "[secret]"
 
 # Names of secrets, words beside things that only look like one, and prefixes.
-NAMES = ("access", "api", "apikey", "auth", "bearer", "credential", "key", "passwd", "password",
-         "pwd", "secret", "token")
+NAMES = ("apikey", "auth", "authorization", "bearer", "credential", "credentials", "key",
+         "passphrase", "passwd", "password", "pwd", "secret", "token")
 INNOCENT = ("checksum", "commit", "digest", "dummy", "example", "fingerprint", "hash", "id",
             "integrity", "md5", "placeholder", "revision", "sample", "sha", "sha1", "sha256",
             "uuid", "your")
@@ -46,15 +46,20 @@ PREFIXES = (("aws", "AKIA"), ("aws", "ASIA"), ("github", "ghp_"), ("github", "gh
 TEST_PATHS = ("test", "example", "sample", "mock", "fixture", "doc", "vendor", "lock")
 
 RUN = re.compile(r"(?<![A-Za-z0-9_+/\-])[A-Za-z0-9_+/\-]{16,}={0,2}")
+#: Short names stand in other words, such as ``author`` and ``monkey``.
+_APART = {"auth": r"auth(?-i:(?![a-z]))", "key": r"(?-i:(?<![a-z]))key(?-i:(?![a-z]))"}
 NAMED = re.compile(
-    r"(?i:pass(?:word|wd)|pwd|secret|token|api_?key)[A-Za-z0-9_.\-]{0,40}[\"']?\s{0,3}"
-    r"(?:[:=]=?|=>)\s{0,3}"
-    r"(?P<value>\"[^\"\s]{8,}\"|'[^'\s]{8,}'|[^\s\"']{8,})")
+    r"(?i:" + "|".join(_APART.get(n, n) for n in sorted(NAMES, key=len, reverse=True))
+    + r")[A-Za-z0-9_.\-]{0,40}"
+    r"[\"']?\s{0,3}(?:[:=]=?|=>)\s{0,3}(?i:(?:bearer|basic|token)\s{1,3})?"
+    r"(?P<value>\"[^\"\n]{8,}\"|'[^'\n]{8,}'|[^\s\"']{8,})")
+#: A password between user and host of an address.
+IN_ADDRESS = re.compile(r"://[^\s/:@]{0,64}:(?P<value>[^\s/@]{4,64})@")
 #: A run before a value is its name, and no candidate, with so many digits at most.
 NAME_DIGITS = 4
 NEAR = re.compile(r"[^\W_]+")
 LETTERS = re.compile(r"[a-z]+")
-FEATURES = 20
+FEATURES = 22
 
 
 def dictionary(docs: DataFrame, text: str = "text", share: float = SHARE) -> dict[str, int]:
@@ -117,6 +122,7 @@ def candidates(text: str) -> Iterator[tuple[int, int]]:
         if text[start] in "\"'" and text[end - 1] == text[start]:
             start, end = start + 1, end - 1
         spans.append((start, end))
+    spans += [found.span("value") for found in IN_ADDRESS.finditer(text)]
     at = 0
     for found in RUN.finditer(text):
         start, end = found.span()
@@ -170,6 +176,8 @@ def features(text: str, start: int, end: int, path: str, words: Words) -> list[f
         float(any(p in low for p in TEST_PATHS)),
         float(any(w in NAMES for w in before)), float(any(w in INNOCENT for w in before + after)),
         float(bool(re.search(r"[:=]\s*[\"']?$", left))), float(right in ("\"", "'") and right != ""),
+        float(right == "@" and bool(re.search(r"://[^\s/:@]*:$", text[max(0, start - 68):start]))),
+        value.count(" ") / n,
     ]
 
 
@@ -274,7 +282,11 @@ def labelled_findings(words: dict[str, int], n: int = FINDINGS, seed: int = 5
         return " ".join(pick(known) + pick(["", "", "", ".", ","]) for _ in range(size))
 
     def secret():
-        form = int(rng.integers(9))
+        form = int(rng.integers(10))
+        if form == 9:
+            # A sentence that someone keeps in mind, with a number in it.
+            return f"{prose(int(rng.integers(2, 5)))} {draw(digits, int(rng.integers(1, 5)))}" \
+                + pick(["", "!", "?"])
         if form <= 1:
             return draw("0123456789abcdef", pick([32, 40, 40, 48, 64]))
         if form == 2:
@@ -301,8 +313,17 @@ def labelled_findings(words: dict[str, int], n: int = FINDINGS, seed: int = 5
         name = pick(["token", "api_key", "secret", "password", "access_token", "auth_token",
                      "API_KEY", "secret_key", "client_secret",
                      "POSTGRES_PASSWORD", "SPRING_DATASOURCE_PASSWORD", "github_access_token",
-                     "AWS_SECRET_ACCESS_KEY", "registry_auth_token", "stripe_webhook_secret"])
-        quote = pick(['"', "'", ""])
+                     "AWS_SECRET_ACCESS_KEY", "registry_auth_token", "stripe_webhook_secret",
+                     "auth", "db_auth", "credential", "credentials", "bearer", "passphrase", "key",
+                     "db_pwd", "passwd", "Authorization", "PRIVATE_KEY"])
+        quote = pick(['"', "'"] if " " in value else ['"', "'", ""])
+        if " " not in value and rng.random() < 0.1:
+            return f"{pick(['Authorization', 'authorization', 'auth'])}: " \
+                f"{pick(['Bearer', 'bearer', 'Basic', 'Token'])} ", value, ""
+        if re.fullmatch(r"[^\s/@]{4,64}", value) and rng.random() < 0.12:
+            return f"{pick(['postgres', 'mysql', 'amqp', 'https', 'redis'])}://" \
+                f"{pick(['admin', 'root', 'app', '', pick(known)])}:", value, \
+                f"@{pick(known)}{pick([':5432', '', '.example.org'])}/{pick(known)}"
         return f"{name}{pick([' = ', '=', ': ', ' : '])}{quote}", value, quote
 
     def innocent():
@@ -323,12 +344,18 @@ def labelled_findings(words: dict[str, int], n: int = FINDINGS, seed: int = 5
         if form == 6:
             return pick(["https://", "see /", "./", "http://www."]), "/".join(
                 pick(known) for _ in range(int(rng.integers(4, 8)))), pick([".html", "/", ""])
+        if form == 7 and rng.random() < 0.3:
+            return f"{pick(['http', 'https', 'postgres'])}://{pick(['user', 'admin', 'name'])}:", \
+                pick(["password", "pass", "changeme", "yourpassword", "passwd", "xxxxxxxx"]), \
+                f"@{pick(['host', 'localhost', pick(known)])}{pick(['', '/x', ':8080'])}"
         if form == 7:
             return named(pick(["your_api_key_here", "xxxxxxxxxxxxxxxxxxxx", "changeme_changeme",
                                "example_secret_value", "00000000000000000000",
                                "placeholder-token-here", "************", "insert-token-here"]))
         if form == 8:
             return pick(["", "| "]), pick("-=_*#ax") * int(rng.integers(16, 80)), ""
+        if form == 9 and rng.random() < 0.3:
+            return named(prose(int(rng.integers(3, 7))))
         if form == 9:
             return named(pick(["", "get_", "the-"]) + pick(known) + pick(["_", "-", ""])
                          + pick(known) + pick(["", "", "()", ","]))
