@@ -7,9 +7,9 @@ is encoded and decoded again. Every stage but the last returns the columns of ``
 Both dropping joins go by a stored number of each row, not by ``doc_id``, so a row never takes
 another one of its identifier with it.
 
-Defined results: rows without identifier take no part in the near-duplicate join and stay there,
-but go if they hold a benchmark item; of rows with one identifier the near copies go and those
-that differ stay; null texts are rejected by the first stage; an empty table gives an empty
+Defined results: rows without identifier go like all others if they are near copies, also of one
+another, or hold a benchmark item; of rows with one identifier the near copies go and those that
+differ stay; null texts are rejected by the first stage; an empty table gives an empty
 result. ``lang`` and ``source`` are never looked at to drop a document.
 """
 
@@ -39,13 +39,14 @@ def _without(docs: DataFrame, row: str, gone: DataFrame) -> DataFrame:
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     numbered, row = _numbered(docs)
-    named = numbered.where(F.col("doc_id").isNotNull())
-    grouped = jaccard.near_duplicates(named.select(row, "text"), key=row).select(row, "group_id")
-    # The smallest identifier of a group stays; among its rows the content decides, whatever
-    # number a row got.
+    grouped = jaccard.near_duplicates(numbered.select(row, "text"), key=row).select(
+        row, "group_id")
+    # The smallest identifier of a group stays, one without only where none has any; among its
+    # rows the content decides, whatever number a row got.
     content = F.xxhash64(*(F.col(c) for c in docs.columns))
-    placed = stored(grouped.join(named.select(
-        F.col(row), F.struct("doc_id", content.alias("content"), F.col(row).alias("at"))
+    placed = stored(grouped.join(numbered.select(
+        F.col(row), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id",
+                             content.alias("content"), F.col(row).alias("at"))
         .alias("place")), row))
     first = placed.groupBy("group_id").agg(F.min("place").alias("first"))
     stay = first.select(F.col("first.at").alias(row))
