@@ -39,8 +39,8 @@ class Listed:
     def value(self, token: Column) -> Column:
         """The value of a listed token; another token stays as it is."""
         entry = F.concat(F.lit(ENTRY), token, F.lit(VALUE))
-        found = F.substring_index(
-            F.substring_index(self._bucket(token), entry, -1), ENTRY, 1)
+        after = F.call_function("substring_index", self._bucket(token), entry, F.lit(-1))
+        found = F.substring_index(after, ENTRY, 1)
         return F.when(self.has(token), found).otherwise(token)
 
 

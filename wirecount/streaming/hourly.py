@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from wirecount.functions import times
 from wirecount.operators import messages as msg
 from wirecount.operators.keywords import TOP, keyword_counts, top_k
+from wirecount.operators.metrics import observed, samples
 from wirecount.sources import coverage, tables
 from wirecount.streaming.dedup import dedup_topic
 
@@ -34,8 +35,8 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
     stream and its number: the stream's identifier, which lives in its checkpoint, unless
     ``run`` names it. ``tasks`` spreads a batch whose source has few partitions. Under the clock
     of the batch, tops older than ``keep_for`` go with each batch, hours before the current one
-    are noted as final, and the first hour as the one counts are kept from. ``text`` is passed
-    to ``keyword_counts``.
+    are noted as final, and the first hour as the one counts are kept from. Each batch leaves
+    counters of its messages and of those rejected. ``text`` is passed to ``keyword_counts``.
     """
     if label_from not in LABEL_SOURCES:
         raise ValueError(f"label_from must be one of {LABEL_SOURCES}")
@@ -56,7 +57,10 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
             stamp = times.label(F.coalesce("published", "timestamp"), "hour", label_at)
         if tasks:
             batch = batch.repartition(tasks)
-        parsed = msg.parse_messages(batch, keep=("timestamp",))
+        # Seen while the counts are written; the batch is not run once more for it.
+        parsed, seen = observed(
+            msg.parse_messages(batch, keep=("timestamp",)), messages=F.count(F.lit(1)),
+            rejected=F.count_if(F.col("reject_reason").isNotNull()))
         if rejects_path:
             (
                 msg.rejected(parsed).write.mode("overwrite")
@@ -64,6 +68,8 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
             )
         titles = msg.accepted(parsed).select(stamp.alias("hour"), "title")
         tables.write_batch_counts(keyword_counts(titles, by=["hour"], **text), batch_id, name)
+        tables.append_metrics(samples(spark, clock(), "counter", **{
+            f"hourly_{k}": v for k, v in seen.get.items()}))
         hours = tables.batch_hours(spark, batch_id, name)
         publish_hours(spark, hours, k)
         if label_from == "processing" and hours:
@@ -91,7 +97,8 @@ def publish_hours(spark: SparkSession, hours: list[str], k: int = TOP) -> None:
 
 
 def start_hourly(stream: DataFrame, checkpoint: str, every: str | None = "1 hour",
-                 dedup_within: str | None = None, **options) -> StreamingQuery:
+                 dedup_within: str | None = None, name: str | None = None,
+                 **options) -> StreamingQuery:
     """Run ``hourly_writer`` on the topic; ``every=None`` takes what is there and stops.
 
     ``dedup_within`` counts a message once that was sent again within that time.
@@ -99,8 +106,9 @@ def start_hourly(stream: DataFrame, checkpoint: str, every: str | None = "1 hour
     if dedup_within:
         stream = dedup_topic(stream, dedup_within)
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
+    writer = stream.writeStream.queryName(name) if name else stream.writeStream
     return (
-        stream.writeStream.outputMode("append")
+        writer.outputMode("append")
         .foreachBatch(hourly_writer(**options))
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
