@@ -9,6 +9,7 @@ from wirecount import session
 from wirecount.operators.keywords import english_stop_words
 from wirecount.plans import channels, ingest, rollups
 from wirecount.sources import entries, snapshots, tables, topic
+from wirecount.streaming import progress
 from wirecount.streaming.hourly import start_hourly
 from wirecount.streaming.ingest import start_ingest
 
@@ -59,7 +60,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--rejects", help="folder for messages that cannot be read")
     p.add_argument("--once", action="store_true", help="take what is there and stop")
 
-    p = job("topic-size", "record how many messages the topic holds")
+    p = job("topic-size", "record how many messages the topic holds, from the offsets the hourly "
+            "stream has noted unless a topic is named")
     p.add_argument("--servers")
     p.add_argument("--path")
 
@@ -99,9 +101,9 @@ def main(argv: list[str] | None = None):
             stream = entries.stream_entries_xml(spark, args.landing, args.dialect)
             return start_ingest(stream, args.state, send, args.checkpoint,
                                 rejects_path=args.rejects).awaitTermination()
-        session.size_shuffles(spark, session.input_bytes(spark, args.landing))
-        landed = entries.read_entries_xml(spark, args.landing, args.dialect, args.landed_after)
-        return ingest.ingest(landed, args.state, send, rejects_path=args.rejects, as_of=as_of)
+        return ingest.ingest_landed(
+            spark, args.landing, args.state, send, args.dialect, landed_after=args.landed_after,
+            rejects_path=args.rejects, as_of=as_of)
     if args.job == "hourly":
         stream = topic.topic_stream(spark, "parquet", args.path) if args.path else (
             topic.topic_stream(spark, **topic.kafka_options(args.servers)))
@@ -110,11 +112,16 @@ def main(argv: list[str] | None = None):
             english_stop_words())
         if args.path:
             session.size_shuffles(spark, session.input_bytes(spark, args.path))
+        progress.create(spark)
+        progress.watch(spark)
         return start_hourly(
             stream, args.checkpoint, every=None if args.once else "1 hour",
             label_from=args.label_from, label_at=args.label_at, tasks=args.tasks,
             dedup_within=args.dedup_within, rejects_path=args.rejects,
             stop_words=stop_words, lemmas=lemmas).awaitTermination()
+    if args.job == "topic-size" and not args.path and not args.servers:
+        progress.create(spark)
+        return ingest.record_noted_topic_size(spark, as_of)
     if args.job == "topic-size":
         held = topic.topic_table(spark, "parquet", args.path) if args.path else (
             topic.topic_table(spark, **topic.kafka_options(args.servers)))

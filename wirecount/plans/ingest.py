@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirecount.operators import messages as msg, registry as reg
+from wirecount.operators.lookup import lookup_join
 from wirecount.operators.metrics import observed, samples
-from wirecount.sources import snapshots, tables
+from wirecount.session import shared_dir, size_shuffles
+from wirecount.sources import entries, snapshots, tables
+from wirecount.streaming import progress
+
+#: New documents that are read by their names.
+NAMED_AT_MOST = 20_000
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
 
 def to_folder(path: str) -> Callable[[DataFrame, int], None]:
@@ -26,7 +33,7 @@ def to_topic(**options) -> Callable[[DataFrame, int], None]:
     return send
 
 
-def ingest(entries: DataFrame, root: str, send: Callable[[DataFrame, int], None],
+def ingest(rows: DataFrame, root: str, send: Callable[[DataFrame, int], None],
            run: str | None = None, rejects_path: str | None = None,
            as_of: datetime | None = None) -> int:
     """Send the new entries, then publish the moved marks; returns how many were sent.
@@ -36,13 +43,13 @@ def ingest(entries: DataFrame, root: str, send: Callable[[DataFrame, int], None]
     that has announced a version before is repeated from the version it began from, so with
     the same marks, entries and ids. Unreadable rows are set aside, the others proceed.
     """
-    spark = entries.sparkSession
+    spark = rows.sparkSession
     marks = f"{root}/{snapshots.MARKS}"
     version = snapshots.version_of(spark, marks, run) if run else None
     if version is None:
         version = (snapshots.latest(spark, marks) or 0) + 1
     registry = snapshots.load_registry(spark, root, marks_at_most=version - 1)
-    read = reg.read_entries(entries)
+    read = reg.read_entries(rows)
     fresh = reg.new_entries(read, registry)
     # What the moved marks need is kept, which is two numbers per entry, not its text.
     seen_marks = fresh.select("channel_id", "published_ms").persist()
@@ -52,7 +59,7 @@ def ingest(entries: DataFrame, root: str, send: Callable[[DataFrame, int], None]
         if rejects_path:
             (
                 read.where(F.col("reject_reason").isNotNull())
-                .select(*entries.columns, "reject_reason")
+                .select(*rows.columns, "reject_reason")
                 .write.mode("overwrite").parquet(f"{rejects_path}/run={version}")
             )
         moved = reg.advance_marks(registry, seen_marks).select("id", "last_updated")
@@ -65,8 +72,54 @@ def ingest(entries: DataFrame, root: str, send: Callable[[DataFrame, int], None]
     return sent
 
 
+def ingest_landed(spark: SparkSession, folder: str, root: str,
+                  send: Callable[[DataFrame, int], None], dialect: str = "rss",
+                  landed_after: datetime | None = None, named_at_most: int = NAMED_AT_MOST,
+                  **options) -> int:
+    """``ingest`` over the feed documents of a folder that no earlier run has parsed.
+
+    Which ones were parsed is a snapshot beside the marks: path and time of change of every
+    document that is still there. A changed document is parsed again, and one whose run did not
+    come to its end too; its old entries are behind the marks then. Up to ``named_at_most`` new
+    documents are read by name, more by the time from which on documents are new.
+    """
+    parsed = f"{root}/{snapshots.PARSED}"
+    there = entries.landed(spark, folder, landed_after)
+    known = snapshots.read(spark, parsed)
+    key = ["path", "modified", "bytes"]
+    new = there if known is None else lookup_join(there, known.select(*key), key, "left_anti")
+    shared_dir(spark)
+    # What is new is fixed here; a document that lands while the run works waits for the next.
+    new = new.checkpoint()
+    facts = new.agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"),
+                    F.unix_micros(F.min("modified")).alias("first")).first()
+    if not facts["n"]:
+        return 0
+    size_shuffles(spark, facts["bytes"])
+    if facts["n"] <= named_at_most:
+        read = entries.read_entries_xml(
+            spark, folder, dialect, documents=[r["path"] for r in new.select("path").collect()])
+    else:
+        since = EPOCH + timedelta(microseconds=facts["first"]) - timedelta(seconds=1)
+        read = entries.read_entries_xml(spark, folder, dialect, landed_after=since)
+    sent = ingest(read, root, send, **options)
+    still = new if known is None else new.unionByName(
+        lookup_join(known.select(*key), there, key, "left_semi"))
+    snapshots.publish(still, parsed, (snapshots.latest(spark, parsed) or 0) + 1)
+    return sent
+
+
 def record_topic_size(topic: DataFrame, as_of: datetime) -> int:
     """Gauge of the messages the topic holds."""
-    held = msg.topic_size(topic).first()["messages"]
-    tables.append_metrics(samples(topic.sparkSession, as_of, "gauge", kafka_messages_total=held))
+    return _record(msg.topic_size(topic), as_of)
+
+
+def record_noted_topic_size(spark: SparkSession, as_of: datetime) -> int:
+    """The same gauge from the offsets that the hourly stream has noted; no message is read."""
+    return _record(progress.topic_size(spark.table(progress.OFFSETS), as_of), as_of)
+
+
+def _record(size: DataFrame, as_of: datetime) -> int:
+    held = size.first()["messages"]
+    tables.append_metrics(samples(size.sparkSession, as_of, "gauge", kafka_messages_total=held))
     return held
