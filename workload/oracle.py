@@ -302,6 +302,45 @@ SQL: dict[str, str] = {
     "daily_exact": f"""WITH {GRAMS}
         SELECT label AS day, keyword, count FROM ({counts('%Y-%m-%d 00:00:00')})
         QUALIFY {TOP.format('label')}""",
+    "compacted_hours": f"""WITH {TOKENS}
+        SELECT strftime(published, '%Y-%m-%d %H') AS hour, keyword, count(*)::BIGINT AS count
+        FROM ({UNIGRAMS}) GROUP BY 1, 2""",
+    "tops_after_deletion": f"""WITH {HOURLY} SELECT keyword, count, hour FROM hourly
+        WHERE hour[12:13]::INT % 3 != 0""",
+    "daily_from_summaries": f"""WITH {GRAMS}
+        SELECT label AS day, keyword, count, true AS held, true AS in_bounds
+        FROM ({counts('%Y-%m-%d 00:00:00')}) QUALIFY {TOP.format('label')}""",
+    "entries_at_the_mark": f"""WITH {ENTRIES}, good AS (
+          SELECT e.channel_id, epoch_ms(e.ts) AS ms FROM entries e
+          JOIN customer ON c_custkey = channel_id WHERE e.kind > 1 AND e.title IS NOT NULL
+        ), ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY channel_id ORDER BY ms) AS r,
+                 count(*) OVER (PARTITION BY channel_id) AS n FROM good
+        ), marked AS (
+          SELECT *, max(CASE WHEN r = ceil(n / 2) THEN ms END) OVER (PARTITION BY channel_id) AS m
+          FROM ranked
+        ) SELECT channel_id, count(*) FILTER (ms >= m) AS from_mark,
+                 count(*) FILTER (ms > m) AS after_mark FROM marked GROUP BY channel_id""",
+    "landed_documents": f"WITH {ENTRIES} SELECT id, last_updated FROM advanced",
+    "registry_after_reset": """
+        SELECT c_custkey AS id, c_name AS title, 'u' || c_custkey AS url,
+               CASE WHEN c_nationkey != 0 THEN 1704067200000 + c_nationkey * 86400000 END
+                 AS last_updated FROM customer""",
+    "ml_bigrams": f"""
+        WITH {HEADLINES}, words AS (
+          SELECT list_filter(regexp_extract_all(lower(title), '\\p{{L}}+'),
+                             lambda w: w NOT IN ({', '.join(repr(w) for w in STOP_WORDS)})) AS t
+          FROM headlines)
+        SELECT keyword, count(*)::BIGINT AS count FROM (SELECT unnest(list_transform(
+          range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])) AS keyword FROM words)
+        GROUP BY 1""",
+    "stream_topic_size": """
+        SELECT count(*)::BIGINT AS messages, count(*)::BIGINT AS observed FROM events""",
+    "metric_sketches": """
+        SELECT strftime(ts, '%Y-%m-%d 00:00:00') AS day, event_type AS name, count(*) AS n,
+               min(value) AS shortest, max(value) AS longest, round(sum(value), 3) AS total,
+               true AS members_near, true AS median_near
+        FROM events GROUP BY 1, 2""",
     "metric_counters": """
         SELECT event_type AS name,
                round(sum(CASE event_id % 7 WHEN 0 THEN NULL WHEN 1 THEN 1 ELSE value END), 4)

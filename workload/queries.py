@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from contextlib import contextmanager
 from datetime import datetime, timedelta
@@ -366,6 +367,84 @@ def registry_advance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reg.advance_marks(inputs.reader_registry(spark, sf_dir), _fresh(spark, sf_dir))
 
 
+@query
+def entries_at_the_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channels marked with the time of one of their entries: how many entries are later, and how
+    many when the one at the mark is taken too."""
+    read = reg.read_entries(inputs.entries(spark, sf_dir))
+    good = read.where(F.col("reject_reason").isNull())
+    marks = good.groupBy("channel_id").agg(F.percentile_approx("published_ms", 0.5).alias("m"))
+    registry = inputs.reader_registry(spark, sf_dir).join(
+        marks.withColumnRenamed("channel_id", "id"), "id").select(
+        "id", "title", "url", F.col("m").alias("last_updated"))
+
+    def counted(at_mark, name):
+        return reg.new_entries(read, registry, at_mark=at_mark).groupBy("channel_id").agg(
+            F.count("*").alias(name))
+
+    both = counted(True, "from_mark").join(counted(False, "after_mark"), "channel_id", "left")
+    return both.select("channel_id", "from_mark",
+                       F.coalesce("after_mark", F.lit(0)).alias("after_mark"))
+
+
+@query
+def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries landed as feed documents, a first part and all of them, ingested by three runs of
+    which the last finds nothing new: the marks they leave."""
+    from wirecount.plans import ingest
+    from wirecount.sources import snapshots
+
+    scratch = scratch_dir(spark)
+    snapshots.publish_channels(inputs.reader_registry(spark, sf_dir), scratch, strict=False)
+
+    def element(name, value):
+        escaped = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.when(value.isNotNull(), F.concat(
+            F.lit(f"<{name}>"), escaped, F.lit(f"</{name}>"))).otherwise("")
+
+    items = inputs.entries(spark, sf_dir).select("channel_id", F.concat(
+        F.lit("<item>"), element("title", F.col("title")),
+        element("pubDate", F.col("published")), F.lit("</item>")).alias("item"))
+    # A row is a document and gets a file of its own.
+    day = F.regexp_extract("item", r"\d{4}-\d{2}-\d{2}", 0)
+    documents = items.groupBy("channel_id", day).agg(F.concat(
+        F.lit("<rss><channel>"), F.array_join(F.collect_list("item"), ""),
+        F.lit("</channel></rss>")).alias("value")).select("channel_id", "value")
+    send = ingest.to_folder(f"{scratch}/messages")
+    for part in (F.col("channel_id") % 2 == 0, F.col("channel_id") % 2 == 1, F.lit(False)):
+        (
+            documents.where(part).repartition("channel_id").sortWithinPartitions("channel_id")
+            .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("channel_id")
+            .text(f"{scratch}/landing")
+        )
+        ingest.ingest_landed(spark, f"{scratch}/landing", scratch, send)
+    return snapshots.load_registry(spark, scratch).select("id", "last_updated")
+
+
+@query
+def registry_after_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers and customers added after a reset: only the customers are channels then."""
+    from wirecount.sources import snapshots
+
+    scratch = scratch_dir(spark)
+    snapshots.publish_channels(inputs.channel_registry(spark, sf_dir), scratch, strict=False)
+    snapshots.reset_channels(spark, scratch)
+    snapshots.publish_channels(snapshots.load_registry(spark, scratch).unionByName(
+        inputs.reader_registry(spark, sf_dir)), scratch, strict=False)
+    return snapshots.load_registry(spark, scratch)
+
+
+@query
+def ml_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word pairs of the text stages as an ML pipeline."""
+    from wirecount.functions.ml import text_pipeline
+
+    heads = inputs.headlines(spark, sf_dir).select("title")
+    fitted = text_pipeline("title", inputs.STOP_WORDS).fit(heads).transform(heads)
+    pairs = fitted.select(F.explode("ngrams").alias("keyword"))
+    return pairs.groupBy("keyword").agg(F.count("*").alias("count"))
+
+
 @query
 def entry_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     read = reg.read_entries(inputs.entries(spark, sf_dir))
@@ -404,6 +483,63 @@ def two_batches_of_one_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _kept(tables.hour_counts(spark, hours))
 
 
+@query
+def compacted_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours from merged days: four batches of two streams, merged, one of them sent again and one
+    more that is late, merged once more."""
+    from wirecount.sources import compaction
+
+    heads = inputs.headlines(spark, sf_dir)
+    later = datetime(2100, 1, 1)
+    with _database(spark, scratch_dir(spark)):
+        def send(number, run):
+            part = heads.where(F.col("doc_id") % 5 == number)
+            tables.write_batch_counts(
+                keywords_per(part, "hour", k=None, sizes=(1,)), number, run)
+
+        for number in range(4):
+            send(number, "a" if number < 2 else "b")
+        compaction.compact(spark, later)
+        send(1, "a")
+        send(4, "b")
+        compaction.compact(spark, later)
+        send(3, "b")
+        every = compaction.complete(spark, ALL_TIME[0].date(), ALL_TIME[1].date())
+        return _kept(every.groupBy("hour", "keyword").agg(F.sum("count").alias("count")))
+
+
+@query
+def tops_after_deletion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored hourly tops less the labels of every third hour of the day."""
+    with _database(spark, scratch_dir(spark)):
+        tables.overwrite_labels(keywords_per(inputs.headlines(spark, sf_dir), "hour"),
+                                "keywords_hour")
+        gone = [h for h in tables.labels(spark, "keywords_hour") if int(h[-2:]) % 3 == 0]
+        tables.delete_label(spark, "keywords_hour", *gone)
+        return _kept(spark.table("keywords_hour"))
+
+
+@query
+def daily_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact top of every day, and whether the summaries of its hours hold each keyword of
+    it, or say that they cannot, within bounds that hold its count."""
+    from wirecount.operators import summaries
+
+    hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
+    short = summaries.summarized(hourly, "hour", 200)
+    day = F.concat(F.substr("hour", F.lit(1), F.lit(10)), F.lit(" 00:00:00"))
+    daily = summaries.merged(short, "hour", "day", day, 400)
+    found = summaries.top(daily, "day").withColumnRenamed("day", "label")
+    exact = keywords_per(inputs.headlines(spark, sf_dir), "day").withColumnRenamed("day", "label")
+    says = found.groupBy("label").agg(F.bool_and("whole").alias("said_whole"))
+    held = exact.join(found, ["label", "keyword"], "left").join(says, "label")
+    return held.select(
+        F.col("label").alias("day"), "keyword", "count",
+        (F.col("low").isNotNull() | ~F.col("said_whole")).alias("held"),
+        F.coalesce(F.col("count").between(F.col("low"), F.col("high")), F.lit(True))
+        .alias("in_bounds"))
+
+
 @query
 def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
@@ -423,6 +559,30 @@ def daily_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _kept(spark.table("keywords_day"))
 
 
+@query
+def metric_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days merged from hourly sketches: what is exact, and whether the estimates keep to their
+    error against all samples."""
+    from wirecount.operators import sketches
+
+    rows = inputs.events(spark, sf_dir).select(
+        "ts", F.col("event_type").alias("name"), F.col("value").cast("string").alias("value"))
+    daily = sketches.figures(sketches.merged(sketches.sketched(rows), "day"), [0.5])
+    number = F.col("value").cast("double")
+    exact = rows.groupBy(F.date_trunc("day", "ts").alias("period"), "name").agg(
+        F.count_distinct("value").alias("all_members"), F.count("*").alias("all_n"),
+        *(F.expr(f"percentile(CAST(value AS DOUBLE), {q})").alias(f"at{k}")
+          for k, q in (("low", 0.45), ("high", 0.55))))
+    # A day of few samples has quantiles far apart; half a sample either way is in the bounds.
+    near = F.col("p50").between(F.col("atlow"), F.col("athigh")) | (F.col("all_n") < 40)
+    error = F.abs(F.col("members") - F.col("all_members"))
+    return daily.join(exact, ["period", "name"]).select(
+        times.label(F.col("period"), "day").alias("day"), "name", "n",
+        "shortest", "longest", F.round("total", 3).alias("total"),
+        (error <= F.greatest(F.lit(1), F.ceil(0.04 * F.col("all_members")))).alias("members_near"),
+        near.alias("median_near"))
+
+
 @query
 def metric_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Samples of which some hold no number, and some nothing."""
@@ -632,3 +792,29 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     start_ingest(inputs.shaped_entries(rows), scratch, to_folder(f"{scratch}/messages"),
                  f"{scratch}/checkpoint", every=None).awaitTermination()
     return snapshots.load_registry(spark, scratch).select("id", "last_updated")
+
+
+@query
+def stream_topic_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a stream has noted of its source: messages held, and those it observed."""
+    from wirecount.streaming import progress
+
+    scratch = scratch_dir(spark)
+    with _database(spark, scratch) as database:
+        progress.create(spark)
+        # Called for every report of the stream, as the session's listener is, but on this thread.
+        listener = progress.ProgressListener(spark)
+        seen = _stream(spark, sf_dir, "events").observe(
+            "topic", F.count(F.lit(1)).alias("messages"))
+        running = (
+            seen.writeStream.format("noop").option("checkpointLocation", f"{scratch}/checkpoint")
+            .trigger(availableNow=True).start())
+        running.awaitTermination()
+        for report in running.recentProgress:
+            listener.keep(json.loads(report.json))
+        noted = progress.topic_size(spark.table(f"{database}.{progress.OFFSETS}"))
+        gauge = spark.table(f"{database}.{tables.METRICS}").where(
+            F.col("name").endswith(".topic.messages"))
+        observed = gauge.agg(F.sum(F.col("value").cast("long")).alias("observed"))
+        return _kept(noted.withColumn("at", F.lit(0)).join(
+            observed.withColumn("at", F.lit(0)), "at").select("messages", "observed"))
