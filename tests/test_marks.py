@@ -1,0 +1,51 @@
+"""Marks as keyed state: over batches, restarts and busy channels."""
+
+import pytest
+
+from tests.conftest import rows
+from wirecount.schemas import ENTRY, REGISTRY
+from wirecount.streaming import marks
+
+
+def send(spark, folder, *entries):
+    spark.createDataFrame(list(entries), ENTRY).coalesce(1).write.mode("append").parquet(
+        f"{folder}/in")
+
+
+def run(spark, folder, registry, **options):
+    moved = marks.moved_marks(spark.readStream.schema(ENTRY).parquet(f"{folder}/in"), registry,
+                              **options)
+    query = (
+        moved.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state")
+        .foreachBatch(lambda batch, n: batch.write.mode("overwrite").parquet(
+            f"{folder}/moved/batch={n}"))
+        .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return spark.read.parquet(f"{folder}/moved")
+
+
+@pytest.mark.parametrize("salts", [1, 4])
+def test_marks_go_on_over_restarts(spark, tmp_path, salts):
+    registry = spark.createDataFrame(
+        [(1, "one", "u1", 1704067200000), (2, "two", "u2", None), (3, "three", "u3", 5)], REGISTRY)
+    send(spark, tmp_path, (1, "a", "2024-01-02T00:00:00Z"), (1, "b", "2024-01-03T00:00:00Z"),
+         (1, "old", "2023-12-01T00:00:00Z"), (2, "c", "1970-01-01T00:00:01Z"), (2, None, "2030-01-01"),
+         (9, "unknown", "2024-01-03T00:00:00Z"), (2, "bad", "junk"))
+    first = rows(marks.advanced(registry, run(spark, tmp_path, registry, salts=salts)).select(
+        "id", "last_updated"))
+    assert first == [(1, 1704240000000), (2, 1000), (3, 5)]
+    send(spark, tmp_path, (1, "late", "2024-01-01T12:00:00Z"), (1, "d", "2024-01-04T00:00:00Z"))
+    moved = run(spark, tmp_path, registry, salts=salts)
+    assert rows(marks.advanced(registry, moved).select("id", "last_updated")) == [
+        (1, 1704326400000), (2, 1000), (3, 5)]
+    if salts == 1:
+        # The late entry is behind the state, so the second batch passes one mark on.
+        assert moved.where("batch > 0").count() == 1
+
+
+def test_a_busy_channel_is_spread_over_salts(spark, tmp_path):
+    registry = spark.createDataFrame([(1, "one", "u1", 0)], REGISTRY)
+    send(spark, tmp_path, *((1, f"t{i}", f"2024-01-01T00:00:{i:02}Z") for i in range(60)))
+    moved = run(spark, tmp_path, registry, salts=4)
+    assert {r["salt"] for r in moved.collect()} == {0, 1, 2, 3}
+    assert rows(marks.advanced(registry, moved).select("last_updated")) == [(1704067259000,)]

@@ -408,5 +408,6 @@ SQL: dict[str, str] = {
         FROM events GROUP BY 1""",
     "stream_hourly_top20": f"WITH {HOURLY} SELECT hour, keyword, count FROM hourly",
     "stream_dedup": "SELECT event_id, epoch_us(ts) AS ts, event_type, value FROM events",
+    "stream_marks_by_state": f"WITH {ENTRIES} SELECT id, last_updated FROM advanced",
     "stream_ingest": f"WITH {ENTRIES} SELECT id, last_updated FROM advanced",
 }

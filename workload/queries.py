@@ -818,3 +818,21 @@ def stream_topic_size(spark: SparkSession, sf_dir: str) -> DataFrame:
         observed = gauge.agg(F.sum(F.col("value").cast("long")).alias("observed"))
         return _kept(noted.withColumn("at", F.lit(0)).join(
             observed.withColumn("at", F.lit(0)), "at").select("messages", "observed"))
+
+
+@query
+def stream_marks_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The marks of ``stream_ingest`` from keyed state instead of snapshots."""
+    from wirecount.streaming import marks
+
+    scratch = scratch_dir(spark)
+    registry = inputs.reader_registry(spark, sf_dir)
+    moved = marks.moved_marks(inputs.shaped_entries(_stream(spark, sf_dir, "events")), registry)
+    (
+        moved.writeStream.outputMode("update").option("checkpointLocation", f"{scratch}/checkpoint")
+        .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(
+            f"{scratch}/moved/batch={number}"))
+        .trigger(availableNow=True).start().awaitTermination()
+    )
+    kept = spark.read.parquet(f"{scratch}/moved")
+    return marks.advanced(registry, kept).select("id", "last_updated")
