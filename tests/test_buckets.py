@@ -1,0 +1,63 @@
+"""Upserts into bucketed tables: right rows, one file per bucket, existing rows not shuffled."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from wirecount.sources import buckets, partitions
+
+KIND = "keyword string, count long, hour string"
+
+
+@pytest.fixture
+def store(spark, database):
+    buckets.create(spark, "kept", buckets=4)
+    return spark
+
+
+def put(spark, *given):
+    buckets.upsert(spark.createDataFrame(list(given), KIND), "kept")
+
+
+def test_upsert(store):
+    put(store, ("a", 1, "h1"), ("b", 2, "h1"), ("b", 5, "h1"), ("a", 9, "h2"))
+    put(store, ("a", 3, "h1"), ("c", 4, "h1"), ("x", 1, "h3"))
+    assert rows(store.table("kept")) == [
+        ("a", 3, "h1"), ("a", 9, "h2"), ("b", 5, "h1"), ("c", 4, "h1"), ("x", 1, "h3")]
+    put(store, ("a", 1, "h1"))
+    assert ("a", 1, "h1") in rows(store.table("kept"))
+    assert sorted(p["hour"] for p in partitions.listed(store, "kept")) == ["h1", "h2", "h3"]
+
+
+def test_what_is_there_is_not_shuffled(store):
+    many = store.range(5000).select(
+        F.concat(F.lit("k"), "id").alias("keyword"), F.col("id").alias("count"),
+        F.lit("h1").alias("hour"))
+    buckets.upsert(many, "kept")
+    before = {f for f in store.table("kept").inputFiles()}
+    assert len(before) == 4  # one per bucket
+    few = store.createDataFrame([("k7", 0, "h1"), ("new", 1, "h1")], KIND)
+    with buckets._planned(store):
+        df = buckets.merged(few, "kept")
+        df.collect()
+        shown = df._jdf.queryExecution().executedPlan().toString()
+    final = shown.split("== Initial Plan ==")[0]
+    join, there = final.split("SortMergeJoin")[1], final.split("Scan parquet")[0]
+    # Below the join no exchange stands over the table's scan; the other side has its own.
+    assert "Exchange" not in there.split("FullOuter")[1]
+    assert "REPARTITION_BY_NUM" in join and "ENSURE_REQUIREMENTS" not in join.split("FileScan")[0]
+    assert "Bucketed: true" in shown and "PartitionFilters: [isnotnull(hour" in shown
+    buckets.upsert(few, "kept")
+    assert len(store.table("kept").inputFiles()) == 4
+    got = dict(store.table("kept").select("keyword", "count").collect())
+    assert len(got) == 5001 and got["k7"] == 0 and got["new"] == 1 and got["k8"] == 8
+    # Sorted inside every file.
+    for file in store.table("kept").inputFiles():
+        names = [r["keyword"] for r in store.read.parquet(file).collect()]
+        assert names == sorted(names)
+
+
+def test_settings_are_put_back(store):
+    before = {k: store.conf.get(k) for k in buckets.PLANNING}
+    put(store, ("a", 1, "h1"))
+    assert {k: store.conf.get(k) for k in buckets.PLANNING} == before

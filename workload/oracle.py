@@ -302,6 +302,10 @@ SQL: dict[str, str] = {
     "daily_exact": f"""WITH {GRAMS}
         SELECT label AS day, keyword, count FROM ({counts('%Y-%m-%d 00:00:00')})
         QUALIFY {TOP.format('label')}""",
+    "upsert_in_buckets": f"""WITH {TOKENS}
+        SELECT keyword, (count(*) * CASE day(published) % 2 WHEN 0 THEN 2 ELSE 1 END)::BIGINT AS count,
+               strftime(published, '%Y-%m-%d 00:00:00') AS day
+        FROM ({UNIGRAMS}) GROUP BY keyword, day(published), 3""",
     "compacted_hours": f"""WITH {TOKENS}
         SELECT strftime(published, '%Y-%m-%d %H') AS hour, keyword, count(*)::BIGINT AS count
         FROM ({UNIGRAMS}) GROUP BY 1, 2""",

@@ -470,6 +470,20 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.merged(rows, incoming, ["user_id", "event_type"], ["event_id"])
 
 
+@query
+def upsert_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days' counts in a bucketed table, upserted by the doubled counts of every second day."""
+    from wirecount.sources import buckets
+
+    daily = keywords_per(inputs.headlines(spark, sf_dir), "day", k=None, sizes=(1,))
+    with _database(spark, scratch_dir(spark)):
+        buckets.create(spark, "kept", "day", buckets=8)
+        buckets.upsert(daily, "kept")
+        again = daily.where(F.substr("day", F.lit(10), F.lit(1)).cast("int") % 2 == 0)
+        buckets.upsert(again.withColumn("count", F.col("count") * 2), "kept")
+        return _kept(spark.table("kept"))
+
+
 @query
 def two_batches_of_one_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in two batches of two streams that number them alike: an hour's counts are the
