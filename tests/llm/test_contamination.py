@@ -1,6 +1,7 @@
 """Greedy string tiling against a plain version, reordered and clean texts."""
 
 import random
+import time
 
 import numpy as np
 
@@ -111,3 +112,42 @@ def test_query_against_all_pairs(spark):
     got = {(r["doc_id"], r["item_id"]) for r in
            op4_benchmark_decontamination(spark, SMALL).collect()}
     assert got == want and want
+
+
+def test_seeds_as_a_table_find_what_blocks_find(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    odd = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None), (None, "x a b y"), (3, "?!")],
+                                "item_id long, text string")
+    more = spark.createDataFrame([(-1, "so a b it is"), (-1, "so a b it is"), (-2, None), (-3, ""),
+                                  (None, "x a b y")], "doc_id long, text string")
+    docs, items = (x.select(*y.columns).unionByName(y) for x, y in ((docs, more), (items, odd)))
+    one = sorted((tuple(r) for r in contamination.contaminated(docs, items).collect()), key=str)
+    two = sorted((tuple(r) for r in contamination.contaminated(
+        docs, items, block_bytes=0).collect()), key=str)
+    assert one == two and sum(r[0] == -1 for r in one) == 4
+    assert contamination.contaminated(docs.where("false"), items, block_bytes=0).count() == 0
+
+
+def test_a_filter_of_few_bits_lets_all_seeds_through(spark, monkeypatch):
+    monkeypatch.setattr(contamination, "FILTER_BITS", 1 << 6)
+    docs = [(i, f"start {i} " + " ".join(f"t{i}x{k}" for k in range(40))) for i in range(20)]
+    items = [(100 + i, " ".join(f"t{i}x{k}" for k in range(5, 30))) for i in range(20)]
+    assert len(found(spark, docs, items, block_bytes=0)) == 20
+
+
+def test_repetitive_texts_take_seconds():
+    start = time.time()
+    doc, item = np.array([1, 2] * 10_000), np.array([1, 2] * 10_000)
+    assert contamination.tile(doc, item, 5) == [(0, 0, 20_000)]
+    item = np.array([1, 2] * 2000 + [3] + [2, 1] * 2000)
+    got = contamination.tile(doc, item, 5)
+    assert sum(n for *_, n in got) >= 7990
+    assert contamination.tile(np.ones(20_000, int), np.ones(300, int), 5) == [(0, 0, 300)]
+    assert time.time() - start < 60
+
+
+def test_a_very_long_text(spark):
+    words = " ".join(f"w{i % 5000}" for i in range(120_000))
+    got = found(spark, [(1, words + " " + ITEM), (2, words)], [(7, ITEM)], block_bytes=0)
+    assert set(got) == {(1, 7)}

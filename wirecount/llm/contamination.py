@@ -6,8 +6,11 @@ tokens are marked first, found by Karp-Rabin hashes of a search length that shri
 round, until no run of the least length is left. An item is held by a document when the tiles
 cover a given share of its tokens, in whatever order they stand in the document.
 
-The seeds are measured and sent to the tasks in blocks of a bounded size; documents are scanned
-once per block, without a shuffle, and only rows over the threshold leave a task.
+A benchmark is measured. One of up to ``BLOCK_BYTES`` is sent to the tasks, which scan the documents
+without a shuffle; only rows over the threshold leave a task. The seeds of a larger one are a
+table. Documents are scanned once as well: a bit filter of bounded size lets through those that may
+hold a seed, their seeds meet the table, a common seed spread over salts, and the pairs that share
+one are tiled where their texts meet.
 
 Defined results: tokens are runs of letters, digits and underscores in lower case; an item of
 fewer than five tokens must be found whole; null and empty texts and texts without tokens are in
@@ -18,20 +21,23 @@ gives an empty result.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from wirecount.llm.common import map_batches, text_of
-from wirecount.operators.lookup import measured_bytes
+from wirecount.llm.common import map_batches, stored, text_of
+from wirecount.operators.lookup import lookup_join, measured_bytes
 
 LEAST, COVERAGE = 5, 0.5
 #: Bytes of benchmark texts in one block.
 BLOCK_BYTES = 16 << 20
+#: Pairs of places compared at a time, and the most bits of a filter of seeds.
+PAIRS, FILTER_BITS = 1_000_000, 1 << 27
 WORD = re.compile(r"\w+")
 BASE = np.uint64(0x9E3779B97F4A7C15)
 SCHEMA = ("doc long, item long, coverage double, tiles int, matched int, item_tokens int, "
@@ -78,48 +84,72 @@ def tile(doc: np.ndarray, item: np.ndarray, least: int) -> list[tuple[int, int,
     out: list[tuple[int, int, int]] = []
     length = max(least, min(len(doc), len(item)))
     while True:
-        longest, found = 0, []
-        places: dict[int, list[int]] = {}
-        free = _free_runs(marked[1], length)
-        for h, p in zip(_run_hashes(hashes[1], powers, free, length, top).tolist(),
-                        free.tolist()):
-            places.setdefault(h, []).append(p)
-        free = _free_runs(marked[0], length)
-        known = _run_hashes(hashes[0], powers, free, length, top)
-        hit = np.isin(known, np.fromiter(places, np.uint64, len(places)))
-        for h, d in zip(known[hit].tolist(), free[hit].tolist()):
-            for p in places[h]:
-                # A run that can grow to the left is part of one found further left.
-                if (d and p and doc[d - 1] == item[p - 1] and not marked[0][d - 1]
-                        and not marked[1][p - 1]):
-                    continue
-                n = 0
-                while (d + n < len(doc) and p + n < len(item) and doc[d + n] == item[p + n]
-                       and not marked[0][d + n] and not marked[1][p + n]):
-                    n += 1
-                if n >= length:
-                    found.append((n, d, p))
-                    longest = max(longest, n)
-        waiting = sorted(found, key=lambda m: (-m[0], m[1], m[2]))
+        waiting = [(-n, d, p) for d, p, n in _longest(doc, item, marked, hashes, powers, length)]
+        heapq.heapify(waiting)
         while waiting:
-            n, d, p = waiting.pop(0)
-            if not (marked[0][d:d + n].any() or marked[1][p:p + n].any()):
+            n, d, p = heapq.heappop(waiting)
+            n = -n
+            open_ = ~(marked[0][d:d + n] | marked[1][p:p + n])
+            if open_.all():
                 marked[0][d:d + n] = True
                 marked[1][p:p + n] = True
                 out.append((d, p, n))
                 continue
             # What a longer tile left of the run, if it is long enough, waits its turn.
-            open_ = ~(marked[0][d:d + n] | marked[1][p:p + n])
             edges = np.flatnonzero(np.diff(np.concatenate([[0], open_, [0]])))
-            rest = [(int(z - a), d + int(a), p + int(a))
-                    for a, z in zip(edges[::2], edges[1::2]) if z - a >= length]
-            if rest:
-                waiting = sorted(waiting + rest, key=lambda m: (-m[0], m[1], m[2]))
+            for a, z in zip(edges[::2].tolist(), edges[1::2].tolist()):
+                if z - a >= length:
+                    heapq.heappush(waiting, (a - z, d + a, p + a))
         if length == least:
             return out
         length = max(least, length // 2)
 
 
+def _left_open(marked: np.ndarray) -> np.ndarray:
+    """How many unmarked tokens follow from each place on."""
+    stops = np.append(np.flatnonzero(marked), len(marked))
+    at = np.arange(len(marked))
+    return stops[np.searchsorted(stops, at)] - at
+
+
+def _longest(doc: np.ndarray, item: np.ndarray, marked, hashes, powers: np.ndarray,
+             length: int) -> Iterator[tuple[int, int, int]]:
+    """Unmarked common runs of at least ``length`` tokens that cannot grow to either side."""
+    top = len(powers) - 1
+    free = [_free_runs(m, length) for m in marked]
+    keys = [_run_hashes(h, powers, f, length, top) for h, f in zip(hashes, free)]
+    order = np.argsort(keys[1], kind="stable")
+    known, places = keys[1][order], free[1][order]
+    first, last = (np.searchsorted(known, keys[0], side) for side in ("left", "right"))
+    several = last - first
+    at = np.flatnonzero(several)
+    open_ = [_left_open(m) for m in marked]
+    while len(at):
+        # Pairs of places with equal hashes, a bounded number at a time.
+        part = max(1, int(np.searchsorted(np.cumsum(several[at]), PAIRS, "right")))
+        now, at = at[:part], at[part:]
+        d = np.repeat(free[0][now], several[now])
+        inside = np.arange(len(d)) - np.repeat(np.cumsum(several[now]) - several[now], several[now])
+        p = places[np.repeat(first[now], several[now]) + inside]
+        # A run that can grow to the left is part of one found further left.
+        before = (d > 0) & (p > 0)
+        grows = before & (doc[d - 1] == item[p - 1]) & ~marked[0][d - 1] & ~marked[1][p - 1]
+        d, p = d[~grows], p[~grows]
+        most = np.minimum(open_[0][d], open_[1][p])
+        # The longest common run by halving, on hashes; tokens decide in the end.
+        low, high = np.full(len(d), length), most.copy()
+        while (low < high).any():
+            middle = (low + high + 1) // 2
+            same = ((hashes[0][d + middle] - hashes[0][d]) * powers[top - d]
+                    == (hashes[1][p + middle] - hashes[1][p]) * powers[top - p])
+            low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+        for a, b, n in zip(d.tolist(), p.tolist(), low.tolist()):
+            differ = np.flatnonzero(doc[a:a + n] != item[b:b + n])
+            n = int(differ[0]) if len(differ) else n
+            if n >= length:
+                yield a, b, n
+
+
 class Index:
     """Tokens, items and seeds of a block of the benchmark."""
 
@@ -188,12 +218,96 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     item_tokens, longest``."""
     items = benchmark.select(F.col(item_key).cast("long").alias("item"),
                              text_of(item_text).alias("words"))
-    blocks = max(1, -(-measured_bytes(items) // block_bytes))
     rows = docs.select(F.col(key).cast("long").alias("doc"), text_of(text).alias("text"))
-    spread = F.pmod(F.xxhash64("item", "words"), F.lit(blocks))
-    return reduce(DataFrame.unionByName, (
-        _in_block(rows, items.where(spread == b), coverage, least) for b in range(blocks))
-    ).withColumnsRenamed({"doc": key, "item": item_key})
+    way = _in_block if measured_bytes(items) <= block_bytes else _by_seeds
+    return way(rows, items, coverage, least).withColumnsRenamed({"doc": key, "item": item_key})
+
+
+def _seeds(text: str, sizes: list[int]) -> np.ndarray:
+    """The distinct seeds of a text, runs of each of the sizes, as 64-bit numbers."""
+    words = WORD.findall(text.lower())
+    tokens = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *(
+        Index._hashes(tokens, n) * BASE + np.uint64(n) for n in sizes if n <= len(tokens))]))
+
+
+def _filter(seeds: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits of the seeds' hashes in words of 64, and their number, a power of two."""
+    bits = 1 << 10
+    while bits < min(16 * seeds.count(), FILTER_BITS):
+        bits *= 2
+    at = F.pmod("seed", F.lit(bits))
+    words = seeds.groupBy(F.floor(at / 64).alias("w")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(seed, {bits}) % 64 AS INT))")).alias("b"))
+    out = np.zeros(bits // 64, np.int64)
+    for r in words.toLocalIterator():
+        out[r["w"]] = r["b"]
+    return out.view(np.uint64), bits
+
+
+def _by_seeds(rows: DataFrame, items: DataFrame, coverage: float, least: int) -> DataFrame:
+    numbered = stored(items.withColumn("no", F.monotonically_increasing_id()))
+
+    def item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(no, n, s) for no, t in zip(*(c.to_pylist() for c in batch.columns))
+                   if (n := min(least, len(WORD.findall(t.lower()))))
+                   for s in _seeds(t, [n]).view(np.int64).tolist()]
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int32(),
+                                                               pa.int64()))],
+                    names=["no", "n", "seed"])
+
+    seeds = stored(map_batches(numbered.select("no", "words"), item_seeds,
+                               "no long, n int, seed long"))
+    sizes = sorted(r["n"] for r in seeds.select("n").distinct().collect())
+    known = rows.sparkSession.sparkContext.broadcast(_filter(seeds.select("seed").distinct()))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, bits = known.value
+        for batch in batches:
+            keep, found = [], []
+            for i, t in enumerate(batch.column(1)):
+                own = _seeds(t.as_py(), sizes)
+                place = own & np.uint64(bits - 1)
+                own = own[(words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1)
+                          == 1]
+                if len(own):
+                    keep.append(i)
+                    found.append(own.view(np.int64))
+            if keep:
+                kept = batch.take(pa.array(keep))
+                yield pa.RecordBatch.from_arrays(
+                    [*kept.columns, pa.array(found, pa.list_(pa.int64()))],
+                    names=["doc", "text", "seeds"])
+
+    held = stored(map_batches(rows, candidates, "doc long, text string, seeds array<long>")
+                  .withColumn("row", F.monotonically_increasing_id()))
+    meeting = lookup_join(held.select("row", F.explode("seeds").alias("seed")),
+                          seeds.select("seed", "no"), ["seed"], spread_by=["row"])
+    pairs = stored(meeting.select("row", "no").distinct())
+    both = lookup_join(lookup_join(pairs, numbered, ["no"], spread_by=["row"]),
+                       held.select("row", "doc", "text"), ["row"], spread_by=["no"])
+
+    def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, of = None, None
+        for batch in batches:
+            out = []
+            for item, words, doc, t in zip(*(c.to_pylist() for c in batch.columns)):
+                if index is None or of != (item, words):
+                    index, of = Index([(item, words)], least), (item, words)
+                out += [(doc, *m) for m in index.matches(t, coverage)]
+            if out:
+                yield _found(out)
+
+    return map_batches(both.select("item", "words", "doc", "text"), tiled, SCHEMA)
+
+
+def _found(out: list[tuple]) -> pa.RecordBatch:
+    types = [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
+                                      names=[f.split()[0] for f in SCHEMA.split(", ")])
 
 
 def _in_block(rows: DataFrame, items: DataFrame, coverage: float, least: int) -> DataFrame:
@@ -207,9 +321,6 @@ def _in_block(rows: DataFrame, items: DataFrame, coverage: float, least: int) ->
             out = [(name, *m) for name, t in zip(*(c.to_pylist() for c in batch.columns))
                    for m in index.matches(t, coverage)]
             if out:
-                types = [pa.int64(), pa.int64(), pa.float64(), *[pa.int32()] * 4]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), types)],
-                    names=[f.split()[0] for f in SCHEMA.split(", ")])
+                yield _found(out)
 
     return map_batches(rows, run, SCHEMA)
