@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirecount.llm import (
@@ -12,7 +13,7 @@ from wirecount.llm.common import stored, table, text_of
 from wirecount.session import scratch_dir
 
 QUERIES = {}
-BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+BYTE_BPE = str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def query(fn):
