@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import argparse
+import time
 from datetime import datetime, timezone
 
+from pyspark.sql import SparkSession
+
 from wirecount import session
 from wirecount.operators.keywords import english_stop_words
+from wirecount.operators.metrics import samples
 from wirecount.plans import channels, ingest, rollups
 from wirecount.sources import entries, snapshots, tables, topic
 from wirecount.streaming import progress
@@ -72,7 +76,7 @@ def parser() -> argparse.ArgumentParser:
                    help="sum the hourly and daily tops instead of all counts")
     p.add_argument("--scheduled", action="store_true")
 
-    job("expire", "drop hourly rows past their time")
+    job("expire", "drop hourly rows past their time and merge the batches of past days")
     return top
 
 
@@ -80,6 +84,15 @@ def main(argv: list[str] | None = None):
     args = parser().parse_args(argv)
     spark = session.create(f"wirecount-{args.job}")
     as_of = args.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
+    start = time.perf_counter()
+    result = run(args, spark, as_of)
+    if spark.catalog.tableExists(tables.METRICS):
+        taken = round(1000 * (time.perf_counter() - start))
+        tables.append_metrics(samples(spark, as_of, "timing", **{f"job_{args.job}": taken}))
+    return result
+
+
+def run(args: argparse.Namespace, spark: SparkSession, as_of: datetime):
     if args.job == "create-tables":
         return tables.create_tables(spark)
     if args.job == "add-channels":

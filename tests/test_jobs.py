@@ -46,6 +46,12 @@ def test_all_jobs(spark, database, tmp_path, capsys):
     assert jobs.main(["topic-size", "--path", topic, *as_of]) == 2
     seen = {r["name"]: r["value"] for r in spark.table(tables.METRICS).collect()}
     assert seen["channels_new"] == "1" and seen["kafka_messages_total"] == "2"
+    kinds = {r["name"]: (r["kind"], r["value"]) for r in spark.table(tables.METRICS).collect()}
+    assert kinds["channels_with_news"] == ("set", "1")
+    assert kinds["hourly_messages"] == ("counter", "2")
+    assert kinds["job_hourly"][0] == "timing" and int(kinds["job_hourly"][1]) > 0
+    # The same number from what the hourly stream has noted of its source.
+    assert jobs.main(["topic-size"]) == 2
     jobs.main(["expire", "--as-of", "2024-01-04T13:30:00"])
     assert tables.labels(spark, "keywords_hour") == []
     jobs.main(["reset-channels", "--state", state])

@@ -6,7 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from wirecount.functions.times import utc
+from wirecount.functions.times import instant, utc
 from wirecount.schemas import METRIC
 
 KINDS = ("gauge", "counter", "timing", "set")
@@ -20,6 +20,13 @@ def samples(spark: SparkSession, ts: datetime, kind: str, **values) -> DataFrame
     return spark.createDataFrame(rows, METRIC)
 
 
+def set_samples(rows: DataFrame, column: str, ts: datetime, name: str) -> DataFrame:
+    """A sample of kind ``set`` for every different value of a column; nulls are no members."""
+    members = rows.select(F.col(column).cast("string").alias("value")).where("value IS NOT NULL")
+    return members.distinct().select(
+        instant(ts).alias("ts"), F.lit(name).alias("name"), F.lit("set").alias("kind"), "value")
+
+
 def observed(df: DataFrame, **exprs: Column) -> tuple[DataFrame, Observation]:
     """Count things while ``df`` is written, instead of running it a second time."""
     seen = Observation()

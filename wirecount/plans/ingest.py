@@ -7,9 +7,10 @@ from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from wirecount.functions.times import instant, utc
 from wirecount.operators import messages as msg, registry as reg
 from wirecount.operators.lookup import lookup_join
-from wirecount.operators.metrics import observed, samples
+from wirecount.operators.metrics import observed, samples, set_samples
 from wirecount.session import shared_dir, size_shuffles
 from wirecount.sources import entries, snapshots, tables
 from wirecount.streaming import progress
@@ -62,6 +63,9 @@ def ingest(rows: DataFrame, root: str, send: Callable[[DataFrame, int], None],
                 .select(*rows.columns, "reject_reason")
                 .write.mode("overwrite").parquet(f"{rejects_path}/run={version}")
             )
+        if as_of is not None:
+            tables.append_metrics(set_samples(
+                seen_marks, "channel_id", as_of, "channels_with_news"))
         moved = reg.advance_marks(registry, seen_marks).select("id", "last_updated")
         snapshots.publish(moved, marks, version, run)
     finally:
@@ -115,8 +119,19 @@ def record_topic_size(topic: DataFrame, as_of: datetime) -> int:
 
 
 def record_noted_topic_size(spark: SparkSession, as_of: datetime) -> int:
-    """The same gauge from the offsets that the hourly stream has noted; no message is read."""
-    return _record(progress.topic_size(spark.table(progress.OFFSETS), as_of), as_of)
+    """The same gauge from the offsets that the hourly stream has noted; no message is read.
+
+    A source without offsets of its own holds what the stream has counted since they are kept.
+    """
+    offsets = spark.table(progress.OFFSETS)
+    if not offsets.isEmpty():
+        return _record(progress.topic_size(offsets, as_of), as_of)
+    since = utc(as_of) - tables.TOPIC_RETENTION
+    rows = spark.table(tables.METRICS).where(
+        (F.col("day") >= F.lit(since.date())) & (F.col("ts") > instant(since))
+        & (F.col("name") == "hourly_messages"))
+    return _record(rows.agg(F.coalesce(F.sum(F.col("value").cast("long")), F.lit(0))
+                            .alias("messages")), as_of)
 
 
 def _record(size: DataFrame, as_of: datetime) -> int:

@@ -43,13 +43,15 @@ def _by_partition(offset) -> dict[tuple[str, int], int]:
 def offset_rows(progress: Mapping) -> list[tuple]:
     """Rows of the offsets table from one progress report."""
     head = (progress["id"], progress["batchId"], progress["timestamp"])
+    # A batch that a function works on may be run several times, and is counted each time.
+    counted = "ForeachBatch" not in (progress.get("sink") or {}).get("description", "")
     rows = []
     for source in progress["sources"]:
         begun, ended = (_by_partition(source.get(k)) for k in ("startOffset", "endOffset"))
         for (topic, partition), at in ended.items():
             rows.append((*head, topic, partition, begun.get((topic, partition)), at, None))
         # What no offset counts: another kind of source, or the first batch, which starts at none.
-        if source["numInputRows"] and (not ended or not begun):
+        if counted and source["numInputRows"] and (not ended or not begun):
             rows.append((*head, None, None, None, None, source["numInputRows"]))
     return rows
 
@@ -57,7 +59,9 @@ def offset_rows(progress: Mapping) -> list[tuple]:
 def observed_samples(progress: Mapping) -> list[tuple]:
     """Gauges of one progress report: rows read, rows a second, and what the stream observes."""
     name = progress.get("name") or progress["id"]
-    values = {"rows": sum(s["numInputRows"] for s in progress["sources"])}
+    values = {}
+    if "ForeachBatch" not in (progress.get("sink") or {}).get("description", ""):
+        values["rows"] = sum(s["numInputRows"] for s in progress["sources"])
     for seen, figures in (progress.get("observedMetrics") or {}).items():
         values |= {f"{seen}.{k}": v for k, v in figures.items()}
     return [(progress["timestamp"], f"stream.{name}.{k}", "gauge", str(v))
