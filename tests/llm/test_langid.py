@@ -110,3 +110,39 @@ def test_languages_of_long_texts_and_many_languages_are_learned(spark, monkeypat
     assert labels.count("long") == 3  # 3 * 90 code points are no more than 6 * 50
     assert labels.count("huge") == 1 and labels.count("short") == 6
     assert len(set(labels)) == 263 and not any(t.startswith("ij") for t in texts)
+
+
+def plain_subwords(text):
+    """Embedding rows of a text, character by character."""
+    out, word = [], []
+    for c in [*text.lower(), " "]:
+        if c.isalpha():
+            word.append(ord(c))
+            continue
+        if word:
+            marked = [0, *word, 0]
+            for size in langid.SIZES:
+                for at in range(len(marked) - size + 1):
+                    total = size
+                    for code in marked[at:at + size]:
+                        total = (total ^ code) * 0x01000193 % (1 << 32)
+                    out.append((total ^ total >> 15) % langid.BUCKETS)
+            word = []
+    return out
+
+
+def test_predictions_against_plain_sums(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    learned = langid.train(*langid.sample(docs, F.col("doc_id") % 4 != 2))
+    got = {r["doc_id"]: r for r in langid.identify(docs, learned).collect()}
+    for r in docs.collect():
+        rows = plain_subwords(r["text"] or "")
+        if not rows:
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        z = [sum(float(learned.scores[x][c]) for x in rows) / len(rows) + learned.bias[c]
+             for c in range(len(learned.languages))]
+        e = [np.exp((v - max(z)) / learned.temperature) for v in z]
+        best = max(range(len(e)), key=e.__getitem__)
+        assert got[r["doc_id"]]["lang_pred"] == learned.languages[best]
+        assert abs(got[r["doc_id"]]["score"] - e[best] / sum(e)) < 1e-6

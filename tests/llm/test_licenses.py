@@ -122,3 +122,58 @@ def test_wrapped_templates(spark, model, width, sign):
     assert {(r["doc_id"], r["family"]) for r in found} == {
         (i, f) for i, (f, _) in enumerate(templates)}
     assert all(r["line"] == 2 for r in found if "\n" in r["paragraph"])
+
+
+def plain_scan(text, model):
+    """Lines and joined lines of a text with their verdicts, without a join."""
+    follow = {(a, b) for ts in licenses.TEMPLATES.values() for t in ts
+              for words in [licenses.words_of(t)]
+              for a, b in [*zip(words, words[1:]), *zip(words, words[2:])]}
+
+    def verdict(words):
+        grams = licenses.grams_of(words)
+        z = list(model.bias)
+        for g in grams:
+            for c, w in enumerate(model.weights.get(g, [])):
+                z[c] += w
+        shares = licenses._softmax(licenses.np.array([z]) / model.temperature)[0][:-1]
+        family = model.families[int(shares.argmax())]
+        if not any(g in model.weights for g in grams):
+            return None
+        if shares.max() < model.threshold:
+            return licenses.UNKNOWN, float(shares.max()), 0.0, False
+        like = max(len(set(grams) & held) / len(held) for t in licenses.TEMPLATES[family]
+                   for held in [set(licenses.grams_of(licenses.words_of(t)))])
+        return family, float(shares.max()), like, like >= licenses.CONFIRMED - 1e-12
+
+    lines = (text or "").split("\n")
+    words, anchors = [licenses.words_of(x) for x in lines], set(model.anchors)
+    starts = [i for i in range(len(lines)) if i == 0 or not (
+        words[i - 1] and words[i] and (words[i - 1][-1], words[i][0]) in follow)]
+    out = []
+    for a, z in zip(starts, [*starts[1:], len(lines)]):
+        joined = [w for ws in words[a:z] for w in ws]
+        if not anchors & set(joined):
+            continue
+        each = [(i, lines[i], verdict(words[i])) for i in range(a, z) if anchors & set(words[i])]
+        each = [x for x in each if x[2]]
+        whole = verdict(joined) if z - a > 1 else None
+        if whole and whole[3] and whole[0] not in {v[0] for _, _, v in each if v[3]}:
+            each = [x for x in each if x[2][3] or x[2][0] != whole[0]]
+            each.append((a, "\n".join(lines[a:z]), whole))
+        out += each
+    return out
+
+
+def test_scan_against_a_plain_one(spark, model):
+    docs = [(r["doc_id"], r["text"]) for r in
+            spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    wrapped = [(10_000 + i, "the town\n" + "\n".join(textwrap.wrap(t, 40)) + "\nwith light\n" + t)
+               for i, t in enumerate(t for ts in licenses.TEMPLATES.values() for t in ts)]
+    rows = docs + wrapped + [(20_000, None), (20_001, "MIT"), (20_001, "MIT")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["line"], r["paragraph"], r["family"], r["confirmed"])
+                 for r in licenses.scan(df, model).collect())
+    want = sorted((i, line, paragraph, v[0], v[3]) for i, t in rows
+                  for line, paragraph, v in plain_scan(t, model))
+    assert got == want and len(got) > len(wrapped)

@@ -143,3 +143,36 @@ def test_names_addresses_and_spaces(scanner, text, secret):
 ])
 def test_prose_behind_names_is_left_alone(scanner, text):
     assert list(scanner.findings(text)) == []
+
+
+def walked(tree, row):
+    at = 0
+    while tree.feature[at] >= 0:
+        at = tree.low[at] if row[tree.feature[at]] <= tree.limit[at] else tree.high[at]
+    return tree.share[at]
+
+
+def test_query_against_a_plain_scan(spark):
+    """The dictionary counted by hand, and every candidate sent down every tree on its own."""
+    folder = LARGER
+    docs = spark.read.parquet(f"{folder}/documents.parquet").collect()
+    words = {}
+    for r in docs:
+        for w in re.findall(r"[^\W\d_]+", (r["text"] or "").lower()):
+            if 3 <= len(w) <= 12:
+                words[w] = words.get(w, 0) + 1
+    total = sum(words.values())
+    words = {w: n for w, n in words.items() if n > 1 and n >= ss.SHARE * total}
+    scanner = ss.train(words)
+    want = set()
+    for r in docs:
+        text, path = r["text"] or "", r["source"] or ""
+        for a, b in ss.candidates(text):
+            row = ss.features(text, a, b, path, scanner.words)
+            score = sum(walked(t, row) for t in scanner.trees) / len(scanner.trees)
+            if score >= ss.VOTES:
+                want.add((r["doc_id"], a, b - a, round(score, 6)))
+    got = {(r["doc_id"], r["start"], r["length"], r["score"])
+           for r in op1_secret_scan(spark, folder).collect()}
+    assert {g[:3] for g in got} == {w[:3] for w in want} and got
+    assert all(any(abs(g[3] - w[3]) < 2e-6 for w in want if w[:3] == g[:3]) for g in got)
