@@ -311,6 +311,11 @@ SQL: dict[str, str] = {
         FROM ({UNIGRAMS}) GROUP BY 1, 2""",
     "tops_after_deletion": f"""WITH {HOURLY} SELECT keyword, count, hour FROM hourly
         WHERE hour[12:13]::INT % 3 != 0""",
+    "stored_order": f"""WITH {HOURLY}
+        SELECT hour, count(*) AS n, true AS in_order FROM hourly GROUP BY 1""",
+    "stream_hourly_by_clock": f"""WITH {GRAMS}
+        SELECT keyword, count(*)::BIGINT AS count, '2024-03-01 12' AS hour FROM grams
+        GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""",
     "daily_from_summaries": f"""WITH {GRAMS}
         SELECT label AS day, keyword, count, true AS held, true AS in_bounds
         FROM ({counts('%Y-%m-%d 00:00:00')}) QUALIFY {TOP.format('label')}""",

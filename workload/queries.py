@@ -7,7 +7,7 @@ import uuid
 from contextlib import contextmanager
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from wirecount.functions import text, times
 from wirecount.operators import keywords as kw, messages as msg, metrics, registry as reg, series
@@ -533,6 +533,23 @@ def tops_after_deletion(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _kept(spark.table("keywords_hour"))
 
 
+@query
+def stored_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the rows of every stored label lie in its files from the highest count down."""
+    with _database(spark, scratch_dir(spark)):
+        tables.overwrite_labels(keywords_per(inputs.headlines(spark, sf_dir), "hour"),
+                                "keywords_hour")
+        rows = spark.table("keywords_hour").select(
+            "hour", "keyword", "count", F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.row_index").alias("at"))
+        within = Window.partitionBy("hour", "file").orderBy("at")
+        before = F.lag(F.struct((-F.col("count")).alias("c"), "keyword")).over(within)
+        now = F.struct((-F.col("count")).alias("c"), "keyword")
+        steps = rows.select("hour", (before.isNull() | (before < now)).alias("down"))
+        return _kept(steps.groupBy("hour").agg(
+            F.count("*").alias("n"), F.bool_and("down").alias("in_order")))
+
+
 @query
 def daily_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The exact top of every day, and whether the summaries of its hours hold each keyword of
@@ -850,3 +867,24 @@ def stream_marks_by_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     kept = spark.read.parquet(f"{scratch}/moved")
     return marks.advanced(registry, kept).select("id", "last_updated")
+
+
+@query
+def stream_hourly_by_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly stream under a processing-time trigger and a clock that stands still."""
+    from wirecount.streaming.hourly import start_hourly
+
+    scratch = scratch_dir(spark)
+    heads = inputs.messages(inputs.shaped_headlines(_stream(spark, sf_dir, "documents")))
+    sent = msg.to_messages(heads.withColumn("timestamp", F.col("published")))
+    topic = sent.select("key", F.col("value").cast("binary").alias("value"),
+                        F.lit(None).cast("timestamp").alias("timestamp"))
+    with _database(spark, scratch) as database:
+        running = start_hourly(topic, f"{scratch}/checkpoint", every="1 second",
+                               clock=lambda: datetime(2024, 3, 1, 12, 34),
+                               tasks=spark.sparkContext.defaultParallelism)
+        try:
+            running.processAllAvailable()
+        finally:
+            running.stop()
+        return _kept(spark.table(f"{database}.keywords_hour"))
