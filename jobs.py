@@ -116,7 +116,7 @@ def run(args: argparse.Namespace, spark: SparkSession, as_of: datetime):
                                 rejects_path=args.rejects).awaitTermination()
         return ingest.ingest_landed(
             spark, args.landing, args.state, send, args.dialect, landed_after=args.landed_after,
-            rejects_path=args.rejects, as_of=as_of)
+            rejects_path=args.rejects, as_of=as_of, channel_set=True)
     if args.job == "hourly":
         stream = topic.topic_stream(spark, "parquet", args.path) if args.path else (
             topic.topic_stream(spark, **topic.kafka_options(args.servers)))

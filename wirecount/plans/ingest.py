@@ -36,13 +36,14 @@ def to_topic(**options) -> Callable[[DataFrame, int], None]:
 
 def ingest(rows: DataFrame, root: str, send: Callable[[DataFrame, int], None],
            run: str | None = None, rejects_path: str | None = None,
-           as_of: datetime | None = None) -> int:
+           as_of: datetime | None = None, channel_set: bool = False) -> int:
     """Send the new entries, then publish the moved marks; returns how many were sent.
 
     The marks are versions of a log. A run reads the newest version and announces the next
     one once its messages are durable. ``run`` names the run, say by stream and batch: one
     that has announced a version before is repeated from the version it began from, so with
-    the same marks, entries and ids. Unreadable rows are set aside, the others proceed.
+    the same marks, entries and ids. Unreadable rows are set aside, the others proceed. With
+    ``as_of`` the number sent is a gauge, with ``channel_set`` the channels are a set besides.
     """
     spark = rows.sparkSession
     marks = f"{root}/{snapshots.MARKS}"
@@ -63,7 +64,7 @@ def ingest(rows: DataFrame, root: str, send: Callable[[DataFrame, int], None],
                 .select(*rows.columns, "reject_reason")
                 .write.mode("overwrite").parquet(f"{rejects_path}/run={version}")
             )
-        if as_of is not None:
+        if as_of is not None and channel_set:
             tables.append_metrics(set_samples(
                 seen_marks, "channel_id", as_of, "channels_with_news"))
         moved = reg.advance_marks(registry, seen_marks).select("id", "last_updated")
