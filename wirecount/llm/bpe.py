@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from wirecount.llm.common import Memory, map_batches, text_of
 
 #: Bytes of pre-tokens and their ids that a worker remembers before it starts anew.
-REMEMBERED = 24 << 20
+REMEMBERED = 128 << 20
 #: Symbols indexed at a time; a single longer pre-token is indexed alone.
 INDEXED = 2_000_000
 #: From so many positions on a rank is applied to all of them in one array operation.
