@@ -35,8 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from wirecount.llm.common import map_batches, stored
-from wirecount.llm.vectors import LONG, column_sums, finite, floored, largest, matrix, squares, \
-    together
+from wirecount.llm.vectors import LONG, column_sums, finite, floored, largest, matrix, narrowest, \
+    packed, squares, together, unpacked
 
 COMPONENTS, SCALE = 4, 256
 #: Steps of the inner solver, and the share of a residual at which it may stop earlier.
@@ -181,8 +181,8 @@ class Centre:
         return self.spread(x).astype(np.float64) / self.n
 
 
-def covariance_product(fit: DataFrame, centre: Centre) -> Product:
-    """The covariance of the fit list times a block of columns, one pass each."""
+def covariance_product(fit: DataFrame, centre: Centre, kind: np.dtype) -> Product:
+    """The covariance of the packed fit list times a block of columns, one pass each."""
     width = len(centre.sums)
 
     def product(block: np.ndarray) -> np.ndarray:
@@ -192,7 +192,7 @@ def covariance_product(fit: DataFrame, centre: Centre) -> Product:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros_like(block)
             for batch in together(batches):
-                x = centre.centred(matrix(batch.column(0), width))
+                x = centre.centred(unpacked(batch.column(0), width, kind))
                 total += x.T @ (x @ block)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(width), pa.int32()), *(pa.array(c) for c in total.T)],
@@ -209,11 +209,11 @@ def covariance_product(fit: DataFrame, centre: Centre) -> Product:
     return product
 
 
-def traced(fit: DataFrame, centre: Centre) -> float:
+def traced(fit: DataFrame, centre: Centre, kind: np.dtype) -> float:
     """The trace of the covariance: mean squared distance from the centre."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in together(batches):
-            x = centre.centred(matrix(batch.column(0), len(centre.sums)))
+            x = centre.centred(unpacked(batch.column(0), len(centre.sums), kind))
             yield pa.RecordBatch.from_arrays([pa.array([float((x * x).sum())])], names=["v"])
 
     return (map_batches(fit, run, "v double").agg(F.sum("v")).first()[0] or 0.0) / centre.n
@@ -233,12 +233,14 @@ def whitened(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding",
     first = lengths.first()
     width = first["d"] if first else 0
     fit = stored(rows.where(F.size("x") == width).select("x").distinct())
-    n, sums = column_sums(fit, "x", width) if width else (0, [])
+    n, sums, most = column_sums(fit, "x", width) if width else (0, [], 0)
     centre = Centre(n, sums)
     values = np.empty(0)
     if n:
-        product = covariance_product(fit, centre)
-        trace = traced(fit, centre)
+        kind = narrowest(most)
+        fit = stored(packed(fit, "x", width, kind))
+        product = covariance_product(fit, centre, kind)
+        trace = traced(fit, centre, kind)
         if trace > 0:
             values, axes = leading(product, width, components)
             keep = values > width * EPS * max(values[0], 0.0) * 8
