@@ -77,6 +77,23 @@ def test_nulls_ties_repeats_and_clashing_names(spark):
                    3: [("system", "s"), ("system", "s"), ("assistant", "")]}
 
 
+def test_equal_and_null_turns_in_bulk(spark):
+    """A conversation without turn numbers lies in several blocks, its equal rows too."""
+    rows = [(1, None, "user", f"said {i:04d} " + "w " * (i % 7)) for i in range(400)]
+    rows += [(1, None, "user", "zzz")] * 300 + [(1, None, "system", "be brief")] * 40
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        placed = chat.placed_turns(turns(spark, rows), SMALL).orderBy("a").collect()
+        windows = read(spark, rows)[1]
+    finally:
+        spark.conf.unset(name)
+    assert [r["a"] for r in placed[1:]] == [r["b"] for r in placed[:-1]]
+    assert [i for i, r in enumerate(placed) if r["retained"]] == [0]
+    told = [(t["role"], t["text"]) for w in windows for t in w["turns"]]
+    assert told == sorted((r, t) for _, _, r, t in rows)
+
+
 def test_empty(spark):
     assert chat.windows(turns(spark, []).where("false")).count() == 0
 

@@ -118,6 +118,25 @@ def test_next_row(spark):
     assert after([]) == []
 
 
+def test_next_row_of_a_hot_key(spark):
+    """Rows without key, and of one key, lie in several ranges; every row is followed once."""
+    rows = [(None, f"n{i:04d}") for i in range(300)]
+    rows += [(5, "the same head of more than 32 signs " + str(i)) for i in range(300)]
+    rows += [(i, f"t{i}") for i in range(6, 56)]
+    df = spark.createDataFrame(rows, "k long, t string").repartition(3)
+    least, cuts = prints._cuts(df.select(prints._order("k", "t").alias("at")), 8)
+    assert least is not None and len(cuts) == 7
+    after = {(r["k"], r["t"]): (r["next"]["k"], r["next"]["t"]) for r in
+             prints.with_next(df, "k", "t", ["k", "t"]).collect()}
+    assert len(after) == len(rows)
+    walked, at = [], (None, "n0000")
+    while at not in walked[:1]:
+        walked.append(at)
+        at = after[at]
+    assert len(walked) == len(rows) and set(walked) == set(rows)
+    assert walked[:300] == rows[:300] and walked[600:] == rows[600:]
+
+
 def test_no_python_in_the_plan(spark):
     plan = op7_document_fingerprints(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))

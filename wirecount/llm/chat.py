@@ -6,13 +6,15 @@ a cell's end has a window of its own, so no window's new turns pass the stride u
 turn does. Each later window begins with the retained system turn and with as many earlier
 turns as fit ``history`` tokens. Only new assistant turns are targets: repeated ones are masked.
 
-Everything is DataFrame operations. A long conversation is spread over blocks of turns for its
-prefix sums (sums of blocks first, then sums inside a block) and over cells after that, so no
-task ever holds a whole conversation.
+Everything is DataFrame operations. All turns are sorted into ranges of even size; the turns that
+a conversation has in a range are a block. Prefix sums add up blocks first and then the turns of
+a block, and cells spread a conversation after that, so no task ever holds a whole conversation,
+whatever its turn numbers are.
 
 Defined results: null texts and roles are empty, a null turn sorts first, a null conversation
-is a conversation like others; equal turns are ordered by role and text, repeated rows are
-repeated turns; other columns are ignored, whatever their names; an empty table has no windows.
+is a conversation like others; equal turns are ordered by the first ``HEAD`` code points of role
+and text and then by a hash of both, repeated rows are repeated turns; other columns are ignored,
+whatever their names; an empty table has no windows.
 """
 
 from __future__ import annotations
@@ -27,8 +29,8 @@ from wirecount.llm.common import stored, text_of
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>",
            "<|im_sep|>", "<|endoftext|>", "<|system|>", "<|user|>", "<|assistant|>")
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
-#: Turns whose tokens are summed together before the sums of a conversation.
-BLOCK = 64
+#: Code points of role and text that order equal turns: bounds of ranges pass the driver.
+HEAD = 128
 
 
 @dataclass(frozen=True)
@@ -74,8 +76,16 @@ def placed_turns(turns: DataFrame, budget: Budget) -> DataFrame:
     # A turn has at least the tokens of its marks, so no two begin at the same place.
     rows = rows.withColumn("piece", segment(F.col("role"), F.col("text")))
     rows = rows.withColumn("tokens", token_count(F.col("piece")).cast("long"))
-    rows = rows.withColumn("block", F.floor(F.col("at") / BLOCK))
-    order = ["at", "role", "text"]
+    # No two rows are equal in this order, so any number of equal turns can be split. The number
+    # of a row and its range must not change when they are read again: they are written.
+    order = ["at", "role_head", "text_head", "hash", "nth"]
+    rows = (
+        rows.withColumn("role_head", F.substr("role", F.lit(1), F.lit(HEAD)))
+        .withColumn("text_head", F.substr("text", F.lit(1), F.lit(HEAD)))
+        .withColumn("hash", F.xxhash64("role", "text"))
+        .withColumn("nth", F.monotonically_increasing_id()))
+    rows = stored(rows.repartitionByRange("conv", *order).withColumn(
+        "block", F.spark_partition_id()))
     sums = rows.groupBy("conv", "block").agg(
         F.sum("tokens").alias("sum"),
         F.min(F.when(F.col("role") == "system", F.struct(*order, "tokens"))).alias("sys"))
@@ -85,24 +95,19 @@ def placed_turns(turns: DataFrame, budget: Budget) -> DataFrame:
         F.col("conv").alias("conv_"), F.col("block").alias("block_"),
         F.coalesce(F.sum("sum").over(running), F.lit(0)).alias("offset"),
         F.min("sys").over(over).alias("sys"))
-    block = Window.partitionBy("conv", "block")
-    here = block.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    here = Window.partitionBy("conv", "block").orderBy(*order).rowsBetween(
+        Window.unboundedPreceding, 0)
     placed = (
         rows.join(sums, rows["conv"].eqNullSafe(sums["conv_"])
-                  & rows["block"].eqNullSafe(sums["block_"]))
+                  & (rows["block"] == sums["block_"]))
         .withColumn("b", F.col("offset") + F.sum("tokens").over(here))
         .withColumn("a", F.col("b") - F.col("tokens"))
-        .withColumn("first", F.col("sys").isNotNull() & (F.col("role") == "system")
-                    & F.col("at").eqNullSafe(F.col("sys.at"))
-                    & (F.col("text") == F.col("sys.text")))
-        # Of equal system rows the first one is retained.
-        .withColumn("first_a", F.min(F.when(F.col("first"), F.col("a"))).over(block))
         .withColumn("stride", F.greatest(
             F.lit(budget.least).cast("long"),
             budget.window - budget.history - F.coalesce("sys.tokens", F.lit(0)))))
     return placed.select(
         "conv", "role", "text", "piece", "a", "b", "tokens", "stride",
-        (F.col("first") & (F.col("a") == F.col("first_a"))).alias("retained"),
+        F.coalesce(F.col("nth") == F.col("sys.nth"), F.lit(False)).alias("retained"),
         F.floor(F.col("a") / F.col("stride")).alias("cell"),
         (F.floor((F.col("b") - 1) / F.col("stride"))
          != F.floor(F.col("a") / F.col("stride"))).alias("alone"))

@@ -26,6 +26,8 @@ WIDTH, BINS, BITS = 5, 128, 8
 #: Hashed probes of an empty bin before all filled bins are ranked for it.
 PROBES = 12
 TOP = 57  # a bin is the hash's bits from here on
+#: Code points of a text that order rows of one key, and rows drawn per range to find the bounds.
+HEAD, SAMPLED = 32, 100
 
 
 def held(df: DataFrame, **columns: Column) -> DataFrame:
@@ -126,41 +128,71 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.col("key_").alias(key), "bins", packed("bins").alias("fingerprint"))
 
 
+def _order(key: str, tie: str) -> Column:
+    """Where a row stands: by key, nulls first, then by the head of ``tie`` and its hash."""
+    return F.struct(F.col(key).isNotNull().alias("some"), F.col(key).alias("key"),
+                    F.substr(tie, F.lit(1), F.lit(HEAD)).alias("head"),
+                    F.xxhash64(tie).alias("hash"))
+
+
+def _cuts(places: DataFrame, parts: int) -> tuple[Column | None, list[Column]]:
+    """The first of all places ``at`` and those that begin the other ranges, as values."""
+    seen = places.agg(F.count("*").alias("n"), F.min("at").alias("least")).first()
+    if not seen["n"]:
+        return None, []
+    drawn = SAMPLED * parts
+    some = places if seen["n"] <= drawn else places.where(F.rand(1) < drawn / seen["n"])
+    found = [r["at"] for r in some.orderBy("at").collect()]
+    kind = places.schema["at"].dataType
+    begins = dict.fromkeys(found[len(found) * i // parts] for i in range(1, parts) if found)
+    begins.pop(seen["least"], None)
+
+    def value(row):
+        return F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, kind)))
+
+    return value(seen["least"]), [value(r) for r in begins]
+
+
 def with_next(df: DataFrame, key: str, tie: str, columns: list[str],
               keys: DataFrame | None = None) -> DataFrame:
-    """``df`` with ``next``, the ``columns`` of the row after it by ``key`` and ``tie``; the
-    first row comes after the last.
+    """``df`` with ``next``, the ``columns`` of the row after it by ``key`` and, where keys are
+    equal, by the first ``HEAD`` code points of ``tie`` and then its hash; the first row comes
+    after the last.
 
-    Rows are dealt to ranges of the key between quantiles, one per shuffle partition. The first
+    Rows are dealt to ranges of this order, one per shuffle partition, between quantiles of a
+    sample of bounded size, so many rows of one key (or without) lie in many ranges. The first
     row of a range also goes to the range before it, and the first of all behind the last.
-    ``keys`` holds the same keys as ``df`` where that is cheaper to read.
+    ``keys`` holds the same keys and ties as ``df`` where they are cheaper to read.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    seen = (df if keys is None else keys).agg(
-        F.percentile_approx(key, [i / parts for i in range(1, parts)] or [0.5], 10_000)
-        .alias("cuts"), F.min(key).alias("least"),
-        F.count(F.when(F.col(key).isNull(), 1)).alias("nulls")).first()
-    first = None if seen["nulls"] else seen["least"]
-    cuts = sorted({c for c in seen["cuts"] or [] if c is not None
-                   and (seen["nulls"] or c > seen["least"])}) if parts > 1 else []
-    at = F.col(key)
-    bounds = F.array(*(F.lit(c) for c in cuts)) if cuts else F.array().cast("array<bigint>")
-    part = F.coalesce(F.size(F.filter(bounds, lambda c: c <= at)), F.lit(0))
-    if not cuts:
-        part = F.lit(0)
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    source = df if keys is None else keys
+    least, cuts = _cuts(source.select(_order(key, tie).alias("at")), parts)
+    at = F.col("at_")
+    # Ranges are looked for in two steps: among every few cuts, then between two of these.
+    few = max(1, int(len(cuts) ** 0.5))
+    bounds, coarse = F.array(*cuts), F.array(*cuts[::few])
+
+    def below(some):
+        return F.size(F.filter(some, lambda c: c <= at))
+
+    rows = held(df, at_=_order(key, tie))
+    rows = held(rows, coarse_=below(coarse) if cuts else F.lit(0))
+    start = (F.col("coarse_") - 1) * few
+    rows = held(rows, part_=F.when(F.col("coarse_") == 0, F.lit(0)).otherwise(
+        start + below(F.slice(bounds, start + 1, few))) if cuts else F.lit(0))
 
     def place(part, guest):
         return F.struct(part.cast("int").alias("part"), F.lit(guest).alias("guest"))
 
-    places = [place(part, 0)]
+    places = [place(F.col("part_"), 0)]
     if cuts:
-        places.append(F.when(F.array_contains(bounds, at), place(part - 1, 1)))
-    is_first = at.isNull() if first is None else at == first
-    places.append(F.when(is_first, place(F.lit(len(cuts)), 2)))
-    dealt = df.withColumn("place_", F.explode(
+        places.append(F.when(F.get(bounds, F.col("part_") - 1).eqNullSafe(at),
+                             place(F.col("part_") - 1, 1)))
+    if least is not None:
+        places.append(F.when(at.eqNullSafe(least), place(F.lit(len(cuts)), 2)))
+    dealt = rows.withColumn("place_", F.explode(
         F.filter(F.array(*places), lambda p: p.isNotNull())))
-    order = Window.partitionBy("place_.part").orderBy(
-        "place_.guest", F.col(key).asc_nulls_first(), tie)
+    order = Window.partitionBy("place_.part").orderBy("place_.guest", "at_")
     ahead = F.lead(F.struct(*columns)).over(order)
-    return dealt.withColumn("next", ahead).where("place_.guest = 0").drop("place_")
+    return dealt.withColumn("next", ahead).where("place_.guest = 0").drop(
+        "place_", "at_", "coarse_", "part_")

@@ -124,7 +124,7 @@ def op7_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", text_of("text").alias("text"), F.length(text_of("text")).alias("n"))
     printed = prints.bins(docs, "text", "own", ["doc_id", "text", "n"])
     paired = prints.with_next(printed, "doc_id", "text", ["text", "own"],
-                              keys=docs.select("doc_id"))
+                              keys=docs.select("doc_id", "text"))
     half = F.floor(F.col("n") / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), F.col("n") - half),
                       F.substr("next.text", F.lit(1), half))
