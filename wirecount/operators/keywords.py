@@ -138,7 +138,8 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
                    lemmas: DataFrame | None = None,
                    row_id: Sequence[str] = (), dedupe_titles: bool = False,
                    max_listed: int = MAX_LISTED_WORDS,
-                   max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+                   max_bytes: int = MAX_BROADCAST_BYTES,
+                   among: DataFrame | None = None) -> DataFrame:
     """Count the n-grams of every title: ``by`` columns, ``keyword``, ``count``.
 
     Unigrams and bigrams (``sizes``) come from one pass over the titles and one
@@ -147,7 +148,8 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     up again, say on another channel, counts again unless ``dedupe_titles``. Beyond
     ``max_listed`` stop words the distinct tokens meet the table first, beyond ``max_bytes`` of
     lemmas the dictionary is joined by shuffle. In a stream a dictionary of up to
-    ``LITERAL_WORDS`` entries is looked up in place.
+    ``LITERAL_WORDS`` entries is looked up in place. With ``among``, a table of ``by`` columns and
+    ``_word`` that fits a broadcast, only n-grams of these words are counted.
     """
     if dedupe_titles:
         titles = titles.dropDuplicates([*by, title])
@@ -164,6 +166,8 @@ def keyword_counts(titles: DataFrame, by: Sequence[str] = (), title: str = "titl
     rows = _with_following(words, by, places)
     if lemmas is not None:
         rows = _lemmatized(rows, by, places, lemmas, max_bytes)
+    if among is not None:
+        rows = _of_words(rows, by, places[:min(sizes)], among)
     grouped = "_times" in rows.columns
     return (
         _each_gram(rows, [*by, "_times"] if grouped else by, [_joined(places[:n]) for n in sizes])
@@ -225,6 +229,21 @@ def _lemmatized(rows: DataFrame, by: Sequence[str], places: Sequence[str],
     return rows
 
 
+def _of_words(rows: DataFrame, by: Sequence[str], places: Sequence[str],
+              among: DataFrame) -> DataFrame:
+    """Rows whose tokens at ``places`` are all listed; looked up where they stand.
+
+    Groups without a name are groups too.
+    """
+    for at, place in enumerate(places):
+        names = [f"_{at}_{c}" for c in by]
+        listed = F.broadcast(among.select(
+            *(F.col(c).alias(n) for c, n in zip(by, names)), F.col("_word").alias(f"_{at}_word")))
+        met = [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(by, names)]
+        rows = rows.join(listed, [*met, F.col(place) == F.col(f"_{at}_word")], "left_semi")
+    return rows
+
+
 def _joined(columns: Sequence[str]) -> Column:
     """The columns with spaces between them; null where one of them is null."""
     parts = [F.col(columns[0])]
@@ -246,6 +265,35 @@ def top_k(counts: DataFrame, k: int = TOP, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def top_keywords(titles: DataFrame, k: int = TOP, by: Sequence[str] = (),
+                 sizes: Sequence[int] = (1, 2), max_bytes: int = MAX_BROADCAST_BYTES,
+                 **text) -> DataFrame:
+    """``top_k`` of ``keyword_counts``, exactly, without counting every longer n-gram.
+
+    An n-gram comes up no more often than any of its words. So where single words are counted too,
+    one that is among the top has only words that are no rarer than the ``k``-th word of its group.
+    The words are counted first; n-grams are made of all titles, and counted where all their words
+    are among those. What words are left is measured: beyond ``max_bytes``, say in groups where all
+    are equally rare, every n-gram is counted. Words as rare as the ``k``-th of a group all stay and
+    are ranked in one task, sorted on its disk.
+    """
+    plain = dict(by=by, max_bytes=max_bytes, **text)
+    if 1 not in sizes or len(set(sizes)) == 1 or titles.isStreaming or text.get("lemmas") is not None:
+        return top_k(keyword_counts(titles, sizes=sizes, **plain), k, by)
+    shared_dir(titles.sparkSession)
+    order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.desc("count"))
+    words = (
+        keyword_counts(titles, sizes=(1,), **plain).withColumn("_rank", F.rank().over(order))
+        .where(F.col("_rank") <= k).drop("_rank").checkpoint()
+    )
+    among = words.select(*by, F.col("keyword").alias("_word"))
+    longer = [n for n in sizes if n > 1]
+    if fits_broadcast(among, max_bytes):
+        plain["among"] = among
+    grams = keyword_counts(titles, sizes=longer, **plain)
+    return top_k(words.unionByName(grams), k, by)
+
+
 def top_of_latest(counts: DataFrame, label: str = "hour", k: int = TOP) -> DataFrame:
     """The top of the newest label; labels sort as text, being zero-padded."""
     newest = counts.agg(F.max(label)).scalar()

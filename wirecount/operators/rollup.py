@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wirecount.functions import times
-from wirecount.operators.keywords import TOP, keyword_counts, top_k
+from wirecount.operators.keywords import TOP, keyword_counts, top_k, top_keywords
 
 FINER = {"day": "hour", "month": "day"}
 HOUR, DAY = timedelta(hours=1), timedelta(days=1)
@@ -30,8 +30,9 @@ def keywords_per(headlines: DataFrame, unit: str = "hour", k: int | None = TOP,
     ``keyword_counts``.
     """
     timed = headlines.where(F.col(ts).isNotNull()).withColumn("_period", F.date_trunc(unit, ts))
-    counts = keyword_counts(timed, by=["_period"], **text)
-    return _labelled(counts, unit, k, label_at)
+    if k is None:
+        return _labelled(keyword_counts(timed, by=["_period"], **text), unit, None, label_at)
+    return _labelled(top_keywords(timed, k, ["_period"], **text), unit, None, label_at)
 
 
 def roll_up(counts: DataFrame, unit: str, k: int | None = TOP, label_at: str = "start",

@@ -131,7 +131,7 @@ def keyword_counts_distinct_titles(spark: SparkSession, sf_dir: str) -> DataFram
 
 @query
 def keyword_top20(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return kw.top_k(kw.keyword_counts(inputs.headlines(spark, sf_dir)))
+    return kw.top_keywords(inputs.headlines(spark, sf_dir))
 
 
 @query
