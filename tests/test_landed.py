@@ -115,3 +115,17 @@ def test_landed_lists_documents_without_reading_them(spark, root):
     assert "content" not in there._jdf.queryExecution().executedPlan().toString().split(
         "ReadSchema")[1]
     assert entries.landed(spark, f"{root}/landing", datetime(2100, 1, 1)).count() == 0
+
+
+def test_a_feed_document_holds_many_entries(spark):
+    """A file per channel, not per channel and day; a busy channel has several; none is lost."""
+    from workload import inputs
+
+    quiet = [(c, f"t{d}", f"2024-01-{d:02}T00:00:00Z") for c in (1, 2) for d in range(1, 21)]
+    busy = [(3, f"<&{n}", None) for n in range(500)]
+    given = spark.createDataFrame(quiet + busy, "channel_id long, title string, published string")
+    made = inputs.feed_documents(given, size=50).collect()
+    per = {c: [r["value"] for r in made if r["channel_id"] == c] for c in (1, 2, 3)}
+    assert len(per[1]) == len(per[2]) == 1 and 5 <= len(per[3]) <= 10
+    assert sum(v.count("<item>") for v in per[1]) == 20
+    assert sum(v.count("<item><title>&lt;&amp;") for v in per[3]) == 500

@@ -116,6 +116,25 @@ def shaped_entries(rows: DataFrame) -> DataFrame:
     ).select("channel_id", F.col("entry_title").alias("title"), "published")
 
 
+def feed_documents(rows: DataFrame, size: int = 100) -> DataFrame:
+    """Entries as feed documents ``channel_id, value``: a channel's entries are in one document,
+    those of a busy one in as many of about ``size`` entries as it takes."""
+    def element(name, value):
+        escaped = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+        return F.when(value.isNotNull(), F.concat(
+            F.lit(f"<{name}>"), escaped, F.lit(f"</{name}>"))).otherwise("")
+
+    items = rows.select("channel_id", F.concat(
+        F.lit("<item>"), element("title", F.col("title")),
+        element("pubDate", F.col("published")), F.lit("</item>")).alias("item"))
+    parts = items.groupBy("channel_id").agg(F.ceil(F.count("*") / size).alias("parts"))
+    dealt = items.join(parts, "channel_id").withColumn(
+        "part", F.pmod(F.xxhash64("item"), F.col("parts")))
+    return dealt.groupBy("channel_id", "part").agg(F.concat(
+        F.lit("<rss><channel>"), F.array_join(F.collect_list("item"), ""),
+        F.lit("</channel></rss>")).alias("value")).select("channel_id", "value")
+
+
 def topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON messages, and documents as values that are no JSON."""
     ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")

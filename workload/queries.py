@@ -397,23 +397,15 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = scratch_dir(spark)
     snapshots.publish_channels(inputs.reader_registry(spark, sf_dir), scratch, strict=False)
 
-    def element(name, value):
-        escaped = F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-        return F.when(value.isNotNull(), F.concat(
-            F.lit(f"<{name}>"), escaped, F.lit(f"</{name}>"))).otherwise("")
-
-    items = inputs.entries(spark, sf_dir).select("channel_id", F.concat(
-        F.lit("<item>"), element("title", F.col("title")),
-        element("pubDate", F.col("published")), F.lit("</item>")).alias("item"))
-    # A row is a document and gets a file of its own.
-    day = F.regexp_extract("item", r"\d{4}-\d{2}-\d{2}", 0)
-    documents = items.groupBy("channel_id", day).agg(F.concat(
-        F.lit("<rss><channel>"), F.array_join(F.collect_list("item"), ""),
-        F.lit("</channel></rss>")).alias("value")).select("channel_id", "value")
+    # Files are written one after another by a task, so all tasks have some, also of small rows.
+    tasks = spark.sparkContext.defaultParallelism
+    documents = inputs.feed_documents(inputs.entries(spark, sf_dir))
     send = ingest.to_folder(f"{scratch}/messages")
     for part in (F.col("channel_id") % 2 == 0, F.col("channel_id") % 2 == 1, F.lit(False)):
+        # A row is a document and gets a file of its own.
         (
-            documents.where(part).repartition("channel_id").sortWithinPartitions("channel_id")
+            documents.where(part).repartition(tasks, "channel_id")
+            .sortWithinPartitions("channel_id")
             .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("channel_id")
             .text(f"{scratch}/landing")
         )
