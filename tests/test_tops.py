@@ -52,3 +52,12 @@ def test_few_pairs_are_shuffled(spark):
     few = kw.keyword_counts(heads, sizes=(2,), among=words.select(
         F.col("keyword").alias("_word"))).count()
     assert 0 < few <= 400 < every
+
+
+def test_summaries_are_made_once(spark):
+    """What merges summaries reads them as stored: titles are not tokenized for every use."""
+    from tests.conftest import plan
+    from workload.queries import QUERIES
+
+    shown = plan(QUERIES["daily_from_summaries"](spark, SMALL))
+    assert shown.count("/rows") > 1 and shown.count("regexp_extract_all") == 1
