@@ -41,7 +41,7 @@ def run_rollups(spark: SparkSession, as_of: datetime, k: int = TOP, label_at: st
         check_source(spark, _source(unit, exact), start, end)
         if exact:
             counts = tables.batch_counts(spark, start, end + timedelta(hours=1))
-            rows = roll_up(counts, unit, k, label_at, as_of, source="hour")
+            rows = roll_up(counts, unit, k, label_at, as_of, source="hour", stored=True)
         else:
             counts = spark.table(_source(unit, exact))
             rows = (roll_up_scheduled(counts, unit, k, as_of=as_of) if scheduled
@@ -84,7 +84,7 @@ def backfill(spark: SparkSession, unit: str, start: datetime, end: datetime, k:
     low, high = (t.strftime(times.PYTHON_FORMATS[found]) for t in (first, last))
     rows = label_range(source, found, low, high)
     tables.overwrite_labels(
-        roll_up(rows, unit, k, label_at, source=found), f"keywords_{unit}")
+        roll_up(rows, unit, k, label_at, source=found, stored=exact), f"keywords_{unit}")
 
 
 def expire(spark: SparkSession, as_of: datetime,

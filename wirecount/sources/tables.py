@@ -52,20 +52,24 @@ def overwrite_labels(rows: DataFrame, table: str) -> None:
         .sortWithinPartitions(label, F.desc("count"), F.asc("keyword")), table)
 
 
-def write_batch_counts(counts: DataFrame, batch_id: int, run: str = "") -> None:
+def write_batch_counts(counts: DataFrame, batch_id: int, run: str = "",
+                       in_order: bool = False) -> None:
     """Keep the complete hourly counts of a batch; a replay replaces them.
 
     ``run`` names the stream that the batch number belongs to, so batches of another stream,
     or of a new checkpoint, are others. Rows are rebalanced by day, so a batch over many days
-    leaves a file per day and not one per day and task.
+    leaves a file per day and not one per day and task. Those of ``keywords_per`` without a top
+    lie ``in_order`` of their hours and are written where they lie: a file has few hours.
     """
-    partitions.replace(
+    rows = (
         counts.withColumn("day", F.to_date(F.substr("hour", F.lit(1), F.lit(10))))
         .withColumn("run", F.lit(run or "none"))
         .withColumn("batch_id", F.lit(batch_id).cast("long"))
         .select("hour", "keyword", "count", "day", "run", "batch_id")
-        .hint("rebalance", "day")
-        .sortWithinPartitions("day", "hour"), BATCH_COUNTS)
+    )
+    if not in_order:
+        rows = rows.hint("rebalance", "day").sortWithinPartitions("day", "hour")
+    partitions.replace(rows, BATCH_COUNTS)
 
 
 def batch_hours(spark: SparkSession, batch_id: int, run: str = "") -> list[str]:

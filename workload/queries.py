@@ -484,7 +484,8 @@ def two_batches_of_one_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     with _database(spark, scratch_dir(spark)):
         for run, odd in (("a", 0), ("b", 1), ("a", 0)):
             part = heads.where(F.col("doc_id") % 2 == odd)
-            tables.write_batch_counts(keywords_per(part, "hour", k=None, sizes=(1,)), 0, run)
+            tables.write_batch_counts(
+                keywords_per(part, "hour", k=None, sizes=(1,)), 0, run, in_order=True)
         hours = sorted({*tables.batch_hours(spark, 0, "a"), *tables.batch_hours(spark, 0, "b")})
         return _kept(tables.hour_counts(spark, hours))
 
@@ -501,7 +502,7 @@ def compacted_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
         def send(number, run):
             part = heads.where(F.col("doc_id") % 5 == number)
             tables.write_batch_counts(
-                keywords_per(part, "hour", k=None, sizes=(1,)), number, run)
+                keywords_per(part, "hour", k=None, sizes=(1,)), number, run, in_order=True)
 
         for number in range(4):
             send(number, "a" if number < 2 else "b")
@@ -568,7 +569,7 @@ def daily_from_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
     with _database(spark, scratch_dir(spark)):
-        tables.write_batch_counts(hourly, 0)
+        tables.write_batch_counts(hourly, 0, in_order=True)
         rollups.backfill(spark, "day", *ALL_TIME)
         rollups.backfill(spark, "month", *ALL_TIME, exact=False)
         return _kept(spark.table("keywords_month"))
@@ -578,7 +579,7 @@ def stored_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly = keywords_per(inputs.headlines(spark, sf_dir), "hour", k=None)
     with _database(spark, scratch_dir(spark)):
-        tables.write_batch_counts(hourly, 0)
+        tables.write_batch_counts(hourly, 0, in_order=True)
         rollups.backfill(spark, "day", *ALL_TIME)
         return _kept(spark.table("keywords_day"))
 
