@@ -29,6 +29,15 @@ def test_settings(spark):
     spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_a_task_reads_a_bounded_part(spark):
+    before = spark.conf.get(session.READ)
+    for given, want in (("128m", str(session.READ_BYTES)), ("1m", "1m")):
+        spark.conf.set(session.READ, given)
+        session.configure(spark)
+        assert spark.conf.get(session.READ) == want
+    spark.conf.set(session.READ, before)
+
+
 def test_bytes_of_the_input(spark, tmp_path):
     for name, size in (("a", 10), ("b", 32)):
         (tmp_path / name).write_bytes(b"x" * size)
