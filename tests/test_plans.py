@@ -53,6 +53,12 @@ def test_operator(spark, name, operator):
     assert operator in plan(QUERIES[name](spark, SMALL))
 
 
+def test_stages_of_the_ml_pipeline_run_once(spark):
+    shown = plan(QUERIES["ml_bigrams"](spark, SMALL))
+    assert "Generate" in shown and "Filter (isnotnull(ngrams" not in shown
+    assert shown.count("UDF(") == 3
+
+
 def test_first_url_is_combined_on_the_map_side(spark):
     from wirecount.operators.registry import first_per_url
     from workload.inputs import channel_candidates

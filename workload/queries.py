@@ -433,7 +433,8 @@ def ml_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     heads = inputs.headlines(spark, sf_dir).select("title")
     fitted = text_pipeline("title", inputs.STOP_WORDS).fit(heads).transform(heads)
-    pairs = fitted.select(F.explode("ngrams").alias("keyword"))
+    # An outer generator: a plain one makes the optimizer repeat all stages in a filter.
+    pairs = fitted.select(F.explode_outer("ngrams").alias("keyword")).where("keyword IS NOT NULL")
     return pairs.groupBy("keyword").agg(F.count("*").alias("count"))
 
 
