@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import plan, rows
 from wirecount.functions import text
-from wirecount.functions.listed import Listed
+from wirecount.functions.listed import Listed, Sieve
 from wirecount.operators import keywords as kw
 
 
@@ -113,6 +113,28 @@ def test_lemmas_too_big_to_broadcast(spark, lemmas):
     assert counted(spark, TITLES, stop_words=["the", "of"], lemmas=lemmas, max_bytes=0) == EXPECTED
 
 
+def test_only_rows_with_words_of_the_dictionary_are_joined(spark, lemmas):
+    df = spark.createDataFrame([("banks", "fall"), ("oil", "rises"), ("oil", "falls"), ("oil", None)],
+                               "_w1 string, _w2 string")
+    joined, plain = kw._lemmatized(df, [], ["_w1", "_w2"], lemmas, max_bytes=0)
+    assert rows(joined.select("_w1", "_w2", "_times")) == [("bank", "fall", 1), ("oil", "rise", 1)]
+    assert {tuple(r) for r in plain.collect()} == {("oil", "falls"), ("oil", None)}
+
+
+@pytest.mark.parametrize("longs", [1, 1 << 17])
+def test_a_sieve_lets_all_words_of_its_table_through(spark, monkeypatch, longs, lemmas):
+    monkeypatch.setattr(Sieve, "NUMBERS", longs)
+    words = spark.range(3000).select(F.concat(F.lit("w"), "id").alias("word"))
+    sieve = Sieve(words.where("id < 1000"))
+    found = words.where(sieve.lets(F.col("word")))
+    assert found.where("int(substr(word, 2)) < 1000").count() == 1000
+    assert found.count() == 3000 if longs == 1 else found.count() < 1200
+    assert Sieve(words.limit(0)).size == 1 and not words.where(
+        Sieve(words.limit(0)).lets(F.col("word"))).count()
+    # A full one only costs joins.
+    assert counted(spark, TITLES, stop_words=["the", "of"], lemmas=lemmas, max_bytes=0) == EXPECTED
+
+
 def test_lemma_counts(spark, lemmas):
     df = spark.createDataFrame([("rates", 3), ("rate", 2), ("new", 1)], "token string, count long")
     assert rows(kw.lemma_counts(df, lemmas)) == [("new", 1), ("rate", 5)]
