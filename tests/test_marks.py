@@ -1,5 +1,8 @@
 """Marks as keyed state: over batches, restarts and busy channels."""
 
+from types import SimpleNamespace
+
+import pandas as pd
 import pytest
 
 from tests.conftest import rows
@@ -49,3 +52,66 @@ def test_a_busy_channel_is_spread_over_salts(spark, tmp_path):
     moved = run(spark, tmp_path, registry, salts=4)
     assert {r["salt"] for r in moved.collect()} == {0, 1, 2, 3}
     assert rows(marks.advanced(registry, moved).select("last_updated")) == [(1704067259000,)]
+
+
+class Value:
+    """A state value that counts how often it is asked and written."""
+
+    def __init__(self):
+        self.held, self.calls = None, 0
+
+    def exists(self):
+        self.calls += 1
+        return self.held is not None
+
+    def get(self):
+        self.calls += 1
+        return self.held
+
+    def update(self, value):
+        self.calls += 1
+        self.held = value
+
+
+def processor(value, forget_after_ms=None):
+    latest = marks.LatestTime(forget_after_ms)
+    latest.init(SimpleNamespace(getValueState=lambda *_: value))
+
+    def handle(now, *parts):
+        clock = SimpleNamespace(getCurrentProcessingTimeInMs=lambda: now)
+        parts = (pd.DataFrame(p, columns=["channel_id", "published_ms"]) for p in parts)
+        return sorted(tuple(map(int, r)) for part in latest.handleInputRows((0, 3), parts, clock)
+                      for r in part.itertuples(index=False))
+
+    return handle
+
+
+def test_channels_of_a_block_share_one_state_value():
+    value, big = Value(), 2**53 + 1
+    handle = processor(value)
+    assert handle(0, [(c, c) for c in range(500)], [(7, big), (600, 1)]) == sorted(
+        [(c, 3, c) for c in range(500) if c != 7] + [(7, 3, big), (600, 3, 1)])
+    assert value.calls == 2
+    assert handle(0, [(7, big - 1), (8, 8), (9, 10), (601, 0)]) == [(9, 3, 10), (601, 3, 0)]
+    assert handle(0, [(7, big), (9, 10), (8, 7)]) == []
+    assert handle(0, [(7, big + 1)]) == [(7, 3, big + 1)]
+
+
+def test_silent_channels_of_a_busy_block_are_forgotten():
+    handle = processor(Value(), 100)
+    assert handle(0, [(1, 50), (2, 50)]) == [(1, 3, 50), (2, 3, 50)]
+    assert handle(60, [(2, 60), (1, 40)]) == [(2, 3, 60)]
+    # The first has been silent for 100 ms, the second for 40.
+    assert handle(100, [(1, 40), (2, 40)]) == [(1, 3, 40)]
+
+
+def test_few_groups_of_many_channels(spark, tmp_path):
+    registry = spark.range(3000).selectExpr(
+        "id", "'t' title", "concat('u', id) url", "0L last_updated")
+    entries = spark.range(3000).selectExpr("id channel_id", "'a' title", "'2024-01-01T00:00:00Z' published")
+    entries.coalesce(1).write.parquet(f"{tmp_path}/in")
+    moved = run(spark, tmp_path, registry, salts=1)
+    assert moved.count() == 3000 and moved.select("mark").distinct().count() == 1
+    stateful = spark.read.format("statestore").option("stateVarName", "marks").load(
+        f"{tmp_path}/state")
+    assert stateful.count() == 3

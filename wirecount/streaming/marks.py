@@ -1,15 +1,18 @@
 """Channel marks as keyed state of a stream, beside the snapshot that ``ingest`` joins.
 
-The state's key is a channel and a salt from the entry itself, so the entries of a busy channel are
-spread over ``salts`` tasks; each holds the latest time it has seen, and a channel's mark is the
-highest of its salts. A batch passes on only marks that have moved. State of channels that have
-been silent for ``forget_after`` goes; their marks are in what was passed on.
+The state's key is a block of ``CHANNELS`` neighbouring channel ids and a salt from the entry itself,
+so the entries of a busy channel are spread over ``salts`` tasks; each holds the latest time it has
+seen of each channel, and a channel's mark is the highest of its salts. Python is called once a
+block and salt, not for every channel, and a block's state has a bounded size. A batch passes on
+only marks that have moved. State of channels that have been silent for ``forget_after`` goes;
+their marks are in what was passed on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -18,25 +21,43 @@ from wirecount.operators.lookup import MAX_BROADCAST_BYTES, lookup_join
 from wirecount.operators.registry import new_entries, read_entries
 
 SALTS = 8
+#: Channel ids whose marks are one value of the state; ids are numbered on from one another.
+CHANNELS = 1000
 MOVED = "channel_id long, salt int, mark long"
 
 
 class LatestTime(StatefulProcessor):
-    """One number per key: the latest time seen."""
+    """The latest time seen of each channel of a block, as rows of channel, mark and when it moved."""
 
     def __init__(self, forget_after_ms: int | None = None):
         self.forget_after_ms = forget_after_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.mark = handle.getValueState("mark", "ms long", self.forget_after_ms)
+        self.marks = handle.getValueState("marks", "packed binary", self.forget_after_ms)
+
+    def _known(self, now: int) -> pd.DataFrame:
+        packed = self.marks.get()[0] if self.marks.exists() else b""
+        held = np.frombuffer(packed, dtype="<i8").reshape(-1, 3)
+        if self.forget_after_ms:
+            held = held[held[:, 2] + self.forget_after_ms > now]
+        return pd.DataFrame(held[:, 1:], index=held[:, 0], columns=["mark", "moved"])
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> \
             Iterator[pd.DataFrame]:
-        latest = max(int(part["published_ms"].max()) for part in rows)
-        known = self.mark.get()[0] if self.mark.exists() else None
-        if known is None or latest > known:
-            self.mark.update((latest,))
-            yield pd.DataFrame({"channel_id": [key[0]], "salt": [key[1]], "mark": [latest]})
+        now = timerValues.getCurrentProcessingTimeInMs() if self.forget_after_ms else 0
+        seen = pd.concat([part.groupby("channel_id")["published_ms"].max() for part in rows])
+        latest = seen.groupby(level=0).max().astype("int64")
+        known = self._known(now)
+        # Compared as whole numbers: a missing one would turn the others into doubles.
+        same = known.index.intersection(latest.index)
+        behind = same[known.loc[same, "mark"].to_numpy() >= latest.loc[same].to_numpy()]
+        moved = latest.drop(behind)
+        if len(moved):
+            fresh = pd.DataFrame({"mark": moved, "moved": np.int64(now)})
+            held = pd.concat([known.drop(known.index.intersection(moved.index)), fresh])
+            packed = np.column_stack([held.index, held["mark"], held["moved"]]).astype("<i8")
+            self.marks.update((packed.tobytes(),))
+            yield pd.DataFrame({"channel_id": moved.index, "salt": key[1], "mark": moved.to_numpy()})
 
     def close(self) -> None:
         pass
@@ -51,9 +72,10 @@ def moved_marks(entries: DataFrame, registry: DataFrame, salts: int = SALTS,
     """
     fresh = new_entries(read_entries(entries), registry, max_bytes=max_bytes)
     salt = F.pmod(F.xxhash64("title", "published_ms"), F.lit(salts)).cast("int")
-    timed = fresh.select("channel_id", salt.alias("salt"), "published_ms")
+    block = F.floor(F.col("channel_id") / CHANNELS)
+    timed = fresh.select(block.alias("block"), salt.alias("salt"), "channel_id", "published_ms")
     mode = {"timeMode": "processingTime"} if forget_after_ms else {"timeMode": "none"}
-    return timed.groupBy("channel_id", "salt").transformWithStateInPandas(
+    return timed.groupBy("block", "salt").transformWithStateInPandas(
         LatestTime(forget_after_ms), MOVED, "update", **mode)
 
 
