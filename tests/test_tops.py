@@ -42,6 +42,35 @@ def test_other_options_hold(titles):
         map(str, whole.collect()))
 
 
+@pytest.mark.parametrize("group_bytes", [-1, 0, 10, 20_000, 64 << 20])
+def test_groups_of_any_size_hold_their_words(titles, group_bytes):
+    """All groups in a task each, all counted by all tasks, and some of either kind; the group
+    without a name among the large ones too."""
+    measured = titles.groupBy("g").agg(F.sum(F.octet_length("title")).alias("n"))
+    large = {r["g"] for r in measured.collect() if (r["n"] or 0) > group_bytes}
+    assert (None in large) == (group_bytes <= 20_000)
+    whole = kw.top_k(kw.keyword_counts(titles, by=["g"]), 5, ["g"])
+    got = kw.top_keywords(titles, 5, ["g"], group_bytes=group_bytes)
+    assert sorted(map(str, got.select(*whole.columns).collect())) == sorted(
+        map(str, whole.collect()))
+
+
+def test_words_of_a_group_are_counted_where_its_titles_are(spark, titles, monkeypatch):
+    """Titles are dealt by group; their words are counted and ranked without another shuffle."""
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from tests.conftest import plan
+
+    shown = []
+    kept = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda df: shown.append(plan(df)) or kept(df))
+    kw.top_keywords(titles, 5, ["g"])
+    words = [p for p in shown if "_rank" in p]
+    assert len(words) == 1
+    assert words[0].count("Exchange") == 1
+    assert words[0].index("Generate") < words[0].index("Exchange")
+
+
 def test_few_pairs_are_shuffled(spark):
     """Pairs that meet their counts: those of two frequent words, not all of them."""
     heads = inputs.headlines(spark, SMALL)

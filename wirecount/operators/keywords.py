@@ -18,6 +18,8 @@ from wirecount.session import shared_dir
 MAX_LISTED_WORDS = 10_000
 #: Words in one literal, and of a table in a stream, which cannot be looked through beforehand.
 LITERAL_WORDS = 1_000_000
+#: Text of one group whose words a task counts alone.
+GROUP_BYTES = 64 << 20
 TOP = 20
 
 
@@ -289,9 +291,37 @@ def top_k(counts: DataFrame, k: int = TOP, by: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _word_counts(titles: DataFrame, by: Sequence[str], title: str = "title",
+                 group_bytes: int = GROUP_BYTES, **text) -> DataFrame:
+    """Single words of ``keyword_counts``, a group's all in one task where that can be.
+
+    Titles are smaller than the counts every task has of their words by group, so they are shuffled,
+    by group: its words are counted, and can be ranked, where its titles are. Groups measured at
+    more than ``group_bytes`` of titles are counted by all tasks, as everything is without groups.
+    """
+    plain = dict(by=by, title=title, sizes=(1,), **text)
+    if not by or isinstance(titles.schema[title].dataType, ArrayType) or text.get("dedupe_titles"):
+        return keyword_counts(titles, **plain)
+    titles = titles.select(*dict.fromkeys([*by, *text.get("row_id", ()), title]))
+    measured = titles.groupBy(*by).agg(
+        F.coalesce(F.sum(F.octet_length(title)), F.lit(0)).alias("_bytes")).checkpoint()
+    large = F.col("_bytes") > group_bytes
+    found = measured.agg(F.count_if(large).alias("large"), F.count_if(~large).alias("small")).first()
+    if not found["large"]:
+        return keyword_counts(titles.repartition(*by), **plain)
+    if not found["small"]:
+        return keyword_counts(titles, **plain)
+    # As few as the text has times ``group_bytes``. Groups without a name are groups too.
+    hot = F.broadcast(measured.where(large).select(*(F.col(c).alias(f"_hot_{c}") for c in by)))
+    met = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in by]
+    dealt = titles.join(hot, met, "left_anti").repartition(*by)
+    return keyword_counts(dealt, **plain).unionByName(
+        keyword_counts(titles.join(hot, met, "left_semi"), **plain))
+
+
 def top_keywords(titles: DataFrame, k: int = TOP, by: Sequence[str] = (),
                  sizes: Sequence[int] = (1, 2), max_bytes: int = MAX_BROADCAST_BYTES,
-                 **text) -> DataFrame:
+                 group_bytes: int = GROUP_BYTES, **text) -> DataFrame:
     """``top_k`` of ``keyword_counts``, exactly, without counting every longer n-gram.
 
     An n-gram comes up no more often than any of its words. So where single words are counted too,
@@ -307,7 +337,8 @@ def top_keywords(titles: DataFrame, k: int = TOP, by: Sequence[str] = (),
     shared_dir(titles.sparkSession)
     order = Window.partitionBy(*(by or [F.lit(0)])).orderBy(F.desc("count"))
     words = (
-        keyword_counts(titles, sizes=(1,), **plain).withColumn("_rank", F.rank().over(order))
+        _word_counts(titles, group_bytes=group_bytes, **plain)
+        .withColumn("_rank", F.rank().over(order))
         .where(F.col("_rank") <= k).drop("_rank").checkpoint()
     )
     among = words.select(*by, F.col("keyword").alias("_word"))
