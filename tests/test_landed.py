@@ -4,10 +4,12 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from wirecount.plans import ingest
 from wirecount.schemas import REGISTRY
+from wirecount.session import SMALL_FILES, small_files
 from wirecount.sources import entries, snapshots
 
 
@@ -129,3 +131,52 @@ def test_a_feed_document_holds_many_entries(spark):
     assert len(per[1]) == len(per[2]) == 1 and 5 <= len(per[3]) <= 10
     assert sum(v.count("<item>") for v in per[1]) == 20
     assert sum(v.count("<item><title>&lt;&amp;") for v in per[3]) == 500
+
+
+def test_many_small_documents_are_few_tasks(spark, root, monkeypatch):
+    """A task reads small documents by the hundred; four a task, as the engine has it, were 75."""
+    for channel in range(300):
+        document(root, channel, "a", ("x", "2024-01-01T00:00:00Z"))
+    names = list(SMALL_FILES)
+    before = [spark.conf.get(n, None) for n in names]
+    tasks = []
+    real = entries.read_entries_xml
+
+    def read(*given, **options):
+        made = real(*given, **options)
+        tasks.append(made.rdd.getNumPartitions())
+        return made
+
+    monkeypatch.setattr(entries, "read_entries_xml", read)
+    assert run(spark, root) == 2
+    assert len(tasks) == 1 and tasks[0] <= 2 * spark.sparkContext.defaultParallelism
+    assert [spark.conf.get(n, None) for n in names] == before
+
+
+def test_settings_for_small_files_end_with_a_failure(spark):
+    name = "spark.sql.files.openCostInBytes"
+    spark.conf.set(name, "1k")
+    try:
+        with pytest.raises(RuntimeError, match="lost"), small_files(spark):
+            assert spark.conf.get(name) == "1k"
+            assert int(spark.conf.get(
+                "spark.sql.sources.parallelPartitionDiscovery.parallelism")) <= 256
+            raise RuntimeError("lost")
+        assert spark.conf.get(name) == "1k"
+    finally:
+        spark.conf.unset(name)
+
+
+def test_every_document_is_landed_in_a_file_of_its_own(spark, tmp_path):
+    from workload import inputs
+
+    given = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "ü")],
+                                  "channel_id long, value string")
+    for folder in (f"{tmp_path}/plain 1", f"file://{tmp_path}/with%20scheme"):
+        for _ in range(2):
+            inputs.land(given.coalesce(1).sortWithinPartitions("channel_id"), folder)
+        held = spark.read.option("basePath", folder).option("wholetext", "true").text(folder)
+        assert rows(held.groupBy("channel_id").agg(F.count("*"), F.sort_array(
+            F.collect_set("value"))).na.fill(-1)) == [
+            (-1, 2, ["ü"]), (1, 4, ["a", "b"]), (2, 2, ["c"])]
+        assert held.select("_metadata.file_path").distinct().count() == 8

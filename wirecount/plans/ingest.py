@@ -11,7 +11,7 @@ from wirecount.functions.times import instant, utc
 from wirecount.operators import messages as msg, registry as reg
 from wirecount.operators.lookup import lookup_join
 from wirecount.operators.metrics import observed, samples, set_samples
-from wirecount.session import shared_dir, size_shuffles
+from wirecount.session import shared_dir, size_shuffles, small_files
 from wirecount.sources import entries, snapshots, tables
 from wirecount.streaming import progress
 
@@ -88,6 +88,14 @@ def ingest_landed(spark: SparkSession, folder: str, root: str,
     come to its end too; its old entries are behind the marks then. Up to ``named_at_most`` new
     documents are read by name, more by the time from which on documents are new.
     """
+    # Documents are small and many: a task reads, and lists, as many as it takes to be worth one.
+    with small_files(spark):
+        return _ingest_new(spark, folder, root, send, dialect, landed_after, named_at_most, options)
+
+
+def _ingest_new(spark: SparkSession, folder: str, root: str,
+                send: Callable[[DataFrame, int], None], dialect: str,
+                landed_after: datetime | None, named_at_most: int, options: dict) -> int:
     parsed = f"{root}/{snapshots.PARSED}"
     there = entries.landed(spark, folder, landed_after)
     known = snapshots.read(spark, parsed)

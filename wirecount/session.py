@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +30,11 @@ SETTINGS = {
 READ = "spark.sql.files.maxPartitionBytes"
 READ_BYTES = 16 << 20
 
+#: For folders of many small files: what it counts to open one, so how many a task gets beside its
+#: bytes, and the tasks that list folders at most.
+SMALL_FILES = {"spark.sql.files.openCostInBytes": 64 << 10,
+               "spark.sql.sources.parallelPartitionDiscovery.parallelism": 256}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the engine's settings to a running session; one that reads less a task stays so."""
@@ -60,6 +67,28 @@ def size_shuffles(spark: SparkSession, input_bytes: int, per_task: int = 128 <<
     return partitions
 
 
+@contextmanager
+def small_files(spark: SparkSession) -> Iterator[None]:
+    """What is read within deals small files to tasks by the hundred, and folders to be listed too.
+
+    As the engine is set, a task opens four files and every folder is a task of its own, which takes
+    longer than what is in them.
+    """
+    before = {name: spark.conf.get(name, None) for name in SMALL_FILES}
+    size = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for name, most in SMALL_FILES.items():
+        if before[name] is None or size(before[name]) > most:
+            spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, from ``spark.checkpoint.dir``.
 

@@ -5,6 +5,10 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from itertools import groupby
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wirecount.functions import ids, times
@@ -19,6 +23,8 @@ STOP_WORDS = (
     "el", "los", "que", "y",
 )
 SUFFIX = "(ing|ed|ly|s)$"
+#: The engine's name for a partition without value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,6 +141,32 @@ def feed_documents(rows: DataFrame, size: int = 100) -> DataFrame:
         F.lit("</channel></rss>")).alias("value")).select("channel_id", "value")
 
 
+def land(documents: DataFrame, folder: str) -> None:
+    """Leave every document ``channel_id, value`` as a file of its own below its channel's folder.
+
+    The documents of a channel lie in one partition, one after another. On a file system of this
+    machine files are written by the tasks themselves, as a downloader does: the engine's writer
+    starts two processes there for each. A task that is run again replaces its files.
+    """
+    spark = documents.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme() != "file":
+        documents.write.mode("append").option("maxRecordsPerFile", 1).partitionBy(
+            "channel_id").text(folder)
+        return
+    name, at = uuid.uuid4().hex, place.toUri().getPath()
+
+    def write(rows):
+        for channel, held in groupby(rows, key=lambda r: r["channel_id"]):
+            own = f"{at}/channel_id={NO_VALUE if channel is None else channel}"
+            os.makedirs(own, exist_ok=True)
+            for number, row in enumerate(held):
+                with open(f"{own}/{name}-{number}.xml", "w", encoding="utf-8") as f:
+                    f.write(row["value"])
+
+    documents.foreachPartition(write)
+
+
 def topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as JSON messages, and documents as values that are no JSON."""
     ts = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -403,12 +403,8 @@ def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     send = ingest.to_folder(f"{scratch}/messages")
     for part in (F.col("channel_id") % 2 == 0, F.col("channel_id") % 2 == 1, F.lit(False)):
         # A row is a document and gets a file of its own.
-        (
-            documents.where(part).repartition(tasks, "channel_id")
-            .sortWithinPartitions("channel_id")
-            .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("channel_id")
-            .text(f"{scratch}/landing")
-        )
+        inputs.land(documents.where(part).repartition(tasks, "channel_id")
+                    .sortWithinPartitions("channel_id"), f"{scratch}/landing")
         ingest.ingest_landed(spark, f"{scratch}/landing", scratch, send)
     return snapshots.load_registry(spark, scratch).select("id", "last_updated")
 
