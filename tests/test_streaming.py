@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan, rows
 from wirecount.operators import messages as msg
 from wirecount.operators.rollup import keywords_per
 from wirecount.plans.ingest import to_folder
@@ -209,3 +209,39 @@ def test_batch_runs_and_a_stream_share_the_marks(spark, tmp_path):
     assert sorted(sent) == ["t1", "t2", "t3", "t9"]
     marks = snapshots.load_registry(spark, root).first()["last_updated"]
     assert marks == 1704758400000
+
+
+@pytest.mark.parametrize("least, dealt", [(2, True), (50, False)])
+def test_a_batch_of_many_hours_shuffles_titles_not_counts(spark, made, monkeypatch, least, dealt):
+    """One shuffle, of titles, before counts are written; tops are taken from few sums of them."""
+    folder, _, _ = made
+    sent = [message(i, f"rates rise in {'spring' if i % 3 else 'autumn'} w{i}",
+                    f"2024-01-01T{10 + i % 6}:15:00Z") for i in range(60)]
+    land(spark, folder, "a", sent)
+    batch = topic.topic_table(spark, "parquet", f"{folder}/*")
+    written, real = [], tables.write_batch_counts
+
+    def write(counts, *given, **options):
+        written.append((plan(counts), given[2], options["packed"]))
+        real(counts, *given, **options)
+
+    monkeypatch.setattr(tables, "write_batch_counts", write)
+    if dealt:
+        monkeypatch.setattr(tables, "hour_counts", lambda *a: pytest.fail("all are summed"))
+    for _ in range(2):
+        hourly.hourly_writer(label_from="published", tasks=least)(batch, 0)
+    assert [(p.count("Exchange ") == 1 and "rangepartitioning(_label" in p, o, s)
+            for p, o, s in written] == [(dealt, True, True)] * 2
+    parsed = msg.accepted(msg.parse_messages(batch))
+    assert rows(spark.table("keywords_hour").select("hour", "keyword", "count")) == rows(
+        keywords_per(parsed, "hour"))
+    counted = spark.table("metric_samples").where("name = 'hourly_messages'").select("value")
+    assert rows(counted) == [("60",), ("60",)]
+
+
+def test_a_batch_with_state_is_run_once(spark, made, monkeypatch):
+    folder, checkpoint, _ = made
+    land(spark, folder, "a", [message(1, "rates"), message(1, "rates")])
+    monkeypatch.setattr(hourly, "hour_counts", lambda *a, **b: pytest.fail("read again"))
+    run(spark, folder, checkpoint, label_from="published", dedup_within="24 hours", tasks=2)
+    assert rows(spark.table("keywords_hour").select("keyword", "count")) == [("rates", 1)]

@@ -46,37 +46,62 @@ def keywords_per(headlines: DataFrame, unit: str = "hour", k: int | None = TOP,
 
 
 def _counted(named: DataFrame, title: str = "title", label_bytes: int = LABEL_BYTES,
-             task_bytes: int = TASK_BYTES, **text) -> DataFrame:
+             task_bytes: int = TASK_BYTES, least: int = 0, tasks: int | None = None,
+             **text) -> DataFrame:
     """``keyword_counts`` by ``_label``, in the order of labels where that can be.
 
     Titles are smaller than their counts, so they are shuffled: every label goes to one task, which
     counts it as a whole and has few others to hold beside it. Labels measured at more than
     ``label_bytes`` of titles are counted by all tasks, as everything is whose rows would not stay
-    where they are.
+    where they are, and as all is where no ``least`` labels are left to be dealt. ``tasks`` spreads
+    titles that are counted by all tasks.
     """
     plain = dict(title=title, by=["_label"], **text)
-    if (named.isStreaming or isinstance(named.schema[title].dataType, ArrayType)
-            or text.get("dedupe_titles") or text.get("lemmas") is not None):
-        return keyword_counts(named, **plain)
+
+    def spread(titles):
+        return keyword_counts(titles.repartition(tasks) if tasks else titles, **plain)
+
+    if not _dealt_by_label(named, title, **text):
+        return spread(named)
+    shared_dir(named.sparkSession)
     sizes = named.groupBy("_label").agg(
-        F.coalesce(F.sum(F.octet_length(title)), F.lit(0)).alias("_bytes"))
+        F.coalesce(F.sum(F.octet_length(title)), F.lit(0)).alias("_bytes")).checkpoint()
     large = F.col("_bytes") > label_bytes
     found = sizes.agg(F.count_if(large).alias("large"), F.count_if(~large).alias("small"),
                       F.sum(F.when(~large, F.col("_bytes"))).alias("bytes")).first()
 
     def dealt(titles):
-        tasks = max(2, min(found["small"], -(-(found["bytes"] or 0) // task_bytes)))
-        return keyword_counts(titles.repartitionByRange(tasks, "_label"), **plain)
+        parts = max(2, min(found["small"], -(-(found["bytes"] or 0) // task_bytes)))
+        return keyword_counts(titles.repartitionByRange(parts, "_label"), **plain)
 
     needed = named.select(*dict.fromkeys(["_label", title, *text.get("row_id", ())]))
+    if found["small"] < least:
+        return spread(needed).hint("rebalance", "_label")
     if not found["large"]:
         return dealt(needed)
     hot = sizes.where(large).select("_label")
-    spread = keyword_counts(lookup_join(needed, hot, ["_label"], "left_semi"), **plain)
+    counted = spread(lookup_join(needed, hot, ["_label"], "left_semi"))
     if not found["small"]:
-        return spread
+        return counted
     return dealt(lookup_join(needed, hot, ["_label"], "left_anti")).unionByName(
-        spread.hint("rebalance", "_label"))
+        counted.hint("rebalance", "_label"))
+
+
+def _dealt_by_label(named: DataFrame, title: str = "title", **text) -> bool:
+    """Whether the counts of titles can stay in the task their label is in."""
+    return not (named.isStreaming or isinstance(named.schema[title].dataType, ArrayType)
+                or text.get("dedupe_titles") or text.get("lemmas") is not None)
+
+
+def hour_counts(titles: DataFrame, tasks: int | None = None, **text) -> tuple[DataFrame, bool]:
+    """``hour, keyword, count`` of titles with their ``hour``, and whether they lie by hour.
+
+    The titles are read three times, to measure the hours, to place them and to count them; where
+    there are fewer hours than tasks all tasks count all.
+    """
+    least = tasks or titles.sparkSession.sparkContext.defaultParallelism
+    counts = _counted(titles.withColumnRenamed("hour", "_label"), least=least, tasks=tasks, **text)
+    return counts.withColumnRenamed("_label", "hour"), _dealt_by_label(titles, **text)
 
 
 def roll_up(counts: DataFrame, unit: str, k: int | None = TOP, label_at: str = "start",

@@ -12,10 +12,13 @@ from wirecount.functions import times
 from wirecount.operators import messages as msg
 from wirecount.operators.keywords import TOP, keyword_counts, top_k
 from wirecount.operators.metrics import observed, samples
+from wirecount.operators.rollup import hour_counts, top_of_sums
 from wirecount.sources import coverage, tables
 from wirecount.streaming.dedup import dedup_topic
 
 LABEL_SOURCES = ("processing", "arrival", "published")
+#: Groups of an hour's keywords whose sums say which of them its top can be in.
+HOUR_BUCKETS = 1 << 12
 
 
 def _now() -> datetime:
@@ -25,7 +28,8 @@ def _now() -> datetime:
 def hourly_writer(label_from: str = "processing", label_at: str = "start", k: int = TOP,
                   rejects_path: str | None = None, tasks: int | None = None,
                   clock: Callable[[], datetime] = _now, run: str | None = None,
-                  keep_for: timedelta | None = tables.HOUR_TTL, **text) -> Callable[[DataFrame, int], None]:
+                  keep_for: timedelta | None = tables.HOUR_TTL, reread: bool = True,
+                  **text) -> Callable[[DataFrame, int], None]:
     """The batch function: complete counts per batch, then the top of the hours touched.
 
     ``label_from`` is the clock of the batch (``processing``), the time a message reached
@@ -37,6 +41,9 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
     of the batch, tops older than ``keep_for`` go with each batch, hours before the current one
     are noted as final, and the first hour as the one counts are kept from. Each batch leaves
     counters of its messages and of those rejected. ``text`` is passed to ``keyword_counts``.
+
+    Under a message clock a batch of many hours is read three times, so that titles can be dealt by
+    hour and no count is shuffled, unless ``reread`` says that it had better be run once only.
     """
     if label_from not in LABEL_SOURCES:
         raise ValueError(f"label_from must be one of {LABEL_SOURCES}")
@@ -55,7 +62,8 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
             stamp = times.label(F.col("timestamp"), "hour", label_at)
         else:
             stamp = times.label(F.coalesce("published", "timestamp"), "hour", label_at)
-        if tasks:
+        by_hour = reread and label_from != "processing"
+        if tasks and not by_hour:
             batch = batch.repartition(tasks)
         # Seen while the counts are written; the batch is not run once more for it.
         parsed, seen = observed(
@@ -67,11 +75,13 @@ def hourly_writer(label_from: str = "processing", label_at: str = "start", k: in
                 .parquet(f"{rejects_path}/run={name}/batch_id={batch_id}")
             )
         titles = msg.accepted(parsed).select(stamp.alias("hour"), "title")
-        tables.write_batch_counts(keyword_counts(titles, by=["hour"], **text), batch_id, name)
+        counts, in_order = hour_counts(titles, tasks, **text) if by_hour else (
+            keyword_counts(titles, by=["hour"], **text), False)
+        tables.write_batch_counts(counts, batch_id, name, in_order, packed=in_order)
         tables.append_metrics(samples(spark, clock(), "counter", **{
             f"hourly_{k}": v for k, v in seen.get.items()}))
         hours = tables.batch_hours(spark, batch_id, name)
-        publish_hours(spark, hours, k)
+        publish_hours(spark, hours, k, tasks)
         if label_from == "processing" and hours:
             now = clock()
             this_hour = times.utc(now).replace(minute=0, second=0, microsecond=0)
@@ -89,11 +99,21 @@ def stream_name(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
 
 
-def publish_hours(spark: SparkSession, hours: list[str], k: int = TOP) -> None:
-    """The top of the given hours, over all their batches."""
-    if hours:
-        tables.overwrite_labels(
-            top_k(tables.hour_counts(spark, hours), k, by=["hour"]), "keywords_hour")
+def publish_hours(spark: SparkSession, hours: list[str], k: int = TOP,
+                  tasks: int | None = None) -> None:
+    """The top of the given hours, over all their batches.
+
+    Of as many hours as there are tasks few keywords are summed for it, in more and smaller steps.
+    """
+    if not hours:
+        return
+    if len(hours) < (tasks or spark.sparkContext.defaultParallelism):
+        tops = top_k(tables.hour_counts(spark, hours), k, by=["hour"])
+    else:
+        kept = tables.stored_counts(spark, hours).select(
+            F.col("hour").alias("_period"), "keyword", "count")
+        tops = top_of_sums(kept, k, HOUR_BUCKETS).withColumnRenamed("_period", "hour")
+    tables.overwrite_labels(tops, "keywords_hour")
 
 
 def start_hourly(stream: DataFrame, checkpoint: str, every: str | None = "1 hour",
@@ -105,6 +125,8 @@ def start_hourly(stream: DataFrame, checkpoint: str, every: str | None = "1 hour
     """
     if dedup_within:
         stream = dedup_topic(stream, dedup_within)
+        # Its state is worked through whenever a batch is run.
+        options = {"reread": False, **options}
     trigger = {"availableNow": True} if every is None else {"processingTime": every}
     writer = stream.writeStream.queryName(name) if name else stream.writeStream
     return (
