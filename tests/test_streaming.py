@@ -245,3 +245,36 @@ def test_a_batch_with_state_is_run_once(spark, made, monkeypatch):
     monkeypatch.setattr(hourly, "hour_counts", lambda *a, **b: pytest.fail("read again"))
     run(spark, folder, checkpoint, label_from="published", dedup_within="24 hours", tasks=2)
     assert rows(spark.table("keywords_hour").select("keyword", "count")) == [("rates", 1)]
+
+
+def test_one_batch_of_updates_is_not_shuffled(spark, tmp_path):
+    folder, key = str(tmp_path), ["hour", "keyword"]
+
+    def put(batch, *data):
+        spark.createDataFrame(data, "hour string, keyword string, count long").write.parquet(
+            f"{folder}/batch={batch}")
+
+    put(0, ("h", "a", 1), ("h", "b", 2))
+    put(1)
+    alone = updates.read_updates(spark, folder, key, grouped=True)
+    assert "Exchange" not in plan(alone)
+    assert rows(alone) == rows(updates.read_updates(spark, folder, key)) == [
+        ("h", "a", 1), ("h", "b", 2)]
+    put(2, ("h", "a", 5))
+    assert rows(updates.read_updates(spark, folder, key, grouped=True)) == rows(
+        updates.read_updates(spark, folder, key)) == [("h", "a", 5), ("h", "b", 2)]
+    # Rows that are not one a key are still made one.
+    put(3, ("h", "b", 7), ("h", "b", 7))
+    assert rows(updates.read_updates(spark, folder, key)) == [("h", "a", 5), ("h", "b", 7)]
+
+
+def test_state_and_updates_are_packed(spark, made):
+    """Files of updates and the state's checkpoint are in zstd."""
+    folder, checkpoint, tmp = made
+    land(spark, folder, "a", [message(1, "rates")])
+    parsed = msg.accepted(msg.parse_messages(source(spark, folder)))
+    updates.start_updates(windows.windowed_keywords(parsed), str(tmp / "out"), checkpoint,
+                          every=None).awaitTermination()
+    assert list((tmp / "out").rglob("*.zstd.parquet"))
+    for name in ("stateStore.compression.codec", "stateStore.rocksdb.compression"):
+        assert spark.conf.get(f"spark.sql.streaming.{name}") == "zstd"
